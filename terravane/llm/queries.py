@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bitsliced, decontaminate, license_scan, mixing, ngram_jaccard, quality, secret_scan, token_count
+from . import bitsliced, decontaminate, license_scan, lm_score, mixing, ngram_jaccard, quality, secret_scan, token_count
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,6 +60,10 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
 """
 
 
+def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score_texts(table(spark, sf_dir, "documents"))
+
+
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = license_scan.scan_licenses(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
@@ -142,6 +146,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_quality": op2_quality,
     "op3_bitsliced_topk": op3_bitsliced_topk,
+    "op4_lm_score": op4_lm_score,
     "op5_license_scan": op5_license_scan,
     "op7_decontaminate": op7_decontaminate,
     "op8_token_count": op8_token_count,
