@@ -131,11 +131,12 @@ def fit_pu(positive: np.ndarray, unlabelled: np.ndarray, prior: float | None = N
     return Model(mean, scale, w, bias, prior)
 
 
-def bounded_sample(rows: DataFrame, id_col: str, text: str, most: int) -> np.ndarray:
-    """Features of at most `most` rows: those with the smallest hashes of id and text length, whatever their order."""
-    picked = rows.select(F.coalesce(F.col(text), F.lit("")).alias("__t"), F.xxhash64(F.col(id_col), F.length(text)).alias("__h"))
-    table = picked.orderBy("__h", "__t").limit(most) if most else picked.limit(0)
-    found = [np.frombuffer(r.x, np.float32) for r in table.mapInArrow(_feature_rows, "x binary").collect()]
+def bounded_sample(docs: DataFrame, ids: DataFrame, id_col: str, text: str, most: int) -> np.ndarray:
+    """Features of the texts of at most `most` of the ids: those with the smallest hashes, whatever their order. Of rows
+    that share an id, the least text is taken. Only ids are sorted; the picked ones are broadcast, `most` at the most."""
+    picked = ids.select(id_col).filter(F.col(id_col).isNotNull()).distinct().orderBy(F.xxhash64(id_col), id_col).limit(most)
+    texts = docs.join(F.broadcast(picked), id_col).groupBy(id_col).agg(F.min(F.coalesce(F.col(text), F.lit(""))).alias("__t")).orderBy(id_col)
+    found = [np.frombuffer(r.x, np.float32) for r in texts.select("__t").mapInArrow(_feature_rows, "x binary").collect()]
     return np.vstack(found).astype(np.float64) if found else np.zeros((0, N_FEATURES))
 
 
@@ -151,11 +152,12 @@ def held_out(id_col: str, folds: int = 3, fold: int = 1):
 
 def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "quality", most_positive: int = 3000, most_unlabelled: int = 6000, fold: bool = True) -> Model:
     """A model fitted to at most most_positive texts that labels mark 1 and most_unlabelled other texts (documented
-    bounds of the only sample drawn). With fold, rows of the held-out third are not learnt from at all."""
+    bounds of the only sample drawn; rows with a null id are not learnt from). With fold, rows of the held-out third are not learnt from at all."""
     keep = ~held_out(id_col) if fold else F.lit(True)
     docs = docs.select(F.col(id_col), F.col(text)).filter(keep)
     good = labels.filter(keep & (F.col(label) == 1)).select(F.col(id_col)).distinct()
-    return fit_pu(bounded_sample(docs.join(good, id_col, "left_semi"), id_col, text, most_positive), bounded_sample(docs, id_col, text, most_unlabelled))
+    known = docs.select(id_col).join(good, id_col, "left_semi")
+    return fit_pu(bounded_sample(docs, known, id_col, text, most_positive), bounded_sample(docs, docs, id_col, text, most_unlabelled))
 
 
 def score_quality(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
