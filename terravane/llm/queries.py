@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bitsliced, decontaminate, license_scan, lm_score, mixing, ngram_jaccard, quality, secret_scan, token_count
+from . import bitsliced, decontaminate, license_scan, lm_score, mixing, ngram_jaccard, quality, secret_scan, suffix_dedup, token_count
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -73,6 +73,10 @@ def op8_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path())
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeated_spans(table(spark, sf_dir, "documents"))
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -148,6 +152,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_bitsliced_topk": op3_bitsliced_topk,
     "op4_lm_score": op4_lm_score,
     "op5_license_scan": op5_license_scan,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_decontaminate": op7_decontaminate,
     "op8_token_count": op8_token_count,
     "op9_mix_sources": op9_mix_sources,
