@@ -99,12 +99,12 @@ def carry_over(new: DataFrame, old: DataFrame | None) -> DataFrame:
     has changed: whose keep is given and is not keep_auto. Without keep_auto in old nothing is carried over."""
     if old is None or "place_id" not in old.columns:
         return new.withColumn("is_new", F.lit(1))
-    order = F.col("ord") if "ord" in old.columns else F.monotonically_increasing_id()
+    old = old.withColumn("_o", F.col("ord") if "ord" in old.columns else F.monotonically_increasing_id())
     given = F.lit("keep" in old.columns and "keep_auto" in old.columns)
     keep = number(F.col("keep")) if "keep" in old.columns else F.lit(None).cast("double")
     auto = number(F.col("keep_auto")) if "keep_auto" in old.columns else F.lit(None).cast("double")
     note = F.col("note").cast("string") if "note" in old.columns else F.lit(None).cast("string")
-    first = old.groupBy("place_id").agg(F.min_by(F.struct(keep.alias("keep"), auto.alias("auto"), blank(note).alias("note")), order).alias("_old"))
+    first = old.groupBy("place_id").agg(F.min_by(F.struct(keep.alias("keep"), auto.alias("auto"), blank(note).alias("note")), "_o").alias("_old"))
     edited = given & F.col("_old.keep").isNotNull() & ~F.col("_old.keep").eqNullSafe(F.col("_old.auto"))
     joined = new.join(first, "place_id", "left")
     return joined.withColumns({"keep": F.when(edited, F.col("_old.keep").cast("int")).otherwise(F.col("keep")), "note": F.when(edited, F.col("_old.note")).otherwise(F.col("note")), "is_new": F.col("_old").isNull().cast("int")}).drop("_old")
@@ -116,8 +116,8 @@ def apply_review(df: DataFrame, review: DataFrame | None) -> DataFrame:
         return df
     df = df if "keep" in df.columns else df.withColumn("keep", F.lit(1))
     df = df if "note" in df.columns else df.withColumn("note", F.lit(""))
-    order = F.col("ord") if "ord" in review.columns else F.monotonically_increasing_id()
-    last = review.filter(F.col("place_id").isNotNull()).groupBy("place_id").agg(F.max_by(F.struct(number(F.col("keep")).alias("keep"), F.nullif(F.col("note").cast("string"), F.lit("")).alias("note")), order).alias("_r"))
+    review = review.withColumn("_o", F.col("ord") if "ord" in review.columns else F.monotonically_increasing_id())
+    last = review.filter(F.col("place_id").isNotNull()).groupBy("place_id").agg(F.max_by(F.struct(number(F.col("keep")).alias("keep"), F.nullif(F.col("note").cast("string"), F.lit("")).alias("note")), "_o").alias("_r"))
     return df.join(last, "place_id", "left").withColumns({"keep": F.coalesce(F.col("_r.keep"), number(F.col("keep")), F.lit(1.0)).cast("int"), "note": F.coalesce(F.col("_r.note"), F.col("note"))}).drop("_r")
 
 

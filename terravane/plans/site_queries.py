@@ -396,7 +396,7 @@ def qa_same_name(spark, sf_dir):
 
 def _spearman_sql(a: str, b: str) -> str:
     rank = lambda v: f"(rank() OVER (ORDER BY {v}) + (count(*) OVER (PARTITION BY {v}) - 1) / 2e0)"
-    return f"SELECT '{a}' AS a, '{b}' AS b, {_even('corr(x, y)', 6)} AS r FROM (SELECT {rank(a)} AS x, {rank(b)} AS y FROM features WHERE {a} IS NOT NULL AND {b} IS NOT NULL)"
+    return f"SELECT '{a}' AS a, '{b}' AS b, {_even('corr(x, y)', 6)} AS r FROM (SELECT {rank(a)} AS x, {rank(b)} AS y FROM features WHERE {a} IS NOT NULL AND {b} IS NOT NULL) HAVING (SELECT " + " AND ".join(f"count({v}) > 10 AND count(DISTINCT {v}) > 2" for v in (a, b)) + " FROM features)"
 
 
 @query(f"WITH {_FEATURES_SQL} " + " UNION ALL ".join(_spearman_sql(a, b) for i, a in enumerate(_QA_COLS) for b in _QA_COLS[i + 1 :]))
