@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .components import components
+from ..operators.components import components
 from .storage import small_batches, written
 from .textbatch import Words, batches, gram_hash, mix, seeds
 
@@ -200,10 +200,11 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     row = lambda id_, key: F.xxhash64(id_, key)
     texts = written(members.groupBy("key").agg(F.count("*").alias("copies"), F.min("id").alias("least_id"), F.min(row("id", "key")).alias("row"), F.first("bands").alias("bands")), "texts")
     met = texts.select("key", F.explode("bands").alias("band"))
-    hubs = met.groupBy("band").agg(F.min("key").alias("hub"), F.count("*").alias("n")).filter("n > 1").select("band", "hub")
+    # aggregates are written before they are joined back: then adaptive execution can split a hot band's or group's rows
+    hubs = written(met.groupBy("band").agg(F.min("key").alias("hub"), F.count("*").alias("n")).filter("n > 1").select("band", "hub"), "hubs")
     chains = met.join(hubs, "band").filter("key <> hub").select(F.col("key").alias("a"), F.col("hub").alias("b"))
     groups = written(components(chains, "candidates").withColumnRenamed("root", "group"), "groups")
-    sizes = groups.groupBy("group").agg(F.count("*").alias("size")).withColumn("blocks", F.ceil(F.col("size") / block).cast("int"))
+    sizes = written(groups.groupBy("group").agg(F.count("*").alias("size")).select("group", F.ceil(F.col("size") / block).cast("int").alias("blocks")), "group-sizes")
     placed = groups.join(sizes, "group").select(F.col("node").alias("key"), "group", "blocks")
     # small groups share tasks of about `block` texts each; the blocks of a large group meet pairwise
     packs = max(1, -(-groups.count() // block))
@@ -247,5 +248,6 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
         roots = roots.unionByName(components(large, "classes").select(F.col("node").alias("key"), "root"))
     found = roots.join(verified.groupBy("key").agg(F.sum("links").alias("links")), "key", "left")
     classed = texts.select("key", "copies", "least_id").join(found, "key", "left").select("key", "copies", "least_id", F.coalesce("root", "key").alias("root"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    least = classed.groupBy("root").agg(F.min("least_id").alias("class_id"))
+    classed = written(classed, "classed")
+    least = written(classed.groupBy("root").agg(F.min("least_id").alias("class_id")), "class-ids")
     return members.select("id", "key").join(classed.join(least, "root").select("key", "class_id", "n_links"), "key").select(F.col("id").alias(id_col), "class_id", "n_links")

@@ -1,28 +1,12 @@
-"""Tables cut from their lineage, kept in the folder that the driver and all executors share."""
+"""Where the corpus operators keep what is cut from its lineage, and how large their Arrow batches are."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+from pyspark.sql import SparkSession
 
-from pyspark.sql import DataFrame, SparkSession
+from ..functions.storage import shared_dir, written
 
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; where that is unset (tests on one machine) a temporary one is set."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not found:
-        found = f"file://{tempfile.mkdtemp(prefix='terravane-')}"
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """df as a Parquet table in the shared folder, read back: survives lost executors and is computed once."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+__all__ = ["parts", "shared_dir", "small_batches", "written"]
 
 
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:

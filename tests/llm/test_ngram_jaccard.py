@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from terravane.llm import ngram_jaccard as J
-from terravane.llm.components import components
+from terravane.operators.components import components
 
 
 def shingles(text, n=5):
