@@ -147,7 +147,8 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
                 yield pa.RecordBatch.from_arrays([pa.array(first.view(np.int64)), pa.array(both.view(np.int64)), pa.array(uid), pa.array(pos), pa.array(n_l.astype(np.int32)), pa.array(n_r.astype(np.int32))], names=["key", "both", "uid", "pos", "l", "r"])
 
     anchors = written(source.select("text", "uid").mapInArrow(keys, "key long, both long, uid long, pos long, l int, r int"), "suffixes")
-    shared = anchors.groupBy("key").agg(F.min("uid").alias("lo"), F.max("uid").alias("hi")).filter("lo <> hi").select("key")
+    # written before it is joined back: then adaptive execution can split a hot key's rows
+    shared = written(anchors.groupBy("key").agg(F.min("uid").alias("lo"), F.max("uid").alias("hi")).filter("lo <> hi").select("key"), "shared-keys")
     kept = written(anchors.join(shared, "key", "left_semi"), "shared-suffixes")
     at = F.struct("uid", "pos", "l", "r")
     classes = written(kept.groupBy("key", "both").agg(F.min(at).alias("first"), F.max(at).alias("last")).withColumn("several", F.col("first.uid") != F.col("last.uid")), "suffix-classes")
@@ -155,7 +156,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     spans = whole.select("uid", (F.col("pos") - F.col("l")).alias("a"), (F.col("pos") + F.col("r")).alias("b"))
 
     # classes that may match another one; a bitmap of their places, of a bounded size, lets the second scan ship few others
-    many = classes.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
+    many = written(classes.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key"), "keys-to-sort")
     needed = written(classes.join(many, "key", "left_semi").select(F.explode(F.array_distinct(F.array(F.struct("first.uid", "first.pos"), F.struct("last.uid", "last.pos")))).alias("p")).select("p.uid", "p.pos"), "suffixes-to-sort")
     n_needed = needed.count()
     bits = 1 << min(int(most_bits).bit_length() - 1, max(20, (16 * n_needed).bit_length()))
