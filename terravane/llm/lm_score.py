@@ -125,7 +125,7 @@ def train(docs: DataFrame, text: str, groups: int, base: float, bits_each: float
 
     def count(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in found:
-            for _, _, w in batches(batch.column(0), NOT_SPACE, 8 << 20):
+            for _, _, w in batches(batch.column(0), NOT_SPACE, 4 << 20):
                 tokens, before, _ = sequences(w)
                 rows = []
                 for grams, every in ((1, np.concatenate([tokens, before[before == START]])), (2, pair(before, tokens))):
@@ -217,7 +217,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text: str = "text", fol
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         (common, common_n), words_in, pairs_in = sent.value
         for batch in found:
-            for a, b, w in batches(batch.column(3), NOT_SPACE, 4 << 20):
+            for a, b, w in batches(batch.column(3), NOT_SPACE, 2 << 20):
                 tokens, before, doc = sequences(w)
                 n_docs = b - a
                 uid = np.asarray(batch.column(2))[a:b]
@@ -240,8 +240,11 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text: str = "text", fol
                 yield pa.RecordBatch.from_arrays([pa.array(np.zeros(n_docs, np.int32)), full(pa.int32()), pa.array(uid), batch.column(0).slice(a, n_docs), batch.column(1).slice(a, n_docs), pa.array((w.counts + 1).astype(np.int64)), pa.array(np.bincount(doc[known], minlength=n_docs).astype(np.int64)), pa.array(np.bincount(doc[known], each[which[known]], minlength=n_docs).astype(np.float64)), pa.array(out), *(full(pa.binary()) for _ in range(4))], names=names)
                 # the rest of the words, once for each text
                 rare = np.flatnonzero(~known)
-                key, n = np.unique(np.column_stack([doc[rare].astype(np.uint64), tokens[rare]]), axis=0, return_counts=True) if len(rare) else (np.zeros((0, 2), np.uint64), np.zeros(0, np.int64))
-                lines = [(1, *x, None) for x in packed(1, key[:, 1], groups, uid[key[:, 0].astype(np.int64)], n.astype(np.uint32))]
+                order = rare[np.lexsort((tokens[rare], doc[rare]))]
+                first = np.flatnonzero(np.r_[True, (np.diff(doc[order]) != 0) | (np.diff(tokens[order]) != 0)]) if len(order) else order
+                n = np.diff(np.append(first, len(order)))
+                owner, word_of = doc[order[first]], tokens[order[first]]
+                lines = [(1, *x, None) for x in packed(1, word_of, groups, uid[owner], n.astype(np.uint32))]
                 if pairs_in is None:
                     lines += [(2, g, k, h, o, c, word_) for g, k, h, o, c, word_ in packed(2, several, groups, uid[doc], context, word)]
                 if lines:
