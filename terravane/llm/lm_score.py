@@ -13,7 +13,7 @@ Words are known by 64-bit hashes: for a vocabulary of v words the chance of any
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
@@ -59,13 +59,15 @@ def build(hashes: np.ndarray, counts: np.ndarray, base: float, bits_each: float)
 
 
 class Filter:
-    """Segments by group, laid end to end."""
+    """Segments by group, laid end to end. sizes: 64-bit words of each group's segment; they come one by one."""
 
-    def __init__(self, segments: dict[int, np.ndarray], groups: int) -> None:
-        size = np.array([len(segments.get(g, ())) for g in range(groups)])
+    def __init__(self, segments: Iterable[tuple[int, np.ndarray]], sizes: Mapping[int, int], groups: int) -> None:
+        size = np.array([sizes.get(g, 0) for g in range(groups)])
         self.blocks = size // 8
         self.first = np.concatenate([[0], np.cumsum(size)[:-1]])
-        self.words = np.concatenate([segments[g] for g in range(groups) if g in segments]) if segments else np.zeros(0, np.uint64)
+        self.words = np.zeros(size.sum(), np.uint64)
+        for g, segment in segments:
+            self.words[self.first[g] : self.first[g] + size[g]] = segment
         self.groups = groups
 
     def count(self, hashes: np.ndarray) -> np.ndarray:
@@ -179,7 +181,9 @@ def frequent(model: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def segments(model: DataFrame, grams: int, groups: int) -> Filter:
-    return Filter({r.group: np.frombuffer(r.segment, np.uint64) for r in model.filter(F.col("grams") == grams).select("group", "segment").collect()}, groups)
+    rows = model.filter(F.col("grams") == grams)
+    sizes = {r.group: r.n // 8 for r in rows.select("group", F.octet_length("segment").alias("n")).collect()}
+    return Filter(((r.group, np.frombuffer(r.segment, np.uint64)) for r in rows.select("group", "segment").toLocalIterator()), sizes, groups)
 
 
 def score_texts(docs: DataFrame, id_col: str = "doc_id", text: str = "text", folds: int = 5, fold: int = 1, base: float = 1.5, kappa: float = 500.0, bits_each: float = 10.0, most_broadcast: int = 128 << 20, most_frequent: int = 1 << 20) -> DataFrame:
@@ -266,12 +270,13 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text: str = "text", fol
             columns = np.bincount(who, n * (c > 0)).astype(np.int64), np.bincount(who, n * np.log10((c + 0.5) / below)), np.zeros(len(texts))
         else:
             g, segment = left["group"][0].as_py(), _arrays(right["segment"], np.uint64)
-            only = Filter({g: segment} if len(segment) else {}, groups)
+            only = Filter([(g, segment)], {g: len(segment)}, groups)
             added = smooth(only.count(hashes), _arrays(left["n"], np.float64), _arrays(left["more"], np.float64))
             columns = np.zeros(len(texts), np.int64), np.zeros(len(texts)), np.bincount(who, added)
         return pa.table({"uid": pa.array(texts), "n_known": pa.array(columns[0]), "base": pa.array(columns[1]), "score": pa.array(columns[2])})
 
     passed = written(source.mapInArrow(run, schema), "lm-passed")
+    sent.destroy()  # nothing after the written table needs it
     one = passed.filter("kind = 0").select("uid", "id", "held_out", "n_tokens", "n_known", "base", "score")
     sums = passed.filter("kind > 0").select("kind", "group", "hashes", "owners", "n", "more").groupBy("kind", "group").cogroup(model.select(F.col("grams").alias("kind"), "group", "segment", "hashes", "counts").groupBy("kind", "group")).applyInArrow(resolve, "uid long, n_known long, base double, score double")
     more = sums.selectExpr("uid", "cast(null as {}) as id".format(rows.schema["id"].dataType.simpleString()), "cast(null as boolean) as held_out", "cast(null as bigint) as n_tokens", "n_known", "base", "score")

@@ -214,6 +214,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
             yield ends(*tail)
 
     texts = written(source.select("text", "uid").mapInArrow(contexts, "right binary, left binary, uid long, pos long"), "contexts")
+    sent.destroy()  # nothing after the written table needs it
     out = "kind int, uid long, a long, b long, right binary, left binary, pos long"
     line = texts.distinct().repartitionByRange(parts(spark), "right", "left").sortWithinPartitions("right", "left", "uid", "pos")
     compared = written(line.mapInArrow(neighbours, out), "matches")

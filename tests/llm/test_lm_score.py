@@ -51,7 +51,7 @@ def test_filter_reads_back_counts():
     hashes = rng.integers(0, 1 << 63, 20000).astype(np.uint64)
     counts = rng.geometric(0.3, 20000) ** 3
     parts = {g: L.build(hashes[hashes % np.uint64(7) == g], counts[hashes % np.uint64(7) == g], 1.5, 10) for g in range(7)}
-    f = L.Filter(parts, 7)
+    f = L.Filter(parts.items(), {g: len(x) for g, x in parts.items()}, 7)
     q = L.quantise(counts, 1.5)
     read = f.count(hashes)
     assert (read >= q).all() and (read == q).mean() > 0.96
