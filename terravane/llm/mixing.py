@@ -46,7 +46,8 @@ def allocate(leaves: DataFrame, levels: Sequence[str], weights: Mapping[str, Map
         children = table.select(*levels[:i], inside.alias("_c")) if i == len(levels) else table.select(*levels[: i + 1], inside.alias("_c")).distinct()
         usable = children.groupBy(*levels[:i]).agg(F.sum("_c").alias("_sum")).withColumn(f"_w{i}", _weight(levels[i - 1], weights)).withColumn(f"_cap{i}", F.when(F.col(f"_w{i}") > 0, F.col("_sum")).otherwise(0)).drop("_sum")
         table = table.join(usable, list(levels[:i]))
-    table = table.withColumn("_b0", budget)
+    # a row for each leaf: written between levels, so that each level's plan starts from a small table
+    table = written(table.withColumn("_b0", budget), "mix-capacity")
     for i in range(1, len(levels) + 1):
         nodes = table.select(*levels[:i], f"_w{i}", f"_cap{i}", f"_b{i - 1}").distinct()
         parent = W.partitionBy(*levels[: i - 1]) if i > 1 else W.partitionBy(F.lit(0))
@@ -57,6 +58,7 @@ def allocate(leaves: DataFrame, levels: Sequence[str], weights: Mapping[str, Map
         nodes = nodes.withColumns({"_left": F.col("_have") - F.sum(F.when(F.col("_full"), cap).otherwise(0.0)).over(parent), "_share": F.sum(F.when(F.col("_full"), 0.0).otherwise(w)).over(parent)})
         given = F.when(F.col("_full"), F.col(f"_cap{i}")).otherwise(F.floor(F.coalesce(F.try_divide(F.col("_left") * w, F.col("_share")), F.lit(0.0))))
         table = table.join(nodes.select(*levels[:i], F.greatest(given, F.lit(0)).cast("long").alias(f"_b{i}")), list(levels[:i]))
+        table = written(table, f"mix-budget{i}")
     return table.select(*leaves.columns, F.col(f"_b{len(levels)}").alias("budget"))
 
 
@@ -71,7 +73,7 @@ def mix_sources(docs: DataFrame, weights: Mapping[str, Mapping[str, float]], sha
     levels = levels or {"domain": domain_of(), "lang": F.col("lang"), "source": F.col("source")}
     names = list(levels)
     base = written(docs.select(F.col(id_col).alias("_id"), *(F.coalesce(c.cast("string"), F.lit("")).alias(k) for k, c in levels.items()), token_count(text).alias("_n")), "mix-base")
-    leaves = base.groupBy(*names).agg(F.sum("_n").alias("tokens"), (F.sum("_n") * max_epochs).alias("capacity"))
+    leaves = written(base.groupBy(*names).agg(F.sum("_n").alias("tokens"), (F.sum("_n") * max_epochs).alias("capacity")), "mix-leaves")
     root = F.floor(F.sum("tokens").over(W.partitionBy(F.lit(0))) * share)
     leaves = leaves.withColumn("_root", root)
     plan = allocate(leaves, names, weights, F.col("_root")).filter("tokens > 0").select(
