@@ -73,13 +73,18 @@ def radius_pairs(left: DataFrame, right: DataFrame, radius_m: float, widest: flo
     """All pairs of rows within radius_m (inclusive) with their distance d; both sides have lat and lng, other column
     names must differ. The right side is copied to the 3 x 3 cells around its own, then joined on the cell: an
     equi-join that is shuffled, broadcast or split for skew as Catalyst and adaptive execution decide. Rows without
-    coordinates have no pairs. Longitudes are not joined over the antimeridian."""
+    coordinates have no pairs. Longitudes are not joined over the antimeridian.
+
+    The work grows with the pairs, not with the bytes of the points, so the left side is dealt evenly over
+    spark.sql.shuffle.partitions tasks first; latitudes that are too far apart are left out before the sines."""
+    parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     widest = widest_latitude(left, right) if widest is None else widest
     y, x = _cells(F.col("lat"), F.col("lng"), radius_m, widest)
-    l = left.filter("lat is not null and lng is not null").withColumns({"_y": y, "_x": x})
+    l = left.filter("lat is not null and lng is not null").repartition(parts).withColumns({"_y": y, "_x": x})
     near = F.explode(F.array(*(F.struct(F.lit(a).alias("dy"), F.lit(b).alias("dx")) for a in (-1, 0, 1) for b in (-1, 0, 1))))
     r = right.filter("lat is not null and lng is not null").withColumnsRenamed({"lat": "lat2", "lng": "lng2"})
     y, x = _cells(F.col("lat2"), F.col("lng2"), radius_m, widest)
     r = r.withColumns({"_y": y, "_x": x}).withColumn("_n", near).withColumns({"_y": F.col("_y") + F.col("_n.dy"), "_x": F.col("_x") + F.col("_n.dx")}).drop("_n")
-    pairs = l.join(r, ["_y", "_x"]).withColumn("d", haversine(F.col("lat"), F.col("lng"), F.col("lat2"), F.col("lng2")))
+    close = F.abs(F.col("lat") - F.col("lat2")) <= radius_m / CELL_M
+    pairs = l.join(r, ["_y", "_x"]).filter(close).withColumn("d", haversine(F.col("lat"), F.col("lng"), F.col("lat2"), F.col("lng2")))
     return pairs.filter(F.col("d") <= radius_m).drop("_y", "_x")

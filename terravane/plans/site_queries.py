@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import geo, text
+from ..functions.storage import written
 from ..operators import dedupe, discover, hours, metering, ranks, report, score, surround
 
 # lat and lng of a key, in a box of a tenth of a degree
@@ -297,7 +298,8 @@ def _features(spark, sf_dir):
     """Sites with ratings, shops and workers around them."""
     facts = radius_count(spark, sf_dir).unionByName(radius_sum(spark, sf_dir))
     s = score.with_ratings(reviewed(spark, sf_dir))
-    return s.join(surround.pivot_wide(s, facts, FACTS), "place_id").withColumn("size", F.expr("CASE WHEN ord % 3 = 0 THEN NULL ELSE ord * 7 % 13 END"))
+    df = s.join(surround.pivot_wide(s, facts, FACTS), "place_id").withColumn("size", F.expr("CASE WHEN ord % 3 = 0 THEN NULL ELSE ord * 7 % 13 END"))
+    return written(df, "site-features")  # reports read it several times
 
 
 FACTS = ["shop_500", "shop_1500", "workers_3000"]
