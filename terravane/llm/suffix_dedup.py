@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -124,6 +125,19 @@ def compare(right: np.ndarray, left: np.ndarray, uid: np.ndarray, least: int, ne
     return tuple(np.concatenate([f[i] for f in found]) for i in range(3))
 
 
+MATCH, WHOLE, HEAD, TAIL = 0, 1, 2, 3
+
+
+def ends(uid: np.ndarray, near: int) -> tuple[int, int]:
+    """(end of the head, start of the tail) of sorted suffixes: the rows that may have neighbours beyond the first or last
+    row, with all rows that they are compared to. Runs of one document stay whole."""
+    n = len(uid)
+    starts = np.flatnonzero(np.r_[True, uid[1:] != uid[:-1]])
+    run = np.cumsum(np.r_[True, uid[1:] != uid[:-1]]) - 1
+    stops = np.r_[starts[1:], n]
+    return min(n, int(stops[run[min(near, n - 1)]]) + near), max(0, int(starts[run[max(0, n - 1 - near)]]) - near)
+
+
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text: str = "text", least: int = 50, near: int = 4, most_bits: int = 1 << 29) -> DataFrame:
     """(id_col, span_start, span_end, n_words): the maximal spans of words, end exclusive, that lie in matches of `least`
     or more words with another document.
@@ -186,42 +200,52 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
         take = lambda c, width: np.frombuffer(b"".join(batch.column(c).to_pylist()), ">u4").reshape(-1, width).astype(np.uint32)
         return take(0, right), take(1, left), np.asarray(batch.column(2)), np.asarray(batch.column(3))
 
-    def neighbours(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Matches (kind 0), and the rows at both ends of the partition (kind 1), which have neighbours elsewhere."""
-        tail, first = None, True
-        names = ["kind", "uid", "a", "b", "right", "left", "pos"]
+    names = ["kind", "uid", "a", "b", "right", "left", "pos", "part"]
 
-        def ends(r, l, uid, pos):
-            n = len(uid)
-            none = pa.nulls(n, pa.int64())
-            return pa.RecordBatch.from_arrays([pa.array(np.ones(n, np.int32)), pa.array(uid), none, none, _binary(r), _binary(l), pa.array(pos)], names=names)
+    def matches_of(r, l, uid, pos) -> pa.RecordBatch:
+        row, to_left, to_right = compare(r, l, uid, least, near)
+        n = len(row)
+        return pa.RecordBatch.from_arrays([pa.array(np.full(n, MATCH, np.int32)), pa.array(uid[row]), pa.array(pos[row] - to_left), pa.array(pos[row] + to_right), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32())], names=names)
 
-        for batch in found:
-            if not batch.num_rows:
-                continue
-            now = read(batch)
-            if first:
-                yield ends(*(x[: 2 * near] for x in now))
-                first = False
-            # the last rows of the batch before stand in front once more
-            now = now if tail is None else tuple(np.concatenate([t, x]) for t, x in zip(tail, now, strict=True))
-            r, l, uid, pos = now
-            row, to_left, to_right = compare(r, l, uid, least, near)
-            n = len(row)
-            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(n, np.int32)), pa.array(uid[row]), pa.array(pos[row] - to_left), pa.array(pos[row] + to_right), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.int64())], names=names)
-            tail = tuple(x[-2 * near :] for x in now)
-        if tail is not None:
-            yield ends(*tail)
+    def neighbours(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Matches inside a partition, and the rows at its ends, whose neighbours stand partly in other ones. A partition,
+        one of spark.sql.shuffle.partitions, is held at once."""
+        parts_ = [read(b) for b in found if b.num_rows]
+        if not parts_:
+            return
+        rows = tuple(np.concatenate(x) for x in zip(*parts_, strict=True))
+        yield matches_of(*rows)
+        head, tail = ends(rows[2], near)
+        n, part = len(rows[2]), TaskContext.get().partitionId()
+        for kind, a, b in [(WHOLE, 0, n)] if head >= tail else [(HEAD, 0, head), (TAIL, tail, n)]:
+            r, l, uid, pos = (x[a:b] for x in rows)
+            none = pa.nulls(b - a, pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(b - a, kind, np.int32)), pa.array(uid), none, none, _binary(r), _binary(l), pa.array(pos), pa.array(np.full(b - a, part, np.int32))], names=names)
+
+    def joints(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Matches over the ends of partitions: the tail of one, whole small ones, and the head of the next in a row."""
+        got = [(*read(b), np.asarray(b.column(4)), np.asarray(b.column(5))) for b in found if b.num_rows]
+        if not got:
+            return
+        *rows, part, kind = (np.concatenate(x) for x in zip(*got, strict=True))
+        edges = np.flatnonzero(np.r_[True, (np.diff(part) != 0) | (np.diff(kind) != 0), True])
+        begin = 0
+        for a, b in zip(edges[:-1], edges[1:], strict=True):
+            if kind[a] == TAIL:
+                begin = a
+            elif kind[a] == HEAD or b == len(kind):
+                yield matches_of(*(x[begin:b] for x in rows))
+                begin = b
 
     texts = written(source.select("text", "uid").mapInArrow(contexts, "right binary, left binary, uid long, pos long"), "contexts")
     sent.destroy()  # nothing after the written table needs it
-    out = "kind int, uid long, a long, b long, right binary, left binary, pos long"
+    out = "kind int, uid long, a long, b long, right binary, left binary, pos long, part int"
     line = texts.distinct().repartitionByRange(parts(spark), "right", "left").sortWithinPartitions("right", "left", "uid", "pos")
     compared = written(line.mapInArrow(neighbours, out), "matches")
-    # twice 2 * near rows for each partition meet in one task
-    joints = compared.filter("kind = 1").select("right", "left", "uid", "pos").distinct().repartition(1).sortWithinPartitions("right", "left", "uid", "pos").mapInArrow(neighbours, out)
-    for matches in (compared, joints):
-        spans = spans.unionByName(matches.filter("kind = 0").select("uid", "a", "b"))
+    # a few rows for each partition meet in one task
+    between = compared.filter(F.col("kind") != MATCH).select("right", "left", "uid", "pos", "part", "kind").repartition(1).sortWithinPartitions("part", "kind", "right", "left", "uid", "pos").mapInArrow(joints, out)
+    for matches in (compared, between):
+        spans = spans.unionByName(matches.filter(F.col("kind") == MATCH).select("uid", "a", "b"))
     by = W.partitionBy("uid").orderBy("a", "b")
     before = F.max("b").over(by.rowsBetween(W.unboundedPreceding, -1))
     merged = (

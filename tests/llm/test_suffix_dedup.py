@@ -77,3 +77,26 @@ def test_neighbours_across_partitions_and_empty(spark):
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert got == [(i, 40, 110) for i in range(30)]
     assert S.repeated_spans(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_result_does_not_depend_on_the_number_of_partitions(spark):
+    rng = random.Random(11)
+    shared = [prose(rng, n) for n in (52, 58, 66, 75)]
+    rows = []
+    for i in range(90):
+        words = prose(rng, 30)
+        for _ in range(2):
+            part = list(rng.choice(shared))
+            if i % 3 == 0:
+                part[rng.randrange(len(part))] = "other"
+            words += part + prose(rng, 5)
+        rows.append((i, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    before, found = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for n in (1, 3, 40):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            found.append(sorted((r.doc_id, r.span_start, r.span_end) for r in S.repeated_spans(docs).collect()))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert found[0] == found[1] == found[2] and len(found[0]) > 60
