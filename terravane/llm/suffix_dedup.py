@@ -6,21 +6,22 @@ the `left` words before it.
 
 1. Suffixes whose first words occur in one document only are dropped (aggregation and join by hash).
 2. Suffixes with equal words on both sides are one class, and all members of a class of two documents or more repeat.
-3. One or two members of each other class are sorted by their words over the whole cluster; each is compared with its
-   neighbours in that order, across partition ends too, and the match is extended to the left.
+3. Members of the other classes are sorted by their words over the whole cluster. Suffixes that agree to the right stand
+   together; each is extended to the left and right by the hashes of all windows of `least` words around its place, and
+   windows that two documents hold are matches. Runs too long for one task are cut; their pieces' windows then meet by
+   aggregation.
 
-Spans are the union of all matches of at least `least` words. A passage of least + w - 1 words is always found, since a
-kept suffix in its first w words matches its nearest neighbour on `least` words at least; a shorter one is found if one
-of the `near` next neighbours to either side shares it.
+Spans are the union of all windows of `least` words that another document holds too. None is lost: the kept suffix in such
+a window's first w words is the same in both documents, at the same place of the window.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -69,14 +70,15 @@ def around(words: Words, places: np.ndarray, left: int, right: int) -> tuple[np.
     return r, l, np.minimum(after, right), np.minimum(before, left)
 
 
-def _anchors(text: pa.Array, uid: np.ndarray, least: int, left: int, right: int, key: int):
+def _anchors(text: pa.Array, uid: np.ndarray, least: int, key: int, most: int = 1 << 13):
     for a, b, w in batches(text, most=1 << 19):
         places = minimisers(w, least)
         doc = np.searchsorted(w.at, places, "right") - 1
         keep = w.at[doc + 1] - places >= key
         places, doc = places[keep], doc[keep]
-        if len(places):
-            yield w, places, uid[a:b][doc], (places - w.at[doc]).astype(np.int64)
+        for s in range(0, len(places), most):  # a long text has many
+            some = slice(s, s + most)
+            yield w, places[some], uid[a:b][doc[some]], (places - w.at[doc])[some].astype(np.int64)
 
 
 def _mark(uid: np.ndarray, pos: np.ndarray) -> np.ndarray:
@@ -88,59 +90,45 @@ def _binary(x: np.ndarray) -> pa.Array:
     return pa.FixedSizeBinaryArray.from_buffers(pa.binary(4 * x.shape[1]), len(x), [None, pa.py_buffer(data.tobytes())]).cast(pa.binary())
 
 
-def _common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Lengths of the common prefixes of the rows; 0 never matches."""
-    differs = (a != b) | (a == 0)
-    return np.where(differs.any(axis=1), differs.argmax(axis=1), a.shape[1])
-
-
-def compare(right: np.ndarray, left: np.ndarray, uid: np.ndarray, least: int, near: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of suffixes in sorted order: (row, words to the left, to the right) of matches between neighbours of unlike
-    documents, at a distance of up to `near` places, the places of an equal document not counted."""
-    n, found = len(uid), []
-    # runs of one document are stepped over: the last row of the run before, then those before it
-    starts = np.flatnonzero(np.r_[True, uid[1:] != uid[:-1]]) if n else np.zeros(0, np.int64)
-    run = np.cumsum(np.r_[True, uid[1:] != uid[:-1]]) - 1 if n else np.zeros(0, np.int64)
-    for d in range(1, near + 1):
-        rows = np.arange(n)
-        other = starts[run] - d
-        ok = (other >= 0) & (uid[np.maximum(other, 0)] != uid)
-        i, j = rows[ok], other[ok]
-        same = right[i, 0] == right[j, 0]
-        i, j = i[same], j[same]
-        r, l = _common(right[i], right[j]), _common(left[i], left[j])
-        good = r + l >= least
-        for x in (i[good], j[good]):
-            found.append((x, l[good], r[good]))
-        other = np.r_[starts[1:], n][run] - 1 + d
-        ok = (other < n) & (uid[np.minimum(other, max(n - 1, 0))] != uid)
-        i, j = rows[ok], other[ok]
-        same = right[i, 0] == right[j, 0]
-        i, j = i[same], j[same]
-        r, l = _common(right[i], right[j]), _common(left[i], left[j])
-        good = r + l >= least
-        found += [(i[good], l[good], r[good]), (j[good], l[good], r[good])]
-    if not found:
-        return (np.zeros(0, np.int64),) * 3
-    return tuple(np.concatenate([f[i] for f in found]) for i in range(3))
-
-
-MATCH, WHOLE, HEAD, TAIL = 0, 1, 2, 3
-
-
-def ends(uid: np.ndarray, near: int) -> tuple[int, int]:
-    """(end of the head, start of the tail) of sorted suffixes: the rows that may have neighbours beyond the first or last
-    row, with all rows that they are compared to. Runs of one document stay whole."""
-    n = len(uid)
-    starts = np.flatnonzero(np.r_[True, uid[1:] != uid[:-1]])
-    run = np.cumsum(np.r_[True, uid[1:] != uid[:-1]]) - 1
-    stops = np.r_[starts[1:], n]
-    return min(n, int(stops[run[min(near, n - 1)]]) + near), max(0, int(starts[run[max(0, n - 1 - near)]]) - near)
+def window_hashes(right: np.ndarray, left: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of each suffix and each l: the hash of the window of `least` words that begins l words to the left, and whether
+    the text has all of them (0 is no word)."""
+    n, most = len(right), left.shape[1]
+    factors = seeds(least + most, 29)
+    to_right = np.cumsum(right[:, :least] * factors[:least], axis=1, dtype=np.uint64)
+    to_left = np.hstack([np.zeros((n, 1), np.uint64), np.cumsum(left * factors[least:], axis=1, dtype=np.uint64)])
+    l = np.arange(most + 1)
+    have = (right[:, least - 1 - l] != 0) & np.hstack([np.ones((n, 1), bool), left != 0])
+    return mix(mix(to_right[:, least - 1 - l] + to_left) + l.astype(np.uint64)), have
 
 
-def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text: str = "text", least: int = 50, near: int = 4, most_bits: int = 1 << 29) -> DataFrame:
+def shared_windows(right: np.ndarray, left: np.ndarray, uid: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(least l, largest l) of each suffix's windows that another document has here (largest -1: none), and (row, l, hash)
+    of windows that stand for all others where more suffixes may follow elsewhere: every one that only one document has
+    here, one of each of two documents for the rest."""
+    n = len(uid)
+    low, high, found = np.full(n, least), np.full(n, -1), [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64))]
+    hashes, have = window_hashes(right, left, least)
+    for l in range(hashes.shape[1]):
+        rows = np.flatnonzero(have[:, l])
+        if not len(rows):
+            continue
+        rows = rows[np.lexsort((uid[rows], hashes[rows, l]))]
+        h, u = hashes[rows, l], uid[rows]
+        first = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
+        last = np.r_[first[1:], len(rows)] - 1
+        several = u[first] != u[last]
+        each = np.repeat(several, last - first + 1)
+        low[rows[each]] = np.minimum(low[rows[each]], l)
+        high[rows[each]] = l
+        send = np.concatenate([rows[~each], rows[first[several]], rows[last[several]]])
+        found.append((send, np.full(len(send), l), hashes[send, l]))
+    return low, high, tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+
+def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text: str = "text", least: int = 50, most_bits: int = 1 << 29, piece: int = 1 << 16) -> DataFrame:
     """(id_col, span_start, span_end, n_words): the maximal spans of words, end exclusive, that lie in matches of `least`
-    or more words with another document.
+    or more words with another document. `piece` suffixes are compared at a time; results do not depend on it.
 
     A document is a row's id with its text: rows that repeat both are one document and alone repeat nothing, rows of one
     id with unlike texts are two. Null texts count as empty; texts of fewer than `least` words have no spans; a null id
@@ -152,11 +140,14 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     source = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("uid", F.xxhash64("id", "text"))
     factors = seeds(left + right, 23)
 
+    def run_key(r: np.ndarray) -> np.ndarray:
+        return mix((r[:, :key] * factors[:key]).sum(axis=1, dtype=np.uint64))
+
     def keys(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in found:
-            for w, places, uid, pos in _anchors(batch.column(0), np.asarray(batch.column(1)), least, left, right, key):
+            for w, places, uid, pos in _anchors(batch.column(0), np.asarray(batch.column(1)), least, key):
                 r, l, n_r, n_l = around(w, places, left, right)
-                first = mix((r[:, :key] * factors[:key]).sum(axis=1, dtype=np.uint64))
+                first = run_key(r)
                 both = mix((np.hstack([r, l]) * factors).sum(axis=1, dtype=np.uint64))
                 yield pa.RecordBatch.from_arrays([pa.array(first.view(np.int64)), pa.array(both.view(np.int64)), pa.array(uid), pa.array(pos), pa.array(n_l.astype(np.int32)), pa.array(n_r.astype(np.int32))], names=["key", "both", "uid", "pos", "l", "r"])
 
@@ -169,10 +160,16 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     whole = kept.join(classes.filter("several").select("key", "both"), ["key", "both"], "left_semi").filter(F.col("l") + F.col("r") >= least)
     spans = whole.select("uid", (F.col("pos") - F.col("l")).alias("a"), (F.col("pos") + F.col("r")).alias("b"))
 
-    # classes that may match another one; a bitmap of their places, of a bounded size, lets the second scan ship few others
+    # suffixes that may match another class; a bitmap of their places, of a bounded size, lets the second scan ship few
+    # others. Two documents stand for a class of several, whose members repeat on all their words anyway
     many = written(classes.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key"), "keys-to-sort")
-    needed = written(classes.join(many, "key", "left_semi").select(F.explode(F.array_distinct(F.array(F.struct("first.uid", "first.pos"), F.struct("last.uid", "last.pos")))).alias("p")).select("p.uid", "p.pos"), "suffixes-to-sort")
+    meeting = written(classes.join(many, "key", "left_semi"), "classes-to-sort")
+    two = meeting.filter("several").select(F.explode(F.array("first", "last")).alias("p"), "key").select("p.uid", "p.pos", "key")
+    lone = kept.join(meeting.filter("not several").select("key", "both"), ["key", "both"], "left_semi").select("uid", "pos", "key")
+    needed = written(two.unionByName(lone), "suffixes-to-sort")
     n_needed = needed.count()
+    # runs of more suffixes than a piece are dealt over several tasks, all others stay whole
+    long_runs = written(needed.groupBy("key").count().filter(F.col("count") > piece).select("key", F.lit(True).alias("cut")), "long-runs")
     bits = 1 << min(int(most_bits).bit_length() - 1, max(20, (16 * n_needed).bit_length()))
 
     def hashed(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,7 +177,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
             h = _mark(np.asarray(batch.column(0)), np.asarray(batch.column(1))) % np.uint64(bits)
             yield pa.RecordBatch.from_arrays([pa.array((h // 32768).astype(np.int64)), pa.array((h % 32768).astype(np.int64))], names=["bucket", "bit"])
 
-    marks = needed.mapInArrow(hashed, "bucket long, bit long").groupBy("bucket").agg(F.expr("bitmap_construct_agg(bit)").alias("bits")).collect()
+    marks = needed.select("uid", "pos").mapInArrow(hashed, "bucket long, bit long").groupBy("bucket").agg(F.expr("bitmap_construct_agg(bit)").alias("bits")).collect()
     bitmap = np.zeros(bits // 8, np.uint8)
     for m in marks:
         bitmap[m.bucket * 4096 : m.bucket * 4096 + 4096] = np.frombuffer(m.bits, np.uint8)
@@ -189,63 +186,58 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     def contexts(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = sent.value
         for batch in found:
-            for w, places, uid, pos in _anchors(batch.column(0), np.asarray(batch.column(1)), least, left, right, key):
+            for w, places, uid, pos in _anchors(batch.column(0), np.asarray(batch.column(1)), least, key):
                 h = _mark(uid, pos) % np.uint64(bits)
                 some = np.flatnonzero(table[(h >> np.uint64(3)).astype(np.int64)] >> (h & np.uint64(7)).astype(np.uint8) & 1)
                 if len(some):
                     r, l, _, _ = around(w, places[some], left, right)
-                    yield pa.RecordBatch.from_arrays([_binary(r), _binary(l), pa.array(uid[some]), pa.array(pos[some])], names=["right", "left", "uid", "pos"])
+                    yield pa.RecordBatch.from_arrays([_binary(r), _binary(l), pa.array(uid[some]), pa.array(pos[some]), pa.array(run_key(r).view(np.int64))], names=["right", "left", "uid", "pos", "key"])
 
-    def read(batch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    def read(batch) -> tuple[np.ndarray, ...]:
         take = lambda c, width: np.frombuffer(b"".join(batch.column(c).to_pylist()), ">u4").reshape(-1, width).astype(np.uint32)
-        return take(0, right), take(1, left), np.asarray(batch.column(2)), np.asarray(batch.column(3))
-
-    names = ["kind", "uid", "a", "b", "right", "left", "pos", "part"]
-
-    def matches_of(r, l, uid, pos) -> pa.RecordBatch:
-        row, to_left, to_right = compare(r, l, uid, least, near)
-        n = len(row)
-        return pa.RecordBatch.from_arrays([pa.array(np.full(n, MATCH, np.int32)), pa.array(uid[row]), pa.array(pos[row] - to_left), pa.array(pos[row] + to_right), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32())], names=names)
+        return take(0, right), take(1, left), np.asarray(batch.column(2)), np.asarray(batch.column(3)), batch.column(4).to_numpy(zero_copy_only=False)
+
+    def matches(r, l, uid, pos, cut, whole: bool) -> pa.RecordBatch:
+        """Matches among some suffixes; where not whole, also the windows to be met with those of other pieces, by hash."""
+        low, high, (row, at, h) = shared_windows(r, l, uid, least)
+        own = np.flatnonzero(high >= 0)
+        if whole:
+            row, at, h = row[:0], at[:0], h[:0]
+        a, b = np.concatenate([pos[own] - high[own], pos[row] - at]), np.concatenate([pos[own] - low[own] + least, pos[row] - at + least])
+        hashes = pa.chunked_array([pa.nulls(len(own), pa.int64()), pa.array(h.view(np.int64))]).combine_chunks()
+        return pa.RecordBatch.from_arrays([pa.array(uid[np.concatenate([own, row])]), pa.array(a), pa.array(b), hashes], names=["uid", "a", "b", "hash"])
 
     def neighbours(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Matches inside a partition, and the rows at its ends, whose neighbours stand partly in other ones. A partition,
-        one of spark.sql.shuffle.partitions, is held at once."""
-        parts_ = [read(b) for b in found if b.num_rows]
-        if not parts_:
-            return
-        rows = tuple(np.concatenate(x) for x in zip(*parts_, strict=True))
-        yield matches_of(*rows)
-        head, tail = ends(rows[2], near)
-        n, part = len(rows[2]), TaskContext.get().partitionId()
-        for kind, a, b in [(WHOLE, 0, n)] if head >= tail else [(HEAD, 0, head), (TAIL, tail, n)]:
-            r, l, uid, pos = (x[a:b] for x in rows)
-            none = pa.nulls(b - a, pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(b - a, kind, np.int32)), pa.array(uid), none, none, _binary(r), _binary(l), pa.array(pos), pa.array(np.full(b - a, part, np.int32))], names=names)
-
-    def joints(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Matches over the ends of partitions: the tail of one, whole small ones, and the head of the next in a row."""
-        got = [(*read(b), np.asarray(b.column(4)), np.asarray(b.column(5))) for b in found if b.num_rows]
-        if not got:
-            return
-        *rows, part, kind = (np.concatenate(x) for x in zip(*got, strict=True))
-        edges = np.flatnonzero(np.r_[True, (np.diff(part) != 0) | (np.diff(kind) != 0), True])
-        begin = 0
-        for a, b in zip(edges[:-1], edges[1:], strict=True):
-            if kind[a] == TAIL:
-                begin = a
-            elif kind[a] == HEAD or b == len(kind):
-                yield matches_of(*(x[begin:b] for x in rows))
-                begin = b
-
-    texts = written(source.select("text", "uid").mapInArrow(contexts, "right binary, left binary, uid long, pos long"), "contexts")
+        """Suffixes in sorted order, piece by piece. Runs, which agree on the first `key` words, stay whole in a piece,
+        but for the long ones: these are cut wherever a piece or a partition ends."""
+        held, n = [], 0
+        for batch in chain(found, [None]):
+            if batch is not None and batch.num_rows:
+                held.append(read(batch))
+                n += batch.num_rows
+            if not n or (batch is not None and n < piece):
+                continue
+            rows = tuple(np.concatenate(x) for x in zip(*held, strict=True))
+            run = np.flatnonzero(np.r_[True, (rows[0][1:, :key] != rows[0][:-1, :key]).any(axis=1)])
+            # the last run may go on, unless it is a long one
+            stop = n if batch is None or rows[4][-1] else int(run[-1])
+            done = tuple(x[:stop] for x in rows)
+            for whole in (True, False):
+                some = done[4] != whole
+                if some.any():
+                    yield matches(*(x[some] for x in done), whole)
+            held, n = [tuple(x[stop:] for x in rows)], n - stop
+
+    texts = written(source.select("text", "uid").mapInArrow(contexts, "right binary, left binary, uid long, pos long, key long"), "contexts")
     sent.destroy()  # nothing after the written table needs it
-    out = "kind int, uid long, a long, b long, right binary, left binary, pos long, part int"
-    line = texts.distinct().repartitionByRange(parts(spark), "right", "left").sortWithinPartitions("right", "left", "uid", "pos")
-    compared = written(line.mapInArrow(neighbours, out), "matches")
-    # a few rows for each partition meet in one task
-    between = compared.filter(F.col("kind") != MATCH).select("right", "left", "uid", "pos", "part", "kind").repartition(1).sortWithinPartitions("part", "kind", "right", "left", "uid", "pos").mapInArrow(joints, out)
-    for matches in (compared, between):
-        spans = spans.unionByName(matches.filter(F.col("kind") == MATCH).select("uid", "a", "b"))
+    line = texts.join(long_runs, "key", "left").select("right", "left", "uid", "pos", F.coalesce("cut", F.lit(False)).alias("cut"))
+    run = F.substring("right", 1, 4 * key)
+    line = line.repartitionByRange(parts(spark), run, F.when(F.col("cut"), F.concat("right", "left"))).sortWithinPartitions("right", "left")
+    compared = written(line.mapInArrow(neighbours, "uid long, a long, b long, hash long"), "matches")
+    open_ = compared.filter("hash is not null")
+    met = open_.groupBy("hash").agg(F.min("uid").alias("lo"), F.max("uid").alias("hi")).filter("lo <> hi").select("hash")
+    for found in (compared.filter("hash is null"), open_.join(met, "hash", "left_semi")):
+        spans = spans.unionByName(found.select("uid", "a", "b"))
     by = W.partitionBy("uid").orderBy("a", "b")
     before = F.max("b").over(by.rowsBetween(W.unboundedPreceding, -1))
     merged = (

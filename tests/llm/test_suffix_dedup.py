@@ -100,3 +100,26 @@ def test_result_does_not_depend_on_the_number_of_partitions(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert found[0] == found[1] == found[2] and len(found[0]) > 60
+
+
+def test_many_unlike_passages_around_one_hot_run(spark):
+    """Hundreds of documents share 24 words; which 50 words any two share depends on what stands before and after."""
+    rng = random.Random(13)
+    core, before, after = prose(rng, 24), [prose(rng, 30) for _ in range(12)], [prose(rng, 30) for _ in range(12)]
+    rows = []
+    for i in range(300):
+        head, tail = rng.choice(before), rng.choice(after)
+        middle = head[rng.randrange(30) :] + core + tail[: rng.randrange(30)]
+        rows.append((i, " ".join(prose(rng, 12) + middle + prose(rng, 12) + (middle if i % 7 == 0 else []))))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for piece in (1 << 16, 40, 7):
+        got = sorted(((r.doc_id, r.span_start, r.span_end) for r in S.repeated_spans(docs, piece=piece).collect()), key=str)
+        assert got == brute(rows, 50) and len(got) > 100
+
+
+def test_middle_copies_inside_one_document(spark):
+    rng = random.Random(17)
+    long = prose(rng, 120)
+    rows = [(1, " ".join(sum((prose(rng, 3) + long for _ in range(4)), []))), (2, " ".join(prose(rng, 40) + long[30:90] + prose(rng, 40)))]
+    got = sorted(((r.doc_id, r.span_start, r.span_end) for r in S.repeated_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=str)
+    assert got == brute(rows, 50) and len(got) == 5
