@@ -7,7 +7,9 @@ of the word: (c(h w) + kappa * p(w)) / (c(h) + kappa).
 
 Counting: each batch of texts sends its counts to groups by hash, as packed arrays; a group's task adds them up, keeps
 the exact counts of words and builds its segment of the filter, sized by what the group holds. Segments are broadcast
-while all of them fit in `most_broadcast` bytes; beyond that, pairs are sent to the segments instead, with equal results.
+while they fit in a bound, one for pairs and one for words; beyond it, pairs of tokens are sent to the segments instead,
+with equal results: to that of the word, then to that of the word before, then to that of the pair. What the most
+frequent words read from the filter is known everywhere, so that only rarer ones are sent.
 Words are known by 64-bit hashes: for a vocabulary of v words the chance of any two being taken for one is v^2 / 2^65.
 """
 
@@ -148,8 +150,9 @@ def train(docs: DataFrame, text: str, groups: int, base: float, bits_each: float
     return written(sent.groupBy("group", "grams").applyInArrow(add, "group int, grams int, segment binary, hashes binary, counts binary, distinct long, total long"), "lm-model")
 
 
-def frequent(model: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes (sorted) and counts of the words whose count reaches a threshold that at most `most` words reach."""
+def frequent(model: DataFrame, most: int, groups: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes (sorted), counts and levels in the filter of the words whose count reaches a threshold that at most `most`
+    words reach, and of the start (whose count is 0: it is no token)."""
 
     def bins(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in found:
@@ -168,16 +171,19 @@ def frequent(model: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
 
     def pick(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in found:
-            for h, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for g, h, c, segment in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
                 counts = np.frombuffer(c, np.int64)
                 some = quantise(counts, 1.1) >= least
-                yield pa.RecordBatch.from_arrays([pa.array([np.frombuffer(h, np.uint64)[some].tobytes()], pa.binary()), pa.array([counts[some].tobytes()], pa.binary())], names=["hashes", "counts"])
-
-    rows = words.select("hashes", "counts").mapInArrow(pick, "hashes binary, counts binary").collect()
-    hashes = np.concatenate([np.zeros(0, np.uint64), *(np.frombuffer(r.hashes, np.uint64) for r in rows)])
-    counts = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(r.counts, np.int64) for r in rows)])
+                hashes, counts = np.frombuffer(h, np.uint64)[some], counts[some]
+                if g == int(START) % groups:
+                    hashes, counts = np.append(hashes, START), np.append(counts, 0)
+                level = Filter([(g, np.frombuffer(segment, np.uint64))], {g: len(segment) // 8}, groups).count(hashes)
+                yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in (hashes, counts, level.astype(np.uint8))], names=["hashes", "counts", "levels"])
+
+    rows = words.select("group", "hashes", "counts", "segment").mapInArrow(pick, "hashes binary, counts binary, levels binary").collect()
+    hashes, counts, level = (np.concatenate([np.zeros(0, t), *(np.frombuffer(r[i], t) for r in rows)]) for i, t in enumerate((np.uint64, np.int64, np.uint8)))
     order = np.argsort(hashes)
-    return hashes[order], counts[order]
+    return hashes[order], counts[order], level[order]
 
 
 def segments(model: DataFrame, grams: int, groups: int) -> Filter:
@@ -186,7 +192,7 @@ def segments(model: DataFrame, grams: int, groups: int) -> Filter:
     return Filter(((r.group, np.frombuffer(r.segment, np.uint64)) for r in rows.select("group", "segment").toLocalIterator()), sizes, groups)
 
 
-def score_texts(docs: DataFrame, id_col: str = "doc_id", text: str = "text", folds: int = 5, fold: int = 1, base: float = 1.5, kappa: float = 500.0, bits_each: float = 10.0, most_broadcast: int = 128 << 20, most_frequent: int = 1 << 20) -> DataFrame:
+def score_texts(docs: DataFrame, id_col: str = "doc_id", text: str = "text", folds: int = 5, fold: int = 1, base: float = 1.5, kappa: float = 500.0, bits_each: float = 10.0, most_broadcast: int = 128 << 20, most_words: int = 64 << 20, most_frequent: int = 1 << 20) -> DataFrame:
     """A row for each row of docs: id_col, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Tokens are lower-cased (A-Z) runs of characters other than the space and \\x09-\\x0D, then one end for each text.
@@ -196,7 +202,8 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text: str = "text", fol
     each; other columns are not read; an empty table gives no rows.
 
     Exact counts of at most most_frequent words, the most frequent, are broadcast; the other words of the texts are sent
-    to the groups that hold their counts. The filter of words (about 12 bits for each distinct one) is broadcast.
+    to the groups that hold their counts. The filter of pairs is broadcast up to most_broadcast bytes, that of words (about
+    12 bits for each distinct one) up to most_words.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -206,8 +213,9 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text: str = "text", fol
     sizes = {r.grams: r for r in model.groupBy("grams").agg(F.sum(F.octet_length("segment")).alias("bytes"), F.sum("distinct").alias("v"), F.sum("total").alias("n")).collect()}
     v, n_train = (sizes[1].v, sizes[1].n) if 1 in sizes else (0, 0)
     below = n_train + 0.5 * (v + 1)
-    routed = 2 in sizes and sizes[2].bytes > most_broadcast
-    sent = spark.sparkContext.broadcast((frequent(model, most_frequent), segments(model, 1, groups), None if routed else segments(model, 2, groups)))
+    words_routed = 1 in sizes and sizes[1].bytes > most_words
+    routed = words_routed or (2 in sizes and sizes[2].bytes > most_broadcast)
+    sent = spark.sparkContext.broadcast((frequent(model, most_frequent, groups), None if words_routed else segments(model, 1, groups), None if routed else segments(model, 2, groups)))
     value = levels(base)
     names = ["kind", "group", "uid", "id", "held_out", "n_tokens", "n_known", "base", "score", "hashes", "owners", "n", "more"]
     source = rows.select("id", "held_out", F.monotonically_increasing_id().alias("uid"), "text")
@@ -218,8 +226,17 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text: str = "text", fol
     def smooth(pairs: np.ndarray, context: np.ndarray, word: np.ndarray) -> np.ndarray:
         return np.log10((np.minimum(value[pairs], np.maximum(context, 1.0)) + kappa * word) / (context + kappa))
 
+    def asked(tokens: np.ndarray, before: np.ndarray, owner: np.ndarray, context: np.ndarray, word: np.ndarray) -> list[tuple]:
+        """Pairs of tokens on their way, packed by the group they go to: first (kind 3) that of the word, then (kind 4)
+        that of the word before, then (kind 2) that of the pair; steps whose answer is known are left out."""
+        first, second = np.isnan(word), ~np.isnan(word) & np.isnan(context)
+        last = ~first & ~second
+        out = [(3, *x) for x in packed(1, tokens[first], groups, owner[first], before[first], context[first])]
+        out += [(4, *x) for x in packed(1, before[second], groups, owner[second], tokens[second], word[second])]
+        return out + [(2, *x) for x in packed(2, pair(before[last], tokens[last]), groups, owner[last], context[last], word[last])]
+
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (common, common_n), words_in, pairs_in = sent.value
+        (common, common_n, common_level), words_in, pairs_in = sent.value
         for batch in found:
             for a, b, w in batches(batch.column(3), NOT_SPACE, 2 << 20):
                 tokens, before, doc = sequences(w)
@@ -228,10 +245,12 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text: str = "text", fol
                 distinct, which = np.unique(np.concatenate([tokens, [START]]), return_inverse=True)
                 start, which = which[-1], which[:-1]
                 place = np.minimum(np.searchsorted(common, distinct), max(0, len(common) - 1))
-                exact = np.where(common[place] == distinct, common_n[place], 0) if len(common) else np.zeros(len(distinct), np.int64)
+                here = common[place] == distinct if len(common) else np.zeros(len(distinct), bool)
+                exact = np.where(here, common_n[place], 0) if len(common) else np.zeros(len(distinct), np.int64)
                 known = exact[which] > 0
                 each = np.log10((exact + 0.5) / below)
-                guess = value[words_in.count(distinct)]  # counts as the filter has them
+                # counts as the filter has them; not a number where they must be asked for
+                guess = value[words_in.count(distinct)] if words_in is not None else np.where(here, value[common_level[place]], np.nan)
                 word = ((guess + 0.5) / below)[which]
                 context = np.concatenate([guess[which][:-1], [0.0]])
                 context = np.concatenate([[guess[start]], context[:-1]])
@@ -250,7 +269,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text: str = "text", fol
                 owner, word_of = doc[order[first]], tokens[order[first]]
                 lines = [(1, *x, None) for x in packed(1, word_of, groups, uid[owner], n.astype(np.uint32))]
                 if pairs_in is None:
-                    lines += [(2, g, k, h, o, c, word_) for g, k, h, o, c, word_ in packed(2, several, groups, uid[doc], context, word)]
+                    lines += asked(tokens, before, uid[doc], context, word)
                 if lines:
                     kind, group, _, hashes, owners, n, more = zip(*lines, strict=True)
                     none = lambda t: pa.nulls(len(lines), t)
@@ -275,10 +294,33 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text: str = "text", fol
             columns = np.zeros(len(texts), np.int64), np.zeros(len(texts)), np.bincount(who, added)
         return pa.table({"uid": pa.array(texts), "n_known": pa.array(columns[0]), "base": pa.array(columns[1]), "score": pa.array(columns[2])})
 
+    line = "kind int, group int, hashes binary, owners binary, n binary, more binary"
+
+    def look_up(left: pa.Table, right: pa.Table) -> pa.Table:
+        """Pairs of tokens at a group of words: what its segment tells is added, and they are packed for the next one."""
+        hashes, owners, other = (_arrays(left[c], t) for c, t in (("hashes", np.uint64), ("owners", np.int64), ("n", np.uint64)))
+        lines: list[tuple] = []
+        if len(hashes):
+            g, segment, known = left["group"][0].as_py(), _arrays(right["segment"], np.uint64), _arrays(left["more"], np.float64)
+            guess = value[Filter([(g, segment)], {g: len(segment)}, groups).count(hashes)]
+            if left["kind"][0].as_py() == 3:
+                lines = asked(hashes, other, owners, known, (guess + 0.5) / below)
+            else:
+                lines = asked(other, hashes, owners, guess, known)
+        kind, group, _, *more = zip(*lines, strict=True) if lines else ((),) * 7
+        names = ["hashes", "owners", "n", "more"]
+        return pa.table({"kind": pa.array(kind, pa.int32()), "group": pa.array(group, pa.int32()), **{c: pa.array(x, pa.binary()) for c, x in zip(names, more, strict=True)}})
+
     passed = written(source.mapInArrow(run, schema), "lm-passed")
     sent.destroy()  # nothing after the written table needs it
     one = passed.filter("kind = 0").select("uid", "id", "held_out", "n_tokens", "n_known", "base", "score")
-    sums = passed.filter("kind > 0").select("kind", "group", "hashes", "owners", "n", "more").groupBy("kind", "group").cogroup(model.select(F.col("grams").alias("kind"), "group", "segment", "hashes", "counts").groupBy("kind", "group")).applyInArrow(resolve, "uid long, n_known long, base double, score double")
+    lines = passed.filter("kind > 0").select("kind", "group", "hashes", "owners", "n", "more")
+    if words_routed:
+        by_word = model.filter("grams = 1").select("group", "segment").groupBy("group")
+        by_line = written(lines.filter("kind = 3").groupBy("group").cogroup(by_word).applyInArrow(look_up, line), "lm-words")
+        by_context = lines.filter("kind = 4").unionByName(by_line.filter("kind = 4")).groupBy("group").cogroup(by_word).applyInArrow(look_up, line)
+        lines = lines.filter("kind < 3").unionByName(by_line.filter("kind = 2")).unionByName(by_context)
+    sums = lines.groupBy("kind", "group").cogroup(model.select(F.col("grams").alias("kind"), "group", "segment", "hashes", "counts").groupBy("kind", "group")).applyInArrow(resolve, "uid long, n_known long, base double, score double")
     more = sums.selectExpr("uid", "cast(null as {}) as id".format(rows.schema["id"].dataType.simpleString()), "cast(null as boolean) as held_out", "cast(null as bigint) as n_tokens", "n_known", "base", "score")
     total = one.unionByName(more).groupBy("uid").agg(F.max("id").alias(id_col), F.bool_or("held_out").alias("held_out"), F.max("n_tokens").alias("n_tokens"), F.sum("n_known").alias("n_known"), F.lit(int(n_train)).cast("long").alias("train_tokens"), F.sum("base").alias("base_score"), F.sum("score").alias("score"))
     return total.drop("uid")

@@ -28,7 +28,7 @@ def corpus():
     return [*rows, (1000, None), (1001, ""), (1002, "new word never seen"), rows[0], rows[0], (None, "a b"), (1003, "long " * 30000)]
 
 
-@pytest.mark.parametrize("options", [{}, {"most_broadcast": 0, "most_frequent": 40}, {"most_frequent": 0}])
+@pytest.mark.parametrize("options", [{}, {"most_broadcast": 0, "most_frequent": 40}, {"most_frequent": 0}, {"most_words": 0, "most_frequent": 60}, {"most_words": 0, "most_frequent": 0}])
 def test_base_is_exact_and_every_way_agrees(spark, options):
     rows = corpus()
     docs = spark.createDataFrame([(i, t, 0.5) for i, t in rows], "doc_id long, text string, score double")
