@@ -19,10 +19,10 @@ from .sources import files, ingest, osm
 
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(prog="terravane")
-    p.add_argument("stage", choices=["estimate", "review", "extract", "discover", "enrich", "surround", "score", "map", "dashboard", "qa", "all"])
+    p.add_argument("stage", choices=["estimate", "review", "extract", "osm-extract", "discover", "enrich", "surround", "score", "map", "dashboard", "qa", "all"])
     p.add_argument("--config", default="config.yaml")
     p.add_argument("--data", default="data")
-    p.add_argument("--xml", help="map extract for the extract stage")
+    p.add_argument("--xml", "--pbf", dest="extract", help="map extract (XML, or binary if its name ends in .pbf) for the extract stage")
     p.add_argument("--sites", type=int, default=400, help="number of sites that estimate assumes")
     args = p.parse_args(argv)
     load_env()
@@ -56,10 +56,10 @@ def run(stage: str, cfg: dict, data: str, args) -> None:
         write(stages.enriched(read("raw_details", "the detail search")), "details")
     elif stage == "review":
         print(stages.review_text(read("sites", "discover")))
-    elif stage == "extract":
-        if not args.xml or not Path(args.xml).exists():
-            raise files.MissingStage("extract needs --xml FILE")
-        rows = osm.extract(args.xml, cfg["area"]["bbox"], point_features(sc), sc.get("osm_area") or {}, sc.get("osm_campus") or {})
+    elif stage in ("extract", "osm-extract"):
+        if not args.extract or not Path(args.extract).exists():
+            raise files.MissingStage("extract needs --pbf FILE or --xml FILE")
+        rows = osm.extract(args.extract, cfg["area"]["bbox"], point_features(sc), sc.get("osm_area") or {}, sc.get("osm_campus") or {})
         osm.layers(spark, rows).write.mode("overwrite").partitionBy("layer").parquet(f"{data}/layers")
     elif stage == "surround":
         layers = spark.read.parquet(f"{data}/layers") if files.exists(spark, f"{data}/layers") else None

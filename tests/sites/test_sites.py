@@ -235,6 +235,68 @@ def test_extract(spark):
     assert len(osm.rings_of([{"type": "way", "geometry": [{"lat": y, "lon": x} for x, y in ((0, 0), (1, 0), (1, 1), (0, 0))]}])) == 1
 
 
+def _varint(x):
+    x &= (1 << 64) - 1
+    out = b""
+    while x > 127:
+        out, x = out + bytes([x & 127 | 128]), x >> 7
+    return out + bytes([x])
+
+
+def _zig(x):
+    return x << 1 if x >= 0 else (-x << 1) - 1
+
+
+def _field(number, value):
+    return _varint(number << 3) + _varint(value) if isinstance(value, int) else _varint(number << 3 | 2) + _varint(len(value)) + value
+
+
+def _delta(xs):
+    return b"".join(_varint(_zig(x - y)) for x, y in zip(xs, [0, *xs[:-1]], strict=True))
+
+
+def _binary_extract(xml, pack):
+    """The elements of an XML extract in the binary format: the first node alone, the others dense."""
+    found = list(osm.elements(io.BytesIO(xml.encode())))
+    words = sorted({"", *(w for _, _, t, _ in found for kv in t.items() for w in kv), *(r for k, _, _, c in found if k == "relation" for _, _, r in c)})
+    at = {w: i for i, w in enumerate(words)}
+    keys = lambda t: _field(2, b"".join(_varint(at[k]) for k in t)) + _field(3, b"".join(_varint(at[v]) for v in t.values()))
+    fixed = lambda v, offset: round((v * 1e9 - offset) / 1000)
+    nodes = [(i, t, fixed(y, -5000), fixed(x, 7000)) for k, i, t, (x, y) in (f for f in found if f[0] == "node")]
+    i, t, y, x = nodes[0]
+    alone = _field(1, _field(1, _zig(i)) + keys(t) + _field(8, _zig(y)) + _field(9, _zig(x)))
+    some = nodes[1:]
+    pairs = b"".join(b"".join(_varint(at[k]) + _varint(at[v]) for k, v in t.items()) + b"\0" for _, t, _, _ in some)
+    dense = _field(2, _field(1, _delta([n[0] for n in some])) + _field(8, _delta([n[2] for n in some])) + _field(9, _delta([n[3] for n in some])) + _field(10, pairs))
+    ways = b"".join(_field(3, _field(1, i) + keys(t) + _field(8, _delta(c))) for k, i, t, c in found if k == "way")
+    kinds = {"node": 0, "way": 1, "relation": 2}
+    relations = b"".join(_field(4, _field(1, i) + keys(t) + _field(8, b"".join(_varint(at[r]) for _, _, r in c)) + _field(9, _delta([m for _, m, _ in c])) + _field(10, b"".join(_varint(kinds[m]) for m, _, _ in c))) for k, i, t, c in found if k == "relation")
+    block = _field(1, b"".join(_field(1, w.encode()) for w in words)) + b"".join(_field(2, g) for g in (alone, dense, ways, relations)) + _field(17, 1000) + _field(19, -5000) + _field(20, 7000)
+    out = b""
+    for name, body in ((b"OSMHeader", b""), (b"OSMData", block)):
+        blob = pack(body)
+        header = _field(1, name) + _field(3, len(blob))
+        out += len(header).to_bytes(4, "big") + header + blob
+    return out
+
+
+def test_binary_extract_equals_xml(tmp_path):
+    import zlib
+
+    rules = ({"south": 12.9, "north": 13.1, "west": 100.9, "east": 101.1}, {"school": ['nwr["amenity"="school"]']}, {"ind": ['way["landuse"="industrial"]']}, {"campus": ['nwr["amenity"="university"]']})
+    want = list(osm.extract(io.BytesIO(XML.encode()), *rules))
+    whole = list(osm.elements(io.BytesIO(XML.encode())))
+    for i, pack in enumerate((lambda b: _field(1, b), lambda b: _field(2, len(b)) + _field(3, zlib.compress(b)))):
+        path = tmp_path / f"x{i}.osm.pbf"
+        path.write_bytes(_binary_extract(XML, pack))
+        assert list(osm.extract(path, *rules)) == want and len(want) >= 3
+        for a, b in zip(osm.elements(path), whole, strict=True):
+            assert a[:3] == b[:3] and (a[3] == b[3] if a[0] != "node" else a[3] == pytest.approx(b[3], abs=1e-6))
+    (tmp_path / "cut.pbf").write_bytes(path.read_bytes()[:-5])
+    with pytest.raises(ValueError):
+        list(osm.elements(tmp_path / "cut.pbf"))
+
+
 class Answers:
     def __init__(self, *answers):
         self.answers, self.asked = list(answers), []
