@@ -1,29 +1,39 @@
 """python -m terravane STAGE --config FILE --data DIR: estimate, review, extract, surround, score, map, dashboard, qa, all.
 
-Stages read and write Parquet tables in DIR; hits and details come from the ingest edge (terravane.sources.ingest).
+Stages read and write Parquet tables in DIR. Hits, details and counts are asked of the metered services where
+GOOGLE_MAPS_API_KEY is set (terravane.sources.ingest); without it the tables in DIR are taken.
 """
 
 from __future__ import annotations
 
 import argparse
+import json
+import os
 from pathlib import Path
 
 from pyspark.sql import functions as F
 
+from .functions.geo import tiles
 from .operators import metering
+from .operators.discover import HIT
 from .operators.report import quality_report
 from .plans import stages
 from .plans.config import load_config, load_env, pillars_of, point_features
 from .sources import files, ingest, osm
 
 
+_TIME = "STRUCT<day: INT, hour: INT, minute: INT>"
+DETAILS = f"place_id STRING, rating DOUBLE, reviews BIGINT, business_status_now STRING, hours_text STRING, fetched STRING, periods ARRAY<STRUCT<open: {_TIME}, close: {_TIME}>>"
+
+
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(prog="terravane")
     p.add_argument("stage", choices=["estimate", "review", "extract", "osm-extract", "discover", "enrich", "surround", "score", "map", "dashboard", "qa", "all"])
     p.add_argument("--config", default="config.yaml")
     p.add_argument("--data", default="data")
     p.add_argument("--xml", "--pbf", dest="extract", help="map extract (XML, or binary if its name ends in .pbf) for the extract stage")
-    p.add_argument("--sites", type=int, default=400, help="number of sites that estimate assumes")
+    p.add_argument("--sites", "--markets", dest="sites", type=int, default=400, help="number of sites that estimate assumes")
+    p.add_argument("--max-calls", type=int, default=4900, help="calls of metered services in this run")
     args = p.parse_args(argv)
     load_env()
     cfg, data = load_config(args.config), args.data.rstrip("/")
@@ -31,15 +41,49 @@ def main(argv: list[str] | None = None) -> None:
         run(stage, cfg, data, args)
 
 
+def service(cfg: dict, data: str, most_calls: int) -> ingest.Places | None:
+    """The metered services, where GOOGLE_MAPS_API_KEY is set; without it stages take the tables that are there."""
+    key = os.environ.get("GOOGLE_MAPS_API_KEY")
+    if not key:
+        return None
+    import requests
+
+    budget = cfg.get("budget") or {}
+    ledger = ingest.Ledger(f"{data}/cache/usage.json", budget.get("monthly_caps"), budget.get("already_used"))
+    return ingest.Places(requests.Session(), ingest.Cache(f"{data}/cache"), key, most_calls, ledger=ledger)
+
+
+def fetch(stage: str, cfg: dict, data: str, client: ingest.Places, spark) -> None:
+    """Asks the services for what a stage reads, and writes it as that stage's table."""
+    table = lambda rows, schema: spark.createDataFrame([(json.dumps(r),) for r in rows], "j STRING").select(F.from_json("j", schema).alias("r")).select("r.*")
+    try:
+        if stage == "discover":
+            b = cfg["area"]["bbox"]
+            boxes = [(t.south, t.west, t.north, t.east) for t in tiles(spark, b["south"], b["north"], b["west"], b["east"], cfg["area"]["tile_deg"]).collect()]
+            rows = ingest.search_rows(boxes, cfg["discover"]["keywords"], client, cfg["area"].get("max_subdivide_depth", 2))
+            table(rows, HIT).write.mode("overwrite").parquet(f"{data}/hits")
+            return
+        kept = stages.discover.kept_sites(files.read_stage(spark, f"{data}/sites", "", "discover")).select("place_id", "lat", "lng").toLocalIterator()
+        if stage == "enrich":
+            table(ingest.detail_rows(kept, client), DETAILS).write.mode("overwrite").parquet(f"{data}/raw_details")
+        elif stage == "surround" and (sc := cfg["surroundings"])["source"] == "google_aggregate":
+            rows = ingest.count_rows(kept, client, ingest.specs(sc.get("google_types") or {}, sc["radii_m"]))
+            spark.createDataFrame(rows, "place_id STRING, col STRING, value DOUBLE").write.mode("overwrite").parquet(f"{data}/counted")
+    finally:
+        for name, calls, cached in client.usage():
+            print(f"{name}: {calls} calls, {cached} from the cache")
+
+
 def run(stage: str, cfg: dict, data: str, args) -> None:
     spark = stages.session()
     read = lambda name, made_by: files.read_stage(spark, f"{data}/{name}", "", made_by)
     write = lambda df, name: df.write.mode("overwrite").parquet(f"{data}/{name}")
     sc = cfg.get("surroundings") or {}
     review = files.read_review(spark, f"{data}/keep.csv")
+    client = service(cfg, data, args.max_calls) if stage in ("discover", "enrich", "surround") else None
+    if client is not None:
+        fetch(stage, cfg, data, client, spark)
     if stage == "estimate":
-        from .functions.geo import tiles
-
         b = cfg["area"]["bbox"]
         n = tiles(spark, b["south"], b["north"], b["west"], b["east"], cfg["area"]["tile_deg"]).count()
         radii = {k: r for k, (_, r) in ingest.specs(sc.get("google_types") or {}, sc["radii_m"]).items()}

@@ -319,10 +319,10 @@ def test_ingest(tmp_path):
     assert [v for *_, v in ingest.count_rows(site, bad, {"f": (["t"], [500, 900])}, log=lambda _: None)] == [None] * 6 and len(bad.session.asked) == 1
     with pytest.raises(ingest.ServiceError):
         ingest.count_rows(site, ingest.Places(Answers((403, "x")), ingest.Cache(tmp_path / "e"), "k", **quiet), {"f": (["t"], [500])}, log=lambda _: None)
-    ledger = ingest.Ledger(tmp_path / "l.json", {"place_details": 1})
+    ledger = ingest.Ledger(tmp_path / "l.json", {"place_details_enterprise": 1})
     some = ingest.Places(Answers((200, '{"rating": 4.5, "regularOpeningHours": {"weekdayDescriptions": ["a", "b"]}}')), ingest.Cache(tmp_path / "f"), "k", ledger=ledger, **quiet)
     rows = ingest.detail_rows(site, some, log=lambda _: None)
-    assert len(rows) == 1 and rows[0]["reviews"] == 0 and rows[0]["hours_text"] == "a | b" and ledger.remaining("place_details") == 0 and len(ledger.rows()) == 1
+    assert len(rows) == 1 and rows[0]["reviews"] == 0 and rows[0]["hours_text"] == "a | b" and ledger.remaining("place_details_enterprise") == 0 and len(ledger.rows()) == 1
     guard, calls = ingest.Breaker(), []
     assert [guard.attempt(lambda: calls.append(1) or 1 / 0) for _ in range(20)] == [None] * 20 and len(calls) == 5
     assert ingest.specs({"a": ["x"], "b": {"types": ["y"], "radii_m": [9]}}, [5]) == {"a": (["x"], [5]), "b": (["y"], [9])}
@@ -377,6 +377,45 @@ def test_stages(spark, tmp_path):
     assert os.environ["A_KEY"] == "x y" and os.environ["B_KEY"] == "1"
 
 
+def test_stages_from_the_services(spark, tmp_path, monkeypatch):
+    """Search, details and counts through a client; full boxes are searched in quarters."""
+    import terravane.__main__ as cli
+
+    asked = []
+
+    class Client:
+        def search_tile(self, text, rectangle):
+            box = rectangle["rectangle"]
+            asked.append(box["high"]["latitude"] - box["low"]["latitude"])
+            place = {"id": f"p{len(asked)}", "displayName": {"text": f"Market {len(asked)}"}, "location": {"latitude": 13, "longitude": 101.0 + len(asked)}, "formattedAddress": "Chonburi", "primaryType": "market", "more": 1}
+            return [place], len(asked) == 1
+
+        fetched = None
+
+        def details(self, place_id):
+            return {"rating": 4, "regularOpeningHours": {"periods": [{"open": {"day": 1, "hour": 6, "minute": 0}, "close": {"day": 1, "hour": 11, "minute": 0}}]}}
+
+        def count(self, lat, lng, radius, types):
+            return radius
+
+        def usage(self):
+            return [("text_search_pro", len(asked), 0)]
+
+    monkeypatch.setattr(cli, "service", lambda *a: Client())
+    monkeypatch.setattr(cli.stages, "session", lambda: spark)
+    cfg = {
+        "area": {"bbox": {"south": 13.0, "north": 13.1, "west": 101.0, "east": 101.1}, "tile_deg": 0.1, "max_subdivide_depth": 1, "address_must_contain": []}, "discover": {"keywords": ["market"], "market_types": ["market"]},
+        "surroundings": {"source": "google_aggregate", "radii_m": [500], "google_types": {"school": ["school"]}},
+    }
+    args = type("Args", (), {"max_calls": 10, "extract": None, "sites": 1})
+    for stage in ("discover", "enrich", "surround"):
+        cli.run(stage, cfg, str(tmp_path), args)
+    assert [round(x, 3) for x in asked] == [0.1, 0.05, 0.05, 0.05, 0.05]
+    read = lambda name: spark.read.parquet(f"{tmp_path}/{name}")
+    assert read("sites").count() == 5 and {r.lat for r in read("sites").collect()} == {13.0}
+    assert [r.hours_known for r in read("details").collect()] == [1] * 5 and [r.school_500 for r in read("surroundings").collect()] == [500.0] * 5
+
+
 def test_components(spark):
     got = {r.node: r.root for r in components.components(spark.createDataFrame([(5, 4), (4, 3), (9, 8), (1, 1)], "a long, b long")).collect()}
     assert got == {3: 3, 4: 3, 5: 3, 8: 8, 9: 8}
