@@ -34,7 +34,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that hold a benchmark passage."""
-    found = decontaminate.find_contamination(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
+    found = decontaminate.find_contamination(docs, table(spark, sf_dir, "benchmark"), every_span=True).select("doc_id").distinct()
     return docs.select(*COLUMNS).join(found, "doc_id", "left_anti").select(*COLUMNS)
 
 

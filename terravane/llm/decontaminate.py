@@ -9,6 +9,7 @@ aligned span and verified on whole words. Larger benchmarks are taken in several
 from __future__ import annotations
 
 from collections.abc import Iterator
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +26,28 @@ LEAST_WORDS = 5
 FOUND = "doc_start int, item_start int, n_words int, n_match int, item_words int, similarity double"
 
 
+def qualifies(same: np.ndarray, need: int, similar: float) -> bool:
+    """Whether a span's words agree in `need` places and in `similar` of all."""
+    part, matched = Fraction(str(similar)), int(same.sum())
+    return matched >= need and matched * part.denominator >= part.numerator * len(same)
+
+
+def most_matches(same: np.ndarray, similar: float) -> tuple[int, int]:
+    """(begin, end) of a shortest span with the most matches among all that agree in `similar` of their places or more."""
+    part = Fraction(str(similar))
+    sums = np.concatenate([[0], np.cumsum(np.where(same, part.denominator, 0) - part.numerator)])
+    matches = np.concatenate([[0], np.cumsum(same)])
+    ends = np.arange(len(sums))
+    # the first place whose sum is not above the end's: no later one has more matches
+    begins = np.searchsorted(-np.minimum.accumulate(sums), -sums, "left")
+    got = matches - matches[begins]
+    best = np.flatnonzero(got == got.max())
+    at = best[np.argmin((ends - begins)[best])]
+    begin, end = int(begins[at]), int(ends[at])
+    inside = np.flatnonzero(same[begin:end])  # substituted words at its ends only lengthen it
+    return (begin + int(inside[0]), begin + int(inside[-1]) + 1) if len(inside) else (begin, begin)
+
+
 class Index:
     """Seeds of some benchmark items."""
 
@@ -69,7 +92,7 @@ class Index:
         start = np.unique(np.column_stack([d - back, p - back]), axis=0) if len(d) else np.zeros((0, 2), np.int64)
         return start[:, 0], start[:, 1]
 
-    def overlaps(self, words: Words, least: int, similar: float, cost: float) -> list[tuple]:
+    def overlaps(self, words: Words, least: int, similar: float, cost: float, every_span: bool = False) -> list[tuple]:
         """(document, item, doc_start, item_start, n_words, n_match): the best span of each document and item."""
         best: dict[tuple[int, int], tuple] = {}
         for d, p in zip(*self.hits(words), strict=True):
@@ -81,22 +104,28 @@ class Index:
             low = np.minimum.accumulate(sums)
             end = int(np.argmax(sums - low))
             begin = int(np.flatnonzero(sums[: end + 1] == low[end])[-1])
-            matched, length = int(same[begin:end].sum()), end - begin
             whole = int(self.at[item + 1] - self.at[item])
-            if matched >= min(least, int(np.ceil(similar * whole))) and matched >= similar * length:
+            need = min(least, int(np.ceil(similar * whole)))
+            if every_span and not qualifies(same[begin:end], need, similar):  # it may be trimmed too far: any other span that counts
+                begin, end = most_matches(same, similar)
+            matched, length = int(same[begin:end].sum()), end - begin
+            if qualifies(same[begin:end], need, similar):
                 found = (matched, -length, -int(d - words.at[doc] + begin), -int(p - self.at[item] + begin))
                 best[doc, item] = max(best.get((doc, item), found), found)
         return [(doc, item, -a, -b, -length, m) for (doc, item), (m, length, a, b) in best.items()]
 
 
-def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: str = "text", item_col: str = "item_id", item_text: str = "text", least: int = 10, similar: float = 0.8, cost: float = 3.0, block_words: int = 1_000_000) -> DataFrame:
+def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: str = "text", item_col: str = "item_id", item_text: str = "text", least: int = 10, similar: float = 0.8, cost: float = 3.0, block_words: int = 1_000_000, every_span: bool = False) -> DataFrame:
     """A row for each row of docs and item that overlap: id_col, item_col, doc_start, item_start, n_words, n_match,
     item_words, similarity (matches by words of the span).
 
     An overlap is a span of one diagonal whose words agree in `similar` of their places or more, with `least` words
-    that agree (fewer for items too short to have them: `similar` of all their words). The best span of each pair is
-    given. Items of under five words are not searched for. Null texts count as empty; rows of docs that repeat give
-    their overlaps each; items that repeat too. Other columns are not read. An empty benchmark or table gives no rows.
+    that agree (fewer for items too short to have them: `similar` of all their words). Of each diagonal the span with
+    the most matches less `cost` for each substituted word is tested and, with `every_span`, where that one is no
+    overlap, all other spans; without it, overlaps with substitutions near their ends are lost. The best of each pair is
+    given, by matches. Items of under five words are not searched for. Null texts count as empty; rows of docs that
+    repeat give their overlaps each; items that repeat too. Other columns are not read. An empty benchmark or table
+    gives no rows.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -114,14 +143,14 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
         rows = items.filter(F.pmod(F.xxhash64(item_col, "__item"), F.lit(blocks)) == i).collect()
         if rows or not parts:
             sent = spark.sparkContext.broadcast(Index([r[0] for r in rows], [r[1] for r in rows]))
-            parts.append(source.mapInArrow(_searcher(sent, schema.names, schema[item_col].dataType, least, similar, cost), schema))
+            parts.append(source.mapInArrow(_searcher(sent, schema.names, schema[item_col].dataType, least, similar, cost, every_span), schema))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
     return out
 
 
-def _searcher(sent, names, item_type, least, similar, cost):
+def _searcher(sent, names, item_type, least, similar, cost, every_span):
     from pyspark.sql.pandas.types import to_arrow_type
 
     kind = to_arrow_type(item_type)
@@ -130,7 +159,7 @@ def _searcher(sent, names, item_type, least, similar, cost):
         index = sent.value
         for batch in found:
             for a, b, w in batches(batch.column(1)):
-                got = index.overlaps(w, least, similar, cost)
+                got = index.overlaps(w, least, similar, cost, every_span)
                 if got:
                     doc, item, start, item_start, n, m = (np.array(x) for x in zip(*got, strict=True))
                     numbers = [pa.array(x.astype(np.int32)) for x in (start, item_start, n, m, index.at[item + 1] - index.at[item])]

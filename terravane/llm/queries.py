@@ -78,7 +78,7 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontaminate.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), every_span=True)
 
 
 #: Target weights among siblings; others have 1. The budget is this share of all tokens.

@@ -58,3 +58,36 @@ def test_odd_input(spark):
     got = sorted((r.doc_id or -1, r.item_id or -1, r.doc_start) for r in find_contamination(docs, bench).collect())
     assert got == sorted((d, i, s) for d, s in ((3, 0), (3, 0), (-1, 0), (5, 30000)) for i in (1, -1))
     assert find_contamination(docs, bench.limit(0)).count() == 0 and find_contamination(docs.limit(0), bench).count() == 0
+
+
+def some_span(doc, item, least, similar):
+    """Whether any span of any diagonal counts, by the documented rule alone."""
+    need = min(least, -(-similar * len(item) // 1))
+    for diagonal in range(-len(item) + 1, len(doc)):
+        a, b = max(0, diagonal), max(0, -diagonal)
+        same = [doc[a + i] == item[b + i] for i in range(min(len(doc) - a, len(item) - b))]
+        for begin in range(len(same)):
+            m = 0
+            for end in range(begin + 1, len(same) + 1):
+                m += same[end - 1]
+                if m >= need and m >= similar * (end - begin):
+                    return True
+    return False
+
+
+def test_substitutions_near_the_ends(spark):
+    rng = random.Random(8)
+    items, docs = [], []
+    for i, (n, changed) in enumerate([(15, (3, 11)), (20, (3, 8, 13, 17)), (16, (2, 13)), (20, (2, 3, 12, 17)), (12, (2, 9)), (15, (1, 3, 7, 11, 13))]):
+        item = [f"w{i}x{k}" for k in range(n)]
+        items.append((i, item))
+        around = prose(rng, 12)
+        docs.append((i, around + [w if k not in changed else "changed" for k, w in enumerate(item)] + around))
+    frame = spark.createDataFrame([(i, " ".join(w)) for i, w in docs], "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")
+    rows = find_contamination(frame, bench, every_span=True).collect()
+    want = {(d, i) for d, w in docs for i, x in items if some_span(w, x, 10, 0.8)}
+    assert {(r.doc_id, r.item_id) for r in rows} == want and want == {(i, i) for i in range(5)}
+    for r in rows:
+        span = zip(docs[r.doc_id][1][r.doc_start : r.doc_start + r.n_words], items[r.item_id][1][r.item_start : r.item_start + r.n_words], strict=True)
+        assert sum(a == b for a, b in span) == r.n_match >= max(10, 0.8 * r.n_words)
