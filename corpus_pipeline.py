@@ -22,14 +22,17 @@ def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group of near duplicates (of rows that repeat, one)."""
-    groups = ngram_jaccard.similar_groups(docs)
-    keep = groups.filter(F.col("doc_id") == F.col("class_id")).select("doc_id").distinct()
-    same = docs.groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    kept = docs.select(*COLUMNS).join(keep, "doc_id", "left_semi")
-    if same.isEmpty():
+    """Keeps the document with the smallest id of each group of near duplicates (null ids count as largest; of one id, the
+    least text key; of rows that repeat, one). Groups are of texts, so null ids and ids of several texts lose no group."""
+    keyed = docs.select(*COLUMNS, ngram_jaccard.text_key("text").alias("key"))
+    groups = ngram_jaccard.similar_groups(keyed, id_col="key").distinct()
+    rows = written(keyed.select("doc_id", "key").join(groups.select("key", "class_id"), "key"), "group-rows")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")).alias("first")
+    keep = rows.groupBy("class_id").agg(first).select(F.col("first.doc_id").alias("keep_id"), F.col("first.key").alias("keep_key"))
+    kept = keyed.join(keep, (F.col("key") == F.col("keep_key")) & F.col("doc_id").eqNullSafe(F.col("keep_id")), "left_semi")
+    if rows.groupBy("doc_id", "key").count().filter("count > 1").isEmpty():
         return kept.select(*COLUMNS)
-    return kept.dropDuplicates(["doc_id"]).select(*COLUMNS)
+    return kept.dropDuplicates(["doc_id", "key"]).select(*COLUMNS)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -33,3 +33,12 @@ def test_stages_take_effect(spark, tmp_path):
     assert all(masked[i].text == free[i].text for i in free if i != 403)
     out = P.run(spark, str(tmp_path)).collect()
     assert {r.doc_id for r in out} <= set(masked) and len(out) > 100
+
+
+def test_one_of_each_group_keeps_every_group(spark, tmp_path):
+    text = lambda k: " ".join(f"w{k}x{i}" for i in range(40))
+    near = text(3) + " more"
+    rows = [(None, text(0)), (None, text(1)), (None, text(1)), (5, text(2)), (5, text(3)), (3, near), (None, near), (7, text(4)), (7, text(4)), (8, text(4)), (9, None), (None, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted(((r.doc_id, r.text) for r in P.one_of_each_group(spark, docs, str(tmp_path)).collect()), key=repr)
+    assert got == sorted([(None, text(0)), (None, text(1)), (5, text(2)), (3, near), (7, text(4)), (9, None)], key=repr)
