@@ -36,9 +36,10 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents that hold a benchmark passage."""
-    found = decontaminate.find_contamination(docs, table(spark, sf_dir, "benchmark"), every_span=True).select("doc_id").distinct()
-    return docs.select(*COLUMNS).join(found, "doc_id", "left_anti").select(*COLUMNS)
+    """Drops the documents that hold a benchmark passage: rows are told by their texts, whatever their ids."""
+    keyed = docs.select(*COLUMNS, ngram_jaccard.text_key("text").alias("key"))
+    found = decontaminate.find_contamination(keyed, table(spark, sf_dir, "benchmark"), id_col="key", every_span=True).select("key").distinct()
+    return keyed.join(found, "key", "left_anti").select(*COLUMNS)
 
 
 def secrets_masked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

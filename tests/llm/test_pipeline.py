@@ -42,3 +42,12 @@ def test_one_of_each_group_keeps_every_group(spark, tmp_path):
     docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
     got = sorted(((r.doc_id, r.text) for r in P.one_of_each_group(spark, docs, str(tmp_path)).collect()), key=repr)
     assert got == sorted([(None, text(0)), (None, text(1)), (5, text(2)), (3, near), (7, text(4)), (9, None)], key=repr)
+
+
+def test_decontaminated_decides_by_row(spark, tmp_path):
+    passage = " ".join(f"item{i}" for i in range(30))
+    spark.createDataFrame([(1, passage)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(None, "so " + passage), (None, "a clean text"), (4, "see " + passage), (4, "another clean text"), (5, passage), (5, passage), (6, None), (None, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted(((r.doc_id, r.text) for r in P.decontaminated(spark, docs, str(tmp_path)).collect()), key=repr)
+    assert got == sorted([(None, "a clean text"), (4, "another clean text"), (6, None), (None, None)], key=repr)
