@@ -79,12 +79,43 @@ def doc_grams(docs: DataFrame, id_col: str, text: str, k: int = K) -> DataFrame:
     return source.mapInArrow(run, schema)
 
 
+def copies_of(hits: list[tuple[int, int]], n: int, cover: float, most: int) -> list[tuple[int, int, int]]:
+    """(start, length, covered) of spans that do not overlap, of `most` words at most, whose hits (document's word,
+    template's word) cover at least `cover` of the template's n words; each is carried on while its hits go on."""
+    hits, out = sorted(hits), []
+    counts, left, r = [0] * n, 0, 0
+
+    def add(j: int, by: int) -> None:
+        for k in range(j, j + K):
+            counts[k] += by
+
+    while r < len(hits):
+        p, j = hits[r]
+        add(j, 1)
+        while hits[left][0] + most < p + K:
+            add(hits[left][1], -1)
+            left += 1
+        r += 1
+        if sum(map(bool, counts)) / n < cover:
+            continue
+        start, last = hits[left][0], max(x[1] for x in hits[left:r])
+        while r < len(hits) and hits[r][1] > last and hits[r][0] + K <= start + most:
+            p, last = hits[r]
+            add(last, 1)
+            r += 1
+        out.append((start, p + K - start, sum(map(bool, counts))))
+        while r < len(hits) and hits[r][0] < p + K:
+            r += 1
+        counts, left = [0] * n, r
+    return out
+
+
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text: str = "text", phrases: list[tuple[str, str]] = PHRASES, notices: list[tuple[str, str]] = NOTICES, cover: float = 0.8, gap: int = 4, most_broadcast: int = 1_000_000) -> DataFrame:
     """One row for each row of docs: id_col, n_words, n_base, first_word, last_word, base_labels, labels, score, and
     matches: array<struct<label,start,length,covered>> of the verified spans in words.
 
     phrases: all places where their words stand consecutively count as base. notices: a span of merged diagonals counts
-    when it covers at least `cover` of the notice. score is the largest covered share of any template (0 without hits).
+    when it covers at least `cover` of the notice; of copies that follow each other, each is a match. score is the largest covered share of any template (0 without hits).
     A null or empty text has 0 words and no labels (empty strings); rows that repeat, and rows of one id, each keep
     their own row; other columns of docs are not read. The templates are broadcast up to most_broadcast k-grams, beyond
     that Spark chooses the join.
@@ -101,16 +132,24 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text: str = "text", p
         hits.groupBy("uid", "template", (F.col("pos") - F.col("j")).alias("diagonal"))
         .agg(F.max("__id").alias("__id"), F.max("n_words").alias("n_words"), F.max("label").alias("label"), F.max("is_phrase").alias("is_phrase"), F.max("n").alias("n"), F.collect_set("j").alias("js"))
     )
+    split = F.udf(lambda hits, n: None if hits is None else copies_of(hits, n, cover, n + 2 * gap), "array<struct<start:int,length:int,covered:int>>")
     by = W.partitionBy("uid", "template").orderBy("diagonal")
     opens = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(by) > F.when(F.col("is_phrase"), 0).otherwise(gap), F.lit(True))
     islands = (
         diagonals.withColumn("island", F.sum(opens.cast("int")).over(by))
         .groupBy("uid", "template", "island")
-        .agg(*(F.max(c).alias(c) for c in ("__id", "n_words", "label", "is_phrase", "n")), F.min(F.col("diagonal") + F.array_min("js")).alias("start"), F.max(F.col("diagonal") + F.array_max("js") + K).alias("end"), F.flatten(F.collect_list("js")).alias("js"))
+        .agg(*(F.max(c).alias(c) for c in ("__id", "n_words", "label", "is_phrase", "n")), F.min(F.col("diagonal") + F.array_min("js")).alias("start"), F.max(F.col("diagonal") + F.array_max("js") + K).alias("end"), F.flatten(F.collect_list(F.transform("js", lambda j: F.struct((F.col("diagonal") + j).alias("p"), j.alias("j"))))).alias("hits"))
+        .withColumn("js", F.col("hits.j"))
         .withColumn("covered", F.size(F.array_distinct(F.flatten(F.transform("js", lambda j: F.sequence(j, j + (K - 1)))))))
         .withColumn("share", F.when(F.col("template").isNull(), 0.0).otherwise(F.col("covered") / F.col("n")))
         .withColumn("base", F.coalesce(F.col("is_phrase") & (F.col("covered") == F.col("n")), F.lit(False)))
-        .withColumn("good", F.coalesce(F.when(F.col("is_phrase"), F.col("base")).otherwise((F.col("share") >= cover) & (F.col("end") - F.col("start") <= F.col("n") + 2 * gap)), F.lit(False)))
+        # copies that follow each other make one island: it is cut where it is too long or holds a place twice
+        .withColumn("long", F.col("end") - F.col("start") > F.col("n") + 2 * gap)
+        .withColumn("cut", ~F.col("is_phrase") & (F.col("share") >= cover) & (F.col("long") | (F.size("js") > F.size(F.array_distinct("js")))))
+        .withColumn("copies", split(F.when(F.col("cut"), F.col("hits")), F.col("n")))
+        .withColumn("one", F.when(F.col("is_phrase"), F.col("base")).otherwise((F.col("share") >= cover) & ~F.col("long")))
+        .withColumn("spans", F.when(F.col("cut"), F.col("copies")).when(F.col("one"), F.array(F.struct("start", (F.col("end") - F.col("start")).alias("length"), "covered"))))
+        .withColumn("good", F.coalesce(F.size("spans") > 0, F.lit(False)))
     )
     base, good = F.col("base"), F.col("good")
     labels = lambda cond: F.array_join(F.array_sort(F.collect_set(F.when(cond, F.col("label")))), ",")
@@ -120,7 +159,7 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text: str = "text", p
             F.max("__id").alias(id_col), F.max("n_words").alias("n_words"), F.count_if(base).cast("long").alias("n_base"),
             F.min(F.when(base, F.col("start"))).cast("long").alias("first_word"), F.max(F.when(base, F.col("start"))).cast("long").alias("last_word"),
             labels(base).alias("base_labels"), labels(good).alias("labels"), F.max(F.least(F.lit(1.0), F.col("share"))).alias("score"),
-            F.array_sort(F.collect_list(F.when(good, F.struct("label", "start", (F.col("end") - F.col("start")).alias("length"), "covered")))).alias("matches"),
+            F.array_sort(F.flatten(F.collect_list(F.transform("spans", lambda x: F.struct(F.col("label"), x["start"].alias("start"), x["length"].alias("length"), x["covered"].alias("covered")))))).alias("matches"),
         )
         .drop("uid")
     )

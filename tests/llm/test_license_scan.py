@@ -40,3 +40,15 @@ def test_notices_with_changed_words(spark):
 
 def test_empty_table(spark):
     assert L.scan_licenses(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_a_short_notice_many_times(spark):
+    short, four, part = "all rights reserved", "creative commons attribution sharealike", "general public license"
+    full, long = L.NOTICES[0][0], L.NOTICES[0][0].replace("free of charge", "free of charge free of charge")
+    texts = [(short + "\n") * n for n in (1, 2, 3, 4, 50)] + [f"{short} 2024\n" * 6, (four + " ") * 5, f"{part} " * 6 + "gnu lesser general public license " + f"{part} " * 6, full + " " + full, long, "all rights " * 40]
+    got = {r.doc_id: r for r in L.scan_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert [got[i].labels for i in range(11)] == ["reserved"] * 6 + ["cc-by-sa", "lgpl", "mit", "mit", ""]
+    assert [len(got[i].matches) for i in range(11)] == [1, 2, 3, 4, 50, 6, 5, 1, 2, 1, 0]
+    assert [(m.start, m.length, m.covered) for m in got[5].matches] == [(4 * k, 3, 3) for k in range(6)]
+    assert [(m.start, m.length) for m in got[6].matches] == [(4 * k, 4) for k in range(5)]
+    assert got[9].matches[0].covered == len(full.split())
