@@ -1,7 +1,8 @@
 """Secrets in whole texts: fixed rules, and two character Markov models compared by log-likelihood ratio.
 
-One model is trained on samples labelled random, the other on samples labelled as ordinary identifiers. A run of
-token characters is reported when the first explains it better than the second by at least `least` nats in total.
+One model is trained on samples labelled random, the other on samples labelled as ordinary identifiers. What the fixed
+rules leave of a run of token characters is reported when the first explains it better than the second by at least
+`least` nats in total; otherwise those sequences of its words are that reach as much by themselves.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ RULES = [
 #: A maximal run has the same matches of 24 or more as the rule for hex, and is found without stopping at each word.
 LONG_HEX = re.compile(r"[0-9a-f]{24,}")
 KINDS = ["assign", "access", "hex", "markov"]
+#: Words of a run, and what joins them.
+WORD = re.compile(r"[A-Za-z0-9]+|[+/_=-]+")
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 CODE = np.full(128, -1, np.int16)
 CODE[[ord(c) for c in ALPHABET]] = np.arange(len(ALPHABET))
@@ -71,7 +74,28 @@ def ratio(text: str, model: np.ndarray) -> float:
     return float(model[len(ALPHABET), codes[0]] + model[codes[:-1], codes[1:]].sum())
 
 
-def spans_of(text: str, model: np.ndarray | None, shortest: int = 20, least: float = 12.0) -> list[tuple[str, int, int]]:
+def segments(part: str, model: np.ndarray, shortest: int, least: float) -> list[tuple[int, int]]:
+    """The whole part if its ratio is at least `least`; else its best sequences of words and separators that reach it."""
+    codes = CODE[np.frombuffer(part.encode(), np.uint8)]
+    steps = np.concatenate([[model[len(ALPHABET), codes[0]]], model[codes[:-1], codes[1:]]])
+    if steps.sum() >= least:
+        return [(0, len(part))]
+    out, begin, end, total, top = [], 0, 0, 0.0, 0.0
+    for m in WORD.finditer(part):
+        if total <= 0:
+            begin, total, top = m.start(), 0.0, 0.0
+        total += float(steps[m.start() : m.end()].sum())
+        if total > top:
+            top, end = total, m.end()
+        if m.end() == len(part) or total <= 0 or top - total >= least:
+            if top >= least:
+                if end - begin >= shortest:
+                    out.append((begin, end))
+                total = 0.0
+    return out
+
+
+def spans_of(text: str, model: np.ndarray | None, shortest: int = 16, least: float = 12.0) -> list[tuple[str, int, int]]:
     """(kind, start, end) in code points, sorted by start, then by the order of KINDS."""
     found = []
     for kind, pattern, group, fewest in RULES:
@@ -81,11 +105,11 @@ def spans_of(text: str, model: np.ndarray | None, shortest: int = 20, least: flo
     if model is not None:
         base = sorted((a, b) for _, a, b in found)
         for m in re.finditer(r"[A-Za-z0-9+/_=-]{%d,}" % shortest, text):
-            s, run = m.span(), m[0]
-            if any(a < s[1] and s[0] < b for a, b in base):
-                continue
-            if re.search("[0-9]", run) and re.search("[A-Za-z]", run) and ratio(run, model) >= least:
-                found.append(("markov", *s))
+            at = m.start()
+            for a, b in [*(x for x in base if x[0] < m.end() and m.start() < x[1]), (m.end(), m.end())]:
+                if a - at >= shortest:
+                    found += [("markov", at + i, at + j) for i, j in segments(text[at:a], model, shortest, least)]
+                at = max(at, b)
     return sorted(found, key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
 
 
@@ -93,7 +117,7 @@ def joined(spans: Iterable[tuple[str, int, int]]) -> str:
     return ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
 
 
-def scan_secrets(docs: DataFrame, text: str = "text", model: np.ndarray | None = None, shortest: int = 20, least: float = 12.0, mask: str | None = None) -> DataFrame:
+def scan_secrets(docs: DataFrame, text: str = "text", model: np.ndarray | None = None, shortest: int = 16, least: float = 12.0, mask: str | None = None) -> DataFrame:
     """docs, each with secret_spans: array<struct<kind,start,end>> in code points of the whole text.
 
     model: from train(); by default trained from samples(). With `mask`, every span in the text column is replaced by

@@ -46,3 +46,23 @@ def test_scan_keeps_rows_and_handles_odd_input(spark):
     assert S.scan_secrets(docs.limit(0)).count() == 0
     clean = S.scan_secrets(docs, mask="[secret]").filter("doc_id = 3").collect()
     assert {r.text for r in clean} == {"[secret]\""}
+
+
+def test_model_sees_every_string_it_is_trained_for():
+    model = S.train(S.samples())
+    rng = random.Random(11)
+    draw = lambda n, chars=S.ALPHABET[:62]: "".join(rng.choice(chars) for _ in range(n))
+    key, letters, short = draw(32), draw(32, S.ALPHABET[:52]), draw(17)
+    cuts = lambda text: [text[a:b] for k, a, b in S.spans_of(text, model) if k == "markov"]
+    assert cuts(f"see {letters} there") == [letters] and cuts(f"see {short} there") == [short]
+    path = "services/connections/subscriptions/permissions/collections/"
+    assert cuts(f"{path}{key}/configuration/information/multiprocessing") == [key]
+    other = draw(28)
+    far = "_configuration_information_multiprocessing_subscriptions_"
+    assert cuts(f"{path}{key}{far}{other}{far}settings") == [key, other]
+    beside = cuts(f"AKIA{draw(20, S.ALPHABET[:26])}/{key}")
+    assert [x.strip("/") for x in beside] == [key]
+    held = [t for t, is_random in S.samples(1500, seed=99) if is_random]
+    assert sum(any(k in ("markov", "hex") for k, _, _ in S.spans_of(t, model)) for t in held) >= 0.99 * len(held)
+    plain = [t for t, is_random in S.samples(1500, seed=99) if not is_random]
+    assert not any(S.spans_of(t, model) for t in plain)
