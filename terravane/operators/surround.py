@@ -163,8 +163,10 @@ def campus_items(sites: DataFrame, rings: DataFrame, nodes: DataFrame, radii: Se
                 labels = list(dict.fromkeys(hit[i][0] for i in part if hit[i][0]))
                 nearest = min(part, key=lambda i: P.distance(hit[i][1]))
                 items.append((" / ".join(labels), int(round(P.distance(hit[nearest][1]))), *_degrees(*P.point_inside(hit[part[0]][1]), lat, lng)))
+            # only a ring whose box, wider by a metre and a bit, holds the node can be within a metre of it
+            low, high = (np.array([f(s, axis=0) for _, s in hit]).reshape(-1, 2) for f in (np.min, np.max))
             for n, d, a, b, xy in nodes:
-                if d <= r and not any(P.distance(s, xy) <= 1 for _, s in hit):
+                if d <= r and not any(P.distance(hit[i][1], xy) <= 1 for i in np.flatnonzero(((low - 1.01 <= xy) & (high + 1.01 >= xy)).all(axis=1))):
                     items.append((n, int(round(d)), a, b))
             items.sort(key=lambda x: x[1])
             rows += [(pid, f"{name}_{r}", i, n, d, None, a, b) for i, (n, d, a, b) in enumerate(items, 1)]

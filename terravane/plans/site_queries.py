@@ -474,7 +474,7 @@ def landuse_items(spark, sf_dir):
 
 @query()
 def campus_count(spark, sf_dir):
-    nodes = shops(spark, sf_dir).filter("ord % 40 = 0").select("lat", "lng", "name")
+    nodes = shops(spark, sf_dir).select("lat", "lng", "name")
     return surround.campus_measures(sites(spark, sf_dir), _rings(spark, sf_dir), nodes, (1500, 3000), "campus")
 
 
