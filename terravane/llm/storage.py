@@ -9,9 +9,10 @@ from ..functions.storage import shared_dir, written
 __all__ = ["parts", "shared_dir", "small_batches", "written"]
 
 
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Bounds what one Arrow batch of whole texts can hold; results do not depend on it."""
+def small_batches(spark: SparkSession, rows: int = 1000, size: str = "4m") -> None:
+    """Bounds the rows and the bytes of whole texts in one Arrow batch, from now on; results do not depend on it."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
 
 
 def parts(spark: SparkSession) -> int:

@@ -46,6 +46,38 @@ def test_base_is_exact_and_every_way_agrees(spark, options):
     assert all(math.isclose(usual[r.doc_id, r.n_tokens], r.score, rel_tol=1e-9) for r in got)
 
 
+@pytest.mark.parametrize("options", [{}, {"most_words": 0, "most_frequent": 30, "group_grams": 50, "most_lines": 400}])
+def test_score_equals_plain_dictionaries(spark, options):
+    """With so many bits that the filter never errs, a score is that of quantised counts in dictionaries."""
+    rows = corpus()
+    docs = spark.createDataFrame([(i, t) for i, t in rows], "doc_id long, text string")
+    got = {(r.doc_id, r.n_tokens): r.score for r in L.score_texts(docs, bits_each=80.0, **options).collect()}
+    words, starts, pairs = Counter(), 0, Counter()
+    for i, x in rows:
+        if i is None or zlib.crc32(str(i).encode()) % 5 != 1:
+            t = tokens(x)
+            words.update(t)
+            pairs.update(zip(["<start>", *t], t))
+            starts += 1
+    below = sum(words.values()) + 0.5 * (len(words) + 1)
+
+    def read(n):  # the middle of the counts that share n's level
+        if not n:
+            return 0.0
+        q = math.floor(math.log(n) / math.log(1.5) + 1e-9)
+        same = [m for m in range(max(1, n // 2), 2 * n + 2) if math.floor(math.log(m) / math.log(1.5) + 1e-9) == q]
+        return (same[0] + same[-1]) / 2
+
+    for i, x in rows:
+        want, before = 0.0, "<start>"
+        for t in tokens(x):
+            context = read(starts if before == "<start>" else words[before])
+            p = (read(words[t]) + 0.5) / below
+            want += math.log10((min(read(pairs[before, t]), max(context, 1.0)) + 500 * p) / (context + 500))
+            before = t
+        assert math.isclose(got[i, len(tokens(x))], want, rel_tol=1e-9), (i, x)
+
+
 def test_filter_reads_back_counts():
     rng = np.random.default_rng(0)
     hashes = rng.integers(0, 1 << 63, 20000).astype(np.uint64)
