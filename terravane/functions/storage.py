@@ -9,9 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; where that is unset (tests on one machine) a temporary one is set."""
+    """The folder in spark.checkpoint.dir. Where that is unset, a temporary one is set if all runs on this machine; on a
+    cluster, whose executors would not see such a folder, it is an error."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = f"file://{tempfile.mkdtemp(prefix='terravane-')}"
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -22,4 +25,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.stored_at = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables from written() that nothing reads any more."""
+    for table in tables:
+        context = table.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(table.stored_at)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
