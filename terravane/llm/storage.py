@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from ..functions.storage import shared_dir, written
+from ..functions.storage import discard, shared_dir, written
 
-__all__ = ["parts", "shared_dir", "small_batches", "written"]
+__all__ = ["discard", "parts", "shared_dir", "small_batches", "written"]
 
 
 def small_batches(spark: SparkSession, rows: int = 1000, size: str = "4m") -> None:
