@@ -73,20 +73,20 @@ class Filter:
             self.words[self.first[g] : self.first[g] + size[g]] = segment
         self.groups = groups
 
-    def count(self, hashes: np.ndarray) -> np.ndarray:
-        """Levels of the n-grams: how many probes in a row succeed."""
+    def count(self, hashes: np.ndarray, most: int = 1 << 30) -> np.ndarray:
+        """Levels of the n-grams: how many probes in a row succeed, of `most` at the most."""
         out = np.zeros(len(hashes), np.int64)
         group = (hashes % np.uint64(self.groups)).astype(np.int64)
         live = np.flatnonzero(self.blocks[group] > 0)
         level = 1
-        while len(live):
+        while len(live) and level <= most:
             h, g = hashes[live], group[live]
             block, places = _bits(h, level, self.blocks[g])
-            first = self.first[g] + block * 8
-            hit = np.ones(len(live), bool)
-            for place in places:
-                word = self.words[first + (place >> np.uint64(6)).astype(np.int64)]
-                hit &= (word >> (place & np.uint64(63)) & np.uint64(1)).astype(bool)
+            first, hit = self.first[g] + block * 8, np.arange(len(live))
+            for place in places:  # those that an earlier bit rejects are not looked at again
+                bit = place[hit]
+                word = self.words[first[hit] + (bit >> np.uint64(6)).astype(np.int64)]
+                hit = hit[(word >> (bit & np.uint64(63)) & np.uint64(1)).astype(bool)]
             live = live[hit]
             out[live] = level
             level += 1

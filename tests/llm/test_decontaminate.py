@@ -1,6 +1,11 @@
 import random
+import time
+from itertools import combinations
 
-from terravane.llm.decontaminate import find_contamination
+import numpy as np
+import pytest
+
+from terravane.llm.decontaminate import MASKS, best_overlap as fast_overlap, find_contamination, masks_of
 
 
 def prose(rng, n):
@@ -91,3 +96,64 @@ def test_substitutions_near_the_ends(spark):
     for r in rows:
         span = zip(docs[r.doc_id][1][r.doc_start : r.doc_start + r.n_words], items[r.item_id][1][r.item_start : r.item_start + r.n_words], strict=True)
         assert sum(a == b for a, b in span) == r.n_match >= max(10, 0.8 * r.n_words)
+
+
+def test_masks_cover_every_way_to_change_a_fifth():
+    for n in range(10, 20):
+        seeds = [sum(1 << (p + o) for p in mask) for mask in MASKS for o in range(n - mask[-1])]
+        for changed in combinations(range(n), n // 5):
+            bad = sum(1 << x for x in changed)
+            assert any(s & bad == 0 for s in seeds), (n, changed)
+    for n in range(5, 10):
+        seeds = [sum(1 << (p + o) for p in mask) for mask, at in masks_of(n) for o in at]
+        assert all(any(s >> x & 1 == 0 for s in seeds) for x in range(n))
+
+
+def best_by_rule(doc, item, least, similar):
+    """Most matches of any span of any diagonal that counts by the documented rule, or None."""
+    need, best = min(least, -(-similar * len(item) // 1)), None
+    for diagonal in range(-len(item) + 1, len(doc)):
+        a, b = max(0, diagonal), max(0, -diagonal)
+        same = [doc[a + i] == item[b + i] for i in range(min(len(doc) - a, len(item) - b))]
+        for begin in range(len(same)):
+            m = 0
+            for end in range(begin + 1, len(same) + 1):
+                m += same[end - 1]
+                if m >= need and m >= similar * (end - begin) - 1e-9 and (best is None or m > best):
+                    best = m
+    return best
+
+
+def test_every_overlap_of_the_rule_is_found(spark):
+    """Items of 1 to 25 words with up to a fifth of their words changed, whichever these are."""
+    rng = random.Random(21)
+    items, docs = [], []
+    for i, n in enumerate([*range(1, 26), 15, 20]):
+        item = [f"w{i}x{k}" for k in range(n)]
+        items.append((i, item))
+        changed = {25: (4, 6, 8), 26: (8, 9, 10, 11)}.get(i) or rng.sample(range(n), n // 5)
+        part = ["changed" if k in changed else w for k, w in enumerate(item)]
+        docs.append((i, (prose(rng, 9) if i % 2 else []) + part + (prose(rng, 9) if i % 3 else [])))
+        docs.append((100 + i, prose(rng, 5) + item[: n // 2] + prose(rng, 5)))
+    frame = spark.createDataFrame([(i, " ".join(w)) for i, w in docs], "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.n_match for r in find_contamination(frame, bench, every_span=True, shortest=1).collect()}
+    want = {(d, i): m for d, w in docs for i, x in items if (m := best_by_rule(w, x, 10, 0.8)) is not None}
+    # a span that the cheaper test accepts may have fewer matches than the best
+    assert got.keys() == want.keys() and all(got[k] <= want[k] for k in want) and {(i, i) for i in range(27)} <= set(want)
+
+
+@pytest.mark.parametrize("n", [1, 2])
+def test_a_megabyte_of_few_words(n):
+    words = np.arange(1, n + 1, dtype=np.uint64)
+    doc, item = np.resize(words, 200_000), np.resize(words, 300)
+    began = time.perf_counter()
+    got = fast_overlap(doc, item, np.arange(-299, 200_000), 10, 0.8, 3.0, True)
+    assert got == (300, 300, 0, 0) and time.perf_counter() - began < 20
+
+
+def test_repeated_words_and_rows(spark):
+    docs = spark.createDataFrame([(1, "so " * 30000), (2, "a b " * 15000), (2, "a b " * 15000), (3, "so so")], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, "so " * 300), (2, "a b " * 100), (2, "a b " * 100)], "item_id long, text string")
+    got = sorted((r.doc_id, r.item_id, r.n_match, r.doc_start) for r in find_contamination(docs, bench, every_span=True).collect())
+    assert got == [(1, 1, 300, 0)] + [(2, 2, 200, 0)] * 4
