@@ -5,14 +5,16 @@ two documents that share w + k - 1 words keep the same places in them. A suffix
 the `left` words before it.
 
 1. Suffixes whose first words occur in one document only are dropped (aggregation and join by hash).
-2. Suffixes with equal words on both sides are one class, and all members of a class of two documents or more repeat.
-3. Members of the other classes are sorted by their words over the whole cluster. Suffixes that agree to the right stand
-   together; each is extended to the left and right by the hashes of all windows of `least` words around its place, and
-   windows that two documents hold are matches. Runs too long for one task are cut; their pieces' windows then meet by
-   aggregation.
+2. Equal suffixes, which have equal words on both sides, are one member of the array; two documents' stand for them.
+3. The others are sorted by their words over the whole cluster. Neighbours are compared word by word: common prefixes to
+   the right give the intervals of suffixes that share so many words, and the same array sorted by the words before
+   gives those that share so many to the left. A match of two documents is extended to both sides as far as some
+   interval of the one lies in one of the other.
+4. A run of suffixes that agree on their first words stays in one task up to a length that follows from the number of
+   suffixes and tasks; a longer one is cut, and its pieces' windows of `least` words then meet by aggregation of hashes.
 
 Spans are the union of all windows of `least` words that another document holds too. None is lost: the kept suffix in such
-a window's first w words is the same in both documents, at the same place of the window.
+a window's first w words is the same in both documents, at the same place of the window. Words are known by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -60,8 +62,8 @@ def minimisers(words: Words, least: int) -> np.ndarray:
 
 
 def around(words: Words, places: np.ndarray, left: int, right: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """32-bit hashes of the words from each place on and, backward, of those before it (0: none), and how many."""
-    short = np.concatenate([(words.hashes >> np.uint64(32)).astype(np.uint32) | np.uint32(1), np.zeros(1, np.uint32)])
+    """Hashes of the words from each place on and, backward, of those before it (0: none), and how many."""
+    short = np.concatenate([words.hashes | np.uint64(1), np.zeros(1, np.uint64)])
     doc = np.searchsorted(words.at, places, "right") - 1
     after, before = words.at[doc + 1] - places, places - words.at[doc]
     i, j = np.arange(right), np.arange(1, left + 1)
@@ -86,8 +88,9 @@ def _mark(uid: np.ndarray, pos: np.ndarray) -> np.ndarray:
 
 
 def _binary(x: np.ndarray) -> pa.Array:
-    data = np.ascontiguousarray(x.astype(">u4"))
-    return pa.FixedSizeBinaryArray.from_buffers(pa.binary(4 * x.shape[1]), len(x), [None, pa.py_buffer(data.tobytes())]).cast(pa.binary())
+    data = np.ascontiguousarray(x.astype(">u8"))
+    fixed = pa.FixedSizeBinaryArray.from_buffers(pa.binary(8 * x.shape[1]), len(x), [None, pa.py_buffer(data.tobytes())])
+    return fixed.cast(pa.binary())
 
 
 def window_hashes(right: np.ndarray, left: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
@@ -102,33 +105,60 @@ def window_hashes(right: np.ndarray, left: np.ndarray, least: int) -> tuple[np.n
     return mix(mix(to_right[:, least - 1 - l] + to_left) + l.astype(np.uint64)), have
 
 
-def shared_windows(right: np.ndarray, left: np.ndarray, uid: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(least l, largest l) of each suffix's windows that another document has here (largest -1: none), and (row, l, hash)
-    of windows that stand for all others where more suffixes may follow elsewhere: every one that only one document has
-    here, one of each of two documents for the rest."""
-    n = len(uid)
+def common_prefix(x: np.ndarray) -> np.ndarray:
+    """How many words each row shares with the row before it, from the first on (0 for the first row; 0 is no word)."""
+    out = np.zeros(len(x), np.int64)
+    if len(x) > 1:
+        unlike = (x[1:] != x[:-1]) | (x[1:] == 0)
+        out[1:] = np.where(unlike.any(axis=1), unlike.argmax(axis=1), x.shape[1])
+    return out
+
+
+def shared_windows(right: np.ndarray, left: np.ndarray, uid: np.ndarray, least: int, hashed: bool):
+    """Of suffixes in sorted order: (least l, largest l) of each one's windows of `least` words, l of them to the left,
+    that another document has here (largest -1: none); and, if hashed, (row, l, hash) of windows that stand for all others
+    where more suffixes may follow elsewhere: every one that only one document has here, one of each of two documents
+    for the rest."""
+    n, most = len(uid), left.shape[1]
     low, high, found = np.full(n, least), np.full(n, -1), [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64))]
-    hashes, have = window_hashes(right, left, least)
-    for l in range(hashes.shape[1]):
-        rows = np.flatnonzero(have[:, l])
-        if not len(rows):
+    to_right, n_right, n_left = common_prefix(right), (right != 0).sum(axis=1), (left != 0).sum(axis=1)
+    # the same suffixes by the words before them: neighbours there share the most to the left
+    rows = np.ascontiguousarray(left.astype(">u8")).view(f"S{8 * most}").ravel()
+    by_left = np.argsort(rows, kind="stable")
+    to_left = common_prefix(left[by_left])
+    hashes = window_hashes(right, left, least)[0] if hashed else None
+    for l in range(most + 1):
+        interval = np.cumsum(to_right < least - l)
+        context = np.empty(n, np.int64)
+        context[by_left] = np.cumsum(to_left < l)
+        own = np.flatnonzero((n_right >= least - l) & (n_left >= l))
+        if not len(own):
             continue
-        rows = rows[np.lexsort((uid[rows], hashes[rows, l]))]
-        h, u = hashes[rows, l], uid[rows]
-        first = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
-        last = np.r_[first[1:], len(rows)] - 1
+        own = own[np.lexsort((uid[own], context[own], interval[own]))]
+        u = uid[own]
+        first = np.flatnonzero(np.r_[True, (np.diff(interval[own]) != 0) | (np.diff(context[own]) != 0)])
+        last = np.r_[first[1:], len(own)] - 1
         several = u[first] != u[last]
         each = np.repeat(several, last - first + 1)
-        low[rows[each]] = np.minimum(low[rows[each]], l)
-        high[rows[each]] = l
-        send = np.concatenate([rows[~each], rows[first[several]], rows[last[several]]])
-        found.append((send, np.full(len(send), l), hashes[send, l]))
+        low[own[each]] = np.minimum(low[own[each]], l)
+        high[own[each]] = l
+        if hashed:
+            send = np.concatenate([own[~each], own[first[several]], own[last[several]]])
+            found.append((send, np.full(len(send), l), hashes[send, l]))
     return low, high, tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
-def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text: str = "text", least: int = 50, most_bits: int = 1 << 29, piece: int = 1 << 16) -> DataFrame:
+def repeated_spans(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text: str = "text",
+    least: int = 50,
+    most_bits: int = 1 << 29,
+    piece: int = 1 << 15,
+) -> DataFrame:
     """(id_col, span_start, span_end, n_words): the maximal spans of words, end exclusive, that lie in matches of `least`
-    or more words with another document. `piece` suffixes are compared at a time; results do not depend on it.
+    or more words with another document. At most `piece` suffixes are compared at a time, and fewer where that is more
+    than four tasks' shares; results do not depend on it.
 
     A document is a row's id with its text: rows that repeat both are one document and alone repeat nothing, rows of one
     id with unlike texts are two. Null texts count as empty; texts of fewer than `least` words have no spans; a null id
@@ -169,6 +199,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     needed = written(two.unionByName(lone), "suffixes-to-sort")
     n_needed = needed.count()
     # runs of more suffixes than a piece are dealt over several tasks, all others stay whole
+    piece = min(piece, max(1 << 12, 4 * n_needed // parts(spark)))
     long_runs = written(needed.groupBy("key").count().filter(F.col("count") > piece).select("key", F.lit(True).alias("cut")), "long-runs")
     bits = 1 << min(int(most_bits).bit_length() - 1, max(20, (16 * n_needed).bit_length()))
 
@@ -194,16 +225,16 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
                     yield pa.RecordBatch.from_arrays([_binary(r), _binary(l), pa.array(uid[some]), pa.array(pos[some]), pa.array(run_key(r).view(np.int64))], names=["right", "left", "uid", "pos", "key"])
 
     def read(batch) -> tuple[np.ndarray, ...]:
-        take = lambda c, width: np.frombuffer(b"".join(batch.column(c).to_pylist()), ">u4").reshape(-1, width).astype(np.uint32)
-        return take(0, right), take(1, left), np.asarray(batch.column(2)), np.asarray(batch.column(3)), batch.column(4).to_numpy(zero_copy_only=False)
+        take = lambda c, n: np.frombuffer(b"".join(batch.column(c).to_pylist()), ">u8").reshape(-1, n).astype(np.uint64)
+        uid, pos, cut = (batch.column(i).to_numpy(zero_copy_only=False) for i in (2, 3, 4))
+        return take(0, right), take(1, left), uid, pos, cut
 
     def matches(r, l, uid, pos, cut, whole: bool) -> pa.RecordBatch:
         """Matches among some suffixes; where not whole, also the windows to be met with those of other pieces, by hash."""
-        low, high, (row, at, h) = shared_windows(r, l, uid, least)
+        low, high, (row, at, h) = shared_windows(r, l, uid, least, not whole)
         own = np.flatnonzero(high >= 0)
-        if whole:
-            row, at, h = row[:0], at[:0], h[:0]
-        a, b = np.concatenate([pos[own] - high[own], pos[row] - at]), np.concatenate([pos[own] - low[own] + least, pos[row] - at + least])
+        a = np.concatenate([pos[own] - high[own], pos[row] - at])
+        b = np.concatenate([pos[own] - low[own] + least, pos[row] - at + least])
         hashes = pa.chunked_array([pa.nulls(len(own), pa.int64()), pa.array(h.view(np.int64))]).combine_chunks()
         return pa.RecordBatch.from_arrays([pa.array(uid[np.concatenate([own, row])]), pa.array(a), pa.array(b), hashes], names=["uid", "a", "b", "hash"])
 
@@ -231,7 +262,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     texts = written(source.select("text", "uid").mapInArrow(contexts, "right binary, left binary, uid long, pos long, key long"), "contexts")
     sent.destroy()  # nothing after the written table needs it
     line = texts.join(long_runs, "key", "left").select("right", "left", "uid", "pos", F.coalesce("cut", F.lit(False)).alias("cut"))
-    run = F.substring("right", 1, 4 * key)
+    run = F.substring("right", 1, 8 * key)
     line = line.repartitionByRange(parts(spark), run, F.when(F.col("cut"), F.concat("right", "left"))).sortWithinPartitions("right", "left")
     compared = written(line.mapInArrow(neighbours, "uid long, a long, b long, hash long"), "matches")
     open_ = compared.filter("hash is not null")
