@@ -9,6 +9,7 @@ A hit needs two independent 64-bit hashes to agree.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -40,16 +41,23 @@ NOTICES = [
     ("creative commons attribution sharealike", "cc-by-sa"),
     ("all rights reserved", "reserved"),
 ]
+#: Whole texts of public licenses, as published: a file for each, named by its label.
+TEXTS = Path(__file__).parent / "licenses"
 _HITS = "uid long, pos int, n_words long, hash long, check long"
 
 
+def license_texts(folder: Path = TEXTS) -> list[tuple[str, str]]:
+    """(text, label) of the license texts in a folder on the driver; labels are the files' names in lower case."""
+    return [(f.read_text(encoding="utf-8"), f.stem.lower()) for f in sorted(folder.glob("*.txt"))]
+
+
 def template_grams(spark: SparkSession, templates: list[tuple[str, str, bool]], k: int = K) -> DataFrame:
     """(template, label, is_phrase, n, j, hash, check): a row for each k-gram of each template."""
     rows = []
     for i, (words, label, phrase) in enumerate(templates):
         w = one_text(words)
         if len(w.hashes) < k:
-            raise ValueError(f"a template needs {k} words: {words}")
+            raise ValueError(f"a template needs {k} words: {words[:80]}")
         places, hashes = w.grams(k)
         check = w.grams(k, 1)[1]
         rows += [(i, label, phrase, len(w.hashes), int(j), int(h), int(c)) for j, h, c in zip(places, hashes.view(np.int64), check.view(np.int64), strict=True)]
@@ -110,18 +118,31 @@ def copies_of(hits: list[tuple[int, int]], n: int, cover: float, most: int) -> l
     return out
 
 
-def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text: str = "text", phrases: list[tuple[str, str]] = PHRASES, notices: list[tuple[str, str]] = NOTICES, cover: float = 0.8, gap: int = 4, most_broadcast: int = 1_000_000) -> DataFrame:
+def scan_licenses(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text: str = "text",
+    phrases: list[tuple[str, str]] = PHRASES,
+    notices: list[tuple[str, str]] = NOTICES,
+    cover: float = 0.8,
+    gap: int = 4,
+    most_broadcast: int = 1_000_000,
+    texts: list[tuple[str, str]] | None = None,
+) -> DataFrame:
     """One row for each row of docs: id_col, n_words, n_base, first_word, last_word, base_labels, labels, score, and
     matches: array<struct<label,start,length,covered>> of the verified spans in words.
 
     phrases: all places where their words stand consecutively count as base. notices: a span of merged diagonals counts
-    when it covers at least `cover` of the notice; of copies that follow each other, each is a match. score is the largest covered share of any template (0 without hits).
+    when it covers at least `cover` of the notice; of copies that follow each other, each is a match. texts: whole licenses
+    (by default license_texts()), matched as notices are. score is the largest covered share of any template (0 without
+    hits).
     A null or empty text has 0 words and no labels (empty strings); rows that repeat, and rows of one id, each keep
     their own row; other columns of docs are not read. The templates are broadcast up to most_broadcast k-grams, beyond
     that Spark chooses the join.
     """
     spark = docs.sparkSession
-    templates = [(p, label, True) for p, label in phrases] + [(p, label, False) for p, label in notices]
+    texts = license_texts() if texts is None else texts
+    templates = [(p, label, True) for p, label in phrases] + [(p, label, False) for p, label in [*notices, *texts]]
     grams = template_grams(spark, templates)
     n_grams = sum(len(p.split()) for p, _, _ in templates)
     side = F.broadcast(grams) if n_grams <= most_broadcast else grams

@@ -52,3 +52,51 @@ def test_a_short_notice_many_times(spark):
     assert [(m.start, m.length, m.covered) for m in got[5].matches] == [(4 * k, 3, 3) for k in range(6)]
     assert [(m.start, m.length) for m in got[6].matches] == [(4 * k, 4) for k in range(5)]
     assert got[9].matches[0].covered == len(full.split())
+
+
+def test_whole_license_texts(spark):
+    texts = L.license_texts()
+    rng = random.Random(3)
+    rows, want = [], []
+    for i, (text, label) in enumerate(texts):
+        w = text.split()
+        changed = [x if k % 40 else x + "x" for k, x in enumerate(w)]  # one word in forty
+        cases = [(text, True), ("Before it. " + text.upper() + " After it.", True), (" ".join(changed), True), (" ".join(w[: len(w) // 2]), False)]
+        for k, (t, there) in enumerate(cases):
+            rows.append((10 * i + k, t))
+            want.append((10 * i + k, label, there))
+    rows.append((-1, " ".join(rng.sample(" ".join(t for t, _ in texts).split(), 4000))))
+    got = {r.doc_id: r for r in L.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string"), notices=[]).collect()}
+    for i, label, there in want:
+        assert (label in got[i].labels.split(",")) == there, (i, label, got[i].labels)
+    assert not {label for _, label in texts} & set(got[-1].labels.split(","))
+
+
+def test_labels_and_score_lie_between_plain_bounds(spark):
+    """A copy that stands whole gives its label; a template whose words the document's trigrams cannot cover gives none,
+    and no share is larger than what all trigrams of the document cover."""
+    rng = random.Random(9)
+    templates = [(p.split(), label) for p, label in [*L.PHRASES, *L.NOTICES]]
+    texts = []
+    for _ in range(250):
+        parts = []
+        for _ in range(rng.randrange(6)):
+            w, _ = rng.choice(templates)
+            a, b = sorted(rng.sample(range(len(w) + 1), 2)) if rng.random() < 0.5 else (0, len(w))
+            parts += [x if rng.random() < 0.97 else "zz" for x in w[a:b]] + ["so"] * rng.choice([0, 0, 1, 6])
+        texts.append(" ".join(parts))
+    got = L.scan_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), texts=[]).collect()
+    for r in got:
+        w = words(texts[r.doc_id])
+        grams = {tuple(w[i : i + 3]) for i in range(len(w) - 2)}
+        must, may, top = set(), set(), 0.0
+        for p, label in templates:
+            covered = {x for j in range(len(p) - 2) if tuple(p[j : j + 3]) in grams for x in (j, j + 1, j + 2)}
+            top = max(top, len(covered) / len(p))
+            if len(covered) >= 0.8 * len(p):
+                may.add(label)
+            if any(w[i : i + len(p)] == p for i in range(len(w))):
+                must.add(label)
+        labels = set(filter(None, r.labels.split(",")))
+        assert must <= labels <= may, (texts[r.doc_id], labels)
+        assert 0 <= r.score <= top + 1e-12 and (r.score >= 0.8 or not labels) and (r.score > 0) == (top > 0)
