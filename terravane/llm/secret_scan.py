@@ -7,9 +7,6 @@ rules leave of a run of token characters is reported when the first explains it
 
 from __future__ import annotations
 
-import hashlib
-import importlib
-import math
 import re
 from collections.abc import Iterable, Iterator
 
@@ -18,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .license_scan import license_texts
 from .storage import small_batches
 
 #: Fixed rules: kind, pattern, fewest characters of the last group (or of the match).
@@ -36,27 +34,28 @@ CODE = np.full(128, -1, np.int16)
 CODE[[ord(c) for c in ALPHABET]] = np.arange(len(ALPHABET))
 
 
+def ordinary_words() -> list[str]:
+    """Words of the license texts that come with the package: plain English that is the same everywhere."""
+    return sorted({w for text, _ in license_texts() for w in re.findall("[a-z]{2,}", text.lower())})
+
+
 def samples(n: int = 4000, seed: int = 7) -> list[tuple[str, bool]]:
-    """Labelled samples: (string, is it random). Random ones are drawn over usual alphabets, ordinary ones are public names
-    of Python's standard library, alone and put together the way paths, versions and identifiers are."""
+    """Labelled samples: (string, is it random). Random ones are drawn over usual alphabets, ordinary ones are English
+    words, put together the way paths, versions, titles and identifiers are. Fixed by the seed."""
     rng = np.random.default_rng(seed)
+    words = ordinary_words()
     sets = [ALPHABET[:62], ALPHABET[:64], ALPHABET[:62] + "_-", "0123456789abcdef", ALPHABET[:26] + "0123456789", ALPHABET[26:62]]
     out = [("".join(rng.choice(list(sets[i % len(sets)]), int(rng.integers(16, 64)))), True) for i in range(n)]
-    names = sorted({x for m in ("os", "re", "json", "asyncio", "socket", "ssl", "email", "logging", "unittest", "decimal", "datetime", "collections", "itertools", "functools", "subprocess", "threading", "multiprocessing", "tkinter", "xml.dom.minidom", "http.client", "urllib.parse", "ctypes", "inspect", "typing", "ast", "pickle", "sqlite3", "calendar", "random", "statistics", "errno", "signal", "html.entities", "keyword", "builtins") if (got := _names(m)) for x in got})
     for i in range(n):
-        some = [names[int(k)] for k in rng.integers(0, len(names), int(rng.integers(1, 5)))]
-        text = ("_", "-", "/", "")[i % 4].join(some)
+        some = [words[int(k)] for k in rng.integers(0, len(words), int(rng.integers(1, 7)))]
+        if i % 5 == 0:
+            some = [w + "s" if j % 2 else w for j, w in enumerate(some)]
+        some = [some, [w.capitalize() for w in some], [w.upper() for w in some], some[:1] + [w.capitalize() for w in some[1:]]][i % 4]
+        text = ("_", "-", "/", "", "_")[i % 5].join(some)
         out.append((text + (str(int(rng.integers(0, 3000))) if i % 3 == 0 else ""), False))
     return out
 
 
-def _names(module: str) -> list[str]:
-    try:
-        return dir(importlib.import_module(module))
-    except ImportError:
-        return []
-
-
 def train(labelled: Iterable[tuple[str, bool]], smooth: float = 0.5) -> np.ndarray:
     """log P(next | this, random) - log P(next | this, ordinary), with one more row for the first character."""
     n = len(ALPHABET)
@@ -103,13 +102,25 @@ def spans_of(text: str, model: np.ndarray | None, shortest: int = 16, least: flo
             if len(m[group]) >= fewest:
                 found.append((kind, m.start(), m.end()))
     if model is not None:
-        base = sorted((a, b) for _, a, b in found)
+        base: list[list[int]] = []  # what the rules found, without overlaps
+        for _, a, b in sorted(found, key=lambda x: x[1:]):
+            if base and a <= base[-1][1]:
+                base[-1][1] = max(base[-1][1], b)
+            else:
+                base.append([a, b])
+        i = 0
         for m in re.finditer(r"[A-Za-z0-9+/_=-]{%d,}" % shortest, text):
             at = m.start()
-            for a, b in [*(x for x in base if x[0] < m.end() and m.start() < x[1]), (m.end(), m.end())]:
-                if a - at >= shortest:
-                    found += [("markov", at + i, at + j) for i, j in segments(text[at:a], model, shortest, least)]
-                at = max(at, b)
+            while i < len(base) and base[i][1] <= at:
+                i += 1
+            while at < m.end():
+                stop = min(m.end(), base[i][0]) if i < len(base) else m.end()
+                if stop - at >= shortest:
+                    found += [("markov", at + x, at + y) for x, y in segments(text[at:stop], model, shortest, least)]
+                if i == len(base) or base[i][0] >= m.end():
+                    break
+                at = base[i][1]
+                i += at <= m.end()  # one that ends beyond this run may reach into the next
     return sorted(found, key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
 
 
