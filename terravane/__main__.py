@@ -7,6 +7,7 @@ GOOGLE_MAPS_API_KEY is set (terravane.sources.ingest); without it the tables in
 from __future__ import annotations
 
 import argparse
+import itertools
 import json
 import os
 from pathlib import Path
@@ -14,7 +15,7 @@ from pathlib import Path
 from pyspark.sql import functions as F
 
 from .functions.geo import tiles
-from .operators import metering
+from .operators import metering, surround
 from .operators.discover import HIT
 from .operators.report import quality_report
 from .plans import stages
@@ -26,6 +27,9 @@ _TIME = "STRUCT<day: INT, hour: INT, minute: INT>"
 DETAILS = f"place_id STRING, rating DOUBLE, reviews BIGINT, business_status_now STRING, hours_text STRING, fetched STRING, periods ARRAY<STRUCT<open: {_TIME}, close: {_TIME}>>"
 
 
+FACT_NAMES, FACTS = ("place_id", "col", "value"), "place_id STRING, col STRING, value DOUBLE"
+
+
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(prog="terravane")
     p.add_argument("stage", choices=["estimate", "review", "extract", "osm-extract", "discover", "enrich", "surround", "score", "map", "dashboard", "qa", "all"])
@@ -53,22 +57,45 @@ def service(cfg: dict, data: str, most_calls: int) -> ingest.Places | None:
     return ingest.Places(requests.Session(), ingest.Cache(f"{data}/cache"), key, most_calls, ledger=ledger)
 
 
-def fetch(stage: str, cfg: dict, data: str, client: ingest.Places, spark) -> None:
+def map_service(data: str) -> ingest.MapQueries:
+    """Map features from a server, for what no extract holds."""
+    import requests
+
+    return ingest.map_queries(requests.Session(), ingest.Cache(f"{data}/cache"))
+
+
+def stored(spark, rows, schema: str, path: str, page: int = 5000) -> None:
+    """Rows (dicts) of any number as a table, written page by page."""
+    rows, mode = iter(rows), "overwrite"
+    while (some := [(json.dumps(r),) for r in itertools.islice(rows, page)]) or mode == "overwrite":
+        table = spark.createDataFrame(some, "j STRING").select(F.from_json("j", schema).alias("r")).select("r.*")
+        table.write.mode(mode).parquet(path)
+        mode = "append"
+
+
+def append_summary(text: str) -> None:
+    """Shown, and added to the step summary of a build server where it names one."""
+    print(text)
+    if path := os.environ.get("GITHUB_STEP_SUMMARY"):
+        with open(path, "a", encoding="utf-8") as out:
+            out.write(text + "\n")
+
+
+def fetch(stage: str, cfg: dict, data: str, client: ingest.Places, spark, kept) -> None:
     """Asks the services for what a stage reads, and writes it as that stage's table."""
-    table = lambda rows, schema: spark.createDataFrame([(json.dumps(r),) for r in rows], "j STRING").select(F.from_json("j", schema).alias("r")).select("r.*")
     try:
         if stage == "discover":
             b = cfg["area"]["bbox"]
             boxes = [(t.south, t.west, t.north, t.east) for t in tiles(spark, b["south"], b["north"], b["west"], b["east"], cfg["area"]["tile_deg"]).collect()]
             rows = ingest.search_rows(boxes, cfg["discover"]["keywords"], client, cfg["area"].get("max_subdivide_depth", 2))
-            table(rows, HIT).write.mode("overwrite").parquet(f"{data}/hits")
+            stored(spark, rows, HIT, f"{data}/hits")
             return
-        kept = stages.discover.kept_sites(files.read_stage(spark, f"{data}/sites", "", "discover")).select("place_id", "lat", "lng").toLocalIterator()
+        kept = kept().select("place_id", "lat", "lng").toLocalIterator()
         if stage == "enrich":
-            table(ingest.detail_rows(kept, client), DETAILS).write.mode("overwrite").parquet(f"{data}/raw_details")
+            stored(spark, ingest.detail_rows(kept, client), DETAILS, f"{data}/raw_details")
         elif stage == "surround" and (sc := cfg["surroundings"])["source"] == "google_aggregate":
             rows = ingest.count_rows(kept, client, ingest.specs(sc.get("google_types") or {}, sc["radii_m"]))
-            spark.createDataFrame(rows, "place_id STRING, col STRING, value DOUBLE").write.mode("overwrite").parquet(f"{data}/counted")
+            stored(spark, (dict(zip(FACT_NAMES, r, strict=True)) for r in rows), FACTS, f"{data}/counted")
     finally:
         for name, calls, cached in client.usage():
             print(f"{name}: {calls} calls, {cached} from the cache")
@@ -78,11 +105,15 @@ def run(stage: str, cfg: dict, data: str, args) -> None:
     spark = stages.session()
     read = lambda name, made_by: files.read_stage(spark, f"{data}/{name}", "", made_by)
     write = lambda df, name: df.write.mode("overwrite").parquet(f"{data}/{name}")
+    export = lambda df, name: files.write_csv(df, f"{data}/{name}.csv")
     sc = cfg.get("surroundings") or {}
     review = files.read_review(spark, f"{data}/keep.csv")
+    # the review file as it is now counts at each stage that reads sites
+    sites = lambda: files.reviewed_sites(spark, f"{data}/sites", review)
+    kept = lambda: stages.discover.kept_sites(sites())
     client = service(cfg, data, args.max_calls) if stage in ("discover", "enrich", "surround") else None
     if client is not None:
-        fetch(stage, cfg, data, client, spark)
+        fetch(stage, cfg, data, client, spark, kept)
     if stage == "estimate":
         b = cfg["area"]["bbox"]
         n = tiles(spark, b["south"], b["north"], b["west"], b["east"], cfg["area"]["tile_deg"]).count()
@@ -96,10 +127,13 @@ def run(stage: str, cfg: dict, data: str, args) -> None:
         old = spark.read.parquet(f"{data}/sites") if files.exists(spark, f"{data}/sites") else None
         found = stages.discovered(cfg, read("hits", "the search"), old, review)
         write(files_safe(found, data), "sites")
+        export(spark.read.parquet(f"{data}/sites").orderBy(F.desc("keep"), "name").drop("ord"), "sites")
+        append_summary(stages.review_text(sites()))
     elif stage == "enrich":
         write(stages.enriched(read("raw_details", "the detail search")), "details")
+        export(read("details", "enrich"), "details")
     elif stage == "review":
-        print(stages.review_text(read("sites", "discover")))
+        append_summary(stages.review_text(sites()))
     elif stage in ("extract", "osm-extract"):
         if not args.extract or not Path(args.extract).exists():
             raise files.MissingStage("extract needs --pbf FILE or --xml FILE")
@@ -108,18 +142,27 @@ def run(stage: str, cfg: dict, data: str, args) -> None:
     elif stage == "surround":
         layers = spark.read.parquet(f"{data}/layers") if files.exists(spark, f"{data}/layers") else None
         counted = spark.read.parquet(f"{data}/counted") if files.exists(spark, f"{data}/counted") else None
-        wide, items = stages.surroundings(cfg, stages.discover.kept_sites(read("sites", "discover")), layers, counted)
+        points, areas = point_features(sc), sc.get("osm_area") or {}
+        if not stages.covered(sc, layers):
+            print("no extract holds all map features: a map server is asked for counts and areas")
+            here = kept().select("place_id", "lat", "lng").toLocalIterator()
+            rows = ingest.map_rows(here, map_service(data), points, areas, sc["radii_m"])
+            stored(spark, (dict(zip(FACT_NAMES, r, strict=True)) for r in rows), FACTS, f"{data}/map_counted")
+            asked = spark.read.parquet(f"{data}/map_counted")
+            counted, layers = asked if counted is None else counted.unionByName(asked), None
+        wide, items = stages.surroundings(cfg, kept(), layers, counted)
         write(wide, "surroundings")
+        export(read("surroundings", "surround"), "surroundings")
         if items is not None:
             write(items, "items")
+            files.write_items(surround.items_json(spark.read.parquet(f"{data}/items")), f"{data}/items.json")
     elif stage in ("score", "qa"):
-        kept = stages.discover.kept_sites(read("sites", "discover"))
-        feats = stages.features(cfg, kept, read("details", "enrich"), read("surroundings", "surround"))
+        feats = stages.features(cfg, kept(), read("details", "enrich"), read("surroundings", "surround"))
         if stage == "qa":
-            print(quality_report(feats, stages.ranked(cfg, feats), kept.count()))
+            append_summary(quality_report(feats, stages.ranked(cfg, feats), kept().count()))
         else:
             write(stages.ranked(cfg, feats), "ranked")
-            files.write_csv(spark.read.parquet(f"{data}/ranked").orderBy("rank"), f"{data}/ranked.csv")
+            export(read("ranked", "score").orderBy("rank"), "ranked")
     elif stage == "map":
         Path(f"{data}/map.html").write_text(files.map_page(read("ranked", "score"), (cfg.get("output") or {}).get("top_n_map", 50)), "utf-8")
     else:
@@ -127,8 +170,11 @@ def run(stage: str, cfg: dict, data: str, args) -> None:
         items = spark.read.parquet(f"{data}/items") if files.exists(spark, f"{data}/items") else None
         skip = {"rank", "score", "dup_count", "hours_known", "keep", "keep_auto", "is_new"}
         numbers = [f.name for f in ranked.schema.fields if f.dataType.typeName() in ("double", "long", "integer") and f.name not in skip | {"lat", "lng", "ord", "rating", "reviews"}]
-        excluded = stages.discover.excluded_sites(read("sites", "discover"))
-        Path(f"{data}/dashboard.html").write_text(files.page(files.payload(ranked, numbers, pillars_of(cfg), items, excluded, review)), "utf-8")
+        excluded = stages.discover.excluded_sites(sites()) if files.exists(spark, f"{data}/sites") else None
+        scales = cfg["scoring"].get("scales") or {}
+        info = lambda c: files.feature_info(c) | stages.source_of(cfg, c)
+        found = files.payload(ranked, numbers, pillars_of(cfg), items, excluded, review, info=info, scales=scales)
+        Path(f"{data}/dashboard.html").write_text(files.page(found), "utf-8")
 
 
 def files_safe(df, data: str):

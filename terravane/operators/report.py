@@ -82,9 +82,9 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
     return df.groupBy(F.coalesce(F.col(col), F.lit("")).alias(col)).agg(F.count("*").alias("n")).orderBy(F.desc("n"), col)
 
 
-def markdown(df: DataFrame, most: int = 200) -> str:
-    """A table of a report of bounded size."""
-    rows = df.limit(most).collect()
+def markdown(df: DataFrame) -> str:
+    """A table of all rows of a report: one for each measure, pair of measures, or of a part that has its own limit."""
+    rows = df.toLocalIterator()
     line = lambda cells: "| " + " | ".join("" if c is None else f"{c:g}" if isinstance(c, float) else str(c) for c in cells) + " |"
     return "\n".join([line(df.columns), "|" + "---|" * len(df.columns), *map(line, rows)])
 
@@ -102,7 +102,7 @@ def quality_report(features: DataFrame, ranked: DataFrame | None = None, raw_cou
     part("Distributions", distribution(features, cols))
     part("Largest values", top_values(features, cols).orderBy("measure", "pos"))
     part("Same names", same_names(features).orderBy(F.desc("n"), "name").limit(30))
-    part("Measures that say the same", redundant(features, cols).orderBy(F.desc(F.abs("r"))))
+    part("Measures that say the same", redundant(features, cols).orderBy(F.desc(F.abs("r"))).limit(60))
     if ranked is not None:
         points = ["score", *(c for c in ranked.columns if c.startswith("pillar_"))]
         part("Scores", distribution(ranked, points))

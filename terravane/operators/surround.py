@@ -101,17 +101,20 @@ def _degrees(x: float, y: float, lat: float, lng: float) -> tuple[float, float]:
     return round(lat + y / FLAT_M, 6), round(lng + x / (FLAT_M * np.cos(np.radians(lat))), 6)
 
 
+def hectares(rings, lat: float, lng: float, radii: Sequence[int]) -> dict[int, float]:
+    """Hectares of the union of the rings (lists of lng and lat) inside each circle, to 2 places."""
+    shapes = [s for r in rings if len(s := _local(r, lat, lng))]
+    near = {r: [s for s in shapes if P.distance(s) <= r] for r in radii}
+    return {r: round(P.union_area(some, P.circle(r)) / 10_000, 2) for r, some in near.items()}
+
+
 def land_area(sites: DataFrame, rings: DataFrame, radii: Sequence[int], name: str) -> DataFrame:
     """(place_id, col, value): <name>_ha_<r>, hectares of the union of the rings inside the circle, to 2 places."""
     radii = list(radii)
 
     def sweep(g: pd.DataFrame) -> pd.DataFrame:
-        lat, lng = g.lat.iloc[0], g.lng.iloc[0]
-        shapes = [s for r in g.ring if len(s := _local(r, lat, lng))]
-        out = []
-        for r in radii:
-            some = [s for s in shapes if P.distance(s) <= r]
-            out.append(round(P.union_area(some, P.circle(r)) / 10_000, 2))
+        found = hectares(g.ring, g.lat.iloc[0], g.lng.iloc[0], radii)
+        out = [found[r] for r in radii]
         return pd.DataFrame({"place_id": g.place_id.iloc[0], "col": [f"{name}_ha_{r}" for r in radii], "value": out})
 
     found = _near_rings(sites, rings, float(max(radii))).repartition(_parts(sites), "place_id").groupBy("place_id").applyInPandas(sweep, "place_id string, col string, value double")

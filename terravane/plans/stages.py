@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..operators import discover, hours, report, score, surround
-from ..sources import files, osm
+from ..sources import files, ingest, osm
 from .config import pillars_of, point_features, rules_of
 
 
@@ -68,6 +68,37 @@ def surroundings(cfg: Mapping, sites: DataFrame, layers: DataFrame | None = None
     return surround.pivot_wide(sites, long, columns), lists
 
 
+def covered(surroundings_: Mapping, layers: DataFrame | None) -> bool:
+    """Whether no map features are wanted, or the layers of an extract hold all of them."""
+    wanted = [*point_features(surroundings_), *(surroundings_.get("osm_area") or {}), *(surroundings_.get("osm_campus") or {})]
+    return not wanted or (layers is not None and osm.has_features(layers, wanted))
+
+
+def source_of(cfg: Mapping, column: str) -> dict:
+    """Where a measure's column comes from, by the configuration."""
+    sc = cfg.get("surroundings") or {}
+    counted = {k: types for k, (types, _) in ingest.specs(sc.get("google_types") or {}, ()).items()}
+    counted = counted if sc.get("source") == "google_aggregate" else {}
+    named = [e["name"] for e in cfg.get("external_pois") or []]
+    return files.feature_source(column, counted, [*(sc.get("osm_campus") or {})], [*(sc.get("osm_area") or {})], [*point_features(sc)] if sc else [], named)
+
+
+def without(features_: DataFrame, hidden: DataFrame) -> DataFrame:
+    """Features without the sites that a person has hidden (place_id), to be scored again."""
+    return features_.join(hidden.select("place_id").distinct(), "place_id", "left_anti")
+
+
+def review_file(review: DataFrame | None, hidden: DataFrame, restored: DataFrame) -> DataFrame:
+    """(place_id, keep, note): the review file with the sites that a person has hidden (kept 0) or taken back (kept 1);
+    of one id, a person's decision counts, a restored site last."""
+    of = lambda df, keep, note, order: df.select("place_id", F.lit(keep).alias("keep"), F.lit(note).alias("note"), F.lit(order).alias("_o"))
+    rows = of(hidden, "0", "not a market", 1).unionByName(of(restored, "1", "", 2))
+    if review is not None:
+        rows = rows.unionByName(review.select("place_id", F.col("keep").cast("string").alias("keep"), "note", F.lit(0).alias("_o")))
+    last = F.max_by(F.struct("keep", "note"), "_o").alias("r")
+    return rows.filter("place_id is not null").groupBy("place_id").agg(last).select("place_id", "r.keep", "r.note")
+
+
 def features(cfg: Mapping, sites: DataFrame, details: DataFrame, around: DataFrame) -> DataFrame:
     d = (cfg["discover"].get("dedupe") or {}) if "discover" in cfg else {}
     numbered = sites if "ord" in sites.columns else sites.withColumn("ord", F.xxhash64("place_id"))
@@ -83,8 +114,9 @@ def page_columns(ranked_: DataFrame) -> DataFrame:
     return ranked_.withColumns({"district": text.district(F.col("address")), "kind": text.market_kind(F.col("name"))})
 
 
-def filtered(ranked_: DataFrame, profile: str | None = None, kind: str | None = None, district: str | None = None, least_reviews: int = 0, window: str | None = None, day: int | None = None, unknown_hours: bool = True) -> DataFrame:
-    """Sites of a profile tag, kind or district, with so many reviews, open in a window or on a day (0: Sunday)."""
+def filtered(ranked_: DataFrame, profile: str | None = None, kind: str | None = None, district: str | None = None, least_reviews: int = 0, window: str | None = None, day: int | None = None, unknown_hours: bool = True, starred: DataFrame | None = None) -> DataFrame:
+    """Sites of a profile tag, kind or district, with so many reviews, open in a window or on a day (0: Sunday), starred
+    (place_id)."""
     df = page_columns(ranked_)
     if profile:
         df = df.filter(F.array_contains(F.split("profile", ", "), profile))
@@ -94,6 +126,8 @@ def filtered(ranked_: DataFrame, profile: str | None = None, kind: str | None =
         df = df.filter(F.col("district") == district)
     if least_reviews:
         df = df.filter(F.coalesce("reviews", F.lit(0)) >= least_reviews)
+    if starred is not None:
+        df = df.join(starred.select("place_id").distinct(), "place_id", "left_semi")
     unknown = (F.coalesce("hours_known", F.lit(0)) == 0) & F.lit(unknown_hours)
     if window:
         df = df.filter(unknown | (F.coalesce(window, F.lit(0.0)) > 0))
