@@ -115,12 +115,17 @@ def top_k_products(candidates: DataFrame, queries: DataFrame, k: int = 10, id_co
     unlike lengths count as if filled up with zeros. Candidates that repeat stand in the result each; of queries that
     share an id, the one with the least vector is taken. Other columns are not read. Candidates and queries are dealt
     into blocks of about `block` and `query_block` rows, each pair of blocks is one group: a group's size does not
-    depend on the data, and no side is broadcast.
+    depend on the data, and no side is broadcast. Components so large that a score might leave 64 bits are refused.
     """
     # a salt by row, so that rows of one id do not meet in one block
     c = quantised(candidates, id_col, vector, scale).withColumn("__row", F.monotonically_increasing_id())
     q = quantised(queries, id_col, vector, scale).groupBy("vec_id").agg(F.min("q").alias("q"))
-    blocks, query_blocks = max(1, -(-candidates.count() // block)), max(1, -(-queries.count() // query_block))
+    largest = F.max(F.coalesce(F.array_max(F.transform("q", lambda x: F.abs(x.cast("double")))), F.lit(0.0)))
+    sizes = [df.agg(F.count("*"), largest, F.max(F.size("q"))).first() for df in (c, q)]
+    (n, top, width), (n_queries, top_query, _) = sizes
+    if n and n_queries and top * top_query * width >= 2**62:
+        raise ValueError("components are too large: exact scores would not fit in 64 bits")
+    blocks, query_blocks = max(1, -(-n // block)), max(1, -(-n_queries // query_block))
     numbers = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     left = c.select(F.pmod(F.xxhash64("vec_id", "__row"), F.lit(blocks)).cast("int").alias("cb"), numbers(query_blocks).alias("qb"), F.lit(False).alias("is_query"), "vec_id", "q")
     right = q.select(numbers(blocks).alias("cb"), F.pmod(F.xxhash64("vec_id"), F.lit(query_blocks)).cast("int").alias("qb"), F.lit(True).alias("is_query"), "vec_id", "q")

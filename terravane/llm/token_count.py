@@ -5,6 +5,7 @@ A chunk's tokens are exact away from its cut ends only. Two neighbouring chunks
 with the same token ids on `agree` tokens at either side (or up to the overlap's end). White space never lies inside a
 pre-token, and neither normalisation nor merging crosses it, so what stands left of such a place is encoded alike
 whatever follows. Where an overlap holds no such place, it is widened to twice its length, in the end to the whole text.
+For the same reason a short text's tokens are those of its words, so that each distinct word is encoded once.
 """
 
 from __future__ import annotations
@@ -100,12 +101,35 @@ def _common(text, begin, end, start, ids, offs, new_ids, new_offs, agree):
     return None
 
 
+class WordCounts:
+    """Numbers of tokens of texts from those of their words, the parts between ASCII white space. Words of ordinary length
+    are remembered, `most` of them at the most."""
+
+    def __init__(self, counts, most: int = 1 << 20, longest: int = 64) -> None:
+        self.counts, self.most, self.longest, self.known = counts, most, longest, {}
+
+    def __call__(self, texts: list[str]) -> list[int]:
+        words = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
+        here = {w for some in words for w in some}
+        if len(self.known) > self.most:
+            self.known = {}
+        new = list(here - self.known.keys())
+        for i in range(0, len(new), 256):
+            self.known.update(zip(new[i : i + 256], self.counts(new[i : i + 256]), strict=True))
+        out = [sum(map(self.known.__getitem__, some)) for some in words]
+        for w in new:
+            if len(w) > self.longest:
+                del self.known[w]
+        return out
+
+
 def count_tokens(docs: DataFrame, tokenizer: str, text: str = "text", limit: int = 2048, chunk: int = 1 << 15, overlap: int = 1 << 10) -> DataFrame:
     """docs with n_bytes, n_tokens and over_limit (n_tokens > limit).
 
     A null text counts as an empty one (0 bytes, 0 tokens); rows that repeat each keep their own row; columns of docs
     named like the new ones give way to them. Texts up to `chunk` characters are encoded whole, longer ones spliced, so
-    memory is bounded by chunk (a longer run without any stable place is encoded as one).
+    memory is bounded by chunk (a longer run without any stable place is encoded as one). Tokenizers whose tokens may hold
+    white space (byte-level BPE, sentencepiece) have no such places: their texts are encoded whole, however long.
     """
     small_batches(docs.sparkSession)
     kept = [c for c in docs.columns if c not in (text, "n_bytes", "n_tokens", "over_limit")]
@@ -114,6 +138,8 @@ def count_tokens(docs: DataFrame, tokenizer: str, text: str = "text", limit: int
 
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spans, counts, spliced = load(tokenizer)
+        if spliced:
+            counts = WordCounts(counts)
         for batch in found:
             texts = batch.column(batch.num_columns - 1).to_pylist()
             short = [t for t in texts if not spliced or len(t) <= chunk]

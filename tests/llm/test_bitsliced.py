@@ -47,3 +47,12 @@ def test_equals_brute_force(spark):
     assert sorted(map(tuple, got.collect())) == want
     assert top_k_products(df.limit(0), queries).count() == 0 and top_k_products(df, queries.limit(0)).count() == 0
     assert top_k_products(df.filter("vec_id in (0, 1)"), df.filter("vec_id = 0")).count() == 1
+
+
+def test_too_large_components_are_refused(spark):
+    rows = spark.createDataFrame([(0, [1e18, 1.0]), (1, [1e18, 2.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="64 bits|overflow|OVERFLOW"):
+        top_k_products(rows, rows).collect()
+    large = spark.createDataFrame([(0, [2.0**19, 1.0]), (1, [2.0**19, 2.0])], "vec_id long, embedding array<double>")
+    want = (1024 * 2**19) ** 2 + 1024 * 2048
+    assert [(r.query_id, r.vec_id, r.score) for r in top_k_products(large, large).orderBy("query_id").collect()] == [(0, 1, want), (1, 0, want)]

@@ -36,6 +36,16 @@ def test_splice_equals_whole():
     assert [T.splice(t, spans, 200, 10) for t in texts] == plain(path, texts)
 
 
+def test_words_add_up_to_the_text():
+    path = tokenizer_path()
+    rng = random.Random(8)
+    odd = "aB1'sé́Σς\u00a0\u2003\u0085\x1c\x0b\x0c\u200b 　\n\t\r.,!🙂ﬁİß"
+    texts = ["".join(rng.choice(odd) for _ in range(rng.randrange(200))) for _ in range(400)] + long_texts() + ["", " ", "x" * 500]
+    _, counts, _ = T.load(path)
+    few = T.WordCounts(counts, most=50)
+    assert [n for i in range(0, len(texts), 7) for n in few(texts[i : i + 7])] == plain(path, texts)
+
+
 @pytest.mark.parametrize("name", NAMES)
 def test_counts_equal_the_library(spark, name):
     path = tokenizer_path(name)
