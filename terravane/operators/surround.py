@@ -108,6 +108,20 @@ def hectares(rings, lat: float, lng: float, radii: Sequence[int]) -> dict[int, f
     return {r: round(P.union_area(some, P.circle(r)) / 10_000, 2) for r, some in near.items()}
 
 
+def ring_metres(sites: DataFrame, rings: DataFrame, radius: float) -> DataFrame:
+    """(place_id, ring_id, metres): the rings that meet a site's circle, and how far they are (0: the site is inside)."""
+
+    def far(found: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for g in found:
+            shapes = [_local(r, y, x) for r, y, x in zip(g.ring, g.lat, g.lng, strict=True)]
+            d = pd.Series([P.distance(s) if len(s) else np.inf for s in shapes], index=g.index, dtype=float)
+            near = d <= radius
+            yield g.loc[near, ["place_id", "ring_id"]].assign(metres=d[near].round().astype(int))
+
+    schema = sites.select("place_id").schema.add("ring_id", rings.schema["ring_id"].dataType).add("metres", "integer")
+    return _near_rings(sites, rings, float(radius)).mapInPandas(far, schema)
+
+
 def land_area(sites: DataFrame, rings: DataFrame, radii: Sequence[int], name: str) -> DataFrame:
     """(place_id, col, value): <name>_ha_<r>, hectares of the union of the rings inside the circle, to 2 places."""
     radii = list(radii)

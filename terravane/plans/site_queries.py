@@ -213,6 +213,50 @@ def open_day_letters(spark, sf_dir):
     return hours_features(spark, sf_dir).select("place_id", text.day_letters(F.col("open_days")).alias("letters"))
 
 
+def _all_periods(spark, sf_dir):
+    """Opening periods of every event; a site is a user, day of the month and hour, so that sites are not open all week."""
+    e = _read(spark, sf_dir, "events")
+    e = e.withColumn("s", F.expr("(dayofweek(ts) - 1) * 1440 + hour(ts) * 60 + minute(ts)")).withColumn("e", F.expr("(s + 20 + (event_id * 37) % 630) % 10080"))
+    point = lambda c: F.struct(F.expr(f"cast({c} div 1440 as int)").alias("day"), F.expr(f"cast({c} % 1440 div 60 as int)").alias("hour"), F.expr(f"cast({c} % 60 as int)").alias("minute"))
+    site = F.concat_ws("-", F.col("user_id").cast("string"), F.date_format("ts", "dd"))
+    return e.groupBy(site.alias("place_id")).agg(F.collect_list(F.struct(point("s").alias("open"), point("e").alias("close"))).alias("periods"))
+
+
+_ALL_MINUTES_SQL = """p AS (SELECT user_id || '-' || strftime(ts, '%d') AS place_id, dayofweek(ts) * 1440 + hour(ts) * 60 + minute(ts) AS s, 20 + (event_id * 37) % 630 AS n FROM events),
+minutes AS (SELECT DISTINCT place_id, (s + i) % 10080 AS m FROM p, LATERAL (SELECT unnest(range(0, n)) AS i))"""
+
+
+@query(f"""WITH {_ALL_MINUTES_SQL}, days AS (SELECT place_id, d, count_if(m // 1440 = d) AS n0, count_if(m >= d * 1440 + 360 AND m < d * 1440 + 600) AS n1, count_if(m >= d * 1440 + 960 AND m < d * 1440 + 1200) AS n2,
+    count_if((m - d * 1440 - 1200 + 20160) % 10080 < 360) AS n3 FROM minutes CROSS JOIN (SELECT unnest(range(7)) AS d) GROUP BY place_id, d)
+SELECT place_id, 1 AS hours_known, {_DAY_COUNT.format(k=0)} AS days_open, string_agg(CASE WHEN n0 >= 60 THEN '1' ELSE '0' END, '' ORDER BY d) AS open_days,
+  {_DAY_COUNT.format(k=1)} AS open_morning, {_DAY_COUNT.format(k=2)} AS open_evening, {_DAY_COUNT.format(k=3)} AS open_night FROM days GROUP BY place_id""")
+def hours_of_all_events(spark, sf_dir):
+    return hours.hours_features(_all_periods(spark, sf_dir), "place_id")
+
+
+@query(f"""WITH {_ALL_MINUTES_SQL}, days AS (SELECT place_id, m // 1440 AS d FROM minutes GROUP BY 1, 2 HAVING count(*) >= 60)
+SELECT place_id, coalesce(string_agg(['{"', '".join(text.DAY_LETTERS)}'][CAST(d + 1 AS BIGINT)], ' ' ORDER BY d), '') AS letters FROM (SELECT DISTINCT place_id FROM p) LEFT JOIN days USING (place_id) GROUP BY place_id""")
+def day_letters_of_all_events(spark, sf_dir):
+    return hours_of_all_events(spark, sf_dir).select("place_id", text.day_letters(F.col("open_days")).alias("letters"))
+
+
+@query(f"""WITH {_SITES_SQL}, {_RULES_SQL}, {_REVIEW_SQL} SELECT place_id, keep, note FROM final WHERE keep <> 0""")
+def sites_after_review(spark, sf_dir):
+    """What each stage reads: the review file applied, then the kept ones."""
+    return discover.kept_sites(keep_review_override(spark, sf_dir))
+
+
+_FEW_HITS_SQL = """few AS (SELECT split_part(p_name, ' ', 1) AS keyword, 'h' || (p_partkey * 7 // 11) AS place_id FROM part),
+found AS (SELECT place_id, string_agg(DISTINCT keyword, '|' ORDER BY keyword) AS keywords FROM few GROUP BY 1)"""
+
+
+@query(f"WITH {_FEW_HITS_SQL} SELECT keywords, count(*) AS n FROM found WHERE keywords <> '' AND NOT contains(keywords, '|') GROUP BY 1")
+def single_keyword_places(spark, sf_dir):
+    """As single_keyword_report, where a place has one or two hits."""
+    hits = _hits(spark, sf_dir).withColumn("place_id", F.expr("concat('h', cast(seq * 7 div 11 as string))"))
+    return discover.single_keyword_report(discover.merge_hits(hits))
+
+
 def _around_sql(pois: str, value: str, radii=RADII) -> str:
     return ", ".join(f"{value.format(r=r)} AS v{r}" for r in radii)
 
@@ -472,7 +516,36 @@ def landuse_items(spark, sf_dir):
     return surround.area_items(sites(spark, sf_dir), _rings(spark, sf_dir), RADII, "industrial")
 
 
-@query()
+_RECTS_SQL = """rects AS (SELECT ord AS ring_id, lat - h AS y0, lat + h AS y1, lng - w AS x0, lng + w AS x1
+  FROM (SELECT *, 0.0009e0 + (ord % 5) * 0.0004e0 AS h, 0.0009e0 + (ord % 3) * 0.0007e0 AS w FROM estates))"""
+
+
+def _flat(lat: str, lng: str, site: str = "a") -> str:
+    """Metres from a place to the rectangle r in a site's flat projection, as SQL."""
+    east = f"greatest(r.x0 - {lng}, {lng} - r.x1, 0) * {surround.FLAT_M}e0 * cos(radians({site}.lat))"
+    north = f"greatest(r.y0 - {lat}, {lat} - r.y1, 0) * {surround.FLAT_M}e0"
+    return f"sqrt(pow({east}, 2) + pow({north}, 2))"
+
+
+@query(f"""WITH {_SITES_SQL}, {_ESTATES_SQL}, {_RECTS_SQL}, d AS (SELECT a.place_id, r.ring_id, {_flat("a.lat", "a.lng")} AS d FROM sites a CROSS JOIN rects r)
+SELECT place_id, ring_id, CAST(round_even(d, 0) AS INTEGER) AS metres FROM d WHERE d <= 1500""")
+def ring_metres(spark, sf_dir):
+    """Which polygons meet a site's circle, and how far they are."""
+    return surround.ring_metres(sites(spark, sf_dir), _rings(spark, sf_dir), 1500)
+
+
+@query(f"""WITH RECURSIVE {_SITES_SQL}, {_SHOPS_SQL}, {_ESTATES_SQL}, {_RECTS_SQL}, radii AS (SELECT unnest([1500, 3000]) AS m),
+touched AS (SELECT a.place_id, m, r.ring_id FROM sites a CROSS JOIN rects r CROSS JOIN radii WHERE {_flat("a.lat", "a.lng")} <= m),
+met AS (SELECT r.ring_id AS a, q.ring_id AS b FROM rects r JOIN rects q ON r.x0 < q.x1 AND q.x0 < r.x1 AND r.y0 < q.y1 AND q.y0 < r.y1 AND r.ring_id <> q.ring_id),
+edges AS (SELECT t.place_id, t.m, met.a, met.b FROM touched t JOIN met ON met.a = t.ring_id JOIN touched u ON u.place_id = t.place_id AND u.m = t.m AND u.ring_id = met.b),
+reach AS (SELECT place_id, m, ring_id, ring_id AS other FROM touched UNION SELECT x.place_id, x.m, x.ring_id, e.b FROM reach x JOIN edges e ON e.place_id = x.place_id AND e.m = x.m AND e.a = x.other),
+campuses AS (SELECT place_id, m, count(DISTINCT root) AS n FROM (SELECT place_id, m, ring_id, min(other) AS root FROM reach GROUP BY ALL) GROUP BY ALL),
+beside AS (SELECT b.ord, r.* FROM shops b JOIN rects r ON b.lat BETWEEN r.y0 - 0.0001 AND r.y1 + 0.0001 AND b.lng BETWEEN r.x0 - 0.0001 AND r.x1 + 0.0001),
+within_r AS (SELECT a.place_id, a.lat, b.ord, b.lat AS nlat, b.lng AS nlng, m FROM sites a CROSS JOIN shops b CROSS JOIN radii WHERE {_D} <= m),
+covered AS (SELECT DISTINCT a.place_id, a.m, a.ord FROM within_r a JOIN beside r ON r.ord = a.ord JOIN touched t ON t.place_id = a.place_id AND t.m = a.m AND t.ring_id = r.ring_id WHERE {_flat("a.nlat", "a.nlng")} <= 1),
+nodes AS (SELECT place_id, m, count(*) AS n FROM within_r ANTI JOIN covered USING (place_id, m, ord) GROUP BY ALL)
+SELECT place_id, 'campus_' || m AS col, CAST(coalesce(c.n, 0) + coalesce(k.n, 0) AS DOUBLE) AS value
+FROM (SELECT place_id, m FROM sites CROSS JOIN radii) LEFT JOIN campuses c USING (place_id, m) LEFT JOIN nodes k USING (place_id, m)""")
 def campus_count(spark, sf_dir):
     nodes = shops(spark, sf_dir).select("lat", "lng", "name")
     return surround.campus_measures(sites(spark, sf_dir), _rings(spark, sf_dir), nodes, (1500, 3000), "campus")
