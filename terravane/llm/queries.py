@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -146,6 +147,57 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard.similar_groups(table(spark, sf_dir, "documents"))
 
 
+def secret_base_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts of op1's fixed rules alone, which SQL can express."""
+    return op1_secret_scan(spark, sf_dir).select("doc_id", "n_assign", "n_access", "n_hex")
+
+
+def _either_case(words: str) -> str:
+    return re.sub("[a-z]", lambda m: f"[{m[0].upper()}{m[0]}]", words)
+
+
+_KEYS = _either_case("password|passwd|secret|token|api_?key")
+SECRET_BASE_SQL = f"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS x FROM documents)
+SELECT doc_id,
+  len(list_filter(regexp_extract_all(x, '({_KEYS})["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 2), lambda g: length(g) >= 6)) AS n_assign,
+  len(list_filter(regexp_extract_all(x, 'AKIA[A-Z0-9]+'), lambda g: length(g) >= 20)) AS n_access,
+  len(list_filter(regexp_extract_all(x, '[0-9a-f]+'), lambda g: length(g) >= 24)) AS n_hex
+FROM t
+"""
+
+
+def license_base_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op5's places of the fixed phrases alone, which SQL can express."""
+    return op5_license_scan(spark, sf_dir).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels")
+
+
+def _places_sql(phrase: str) -> str:
+    words = phrase.split()
+    return f"list_filter(range(0, len(w)), lambda i: w[i + 1:i + {len(words)}] = {words!r})"
+
+
+_UPPER = "".join(map(chr, range(65, 91)))
+LICENSE_BASE_SQL = f"""
+WITH t AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), p AS (SELECT doc_id, len(w) AS n, {", ".join(f"{_places_sql(p)} AS p{i}" for i, (p, _) in enumerate(license_scan.PHRASES))} FROM t
+), a AS (
+  SELECT *, list_concat({", ".join(f"p{i}" for i in range(len(license_scan.PHRASES)))}) AS every,
+    list_sort(list_distinct(list_filter([{", ".join(f"CASE WHEN len(p{i}) > 0 THEN {label!r} END" for i, (_, label) in enumerate(license_scan.PHRASES))}], lambda x: x IS NOT NULL))) AS labels
+  FROM p)
+SELECT doc_id, n AS n_words, len(every) AS n_base, list_min(every) AS first_word, list_max(every) AS last_word,
+  coalesce(array_to_string(labels, ','), '') AS base_labels
+FROM a
+"""
+
+
+def token_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op8's numbers of bytes alone, which SQL can express."""
+    return op8_token_count(spark, sf_dir).select("doc_id", "n_bytes")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_quality": op2_quality,
@@ -157,5 +209,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_count": op8_token_count,
     "op9_mix_sources": op9_mix_sources,
     "op10_ngram_jaccard": op10_ngram_jaccard,
+    "secret_base_counts": secret_base_counts,
+    "license_base_places": license_base_places,
+    "token_bytes": token_bytes,
+}
+SQL = {
+    "op3_bitsliced_topk": OP3_SQL,
+    "op9_mix_sources": _mix_sql(MIX_WEIGHTS, MIX_SHARE),
+    "secret_base_counts": SECRET_BASE_SQL,
+    "license_base_places": LICENSE_BASE_SQL,
+    "token_bytes": "SELECT doc_id, CAST(strlen(coalesce(text, '')) AS BIGINT) AS n_bytes FROM documents",
 }
-SQL = {"op3_bitsliced_topk": OP3_SQL, "op9_mix_sources": _mix_sql(MIX_WEIGHTS, MIX_SHARE)}
