@@ -38,10 +38,10 @@ def percentile_of(counts: DataFrame) -> DataFrame:
     return counts.select("measure", "value", ((F.col("before") + (F.col("n") + 1) / F.lit(2.0)) / F.col("total")).alias("pct"))
 
 
-def percentiles(df: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
+def percentiles(df: DataFrame, key: str, cols: Sequence[str], stored: bool = False) -> DataFrame:
     """key with one column for each of cols: the percentile rank of its value (ties share their mean rank, nulls are not
-    ranked and stay null). Rows with equal keys share a row."""
-    values = written(long_form(df, key, cols), "values")
+    ranked and stay null). Rows with equal keys share a row. stored: df only reads a table, so reading it twice is cheap."""
+    values = long_form(df, key, cols) if stored else written(long_form(df, key, cols), "values")
     ranked = values.join(percentile_of(running_counts(values)), ["measure", "value"])
     wide = ranked.groupBy("key").pivot("measure", list(cols)).agg(F.max("pct"))
     return df.select(F.col(key).alias("key")).distinct().join(wide, "key", "left").withColumnRenamed("key", key)

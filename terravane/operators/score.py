@@ -97,7 +97,7 @@ def score(df: DataFrame, pillars: Mapping[str, Pillar], top_pct: float = 30, sca
     scaled = [f"m_{m}" for m in measures if scales.get(m) == "minmax"]
     values = named.select(key)
     if ranked:
-        values = values.join(percentiles(named, key, ranked), key)
+        values = values.join(percentiles(named, key, ranked, stored=True), key)
     if scaled:
         values = values.join(min_max(named.select(key, *scaled), scaled), key)
     value = lambda m: F.coalesce(F.col(f"`m_{m}`"), F.lit(0.5))
@@ -105,7 +105,7 @@ def score(df: DataFrame, pillars: Mapping[str, Pillar], top_pct: float = 30, sca
     total = half_even(mean_of([(F.col(f"`p_{p}`"), pillars[p].weight) for p in parts]) * 100, 1)
     rounded = points.withColumn("score", total)
     tagged = [p for p in parts if pillars[p].tag]
-    pct = percentiles(rounded, key, ["score", *(f"p_{p}" for p in tagged)])
+    pct = percentiles(rounded, key, ["score", *(f"p_{p}" for p in tagged)], stored=True)
     pct = pct.select(key, F.col("score").alias("_pct"), *(F.col(f"`p_{p}`").alias(f"t_{p}") for p in tagged))
     cut = 1 - top_pct / 100
     profile = F.concat_ws(", ", *(F.when(F.col(f"`t_{p}`") >= cut, F.lit(pillars[p].tag)) for p in tagged)) if tagged else F.lit("")
