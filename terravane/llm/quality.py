@@ -96,6 +96,21 @@ def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray, delta: float =
     return float(np.clip(over_u[best] / max(over_p[best], 1e-9), 0.05, 0.98))
 
 
+def pu_risk(xp, xu, w, bias, prior: float, decay: float = 0.0) -> tuple[float, float, np.ndarray]:
+    """(positive part, negative part, gradient) of the unbiased risk with the logistic loss, at weights w and bias. Where
+    the negative part is below 0, the gradient is that of its opposite alone, as the method says."""
+    sp, su = _sigmoid(xp @ w + bias), _sigmoid(xu @ w + bias)
+    low = 1e-12
+    positive = -prior * np.log(sp + low).mean()
+    negative = -np.log(1 - su + low).mean() + prior * np.log(1 - sp + low).mean()
+    grad_p = prior * (sp - 1) / len(sp)  # of pi * E_p[l(g, +)]
+    minus_u, minus_p = su / len(su), -prior * sp / len(sp)  # of E_u[l(g, -)] and -pi * E_p[l(g, -)]
+    if negative < 0:
+        grad_p, minus_u, minus_p = 0 * grad_p, -minus_u, -minus_p
+    gradient = np.append((grad_p + minus_p) @ xp + minus_u @ xu + decay * w, (grad_p + minus_p).sum() + minus_u.sum())
+    return positive, negative, gradient
+
+
 def fit_pu(positive: np.ndarray, unlabelled: np.ndarray, prior: float | None = None, rounds: int = 600, rate: float = 0.03, decay: float = 2e-3, seed: int = 3) -> Model:
     """Full-batch Adam on the non-negative risk with the logistic loss. Where the negative part of the risk falls below
     0, its gradient is turned round, as the method says."""
@@ -117,14 +132,7 @@ def fit_pu(positive: np.ndarray, unlabelled: np.ndarray, prior: float | None = N
     w, bias = np.zeros(xp.shape[1]), float(np.log(prior / (1 - prior)))
     m = v = np.zeros(len(w) + 1)
     for t in range(1, rounds + 1):
-        sp, su = _sigmoid(xp @ w + bias), _sigmoid(xu @ w + bias)
-        low = 1e-12
-        negative = -np.log(1 - su + low).mean() + prior * np.log(1 - sp + low).mean()
-        grad_p = prior * (sp - 1) / len(sp)  # of pi * E_p[l(g, +)]
-        minus_u, minus_p = su / len(su), -prior * sp / len(sp)  # of E_u[l(g, -)] and -pi * E_p[l(g, -)]
-        if negative < 0:
-            grad_p, minus_u, minus_p = 0 * grad_p, -minus_u, -minus_p
-        g = np.append((grad_p + minus_p) @ xp + minus_u @ xu + decay * w, (grad_p + minus_p).sum() + minus_u.sum())
+        _, _, g = pu_risk(xp, xu, w, bias, prior, decay)
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         step = rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
         w, bias = w - step[:-1], bias - step[-1]

@@ -1,3 +1,4 @@
+import math
 import random
 import zlib
 
@@ -70,3 +71,33 @@ def test_features_do_not_depend_on_the_batch():
     together = Q.features(pa.array(texts))
     alone = np.vstack([Q.features(pa.array([t], pa.string())) for t in texts])
     assert np.allclose(together, alone) and together.shape[1] == Q.N_FEATURES
+
+
+def test_risk_and_gradient_equal_plain_ones():
+    """The risk by its formula, row by row, and the gradient by differences of it."""
+    rng = np.random.default_rng(4)
+    xp, xu = rng.normal(0.5, 1, (30, 4)), rng.normal(-0.2, 1, (50, 4))
+    loss = lambda z: math.log1p(math.exp(-z))
+    for bias, prior in ((0.1, 0.4), (-3.0, 0.95)):
+        w = rng.normal(0, 0.5, 4)
+        score = lambda x, v: float(x @ v[:4] + v[4])
+
+        def parts(v, prior=prior):
+            up = prior * sum(loss(score(x, v)) for x in xp) / len(xp)
+            down = sum(loss(-score(x, v)) for x in xu) / len(xu) - prior * sum(loss(-score(x, v)) for x in xp) / len(xp)
+            return up, down
+
+        at = np.append(w, bias)
+        positive, negative, gradient = Q.pu_risk(xp, xu, w, bias, prior)
+        assert np.allclose([positive, negative], parts(at), atol=1e-9)
+        target = (lambda v: sum(parts(v))) if negative >= 0 else (lambda v: -parts(v)[1])
+        step = 1e-6 * np.eye(5)
+        plain = [(target(at + d) - target(at - d)) / 2e-6 for d in step]
+        assert np.allclose(gradient, plain, atol=1e-6)
+
+
+def test_labels_with_clashing_names(spark):
+    docs = spark.createDataFrame([(i, "word " * (i + 3)) for i in range(30)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, "other", "x") for i in range(0, 30, 2)], "doc_id long, quality int, text string, lang string")
+    model = Q.fit_quality(docs, labels)
+    assert Q.score_quality(docs, model).count() == 30
