@@ -14,7 +14,7 @@ from ..functions.storage import discard, written
 
 
 #: So few edges need no tables inside a round: even if all were a hub's, one task could hold them.
-FEW = 1 << 16
+FEW = 1 << 13
 
 
 def _star(edges: DataFrame, large: bool, few: bool) -> tuple[DataFrame, list[DataFrame]]:
