@@ -67,15 +67,16 @@ def mix_sources(docs: DataFrame, weights: Mapping[str, Mapping[str, float]], sha
 
     weights: by level, the weight of a node among its siblings (1 where none is given, 0: none of it). The root's
     budget is share * all tokens. Null levels count as an empty name, null texts as 0 tokens; rows that repeat are
-    counted and selected each; a leaf without tokens gives nothing; an empty table gives no rows. Columns of docs other
+    counted and selected each; a leaf without tokens gives nothing; an empty table gives no rows. What a leaf's last
+    prefix leaves of its budget, less than one document, is not dealt out again. Columns of docs other
     than id, text and those that levels read are not used, so names cannot clash.
     """
     levels = levels or {"domain": domain_of(), "lang": F.col("lang"), "source": F.col("source")}
     names = list(levels)
     base = written(docs.select(F.col(id_col).alias("_id"), *(F.coalesce(c.cast("string"), F.lit("")).alias(k) for k, c in levels.items()), token_count(text).alias("_n")), "mix-base")
     leaves = written(base.groupBy(*names).agg(F.sum("_n").alias("tokens"), (F.sum("_n") * max_epochs).alias("capacity")), "mix-leaves")
-    root = F.floor(F.sum("tokens").over(W.partitionBy(F.lit(0))) * share)
-    leaves = leaves.withColumn("_root", root)
+    root = leaves.agg(F.floor(F.sum("tokens") * share).alias("_root"))
+    leaves = leaves.join(F.broadcast(root), F.lit(True))  # one row
     plan = allocate(leaves, names, weights, F.col("_root")).filter("tokens > 0").select(
         *names, F.expr("cast(budget div tokens as int)").alias("_whole"), F.expr("budget % tokens").alias("_rest"))
     plan = written(plan, "mix-plan")
