@@ -51,3 +51,14 @@ def test_decontaminated_decides_by_row(spark, tmp_path):
     docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
     got = sorted(((r.doc_id, r.text) for r in P.decontaminated(spark, docs, str(tmp_path)).collect()), key=repr)
     assert got == sorted([(None, "a clean text"), (4, "another clean text"), (6, None), (None, None)], key=repr)
+
+
+def test_empty_tables(spark, tmp_path):
+    rows = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame([], rows).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert P.run(spark, str(tmp_path)).count() == 0
+    docs = spark.createDataFrame([(1, "some words", "en", "s1", 10), (None, None, None, None, None)], rows)
+    for _, stage in P.STAGES[:-1]:  # nothing to learn from and nothing to look for: no row goes
+        assert stage(spark, docs, str(tmp_path)).count() == 2
