@@ -16,7 +16,8 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the documents that the quality model predicts as good."""
+    """Keeps the rows that the quality model predicts as good. A null text is scored as an empty one; rows that repeat, and
+    rows of one id or of none, are decided each; without labelled rows the model says 0.5 and all rows stay."""
     model = quality.fit_quality(docs, table(spark, sf_dir, "labels"))
     return quality.score_quality(docs.select(*COLUMNS), model).filter("predicted = 1").select(*COLUMNS)
 
@@ -36,21 +37,23 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents that hold a benchmark passage: rows are told by their texts, whatever their ids."""
+    """Drops the documents that hold a benchmark passage: rows are told by their texts, whatever their ids, so that null
+    and repeated ids neither save nor drop another row. Null texts stay; an empty benchmark drops nothing."""
     keyed = docs.select(*COLUMNS, ngram_jaccard.text_key("text").alias("key"))
     found = decontaminate.find_contamination(keyed, table(spark, sf_dir, "benchmark"), id_col="key", every_span=True).select("key").distinct()
     return keyed.join(found, "key", "left_anti").select(*COLUMNS)
 
 
 def secrets_masked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Puts [secret] in the place of every secret; n_chars follows."""
+    """Puts [secret] in the place of every secret; n_chars follows. No row is dropped, a null text stays null."""
     scanned = secret_scan.scan_secrets(docs.select(*COLUMNS), mask="[secret]")
     changed = F.size("secret_spans") > 0
     return scanned.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*COLUMNS)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents and epochs that meet the target weights."""
+    """The documents and epochs that meet the target weights. Null languages and sources count as an empty name, null texts
+    as no tokens; rows that repeat are counted and selected each; an empty table gives no rows."""
     return mixing.mix_sources(docs, MIX_WEIGHTS, MIX_SHARE)
 
 
