@@ -138,7 +138,7 @@ def run(stage: str, cfg: dict, data: str, args) -> None:
         if not args.extract or not Path(args.extract).exists():
             raise files.MissingStage("extract needs --pbf FILE or --xml FILE")
         rows = osm.extract(args.extract, cfg["area"]["bbox"], point_features(sc), sc.get("osm_area") or {}, sc.get("osm_campus") or {})
-        osm.layers(spark, rows).write.mode("overwrite").partitionBy("layer").parquet(f"{data}/layers")
+        osm.write_layers(spark, rows, f"{data}/layers")
     elif stage == "surround":
         layers = spark.read.parquet(f"{data}/layers") if files.exists(spark, f"{data}/layers") else None
         counted = spark.read.parquet(f"{data}/counted") if files.exists(spark, f"{data}/counted") else None
