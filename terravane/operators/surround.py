@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import polygons as P
 from ..functions.geo import FLAT_M, radius_pairs
+from ..functions.storage import written
 from ..functions.text import blank, slug
 
 MOST_ITEMS = 50
@@ -193,10 +194,15 @@ def campus_items(sites: DataFrame, rings: DataFrame, nodes: DataFrame, radii: Se
 
 
 def campus_measures(sites: DataFrame, rings: DataFrame, nodes: DataFrame, radii: Sequence[int], name: str) -> DataFrame:
-    """(place_id, col, value): the number of institutions that campus_items lists."""
-    found = campus_items(sites, rings, nodes, radii, name).groupBy("place_id", "col").agg(F.count("*").cast("double").alias("value"))
-    grid = sites.select("place_id", F.explode(F.array(*(F.lit(f"{name}_{r}") for r in radii))).alias("col"))
-    return grid.join(found, ["place_id", "col"], "left").select("place_id", "col", F.coalesce("value", F.lit(0.0)).alias("value"))
+    """(place_id, col, value): the number of institutions that campus_items lists. Only nodes beside some ring's box can be
+    part of a campus; all others are counted by distance alone, without a row for each site and node."""
+    places = nodes.select(F.lit("").alias("place_id"), "lat", "lng")
+    beside = written(_near_rings(places, rings, 2.0).select("lat", "lng").distinct(), "nodes-beside")
+    named = nodes.select("lat", "lng", "name").withColumn("ord", F.xxhash64("lat", "lng", "name"))
+    apart = radius_measures(sites, named.join(beside, ["lat", "lng"], "left_anti"), radii, name)
+    listed = campus_items(sites, rings, named.join(beside, ["lat", "lng"], "left_semi"), radii, name)
+    found = listed.groupBy("place_id", "col").agg(F.count("*").cast("double").alias("value"))
+    return found.unionByName(apart.select("place_id", "col", F.col("value").cast("double"))).groupBy("place_id", "col").agg(F.sum("value").alias("value"))
 
 
 def items_json(items: DataFrame, most: int = MOST_ITEMS) -> DataFrame:
