@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bitsliced, decontaminate, license_scan, lm_score, mixing, ngram_jaccard, quality, secret_scan, suffix_dedup, token_count
+from . import bitsliced, decontaminate, license_scan, lm_score, mixing, ngram_jaccard, quality, quantile_summary, secret_scan, suffix_dedup, token_count
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -147,6 +147,94 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard.similar_groups(table(spark, sf_dir, "documents"))
 
 
+#: Points of a summary, quantiles asked for, rows that a reported summary has at least.
+SUMMARY_POINTS, QUANTILES, SUMMARY_ROWS = 256, 4, 20
+
+
+def _money_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(stream, grp, batch, x) of both streams. Rows of one click_id agree here; of others the least is taken. A null id
+    counts as an empty text."""
+    each = table(spark, sf_dir, "clicks").groupBy("click_id").agg(F.min(F.struct("client_id", "value")).alias("c"))
+    clicks = each.select(F.lit("value").alias("stream"), F.col("c.client_id").cast("string").alias("grp"), F.col("click_id").alias("id"), F.col("c.value").alias("money"))
+    lines = table(spark, sf_dir, "sale_lines").join(table(spark, sf_dir, "items"), "item_id")
+    prices = lines.select(F.lit("price").alias("stream"), F.col("brand").alias("grp"), F.col("vendor_id").alias("id"), F.col("price").alias("money"))
+    batch = F.pmod(quantile_summary.decimal_crc("id"), F.lit(4)).cast("int")
+    rows = clicks.unionByName(prices).withColumn("batch", batch)
+    return rows.select("stream", "grp", "batch", (quantile_summary.cents("money") + 1000 * F.col("batch")).alias("x"))
+
+
+def op13_quantile_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quantile_summary.quantile_report(_money_rows(spark, sf_dir), ["stream", "grp"], SUMMARY_POINTS, QUANTILES, SUMMARY_ROWS)
+
+
+def _crc_table() -> list[int]:
+    out = []
+    for c in range(256):
+        for _ in range(8):
+            c = (c >> 1) ^ (0xEDB88320 if c & 1 else 0)
+        out.append(c)
+    return out
+
+
+def _crc_sql(data: str) -> str:
+    """crc32 of a list of byte values."""
+    step = f"xor(c >> 8, CAST({_crc_table()!r} AS BIGINT[])[1 + (xor(c, b) & 255)])"
+    return f"xor(list_reduce({data}, lambda c, b: {step}, 4294967295::BIGINT), 4294967295)"
+
+
+OP13_SQL = f"""
+WITH ids AS (
+  SELECT id, {_crc_sql("list_transform(range(1, 1 + len(t)), lambda i: CAST(ascii(t[i]) AS BIGINT))")} % 4 AS batch
+  FROM (SELECT id, coalesce(CAST(id AS VARCHAR), '') AS t FROM (SELECT click_id AS id FROM clicks UNION SELECT vendor_id FROM sale_lines))
+), money AS (
+  SELECT 'value' AS stream, CAST(any_value(client_id) AS VARCHAR) AS grp, click_id AS id, any_value(value) AS m FROM clicks GROUP BY click_id
+  UNION ALL
+  SELECT 'price', brand, vendor_id, price FROM sale_lines JOIN items USING (item_id)
+), r AS (
+  SELECT stream, grp, CAST(batch AS INTEGER) AS batch, CAST(floor(100 * m + 0.5) AS BIGINT) + 1000 * batch AS x
+  FROM money JOIN ids ON money.id IS NOT DISTINCT FROM ids.id WHERE grp IS NOT NULL AND m IS NOT NULL AND isfinite(m)
+), both_ways AS (SELECT * FROM r UNION ALL SELECT stream, grp, -1, x FROM r
+), ranks AS (
+  SELECT *, sum(c) OVER g AS upto, sum(c) OVER g - c AS before, sum(c) OVER (PARTITION BY stream, grp, batch) AS n,
+    row_number() OVER g AS place, count(*) OVER (PARTITION BY stream, grp, batch) AS nv
+  FROM (SELECT stream, grp, batch, x, count(*) AS c FROM both_ways GROUP BY ALL)
+  WINDOW g AS (PARTITION BY stream, grp, batch ORDER BY x)
+), kept AS (
+  SELECT stream, grp, batch, x, upto AS lo, before AS hi, n FROM ranks
+  WHERE batch >= 0 AND ({SUMMARY_POINTS} * upto // n > {SUMMARY_POINTS} * before // n OR before = 0
+    OR {quantile_summary.LEAST} * place // nv > {quantile_summary.LEAST} * (place - 1) // nv)
+), xs AS (SELECT DISTINCT stream, grp, x FROM kept
+), per_batch AS (
+  SELECT xs.stream, xs.grp, xs.x, k.batch, coalesce(max(k.lo) FILTER (k.x <= xs.x), 0) AS lo,
+    coalesce(min(k.hi) FILTER (k.x >= xs.x), any_value(k.n)) AS hi, any_value(k.n) AS n
+  FROM xs JOIN kept k USING (stream, grp) GROUP BY ALL
+), sums AS (
+  SELECT stream, grp, x, sum(lo) AS lo, sum(hi) AS hi, sum(n) AS n FROM per_batch GROUP BY ALL
+), merged AS (
+  SELECT *, lag({SUMMARY_POINTS} * lo // n, 1, -1) OVER g AS last, row_number() OVER g AS place, count(*) OVER (PARTITION BY stream, grp) AS nv
+  FROM sums WINDOW g AS (PARTITION BY stream, grp ORDER BY x)
+), points AS (
+  SELECT * FROM kept
+  UNION ALL
+  SELECT stream, grp, -1, x, lo, hi, n FROM merged
+  WHERE {SUMMARY_POINTS} * lo // n > last OR {quantile_summary.LEAST} * place // nv > {quantile_summary.LEAST} * (place - 1) // nv
+), told AS (
+  SELECT stream, grp, batch, i, any_value(n) AS n, any_value(target) AS target, count(*) AS points,
+    arg_min(x, CAST(greatest(target - lo, hi + 1 - target) * 1e9 AS HUGEINT) * 1000000 + place) AS answer
+  FROM (SELECT *, (i * n + {QUANTILES - 1}) // {QUANTILES} AS target, row_number() OVER (PARTITION BY stream, grp, batch, i ORDER BY x) AS place
+        FROM points, (SELECT unnest(range(1, {QUANTILES})) AS i) WHERE n >= {SUMMARY_ROWS})
+  GROUP BY ALL
+)
+SELECT t.stream, t.grp, t.batch, CAST(t.i AS INTEGER) AS i, CAST(t.n AS BIGINT) AS n, CAST(target AS BIGINT) AS target, e.x AS exact_x, points, answer,
+  CAST(a.before AS BIGINT) AS n_below, CAST(a.upto AS BIGINT) AS n_upto,
+  CAST(greatest(0, a.before + 1 - target, target - a.upto) AS BIGINT) AS rank_error,
+  1000 * greatest(0, a.before + 1 - target, target - a.upto) <= 20 * t.n AS within
+FROM told t
+JOIN ranks a ON (a.stream, a.grp, a.batch, a.x) = (t.stream, t.grp, t.batch, t.answer)
+JOIN ranks e ON (e.stream, e.grp, e.batch) = (t.stream, t.grp, t.batch) AND e.before < target AND target <= e.upto
+"""
+
+
 def secret_base_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The counts of op1's fixed rules alone, which SQL can express."""
     return op1_secret_scan(spark, sf_dir).select("doc_id", "n_assign", "n_access", "n_hex")
@@ -209,6 +297,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_count": op8_token_count,
     "op9_mix_sources": op9_mix_sources,
     "op10_ngram_jaccard": op10_ngram_jaccard,
+    "op13_quantile_summary": op13_quantile_summary,
     "secret_base_counts": secret_base_counts,
     "license_base_places": license_base_places,
     "token_bytes": token_bytes,
@@ -216,6 +305,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 SQL = {
     "op3_bitsliced_topk": OP3_SQL,
     "op9_mix_sources": _mix_sql(MIX_WEIGHTS, MIX_SHARE),
+    "op13_quantile_summary": OP13_SQL,
     "secret_base_counts": SECRET_BASE_SQL,
     "license_base_places": LICENSE_BASE_SQL,
     "token_bytes": "SELECT doc_id, CAST(strlen(coalesce(text, '')) AS BIGINT) AS n_bytes FROM documents",
