@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bitsliced, decontaminate, license_scan, lm_score, mixing, ngram_jaccard, quality, quantile_summary, secret_scan, suffix_dedup, token_count
+from . import bitsliced, decontaminate, importance, license_scan, lm_score, mixing, ngram_jaccard, quality, quantile_summary, secret_scan, suffix_dedup, token_count
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -147,6 +147,14 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard.similar_groups(table(spark, sf_dir, "documents"))
 
 
+#: Longest run of words, buckets, percent of the documents drawn, least words of one that can be drawn.
+RESAMPLE = {"n": 2, "buckets": 10_000, "percent": 25, "least_words": 20}
+
+
+def op12_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), seed="7", **RESAMPLE)
+
+
 #: Points of a summary, quantiles asked for, rows that a reported summary has at least.
 SUMMARY_POINTS, QUANTILES, SUMMARY_ROWS = 256, 4, 20
 
@@ -235,6 +243,41 @@ JOIN ranks e ON (e.stream, e.grp, e.batch) = (t.stream, t.grp, t.batch) AND e.be
 """
 
 
+_HEX = "(strpos('0123456789ABCDEF', h[{0}]) - 1)"
+OP12_SQL = f"""
+WITH t AS (
+  SELECT 0 AS side, row_number() OVER () AS row, doc_id, text FROM documents
+  UNION ALL SELECT 1, NULL, NULL, text FROM benchmark
+), w AS (
+  SELECT side, row, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{"".join(map(chr, range(65, 91)))}', '{"".join(map(chr, range(97, 123)))}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM t
+), g AS (
+  SELECT side, row, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS f FROM w
+), buckets AS (
+  SELECT f, {_crc_sql(f"list_transform(range(1, len(h), 2), lambda i: CAST(16 * {_HEX.format('i')} + {_HEX.format('i + 1')} AS BIGINT))")} % {RESAMPLE["buckets"]} AS bucket
+  FROM (SELECT f, hex(f) AS h FROM (SELECT DISTINCT f FROM g))
+), counts AS (
+  SELECT bucket, count(*) FILTER (side = 0) AS s, count(*) FILTER (side = 1) AS t FROM g JOIN buckets USING (f) GROUP BY bucket
+), totals AS (SELECT CAST(sum(s) AS DOUBLE) AS sa, CAST(sum(t) AS DOUBLE) AS ta FROM counts
+), gains AS (
+  SELECT bucket, CAST(floor(1000 * ln((t + 1)::DOUBLE * (sa + {RESAMPLE["buckets"]}) / ((s + 1)::DOUBLE * (ta + {RESAMPLE["buckets"]})))) AS BIGINT) AS gain FROM counts, totals
+), weights AS (
+  SELECT row, count(*) AS n, CAST(floor(sum(gain) / count(*)) AS BIGINT) AS weight FROM g JOIN buckets USING (f) JOIN gains USING (bucket) WHERE side = 0 GROUP BY row
+), hashed AS (
+  SELECT row, doc_id, len(w) AS words, substr(upper(sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), ''))), 1, 8) AS h FROM w WHERE side = 0
+), scored AS (
+  SELECT doc_id, row, words, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln(({" + ".join(f"{_HEX.format(i + 1)} * {16 ** (7 - i)}" for i in range(8))} + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+  FROM hashed LEFT JOIN weights USING (row)
+), ranked AS (
+  SELECT *, CASE WHEN words >= {RESAMPLE["least_words"]} THEN row_number() OVER (PARTITION BY words >= {RESAMPLE["least_words"]} ORDER BY score DESC, doc_id) END AS place,
+    {RESAMPLE["percent"]} * count(*) FILTER (words >= {RESAMPLE["least_words"]}) OVER () // 100 AS k
+  FROM scored
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= k THEN place END AS rank FROM ranked
+"""
+
+
 def secret_base_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The counts of op1's fixed rules alone, which SQL can express."""
     return op1_secret_scan(spark, sf_dir).select("doc_id", "n_assign", "n_access", "n_hex")
@@ -297,6 +340,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_count": op8_token_count,
     "op9_mix_sources": op9_mix_sources,
     "op10_ngram_jaccard": op10_ngram_jaccard,
+    "op12_resample": op12_resample,
     "op13_quantile_summary": op13_quantile_summary,
     "secret_base_counts": secret_base_counts,
     "license_base_places": license_base_places,
@@ -305,6 +349,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 SQL = {
     "op3_bitsliced_topk": OP3_SQL,
     "op9_mix_sources": _mix_sql(MIX_WEIGHTS, MIX_SHARE),
+    "op12_resample": OP12_SQL,
     "op13_quantile_summary": OP13_SQL,
     "secret_base_counts": SECRET_BASE_SQL,
     "license_base_places": LICENSE_BASE_SQL,
