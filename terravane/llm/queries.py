@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bitsliced, decontaminate, importance, license_scan, lm_score, mixing, ngram_jaccard, quality, quantile_summary, secret_scan, suffix_dedup, token_count
+from . import bbit_minhash, bitsliced, decontaminate, importance, license_scan, lm_score, mixing, ngram_jaccard, quality, quantile_summary, secret_scan, suffix_dedup, token_count
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -147,6 +147,10 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard.similar_groups(table(spark, sf_dir, "documents"))
 
 
+def op11_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bbit_minhash.near_duplicates(table(spark, sf_dir, "documents"), n=3, threshold="0.85")
+
+
 #: Longest run of words, buckets, percent of the documents drawn, least words of one that can be drawn.
 RESAMPLE = {"n": 2, "buckets": 10_000, "percent": 25, "least_words": 20}
 
@@ -243,6 +247,29 @@ JOIN ranks e ON (e.stream, e.grp, e.batch) = (t.stream, t.grp, t.batch) AND e.be
 """
 
 
+OP11_SQL = """
+WITH RECURSIVE t AS (
+  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{lower}'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), g AS (
+  SELECT DISTINCT row, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS f FROM t
+), coded AS (
+  SELECT row, n, code FROM g JOIN (SELECT f, row_number() OVER () AS code, count(*) AS holders FROM g GROUP BY f) USING (f)
+    JOIN (SELECT row, count(*) AS n FROM g GROUP BY row) USING (row) WHERE holders > 1
+), links AS MATERIALIZED (
+  SELECT a.row AS a, b.row AS b
+  FROM coded a JOIN coded b ON a.code = b.code AND a.row <> b.row AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+  GROUP BY a.row, b.row, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), reach AS (
+  SELECT row AS a, row AS b FROM t
+  UNION
+  SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+), least AS (SELECT reach.a AS row, min(doc_id) AS component_id FROM reach JOIN t ON t.row = reach.b GROUP BY reach.a
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id IS NOT DISTINCT FROM component_id AS kept
+FROM t JOIN least USING (row) LEFT JOIN (SELECT row, count(*) AS n FROM g GROUP BY row) USING (row)
+""".format(upper="".join(map(chr, range(65, 91))), lower="".join(map(chr, range(97, 123))))
+
 _HEX = "(strpos('0123456789ABCDEF', h[{0}]) - 1)"
 OP12_SQL = f"""
 WITH t AS (
@@ -340,6 +367,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_count": op8_token_count,
     "op9_mix_sources": op9_mix_sources,
     "op10_ngram_jaccard": op10_ngram_jaccard,
+    "op11_bbit_minhash": op11_bbit_minhash,
     "op12_resample": op12_resample,
     "op13_quantile_summary": op13_quantile_summary,
     "secret_base_counts": secret_base_counts,
@@ -349,6 +377,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 SQL = {
     "op3_bitsliced_topk": OP3_SQL,
     "op9_mix_sources": _mix_sql(MIX_WEIGHTS, MIX_SHARE),
+    "op11_bbit_minhash": OP11_SQL,
     "op12_resample": OP12_SQL,
     "op13_quantile_summary": OP13_SQL,
     "secret_base_counts": SECRET_BASE_SQL,
