@@ -87,37 +87,59 @@ def doc_grams(docs: DataFrame, id_col: str, text: str, k: int = K) -> DataFrame:
     return source.mapInArrow(run, schema)
 
 
-def copies_of(hits: list[tuple[int, int]], n: int, cover: float, most: int) -> list[tuple[int, int, int]]:
-    """(start, length, covered) of spans that do not overlap, of `most` words at most, whose hits (document's word,
-    template's word) cover at least `cover` of the template's n words; each is carried on while its hits go on."""
-    hits, out = sorted(hits), []
-    counts, left, r = [0] * n, 0, 0
-
-    def add(j: int, by: int) -> None:
+def copies_of(places: list[int], words: list[int], n: int, cover: float, most: int) -> list[tuple[int, int, int]]:
+    """(start, length, covered) of spans that do not overlap, of `most` words at most, whose hits (a document's word and a
+    template's word, in order) cover at least `cover` of the template's n words; each is carried on while its hits go on.
+    Every hit is added and taken away once, with a running number of covered words."""
+    out: list[tuple[int, int, int]] = []
+    counts, covered, left, r = [0] * n, 0, 0, 0
+    while r < len(places):
+        p, j = places[r], words[r]
         for k in range(j, j + K):
-            counts[k] += by
-
-    while r < len(hits):
-        p, j = hits[r]
-        add(j, 1)
-        while hits[left][0] + most < p + K:
-            add(hits[left][1], -1)
+            covered += not counts[k]
+            counts[k] += 1
+        while places[left] + most < p + K:
+            for k in range(words[left], words[left] + K):
+                counts[k] -= 1
+                covered -= not counts[k]
             left += 1
         r += 1
-        if sum(map(bool, counts)) / n < cover:
+        if covered / n < cover:
             continue
-        start, last = hits[left][0], max(x[1] for x in hits[left:r])
-        while r < len(hits) and hits[r][1] > last and hits[r][0] + K <= start + most:
-            p, last = hits[r]
-            add(last, 1)
+        start, last = places[left], max(words[left:r])
+        while r < len(places) and words[r] > last and places[r] + K <= start + most:
+            p, last = places[r], words[r]
+            for k in range(last, last + K):
+                covered += not counts[k]
+                counts[k] += 1
             r += 1
-        out.append((start, p + K - start, sum(map(bool, counts))))
-        while r < len(hits) and hits[r][0] < p + K:
+        out.append((start, p + K - start, covered))
+        while r < len(places) and places[r] < p + K:
             r += 1
-        counts, left = [0] * n, r
+        counts, covered, left = [0] * n, 0, r
     return out
 
 
+def cut_islands(cover: float, gap: int):
+    """The copies in each island: hits (p, j) and the template's number of words in, spans out, by Arrow batches."""
+    span = pa.list_(pa.struct([("start", pa.int32()), ("length", pa.int32()), ("covered", pa.int32())]))
+
+    @F.arrow_udf("array<struct<start:int,length:int,covered:int>>")
+    def split(hits: pa.Array, n: pa.Array) -> pa.Array:
+        pairs, out = hits.flatten(), []
+        p, j = (np.asarray(pairs.field(i)) for i in (0, 1))
+        order = np.lexsort((j, p))  # within each row
+        row = np.repeat(np.arange(len(hits)), hits.value_lengths().fill_null(0).to_numpy())
+        order = order[np.argsort(row[order], kind="stable")]
+        p, j, ends = p[order].tolist(), j[order].tolist(), np.searchsorted(row, np.arange(len(hits) + 1)).tolist()
+        for i, (there, size) in enumerate(zip(hits.is_valid().to_pylist(), n.to_pylist(), strict=True)):
+            found = copies_of(p[ends[i] : ends[i + 1]], j[ends[i] : ends[i + 1]], size, cover, size + 2 * gap) if there else None
+            out.append(found and [dict(zip(("start", "length", "covered"), x, strict=True)) for x in found])
+        return pa.array(out, span)
+
+    return split
+
+
 def scan_licenses(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -134,8 +156,9 @@ def scan_licenses(
 
     phrases: all places where their words stand consecutively count as base. notices: a span of merged diagonals counts
     when it covers at least `cover` of the notice; of copies that follow each other, each is a match. texts: whole licenses
-    (by default license_texts()), matched as notices are. score is the largest covered share of any template (0 without
-    hits).
+    (by default license_texts()), matched as notices are. A match that lies inside a longer one of another template is part
+    of that one and is left out: a license that names another one in its text gets its own label only. Base places stay
+    wherever they are. score is the largest covered share of any template (0 without hits).
     A null or empty text has 0 words and no labels (empty strings); rows that repeat, and rows of one id, each keep
     their own row; other columns of docs are not read. The templates are broadcast up to most_broadcast k-grams, beyond
     that Spark chooses the join.
@@ -153,7 +176,7 @@ def scan_licenses(
         hits.groupBy("uid", "template", (F.col("pos") - F.col("j")).alias("diagonal"))
         .agg(F.max("__id").alias("__id"), F.max("n_words").alias("n_words"), F.max("label").alias("label"), F.max("is_phrase").alias("is_phrase"), F.max("n").alias("n"), F.collect_set("j").alias("js"))
     )
-    split = F.udf(lambda hits, n: None if hits is None else copies_of(hits, n, cover, n + 2 * gap), "array<struct<start:int,length:int,covered:int>>")
+    split = cut_islands(cover, gap)
     by = W.partitionBy("uid", "template").orderBy("diagonal")
     opens = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(by) > F.when(F.col("is_phrase"), 0).otherwise(gap), F.lit(True))
     islands = (
@@ -170,17 +193,23 @@ def scan_licenses(
         .withColumn("copies", split(F.when(F.col("cut"), F.col("hits")), F.col("n")))
         .withColumn("one", F.when(F.col("is_phrase"), F.col("base")).otherwise((F.col("share") >= cover) & ~F.col("long")))
         .withColumn("spans", F.when(F.col("cut"), F.col("copies")).when(F.col("one"), F.array(F.struct("start", (F.col("end") - F.col("start")).alias("length"), "covered"))))
-        .withColumn("good", F.coalesce(F.size("spans") > 0, F.lit(False)))
     )
+    # spans by start; one is inside another if an earlier one ends no sooner, or a longer one begins with it
+    each = islands.select("*", F.explode_outer("spans").alias("span")).drop("hits", "js", "copies", "spans")
+    end, of_row = F.col("span.start") + F.col("span.length"), W.partitionBy("uid")
+    before = F.max(end).over(of_row.orderBy("span.start").rangeBetween(W.unboundedPreceding, -1))
+    longest = F.max("span.length").over(W.partitionBy("uid", "span.start"))
+    inside = F.coalesce((before >= end) | (longest > F.col("span.length")), F.lit(False))
+    each = each.withColumn("good", F.col("span").isNotNull() & (F.col("base") | ~inside))
     base, good = F.col("base"), F.col("good")
     labels = lambda cond: F.array_join(F.array_sort(F.collect_set(F.when(cond, F.col("label")))), ",")
     return (
-        islands.groupBy("uid")
+        each.groupBy("uid")
         .agg(
             F.max("__id").alias(id_col), F.max("n_words").alias("n_words"), F.count_if(base).cast("long").alias("n_base"),
             F.min(F.when(base, F.col("start"))).cast("long").alias("first_word"), F.max(F.when(base, F.col("start"))).cast("long").alias("last_word"),
             labels(base).alias("base_labels"), labels(good).alias("labels"), F.max(F.least(F.lit(1.0), F.col("share"))).alias("score"),
-            F.array_sort(F.flatten(F.collect_list(F.transform("spans", lambda x: F.struct(F.col("label"), x["start"].alias("start"), x["length"].alias("length"), x["covered"].alias("covered")))))).alias("matches"),
+            F.array_sort(F.collect_list(F.when(good, F.struct("label", F.col("span.start").alias("start"), F.col("span.length").alias("length"), F.col("span.covered").alias("covered"))))).alias("matches"),
         )
         .drop("uid")
     )

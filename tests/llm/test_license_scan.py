@@ -73,7 +73,7 @@ def test_whole_license_texts(spark):
 
 
 def test_labels_and_score_lie_between_plain_bounds(spark):
-    """A copy that stands whole gives its label; a template whose words the document's trigrams cannot cover gives none,
+    """A copy that stands whole gives its label, unless it is part of a longer match; a template whose words the document's trigrams cannot cover gives none,
     and no share is larger than what all trigrams of the document cover."""
     rng = random.Random(9)
     templates = [(p.split(), label) for p, label in [*L.PHRASES, *L.NOTICES]]
@@ -95,8 +95,92 @@ def test_labels_and_score_lie_between_plain_bounds(spark):
             top = max(top, len(covered) / len(p))
             if len(covered) >= 0.8 * len(p):
                 may.add(label)
-            if any(w[i : i + len(p)] == p for i in range(len(w))):
+            alone = lambda i: not any(m.start <= i and i + len(p) <= m.start + m.length and m.length > len(p) for m in r.matches)  # noqa: B023, E731
+            if any(w[i : i + len(p)] == p and alone(i) for i in range(len(w))):
                 must.add(label)
         labels = set(filter(None, r.labels.split(",")))
         assert must <= labels <= may, (texts[r.doc_id], labels)
         assert 0 <= r.score <= top + 1e-12 and (r.score >= 0.8 or not labels) and (r.score > 0) == (top > 0)
+
+
+def plain_islands(w, p, gap):
+    """Hits (document's word, template's word) of one template, cut where diagonals lie more than gap apart."""
+    at = {}
+    for j in range(len(p) - 2):
+        at.setdefault(tuple(p[j : j + 3]), []).append(j)
+    hits = sorted((i - j, i, j) for i in range(len(w) - 2) for j in at.get(tuple(w[i : i + 3]), ()))
+    islands = []
+    for k, (d, i, j) in enumerate(hits):
+        if not k or d - hits[k - 1][0] > gap:
+            islands.append([])
+        islands[-1].append((i, j))
+    return islands
+
+
+def plain_copies(hits, n, cover, most):
+    """As copies_of, every cover counted anew."""
+    size = lambda hs: len({x for _, j in hs for x in (j, j + 1, j + 2)})
+    hits, out, left, r = sorted(hits), [], 0, 0
+    while r < len(hits):
+        while hits[left][0] + most < hits[r][0] + 3:
+            left += 1
+        r += 1
+        if size(hits[left:r]) / n < cover:
+            continue
+        last = max(j for _, j in hits[left:r])
+        while r < len(hits) and hits[r][1] > last and hits[r][0] + 3 <= hits[left][0] + most:
+            last, r = hits[r][1], r + 1
+        end = hits[r - 1][0] + 3
+        out.append((hits[left][0], end - hits[left][0], size(hits[left:r])))
+        while r < len(hits) and hits[r][0] < end:
+            r += 1
+        left = r
+    return out
+
+
+def plain_scan(text, templates, cover=0.8, gap=4):
+    w, spans, score = words(text), [], 0.0
+    for p, label, phrase in templates:
+        for hits in plain_islands(w, p, 0 if phrase else gap):
+            js = [j for _, j in hits]
+            covered = {x for j in js for x in (j, j + 1, j + 2)}
+            share, start, end = len(covered) / len(p), min(i for i, _ in hits), max(i for i, _ in hits) + 3
+            score = max(score, min(1.0, share))
+            if phrase:
+                spans += [(label, start, end - start, len(p), True)] if len(covered) == len(p) else []
+            elif share >= cover:
+                one = end - start <= len(p) + 2 * gap and len(js) == len(set(js))
+                spans += [(label, *x, False) for x in ([(start, end - start, len(covered))] if one else plain_copies(hits, len(p), cover, len(p) + 2 * gap))]
+    inside = lambda a: any(b[2] > a[2] and b[1] <= a[1] and a[1] + a[2] <= b[1] + b[2] for b in spans)
+    kept = sorted(x[:4] for x in spans if x[4] or not inside(x))
+    return ",".join(sorted({x[0] for x in kept})), score, kept
+
+
+def test_equals_brute_force(spark):
+    """Labels, score and matches, whole license texts among them, some cut, changed, repeated or put in others."""
+    rng = random.Random(12)
+    whole = [t for t in L.license_texts() if len(t[0]) < 12000]
+    templates = [(words(p), label, True) for p, label in L.PHRASES] + [(words(p), label, False) for p, label in [*L.NOTICES, *whole]]
+    texts = []
+    for _ in range(120):
+        parts = []
+        for _ in range(rng.randrange(5)):
+            w, _, _ = rng.choice(templates)
+            a, b = sorted(rng.sample(range(len(w) + 1), 2)) if rng.random() < 0.4 else (0, len(w))
+            some = [x if rng.random() < 0.98 else "zz" for x in w[a:b]]
+            parts += some * rng.choice([1, 1, 1, 2, 3]) + ["so"] * rng.choice([0, 0, 1, 6])
+        texts.append(" ".join(parts))
+    got = L.scan_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), texts=whole).collect()
+    for r in got:
+        labels, score, spans = plain_scan(texts[r.doc_id], templates)
+        assert (r.labels, [tuple(m) for m in r.matches]) == (labels, spans), r.doc_id
+        assert abs(r.score - score) < 1e-12
+    assert len({r.labels for r in got}) > 20
+
+
+def test_a_license_has_its_own_label_only(spark):
+    texts = dict((label, t) for t, label in L.license_texts())
+    rows = [(i, texts[label]) for i, label in enumerate(sorted(texts))] + [(99, (texts["gpl-3"] + "\n") * 20), (98, texts["gpl-3"] + " all rights reserved")]
+    got = {r.doc_id: r.labels for r in L.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[99] == "gpl-3" and got[98] == "gpl-3,reserved"
+    assert [got[i] for i, label in enumerate(sorted(texts)) if label.startswith(("gpl", "lgpl", "agpl"))] == [x for x in sorted(texts) if x.startswith(("gpl", "lgpl", "agpl"))]
