@@ -27,8 +27,8 @@ from .textbatch import Words, batches, gram_hash
 
 #: Fixed positions that count; each mask leaves out others.
 MASKS = ((0, 1, 2, 4, 5), (0, 1, 3, 6, 7), (0, 2, 3, 5, 8), (0, 1, 2, 5, 7))
-#: Items of fewer words than this cannot be told from chance and are not searched for unless `shortest` says so.
-LEAST_WORDS = 5
+#: So few seeds of items are broadcast as they are; more go into a Bloom filter.
+FEW_SEEDS = 1 << 16
 #: Equal seeds of one text at places this near each other are one run.
 NEAR = 64
 _FOUND = ["doc_start", "item_start", "n_words", "n_match", "item_words"]
@@ -76,12 +76,6 @@ def item_seeds(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
     return h[order][first], item[order][first], place[order][first], place[order][last]
 
 
-def qualifies(same: np.ndarray, need: int, similar: float) -> bool:
-    """Whether a span's words agree in `need` places and in `similar` of all."""
-    part, matched = Fraction(str(similar)), int(same.sum())
-    return matched >= need and matched * part.denominator >= part.numerator * len(same)
-
-
 def most_matches(same: np.ndarray, similar: float) -> tuple[int, int]:
     """(begin, end) of a shortest span with the most matches among all that agree in `similar` of their places or more."""
     part = Fraction(str(similar))
@@ -98,10 +92,12 @@ def most_matches(same: np.ndarray, similar: float) -> tuple[int, int]:
     return (begin + int(inside[0]), begin + int(inside[-1]) + 1) if len(inside) else (begin, begin)
 
 
-def best_overlap(doc, item, diagonals, least: int, similar: float, cost: float, every_span: bool, cells: int = 1 << 21):
-    """(n_match, n_words, doc_start, item_start) of the best span of the diagonals (document's place less item's), or None.
+def best_overlap(doc, item, diagonals, least: int, similar: float, cells: int = 1 << 21):
+    """(n_match, n_words, doc_start, item_start) of the span with the most matches among all that qualify on the diagonals
+    (document's place less item's), the shorter and then the earlier one of two; or None.
 
-    Diagonals whose words agree at the same places are tested once, all that are left at a time."""
+    Diagonals whose words agree at the same places are tested once, all that are left at a time, those of more agreeing
+    words first: one with no more of them than the best span has matches can only tie with it."""
     m, part = len(item), Fraction(str(similar))
     need = min(least, -(-part.numerator * m // part.denominator))
     best = None
@@ -115,26 +111,29 @@ def best_overlap(doc, item, diagonals, least: int, similar: float, cost: float,
             continue
         bits = np.ascontiguousarray(np.packbits(same[rows], axis=1))
         rows = rows[np.unique(bits.view(np.dtype((np.void, bits.shape[1]))).ravel(), return_index=True)[1]]
-        same, some = same[rows], some[rows]
-        # the span with the most matches less `cost` for each substituted word
-        sums = np.hstack([np.zeros((len(rows), 1)), np.cumsum(np.where(same, 1.0, -cost), axis=1)])
-        low = np.minimum.accumulate(sums, axis=1)
-        end = np.argmax(sums - low, axis=1)
-        last_low = np.maximum.accumulate(np.where(sums == low, np.arange(m + 1), 0), axis=1)
-        begin = last_low[np.arange(len(rows)), end]
-        matches = np.hstack([np.zeros((len(rows), 1), np.int64), np.cumsum(same, axis=1)])
-        for r in range(len(rows)):
-            a, b = int(begin[r]), int(end[r])
-            n = int(matches[r, b] - matches[r, a])
-            if every_span and not (n >= need and n * part.denominator >= part.numerator * (b - a)):
-                a, b = most_matches(same[r], similar)  # it may be trimmed too far: any other span that counts
-                n = int(matches[r, b] - matches[r, a])
-            if n >= need and n * part.denominator >= part.numerator * (b - a):
+        agree = same[rows].sum(axis=1)
+        for r, most in sorted(zip(rows.tolist(), agree.tolist(), strict=True), key=lambda x: (-x[1], x[0])):
+            if best and most < best[0]:
+                break
+            a, b = most_matches(same[r], similar)
+            n = int(same[r, a:b].sum())
+            if n >= need:
                 found = n, a - b, -int(some[r]) - a, -a
                 best = found if best is None else max(best, found)
     return best and (best[0], -best[1], -best[2], -best[3])
 
 
+class Known:
+    """The seeds of a small benchmark, as a filter that passes no others."""
+
+    def __init__(self, hashes: np.ndarray) -> None:
+        self.hashes = np.unique(np.append(hashes, np.uint64(0)))
+
+    def count(self, hashes: np.ndarray, _: int) -> np.ndarray:
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        return (self.hashes[at] == hashes).astype(np.int64)
+
+
 def bloom(hashes: DataFrame, most_bytes: int, group_seeds: int = 1 << 18, bits_each: int = 96) -> Filter:
     """A Bloom filter of the hashes (a column hash), built by groups; where bits_each do not fit in most_bytes, fewer."""
     distinct = hashes.select("hash").distinct()
@@ -161,24 +160,21 @@ def find_contamination(
     item_text: str = "text",
     least: int = 10,
     similar: float = 0.8,
-    cost: float = 3.0,
     block_words: int = 5_000_000,
-    every_span: bool = False,
-    shortest: int = LEAST_WORDS,
+    few_seeds: int = FEW_SEEDS,
 ) -> DataFrame:
     """A row for each row of docs and item that overlap: id_col, item_col, doc_start, item_start, n_words, n_match,
     item_words, similarity (matches by words of the span).
 
     An overlap is a span of one diagonal whose words agree in `similar` of their places or more, with `least` words
-    that agree (fewer for items too short to have them: `similar` of all their words). Of each diagonal the span with
-    the most matches less `cost` for each substituted word is tested and, with `every_span`, where that one is no
-    overlap, all other spans; without it, overlaps with substitutions near their ends are lost. The best of each pair is
-    given, by matches. Items of fewer than `shortest` words are not searched for (1: all that have words). Null texts
-    count as empty; rows of docs that repeat give their overlaps each; items that repeat too. Other columns are not
-    read. An empty benchmark or table gives no rows.
-
-    Only a Bloom filter of the items' seeds is broadcast, of at most 12 bytes for each of block_words; a larger benchmark
-    makes it less selective, not the result smaller.
+    that agree (fewer for items too short to have them: `similar` of all their words). All spans of all diagonals that can
+    qualify are compared, and the best of each pair is given: the most matches, then the shortest. Items of every length
+    are searched for, those of 1 to 4 words whole; without words they overlap nothing. Null texts count as empty; rows of
+    docs that repeat give their overlaps each; items that repeat too. Other columns are not read. An empty benchmark or
+    table gives no rows.
+
+    Broadcast are the items' seeds where there are few_seeds at most, else a Bloom filter of them of at most 12 bytes for
+    each of block_words: a larger benchmark makes it less selective, not the result smaller.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -186,7 +182,7 @@ def find_contamination(
     def itemised(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in found:
             for a, b, w in batches(batch.column(2)):
-                keep = np.flatnonzero((w.counts >= shortest) & (w.counts > 0))
+                keep = np.flatnonzero(w.counts)
                 words = [w.hashes[w.at[i] : w.at[i + 1]].tobytes() for i in keep]
                 own = [c.slice(a, b - a).take(pa.array(keep)) for c in batch.columns[:2]]
                 yield pa.RecordBatch.from_arrays([*own, pa.array(words, pa.binary())], names=["item", item_col, "words"])
@@ -205,7 +201,11 @@ def find_contamination(
     seeds = written(seeds, "item-seeds")
     lengths = [r.n for r in items.select(F.least(F.octet_length("words") / 8, F.lit(10)).cast("int").alias("n")).distinct().collect()]
     masks = sorted({mask for n in lengths for mask, _ in masks_of(n)})
-    sent = spark.sparkContext.broadcast(bloom(seeds, 12 * block_words))
+    if len(few := seeds.select("hash").limit(few_seeds + 1).collect()) <= few_seeds:
+        known = Known(np.array([r.hash for r in few], np.int64).view(np.uint64))
+    else:
+        known = bloom(seeds, 12 * block_words)
+    sent = spark.sparkContext.broadcast(known)
 
     def scanned(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = sent.value
@@ -255,7 +255,7 @@ def find_contamination(
                 for x in items:
                     item = np.frombuffer(x["item_hashes"], np.uint64)
                     every = [np.arange(max(s["lo"], 1 - len(item)), min(s["hi"], len(doc) - 1) + 1) for s in x["diagonals"]]
-                    got = best_overlap(doc, item, np.unique(np.concatenate(every)), least, similar, cost, every_span)
+                    got = best_overlap(doc, item, np.unique(np.concatenate(every)), least, similar)
                     if got:
                         out.append((i, x["id"], got[2], got[3], got[1], got[0], len(item)))
             if out:
