@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from terravane.llm import decontaminate, mixing, ngram_jaccard, quality, secret_scan
 from terravane.llm.queries import MIX_SHARE, MIX_WEIGHTS, table
-from terravane.llm.storage import written
+from terravane.llm.storage import discard, written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -24,7 +24,8 @@ def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest id of each group of near duplicates (null ids count as largest; of one id, the
-    least text key; of rows that repeat, one). Groups are of texts, so null ids and ids of several texts lose no group."""
+    least text key; of rows of one id and key, the least by text, lang, source and n_chars, nulls first). Groups are of
+    texts, so null ids and ids of several texts lose no group. Null and empty texts are equal here: one of them stays."""
     keyed = docs.select(*COLUMNS, ngram_jaccard.text_key("text").alias("key"))
     groups = ngram_jaccard.similar_groups(keyed, id_col="key").distinct()
     rows = written(keyed.select("doc_id", "key").join(groups.select("key", "class_id"), "key"), "group-rows")
@@ -33,14 +34,15 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     kept = keyed.join(keep, (F.col("key") == F.col("keep_key")) & F.col("doc_id").eqNullSafe(F.col("keep_id")), "left_semi")
     if rows.groupBy("doc_id", "key").count().filter("count > 1").isEmpty():
         return kept.select(*COLUMNS)
-    return kept.dropDuplicates(["doc_id", "key"]).select(*COLUMNS)
+    least = kept.groupBy("doc_id", "key").agg(F.min(F.struct("text", "lang", "source", "n_chars")).alias("row"))
+    return least.select("doc_id", "row.*").select(*COLUMNS)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that hold a benchmark passage: rows are told by their texts, whatever their ids, so that null
     and repeated ids neither save nor drop another row. Null texts stay; an empty benchmark drops nothing."""
     keyed = docs.select(*COLUMNS, ngram_jaccard.text_key("text").alias("key"))
-    found = decontaminate.find_contamination(keyed, table(spark, sf_dir, "benchmark"), id_col="key", every_span=True).select("key").distinct()
+    found = decontaminate.find_contamination(keyed, table(spark, sf_dir, "benchmark"), id_col="key").select("key").distinct()
     return keyed.join(found, "key", "left_anti").select(*COLUMNS)
 
 
@@ -69,9 +71,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    for i, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i + 1 < len(STAGES):
-            docs = written(docs, f"stage{i}")
-    return docs
+    """The stages applied to documents; a stage's table is deleted once the next one is written."""
+    docs, last = table(spark, sf_dir, "documents"), None
+    for i, (_, stage) in enumerate(STAGES[:-1]):
+        docs = written(stage(spark, docs, sf_dir), f"stage{i}")
+        if last is not None:
+            discard(last)
+        last = docs
+    return STAGES[-1][1](spark, docs, sf_dir)
