@@ -62,3 +62,42 @@ def test_empty_tables(spark, tmp_path):
     docs = spark.createDataFrame([(1, "some words", "en", "s1", 10), (None, None, None, None, None)], rows)
     for _, stage in P.STAGES[:-1]:  # nothing to learn from and nothing to look for: no row goes
         assert stage(spark, docs, str(tmp_path)).count() == 2
+
+
+def test_one_of_each_group_equals_brute_force(spark, tmp_path):
+    """Groups by plain shingle sets, whatever the order and the partitions of the rows; of equal ids the least row."""
+    rng = random.Random(11)
+    base = [[f"w{k}x{rng.randrange(90)}" for _ in range(80)] for k in range(12)]
+    rows = []
+    for i in range(140):
+        w = list(rng.choice(base))
+        for _ in range(rng.choice([0, 0, 1, 2, 9])):
+            w[rng.randrange(80)] = f"z{rng.randrange(5)}"
+        rows.append((rng.choice([i, i, 7, None]), " ".join(w), rng.choice(["en", "de", None]), rng.choice(["a", "b"]), rng.randrange(3)))
+    rows += [(500, rows[0][1], "de", "a", 2), (500, rows[0][1], "de", "a", 1), (-5, rows[1][1], None, "b", 9), (-5, rows[1][1], "en", "a", 0)]
+
+    sets = [{tuple(w[i : i + 5]) for i in range(76)} for w in (t.split() for _, t, *_ in rows)]
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if len(a & sets[j]) >= 0.8 * len(a | sets[j]):
+                root[find(i)] = find(j)
+    groups = {}
+    for i, row in enumerate(rows):
+        groups.setdefault(find(i), []).append(row)
+    nulls_first = lambda r: tuple((x is not None, x) for x in r)
+    ids = sorted(str(min((r[0] for r in g if r[0] is not None), default=None)) for g in groups.values())
+    seen = []
+    for parts in (1, 7):
+        docs = spark.createDataFrame(rng.sample(rows, len(rows)), "doc_id long, text string, lang string, source string, n_chars long").repartition(parts)
+        got = [tuple(r) for r in P.one_of_each_group(spark, docs, str(tmp_path)).select("doc_id", "text", "lang", "source", "n_chars").collect()]
+        assert sorted(str(r[0]) for r in got) == ids and len({find(rows.index(r)) for r in got}) == len(groups)
+        assert all(r == min((x for x in rows if x[:2] == r[:2]), key=nulls_first) for r in got)
+        seen.append(sorted(got, key=repr))
+    assert seen[0] == seen[1]
