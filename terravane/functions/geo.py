@@ -43,6 +43,38 @@ def tiles(spark: SparkSession, south: float, north: float, west: float, east: fl
         "tile", edge(south, north, i, rows).alias("south"), edge(west, east, j, cols).alias("west"), edge(south, north, i + 1, rows).alias("north"), edge(west, east, j + 1, cols).alias("east"))
 
 
+def grid_tile(lat, lng, south: float, north: float, west: float, east: float, step: float) -> tuple[Column, Column]:
+    """The tile of tiles() that holds a point (null outside), and its box (south, west, north, east)."""
+
+    def along(x, low: float, high: float) -> tuple[Column, Column, Column]:
+        n = max(1, math.ceil(round((high - low) / step, 9)))
+        edge = lambda k: F.when(k == n, F.lit(high)).when(k == 0, F.lit(low)).otherwise(F.round(F.lit(low) + k * step, 6))
+        near = F.floor((x - low) / step)  # at an edge the division may be off by one
+        at = F.greatest(F.least(near + (x >= edge(near + 1)).cast("int") - (x < edge(near)).cast("int"), F.lit(n - 1)), F.lit(0))
+        return F.when((x >= low) & (x <= high), at), edge(at), edge(at + 1)
+
+    i, s, n = along(lat, south, north)
+    j, w, e = along(lng, west, east)
+    cols = max(1, math.ceil(round((east - west) / step, 9)))
+    return (i * cols + j).cast("long"), F.struct(s.alias("south"), w.alias("west"), n.alias("north"), e.alias("east"))
+
+
+def quadrant_path(lat, lng, box, depth: int) -> Column:
+    """The quadrants that a point falls into, one digit a level, halving the box as subdivide does."""
+
+    def halve(a, _):
+        y, x = (a["south"] + a["north"]) / 2, (a["west"] + a["east"]) / 2
+        up, right = lat >= y, lng >= x
+        digit = (F.when(up, 2).otherwise(0) + F.when(right, 1).otherwise(0)).cast("string")
+        half = F.when(up, y).otherwise(a["south"]), F.when(right, x).otherwise(a["west"]), F.when(up, a["north"]).otherwise(y), F.when(right, a["east"]).otherwise(x)
+        return F.struct(*(v.cast("double").alias(k) for k, v in zip(("south", "west", "north", "east"), half, strict=True)), F.concat(a["path"], digit).alias("path"))
+
+    if not depth:
+        return F.lit("")
+    start = F.struct(*(box[k].cast("double").alias(k) for k in ("south", "west", "north", "east")), F.lit("").alias("path"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(depth)), start, halve, lambda a: a["path"])
+
+
 def subdivide(df: DataFrame) -> DataFrame:
     """Each tile's four quadrants, south-west first; column quadrant is 0 to 3."""
     lat, lng = (F.col("south") + F.col("north")) / 2, (F.col("west") + F.col("east")) / 2

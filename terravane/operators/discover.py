@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -121,24 +121,40 @@ def apply_review(df: DataFrame, review: DataFrame | None) -> DataFrame:
     return df.join(last, "place_id", "left").withColumns({"keep": F.coalesce(F.col("_r.keep"), number(F.col("keep")), F.lit(1.0)).cast("int"), "note": F.coalesce(F.col("_r.note"), F.col("note"))}).drop("_r")
 
 
-def search(tiles: DataFrame, fetch: Callable[[DataFrame], DataFrame], max_depth: int) -> tuple[DataFrame, DataFrame]:
-    """Hits of all tiles, and the tiles that are full even at max_depth. fetch gives, for tiles, rows with their tile,
-    its box and `place`. A full tile's hits are kept and its quadrants are searched too, one level at a time."""
-    key = ["tile", "path"]
-    level, hits, capped = tiles.withColumn("path", F.lit("")), None, None
+def adaptive_tiles(points: DataFrame, south: float, north: float, west: float, east: float, step: float, max_depth: int, full: int = TILE_FULL) -> DataFrame:
+    """Every tile that a search with subdivision visits: (tile, path, depth, south, west, north, east, n, state).
+
+    Base tiles are a grid over the box; a tile that holds `full` points or more is split into quadrants down to max_depth.
+    state is split, leaf (less than full) or capped (full at max_depth: a search may hide points there). path has a digit
+    for each quadrant, south-west 0 to north-east 3. A tile holds its south and west edges, the outermost also the others;
+    points without coordinates or outside the box are in no tile. Every point counts, those at one place too.
+
+    The points are read once: each goes to its cell at max_depth, cells are counted before the shuffle, and levels follow
+    each other over those counts, a written table each."""
+    from ..functions.geo import grid_tile, quadrant_path, tiles
+
+    spark = points.sparkSession
+    tile, box = grid_tile(F.col("lat"), F.col("lng"), south, north, west, east, step)
+    placed = points.select("lat", "lng", tile.alias("tile"), box.alias("box")).filter("tile is not null")
+    path = quadrant_path(F.col("lat"), F.col("lng"), F.col("box"), max_depth)
+    cells = written(placed.select("tile", path.alias("cell")).groupBy("tile", "cell").agg(F.count("*").alias("n")), "tile-cells")
+    level, inside, levels = tiles(spark, south, north, west, east, step).withColumn("path", F.lit("")), cells, []
     for depth in range(max_depth + 1):
-        got = written(fetch(level), f"hits{depth}")
-        hits = got if hits is None else hits.unionByName(got)
-        full = got.groupBy(*key).agg(F.count("*").alias("n")).filter(F.col("n") >= TILE_FULL).select(*key)
-        again = level.join(full, key, "left_semi")
-        if depth == max_depth:
-            capped = again
-        elif again.isEmpty():
-            capped = again
+        counts = inside.groupBy("tile", F.substring("cell", 1, depth).alias("path")).agg(F.sum("n").alias("n"))
+        counted = level.join(counts, ["tile", "path"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
+        state = F.when(F.col("n") < full, "leaf").otherwise("split" if depth < max_depth else "capped")
+        counted = counted.select("tile", "path", F.lit(depth).alias("depth"), "south", "west", "north", "east", "n", state.alias("state"))
+        levels.append(written(counted, f"tiles{depth}"))
+        again = levels[-1].filter("state = 'split'")
+        if depth == max_depth or again.isEmpty():
             break
-        else:
-            level = written(subdivide(again).withColumn("path", F.concat("path", F.col("quadrant").cast("string"))).drop("quadrant"), f"tiles{depth + 1}")
-    return hits, capped
+        parents = again.select("tile", F.col("path").alias("parent"))
+        inside = inside.withColumn("parent", F.substring("cell", 1, depth)).join(parents, ["tile", "parent"], "left_semi").drop("parent")
+        level = subdivide(again.drop("depth", "n", "state")).withColumn("path", F.concat("path", F.col("quadrant").cast("string"))).drop("quadrant")
+    out = levels[0]
+    for more in levels[1:]:
+        out = out.unionByName(more)
+    return out
 
 
 def type_report(df: DataFrame, samples: int = 4, order: str = "place_id") -> DataFrame:

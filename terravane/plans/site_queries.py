@@ -96,6 +96,33 @@ def tile_quadrants(spark, sf_dir):
     return geo.subdivide(site_tiles(spark, sf_dir))
 
 
+_GRID = (13.0, 13.1, 100.9, 101.0, 0.05)  # south, north, west, east, step
+_DEPTH = 3
+
+
+@query(f"""WITH RECURSIVE {_SITES_SQL}, boxes AS (
+  SELECT i * 2 + j AS tile, '' AS path, 0 AS depth, CASE WHEN i = 0 THEN 13e0 ELSE 13.05e0 END AS south, CASE WHEN j = 0 THEN 100.9e0 ELSE 100.95e0 END AS west,
+    CASE WHEN i = 0 THEN 13.05e0 ELSE 13.1e0 END AS north, CASE WHEN j = 0 THEN 100.95e0 ELSE 101e0 END AS east
+  FROM (SELECT unnest(range(2)) AS i) CROSS JOIN (SELECT unnest(range(2)) AS j)
+  UNION ALL
+  SELECT tile, path || q, depth + 1, CASE WHEN q < 2 THEN south ELSE (south + north) / 2 END, CASE WHEN q % 2 = 0 THEN west ELSE (west + east) / 2 END,
+    CASE WHEN q < 2 THEN (south + north) / 2 ELSE north END, CASE WHEN q % 2 = 0 THEN (west + east) / 2 ELSE east END
+  FROM boxes CROSS JOIN (SELECT unnest(range(4)) AS q) WHERE depth < {_DEPTH}
+), counted AS (
+  SELECT b.tile, path, depth, south, west, north, east, count(s.ord) AS n FROM boxes b LEFT JOIN sites s
+    ON s.lat >= south AND s.lng >= west AND (s.lat < north OR north = 13.1e0 AND s.lat = north) AND (s.lng < east OR east = 101e0 AND s.lng = east)
+  GROUP BY ALL
+), visited AS (
+  SELECT * FROM counted WHERE depth = 0
+  UNION ALL
+  SELECT c.* FROM visited v JOIN counted c ON c.tile = v.tile AND c.depth = v.depth + 1 AND starts_with(c.path, v.path) WHERE v.n >= {discover.TILE_FULL}
+)
+SELECT *, CASE WHEN n < {discover.TILE_FULL} THEN 'leaf' WHEN depth < {_DEPTH} THEN 'split' ELSE 'capped' END AS state FROM visited""")
+def adaptive_tiles(spark, sf_dir):
+    """The tiles of a search over all sites that splits full ones."""
+    return discover.adaptive_tiles(sites(spark, sf_dir), *_GRID, _DEPTH)
+
+
 def _hits(spark, sf_dir):
     """A hit for each part: its place is one of a seventh as many, its keyword the first word of its name."""
     return _read(spark, sf_dir, "part").selectExpr("split(p_name, ' ')[0] AS keyword", "p_partkey AS seq", "concat('h', cast(p_partkey % 293 AS string)) AS place_id", "p_name AS name", "concat(p_brand, ' Road, ', p_type) AS address", "CASE WHEN p_partkey % 13 = 0 THEN 'CLOSED_PERMANENTLY' ELSE 'OPERATIONAL' END AS business_status")

@@ -84,19 +84,41 @@ def test_discover_rules_and_reviews(spark):
     assert [r.place_id for r in discover.kept_sites(keeps).orderBy("place_id").collect()] == ["a", "c"] and discover.excluded_sites(keeps).count() == 2
 
 
-def test_search_splits_full_tiles(spark):
-    rng = random.Random(2)
-    places = [(f"p{i}", 13.0 + rng.random() * 0.05, 100.9 + rng.random() * 0.05) for i in range(80)] + [("far", 13.17, 101.05)]
-    table = spark.createDataFrame(places, "id string, plat double, plng double")
-
-    def fetch(tiles):
-        from pyspark.sql import Window as W
-
-        hits = tiles.join(table, (F.col("plat") >= F.col("south")) & (F.col("plat") < F.col("north")) & (F.col("plng") >= F.col("west")) & (F.col("plng") < F.col("east")))
-        return hits.withColumn("k", F.row_number().over(W.partitionBy("tile", "path").orderBy("id"))).filter(F.col("k") <= discover.TILE_FULL).drop("k", "plat", "plng")
-
-    hits, capped = discover.search(geo.tiles(spark, 13.0, 13.2, 100.9, 101.1, 0.1), fetch, 2)
-    assert hits.select("id").distinct().count() == 81 and capped.count() == 0
+def plain_tiles(points, box, step, depth, full):
+    """Every tile visited, by counting the points of each box anew."""
+    south, north, west, east = box
+    rows, cols = (max(1, math.ceil(round((b - a) / step, 9))) for a, b in ((south, north), (west, east)))
+    edge = lambda low, high, k, n: high if k == n else low if k == 0 else round(low + k * step, 6)
+    out = []
+
+    def visit(tile, path, s, w, n, e):
+        here = [(a, b) for a, b in points if s <= a and w <= b and (a < n or n == north == a) and (b < e or e == east == b)]
+        state = "leaf" if len(here) < full else "split" if len(path) < depth else "capped"
+        out.append((tile, path, len(path), s, w, n, e, len(here), state))
+        if state == "split":
+            y, x = (s + n) / 2, (w + e) / 2
+            for q, (p, r, t, u) in enumerate(((s, w, y, x), (s, x, y, e), (y, w, n, x), (y, x, n, e))):
+                visit(tile, path + str(q), p, r, t, u)
+
+    for i in range(rows):
+        for j in range(cols):
+            visit(i * cols + j, "", edge(south, north, i, rows), edge(west, east, j, cols), edge(south, north, i + 1, rows), edge(west, east, j + 1, cols))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("depth", [0, 1, 4])
+def test_adaptive_tiles(spark, depth):
+    rng = random.Random(depth)
+    box = (13.0, 13.25, 100.9, 101.1)
+    points = [(13.0 + rng.random() * 0.05, 100.9 + rng.random() * 0.05) for _ in range(260)] + [(13.17, 101.05)] * 70  # at one place
+    points += [(13.1, 100.95), (13.2, 101.0), (13.25, 101.1), (13.0, 101.1), (13.25, 100.9), (13.05, 100.925)]  # on edges
+    rows = [*points, (None, 101.0), (13.1, None), (12.9, 101.0), (13.26, 101.0), (13.1, 101.2)]
+    df = spark.createDataFrame([(*r, "x") for r in rows], "lat double, lng double, tile string")
+    got = discover.adaptive_tiles(df, *box, 0.1, depth, full=30)
+    want = plain_tiles(points, box, 0.1, depth, 30)
+    assert sorted(map(tuple, got.collect())) == want
+    assert sum(r[7] for r in want if r[8] != "split") == len(points) and (depth < 4 or any(r[8] == "capped" for r in want))
+    assert discover.adaptive_tiles(df.limit(0), *box, 0.1, depth).filter("n > 0 or state <> 'leaf'").count() == 0
 
 
 def test_counts_sums_and_lists(spark, five):
