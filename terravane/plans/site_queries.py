@@ -212,8 +212,8 @@ def note_report(spark, sf_dir):
 
 
 def _periods(spark, sf_dir):
-    """Opening periods by user, from every eleventh event."""
-    e = _read(spark, sf_dir, "events").filter("event_id % 11 = 0")
+    """Opening periods by user, of every event."""
+    e = _read(spark, sf_dir, "events")
     e = e.withColumn("s", F.expr("(dayofweek(ts) - 1) * 1440 + hour(ts) * 60 + minute(ts)")).withColumn("e", F.expr("(s + 20 + (event_id * 37) % 630) % 10080"))
     point = lambda c: F.struct(F.expr(f"cast({c} div 1440 as int)").alias("day"), F.expr(f"cast({c} % 1440 div 60 as int)").alias("hour"), F.expr(f"cast({c} % 60 as int)").alias("minute"))
     return e.groupBy(F.col("user_id").cast("string").alias("place_id")).agg(F.collect_list(F.struct(point("s").alias("open"), point("e").alias("close"))).alias("periods"))
@@ -222,7 +222,7 @@ def _periods(spark, sf_dir):
 _DAY_COUNT = "sum(CASE WHEN n{k} >= 60 THEN 1 ELSE 0 END) / 7e0"
 
 
-@query(f"""WITH p AS (SELECT CAST(user_id AS VARCHAR) AS place_id, dayofweek(ts) * 1440 + hour(ts) * 60 + minute(ts) AS s, 20 + (event_id * 37) % 630 AS n FROM events WHERE event_id % 11 = 0),
+@query(f"""WITH p AS (SELECT CAST(user_id AS VARCHAR) AS place_id, dayofweek(ts) * 1440 + hour(ts) * 60 + minute(ts) AS s, 20 + (event_id * 37) % 630 AS n FROM events),
 minutes AS (SELECT DISTINCT place_id, (s + i) % 10080 AS m FROM p, LATERAL (SELECT unnest(range(0, n)) AS i)),
 days AS (SELECT place_id, d, count_if(m // 1440 = d) AS n0, count_if(m >= d * 1440 + 360 AND m < d * 1440 + 600) AS n1, count_if(m >= d * 1440 + 960 AND m < d * 1440 + 1200) AS n2,
     count_if((m - d * 1440 - 1200 + 20160) % 10080 < 360) AS n3 FROM minutes CROSS JOIN (SELECT unnest(range(7)) AS d) GROUP BY place_id, d)
@@ -232,7 +232,7 @@ def hours_features(spark, sf_dir):
     return hours.hours_features(_periods(spark, sf_dir), "place_id")
 
 
-@query(f"""WITH p AS (SELECT CAST(user_id AS VARCHAR) AS place_id, dayofweek(ts) * 1440 + hour(ts) * 60 + minute(ts) AS s, 20 + (event_id * 37) % 630 AS n FROM events WHERE event_id % 11 = 0),
+@query(f"""WITH p AS (SELECT CAST(user_id AS VARCHAR) AS place_id, dayofweek(ts) * 1440 + hour(ts) * 60 + minute(ts) AS s, 20 + (event_id * 37) % 630 AS n FROM events),
 minutes AS (SELECT DISTINCT place_id, (s + i) % 10080 AS m FROM p, LATERAL (SELECT unnest(range(0, n)) AS i)),
 days AS (SELECT place_id, m // 1440 AS d FROM minutes GROUP BY 1, 2 HAVING count(*) >= 60)
 SELECT place_id, coalesce(string_agg(['{"', '".join(text.DAY_LETTERS)}'][CAST(d + 1 AS BIGINT)], ' ' ORDER BY d), '') AS letters FROM (SELECT DISTINCT place_id FROM p) LEFT JOIN days USING (place_id) GROUP BY place_id""")
@@ -241,7 +241,7 @@ def open_day_letters(spark, sf_dir):
 
 
 def _all_periods(spark, sf_dir):
-    """Opening periods of every event; a site is a user, day of the month and hour, so that sites are not open all week."""
+    """Opening periods of every event; a site is a user and a day of the month, so that sites are not open all week."""
     e = _read(spark, sf_dir, "events")
     e = e.withColumn("s", F.expr("(dayofweek(ts) - 1) * 1440 + hour(ts) * 60 + minute(ts)")).withColumn("e", F.expr("(s + 20 + (event_id * 37) % 630) % 10080"))
     point = lambda c: F.struct(F.expr(f"cast({c} div 1440 as int)").alias("day"), F.expr(f"cast({c} % 1440 div 60 as int)").alias("hour"), F.expr(f"cast({c} % 60 as int)").alias("minute"))
