@@ -34,39 +34,43 @@ _SO_FAR = (W.unboundedPreceding, W.currentRow)
 _FROM_HERE = (W.currentRow, W.unboundedFollowing)
 
 
-def exact_ranks(rows: DataFrame, keys: Sequence[str], batch: str = "batch", x: str = "x") -> DataFrame:
-    """(keys, batch, x, before, upto, n, place, values), written: for every value of a group and batch how many rows of it
-    are smaller, at most as large, and how many there are, and its place among how many distinct values; likewise for whole
-    groups, under batch -1.
+def exact_ranks(cells: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Exact ranks of the values of each batch, and of each group; both are written tables.
 
-    rows: keys, batch (int, not negative) and x (a number), none of them null."""
-    cells = rows.groupBy(*keys, F.col(batch).alias("batch"), F.col(x).alias("x")).agg(F.count("*").alias("cell"))
+    (keys, batch, x, before, upto, n, place, values): how many rows of the batch are smaller, at most as large, how many
+    there are, and the value's place among how many distinct values; (keys, x, before, upto, n) for whole groups.
+    cells: keys, batch (int, not negative), x (long) and the number of rows, `cell`; none of them null."""
+    cells = cells.groupBy(*keys, "batch", "x").agg(F.sum("cell").alias("cell"))
     # one partition has all batches of a value, and partitions follow each other in the order of the values
-    dealt = cells.repartitionByRange(parts(rows.sparkSession), *keys, "x").withColumn("part", F.spark_partition_id())
+    dealt = cells.repartitionByRange(parts(cells.sparkSession), *keys, "x").withColumn("part", F.spark_partition_id())
     dealt = written(dealt, "cells")
 
-    def ranks(cells: DataFrame, group: list[str]) -> DataFrame:
+    def placed(ranked: DataFrame, group: list[str]) -> DataFrame:
+        """Adds what lies in the partitions before, and the totals: rows of few numbers for each group and partition."""
         by = W.partitionBy(*group)
         earlier = lambda c: F.sum(c).over(by.orderBy("part").rowsBetween(*_SO_FAR)) - F.col(c)
-        totals = cells.groupBy(*group, "part").agg(F.sum("cell").alias("rows"), F.count("*").alias("cells"))
+        totals = dealt.groupBy(*group, "part").agg(F.sum("cell").alias("rows"), F.count("*").alias("cells"))
         sums = {"n": F.sum("rows").over(by), "values": F.sum("cells").over(by)}
-        offsets = totals.withColumns({"rows": earlier("rows"), "cells": earlier("cells"), **sums})
-        inside = W.partitionBy(*group, "part").orderBy("x").rowsBetween(*_SO_FAR)
-        ranked = cells.withColumns({"inside": F.sum("cell").over(inside), "nth": F.count("*").over(inside)})
-        ranked = ranked.join(offsets, [*group, "part"])
-        return ranked.withColumns({"upto": F.col("rows") + F.col("inside"), "place": F.col("cells") + F.col("nth")})
+        ranked = ranked.join(totals.withColumns({"rows": earlier("rows"), "cells": earlier("cells"), **sums}), [*group, "part"])
+        return ranked.withColumns({c: F.col("rows") + F.col(c) for c in ("before", "upto")})
 
-    of_whole = dealt.groupBy(*keys, "part", "x").agg(F.sum("cell").alias("cell"))
-    whole = ranks(of_whole, [*keys]).withColumn("batch", F.lit(WHOLE).cast("int"))
-    each = ranks(dealt.withColumn("batch", F.col("batch").cast("int")), [*keys, "batch"])
-    columns = *keys, "batch", "x", (F.col("upto") - F.col("cell")).alias("before"), "upto", "n", "place", "values"
-    return written(each.select(*columns).unionByName(whole.select(*columns)), "ranks")
+    own = W.partitionBy(*keys, "batch", "part").orderBy("x").rowsBetween(*_SO_FAR)
+    upto = F.sum("cell").over(own)
+    each = dealt.withColumns({"upto": upto, "before": upto - F.col("cell"), "nth": F.count("*").over(own)})
+    each = placed(each, [*keys, "batch"]).withColumn("place", F.col("cells") + F.col("nth"))
+    each = written(each.select(*keys, "batch", "x", "before", "upto", "n", "place", "values"), "ranks")
+
+    all_of = W.partitionBy(*keys, "part").orderBy("x")
+    smaller = F.coalesce(F.sum("cell").over(all_of.rangeBetween(W.unboundedPreceding, -1)), F.lit(0))
+    sums = {"upto": F.sum("cell").over(all_of.rangeBetween(*_SO_FAR)), "before": smaller, "last": F.lag("x").over(all_of)}
+    whole = dealt.withColumns(sums).filter("last is null or last < x")  # a value that several batches hold stands once
+    return each, written(placed(whole, [*keys]).select(*keys, "x", "before", "upto", "n"), "whole-ranks")
 
 
 def summarise(ranks: DataFrame, size: int) -> DataFrame:
     """(keys, batch, x, lo, hi, n): the points that each batch of exact_ranks keeps, size + LEAST + 1 of them at most."""
     ahead = F.expr(f"({size}L * upto) div n > ({size}L * before) div n")
-    kept = ranks.filter(F.col("batch") != WHOLE).filter(ahead | (F.col("before") == 0) | _spread())
+    kept = ranks.filter(ahead | (F.col("before") == 0) | _spread())
     return kept.drop("place", "values").withColumnRenamed("upto", "lo").withColumnRenamed("before", "hi")
 
 
@@ -117,16 +121,25 @@ def merge(points: DataFrame, keys: Sequence[str], size: int, fan_in: int = 64) -
 
 
 def answers(points: DataFrame, keys: Sequence[str], quantiles: int, least_rows: int) -> DataFrame:
-    """(keys, batch, i, n, target, points, answer) for i in 1 .. quantiles - 1, of summaries of at least least_rows rows.
-
-    target is ceil(i n / quantiles); the answer is the point of the least possible rank error, the smaller one of two, and
-    never falls from i to i + 1."""
-    of_each = points.groupBy(*keys, "batch").agg(F.count("*").alias("points"))
-    asked = points.filter(F.col("n") >= least_rows).withColumn("i", F.explode(F.sequence(F.lit(1), F.lit(quantiles - 1))))
-    asked = asked.withColumn("target", F.expr(f"(i * n + {quantiles - 1}) div {quantiles}"))
+    """(keys, batch, i, n, target, points, answer, lo, hi) for i in 1 .. quantiles - 1, of summaries of least_rows rows or
+    more: target is ceil(i n / quantiles), the answer the point of the least possible rank error max(target - lo,
+    hi + 1 - target), of two the smaller. lo grows with x and hi does not fall, so that the best point is the last one
+    where the first of these errors is the larger one or the next point; answers never fall from i to i + 1."""
+    by = W.partitionBy(*keys, "batch").orderBy("x")
+    middle = F.col("lo") + F.col("hi") + 1
+    around = {"middle": middle, "last": F.lag(middle).over(by), "next": F.lead(middle).over(by), "points": F.count("*").over(W.partitionBy(*keys, "batch"))}
+    twice = lambda i: 2 * F.ceil(i * F.col("n") / F.lit(quantiles))
+
+    def beside(i):
+        first = (F.col("middle") >= twice(i)) & (F.col("last").isNull() | (F.col("last") < twice(i)))
+        return first | ((F.col("middle") < twice(i)) & (F.col("next").isNull() | (F.col("next") >= twice(i))))
+
+    asked = F.filter(F.sequence(F.lit(1), F.lit(quantiles - 1)), beside)
+    near = points.filter(F.col("n") >= least_rows).withColumns(around).withColumn("i", F.explode(asked))
+    near = near.withColumn("target", F.expr(f"(i * n + {quantiles - 1}) div {quantiles}"))
     worst = F.greatest(F.col("target") - F.col("lo"), F.col("hi") + 1 - F.col("target"))
-    best = asked.groupBy(*keys, "batch", "i", "n", "target").agg(F.min(F.struct(worst.alias("worst"), "x")).alias("best"))
-    return best.join(of_each, [*keys, "batch"]).select(*keys, "batch", "i", "n", "target", "points", F.col("best.x").alias("answer"))
+    best = near.groupBy(*keys, "batch", "i", "n", "target", "points").agg(F.min(F.struct(worst.alias("worst"), "x", "lo", "hi")).alias("best"))
+    return best.select(*keys, "batch", "i", "n", "target", "points", F.col("best.x").alias("answer"), "best.lo", "best.hi")
 
 
 def quantile_report(
@@ -136,24 +149,30 @@ def quantile_report(
     quantiles: int = 4,
     least_rows: int = 20,
     allowed: float = 0.02,
+    count: str | None = None,
 ) -> DataFrame:
-    """One row for each summary of at least least_rows rows and each i in 1 .. quantiles - 1: keys, batch, i, n, target,
+    """One row for each summary of least_rows rows or more and each i in 1 .. quantiles - 1: keys, batch, i, n, target,
     exact_x, points, answer, n_below, n_upto, rank_error, within.
 
-    rows: keys, batch (int, not negative) and x; rows with a null among them are left out. Summaries of each batch, and of
-    each group from its batches' summaries (batch -1); exact_x, n_below and n_upto come from the exact ranks and check the
-    answers. Rows that repeat count each; an empty table gives no rows; other columns are not read."""
-    rows = rows.select(*keys, "batch", "x").dropna()
-    ranks = exact_ranks(rows, keys)
-    of_batches = written(summarise(ranks, size), "summaries")
-    of_all = written(merge(of_batches, keys, size), "merged")
-    told = answers(of_batches.select(*of_all.columns).unionByName(of_all), keys, quantiles, least_rows)
+    rows: keys, batch (int, not negative) and x (long); count names a column that says how many rows a row stands for.
+    Rows with a null among these are left out. There is a summary of each batch, and one of each group from its batches'
+    summaries (batch -1); exact_x, n_below and n_upto come from the exact ranks and check the answers. Rows that repeat
+    count each; an empty table gives no rows; other columns are not read."""
+    cells = rows.select(*keys, "batch", "x", (F.col(count) if count else F.lit(1)).cast("long").alias("cell")).dropna()
+    each, whole = exact_ranks(cells, keys)
+    of_batches = written(summarise(each, size), "summaries")
+    of_all = merge(of_batches, keys, size)
     asked = F.sequence(F.lit(1), F.lit(quantiles - 1))
     target = lambda i: F.ceil(i * F.col("n") / F.lit(quantiles))
     here = F.filter(asked, lambda i: (target(i) > F.col("before")) & (target(i) <= F.col("upto")))
-    exact = ranks.filter(F.col("n") >= least_rows).select(*keys, "batch", F.explode(here).alias("i"), F.col("x").alias("exact_x"))
-    counts = ranks.select(*keys, "batch", F.col("x").alias("answer"), F.col("before").alias("n_below"), F.col("upto").alias("n_upto"))
-    found = told.join(counts, [*keys, "batch", "answer"]).join(exact, [*keys, "batch", "i"])
+    exact = lambda ranks, group: ranks.filter(F.col("n") >= least_rows).select(*group, F.explode(here).alias("i"), F.col("x").alias("exact_x"))
+
+    # the points of a batch are rows of its ranks; those of a group know bounds only, and are looked up
+    batch_told = answers(of_batches, keys, quantiles, least_rows).join(exact(each, [*keys, "batch"]), [*keys, "batch", "i"])
+    batch_told = batch_told.withColumnRenamed("hi", "n_below").withColumnRenamed("lo", "n_upto")
+    counts = whole.filter(F.col("n") >= least_rows).select(*keys, F.col("x").alias("answer"), F.col("before").alias("n_below"), F.col("upto").alias("n_upto"))
+    told = answers(of_all, keys, quantiles, least_rows).drop("lo", "hi").join(counts, [*keys, "answer"]).join(exact(whole, keys), [*keys, "i"])
+    found = batch_told.unionByName(told)
     error = F.greatest(F.lit(0), F.col("n_below") + 1 - F.col("target"), F.col("target") - F.col("n_upto"))
     found = found.withColumn("rank_error", error)
     within = 1000 * F.col("rank_error") <= round(1000 * allowed) * F.col("n")

@@ -164,19 +164,21 @@ SUMMARY_POINTS, QUANTILES, SUMMARY_ROWS = 256, 4, 20
 
 
 def _money_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(stream, grp, batch, x) of both streams. Rows of one click_id agree here; of others the least is taken. A null id
-    counts as an empty text."""
-    each = table(spark, sf_dir, "clicks").groupBy("click_id").agg(F.min(F.struct("client_id", "value")).alias("c"))
-    clicks = each.select(F.lit("value").alias("stream"), F.col("c.client_id").cast("string").alias("grp"), F.col("click_id").alias("id"), F.col("c.value").alias("money"))
-    lines = table(spark, sf_dir, "sale_lines").join(table(spark, sf_dir, "items"), "item_id")
-    prices = lines.select(F.lit("price").alias("stream"), F.col("brand").alias("grp"), F.col("vendor_id").alias("id"), F.col("price").alias("money"))
-    batch = F.pmod(quantile_summary.decimal_crc("id"), F.lit(4)).cast("int")
-    rows = clicks.unionByName(prices).withColumn("batch", batch)
-    return rows.select("stream", "grp", "batch", (quantile_summary.cents("money") + 1000 * F.col("batch")).alias("x"))
+    """(stream, grp, batch, x, rows) of both streams. Rows of one click_id agree here; of others the least client and the
+    least value are taken. Sale lines are counted by item and batch before they meet their items. A null id counts as an
+    empty text."""
+    batch_of = lambda c: F.pmod(quantile_summary.decimal_crc(c), F.lit(4)).cast("int").alias("batch")
+    each = table(spark, sf_dir, "clicks").groupBy("click_id").agg(F.min("client_id").cast("string").alias("grp"), F.min("value").alias("money"))
+    clicks = each.select(F.lit("value").alias("stream"), "grp", batch_of("click_id"), "money", F.lit(1).cast("long").alias("rows"))
+    lines = table(spark, sf_dir, "sale_lines").groupBy("item_id", batch_of("vendor_id")).agg(F.count("*").alias("rows"))
+    priced = lines.join(table(spark, sf_dir, "items"), "item_id")
+    prices = priced.select(F.lit("price").alias("stream"), F.col("brand").alias("grp"), "batch", F.col("price").alias("money"), "rows")
+    x = quantile_summary.cents("money") + 1000 * F.col("batch")
+    return clicks.unionByName(prices).select("stream", "grp", "batch", x.alias("x"), "rows")
 
 
 def op13_quantile_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quantile_summary.quantile_report(_money_rows(spark, sf_dir), ["stream", "grp"], SUMMARY_POINTS, QUANTILES, SUMMARY_ROWS)
+    return quantile_summary.quantile_report(_money_rows(spark, sf_dir), ["stream", "grp"], SUMMARY_POINTS, QUANTILES, SUMMARY_ROWS, count="rows")
 
 
 def _crc_table() -> list[int]:

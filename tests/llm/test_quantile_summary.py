@@ -7,7 +7,7 @@ import pytest
 
 
 from terravane.llm import queries
-from terravane.llm.quantile_summary import LEAST, cents, decimal_crc, merge, quantile_report, summarise
+from terravane.llm.quantile_summary import LEAST, cents, decimal_crc, exact_ranks, merge, quantile_report, summarise
 
 SCHEMA = "grp string, batch int, x long, grp_n string"
 
@@ -70,9 +70,8 @@ def test_merging_in_rounds(spark):
     rng = random.Random(5)
     rows = [("a", rng.randrange(11), int(rng.gauss(0, 900)), "") for _ in range(6000)]
     size = 128
-    from terravane.llm.quantile_summary import exact_ranks
-
-    points = summarise(exact_ranks(spark.createDataFrame(rows, SCHEMA), ["grp"]), size)
+    cells = spark.createDataFrame(rows, SCHEMA).selectExpr("grp", "batch", "x", "1L as cell")
+    points = summarise(exact_ranks(cells, ["grp"])[0], size)
     xs = sorted(r[2] for r in rows)
     merged = merge(points, ["grp"], size, fan_in=2).collect()
     assert len(merged) <= size + LEAST + 2 and max(p.x for p in merged) == xs[-1] and min(p.x for p in merged) == xs[0]
