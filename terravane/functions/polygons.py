@@ -82,6 +82,23 @@ def union_area(rings: list[np.ndarray], inside: np.ndarray | None = None) -> flo
     return total
 
 
+def clip_box(convex: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """The part of a convex ring inside a box; empty if they share no area."""
+    for axis in (0, 1):
+        for sign, limit in ((1, high[axis]), (-1, -low[axis])):
+            if not len(convex):
+                return convex
+            over = sign * convex[:, axis] - limit
+            after = np.roll(convex, -1, axis=0)
+            next_over = np.roll(over, -1)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                cut = convex + (after - convex) * (over / (over - next_over))[:, None]
+            keep, crosses = over <= 0, (over > 0) != (next_over > 0)
+            both = np.stack([convex, cut], axis=1).reshape(-1, 2)
+            convex = both[np.stack([keep, crosses], axis=1).ravel()]
+    return ring(convex)
+
+
 def contains(r: np.ndarray, point) -> bool:
     x, y = point
     a, b = r, np.roll(r, -1, axis=0)

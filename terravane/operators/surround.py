@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions import polygons as P
 from ..functions.geo import FLAT_M, radius_pairs
 from ..functions.storage import written
-from ..functions.text import blank, slug
+from ..functions.text import blank, half_even, slug
 
 MOST_ITEMS = 50
 ITEM = "name STRING, metres INT, extra DOUBLE, lat DOUBLE, lng DOUBLE"
@@ -74,18 +74,48 @@ def pivot_wide(sites: DataFrame, facts: DataFrame, columns: Sequence[str]) -> Da
     return sites.select("place_id").join(wide, "place_id", "left")
 
 
-def _near_rings(sites: DataFrame, rings: DataFrame, radius: float) -> DataFrame:
-    """(place_id, lat, lng, ring_id, name, ring) of sites and rings whose boxes come within radius: rings are copied to the
-    grid cells that their widened box covers, sites stand in one cell, and an equi-join on cells brings them together."""
+def ring_cells(rings: DataFrame, radius: float) -> tuple[DataFrame, DataFrame, list[int]]:
+    """Where rings stand, however large they are: a written table of the rings with a key `_rid` and their boxes, rows
+    (_level, _y, _x, _rid, box) of which each ring has four at most, and the levels in use (about thirty at most).
+
+    A ring stands in the cells of the level whose cells are as wide as its box widened by the radius."""
+    step = max(radius / FLAT_M, 1e-6)
+    corner = lambda f, k: f(F.transform("ring", lambda p: p[k]))
+    box = {"_s": corner(F.array_min, "lat"), "_n": corner(F.array_max, "lat"), "_wst": corner(F.array_min, "lng"), "_e": corner(F.array_max, "lng")}
+    boxed = rings.select("ring_id", "name", "ring").withColumns(box).filter("_s is not null and _wst is not null")
+    narrow = F.greatest(F.cos(F.radians(F.greatest(F.abs("_s"), F.abs("_n")) + step)), F.lit(0.1))
+    boxed = boxed.withColumn("_wide", F.lit(step) / narrow)
+    size = F.greatest(F.col("_n") - F.col("_s") + 2 * step, F.col("_e") - F.col("_wst") + 2 * F.col("_wide"))
+    level = F.greatest(F.ceil(F.log2(size / (2 * step))), F.lit(0)).cast("int")
+    boxed = written(boxed.withColumns({"_level": level, "_rid": F.monotonically_increasing_id()}), "rings")
+    cells = lambda lo, hi: F.explode(F.sequence(_cell(lo, F.col("_level"), step), _cell(hi, F.col("_level"), step)))
+    where = boxed.select("_level", "_rid", "_s", "_n", "_wst", "_e", "_wide")
+    where = where.withColumn("_y", cells(F.col("_s") - step, F.col("_n") + step))
+    where = where.withColumn("_x", cells(F.col("_wst") - F.col("_wide"), F.col("_e") + F.col("_wide")))
+    return boxed, where, sorted(r[0] for r in boxed.select("_level").distinct().collect())
+
+
+def _cell(c, level, step: float):
+    return F.floor(c / (F.lit(2 * step) * F.pow(F.lit(2.0), level))).cast("long")
+
+
+def _ring_pairs(sites: DataFrame, rings: DataFrame, radius: float) -> tuple[DataFrame, DataFrame]:
+    """(place_id, lat, lng, _rid, box) of sites and rings whose boxes come within radius, and the table of the rings: sites
+    stand in one cell of each level in use, and an equi-join on cells brings keys together, not outlines."""
+    boxed, where, levels = ring_cells(rings, radius)
     step = max(radius / FLAT_M, 1e-6)
-    narrow = F.greatest(F.cos(F.radians(F.greatest(F.abs(F.col("_s")), F.abs(F.col("_n"))) + step)), F.lit(0.1))
-    box = rings.withColumns({"_s": F.array_min(F.transform("ring", lambda p: p["lat"])), "_n": F.array_max(F.transform("ring", lambda p: p["lat"])), "_wst": F.array_min(F.transform("ring", lambda p: p["lng"])), "_e": F.array_max(F.transform("ring", lambda p: p["lng"]))})
-    wide = F.lit(step) / narrow
-    cell = lambda c: F.floor(c / F.lit(step * 2)).cast("long")
-    spread = box.withColumn("_y", F.explode(F.sequence(cell(F.col("_s") - step), cell(F.col("_n") + step)))).withColumn("_x", F.explode(F.sequence(cell(F.col("_wst") - wide), cell(F.col("_e") + wide)))).withColumn("_wide", wide)
-    at = sites.select("place_id", "lat", "lng", cell(F.col("lat")).alias("_y"), cell(F.col("lng")).alias("_x"))
+    level = F.explode(F.array(*map(F.lit, levels)) if levels else F.array().cast("array<int>")).alias("_level")
+    at = sites.select("place_id", "lat", "lng", level)
+    at = at.withColumns({"_y": _cell(F.col("lat"), F.col("_level"), step), "_x": _cell(F.col("lng"), F.col("_level"), step)})
     inside = (F.col("lat") >= F.col("_s") - step) & (F.col("lat") <= F.col("_n") + step) & (F.col("lng") >= F.col("_wst") - F.col("_wide")) & (F.col("lng") <= F.col("_e") + F.col("_wide"))
-    return at.join(spread, ["_y", "_x"]).filter(inside).select("place_id", "lat", "lng", "ring_id", blank(F.col("name")).alias("name"), "ring")
+    return at.join(where, ["_level", "_y", "_x"]).filter(inside).drop("_level", "_y", "_x"), boxed
+
+
+def _near_rings(sites: DataFrame, rings: DataFrame, radius: float) -> DataFrame:
+    """(place_id, lat, lng, ring_id, name, ring) of sites and rings whose boxes come within radius."""
+    pairs, boxed = _ring_pairs(sites, rings, radius)
+    shapes = boxed.select("_rid", "ring_id", blank(F.col("name")).alias("name"), "ring")
+    return pairs.select("place_id", "lat", "lng", "_rid").join(shapes, "_rid").drop("_rid")
 
 
 def _parts(df: DataFrame) -> int:
@@ -123,16 +153,37 @@ def ring_metres(sites: DataFrame, rings: DataFrame, radius: float) -> DataFrame:
     return _near_rings(sites, rings, float(radius)).mapInPandas(far, schema)
 
 
-def land_area(sites: DataFrame, rings: DataFrame, radii: Sequence[int], name: str) -> DataFrame:
-    """(place_id, col, value): <name>_ha_<r>, hectares of the union of the rings inside the circle, to 2 places."""
-    radii = list(radii)
+def land_area(sites: DataFrame, rings: DataFrame, radii: Sequence[int], name: str, per_tile: int = 128) -> DataFrame:
+    """(place_id, col, value): <name>_ha_<r>, hectares of the union of the rings inside the circle, to 2 places.
 
-    def sweep(g: pd.DataFrame) -> pd.DataFrame:
-        found = hectares(g.ring, g.lat.iloc[0], g.lng.iloc[0], radii)
-        out = [found[r] for r in radii]
-        return pd.DataFrame({"place_id": g.place_id.iloc[0], "col": [f"{name}_ha_{r}" for r in radii], "value": out})
+    The area of a union is the sum over tiles that do not overlap: a site with more than per_tile rings is cut into as
+    many tiles as it takes, each with the rings whose boxes meet it, so that no site is one group; rings that repeat
+    stand once in a tile. Results do not depend on the tiles but for the last bits."""
+    radii, top = list(radii), float(max(radii))
+    pairs, boxed = _ring_pairs(sites, rings, top)
+    pairs = written(pairs, "ring-pairs")
+    cuts = F.ceil(F.sqrt(F.count("*") / F.lit(per_tile))).cast("int").alias("cuts")
+    tiled = pairs.join(pairs.groupBy("place_id").agg(cuts), "place_id")
+    k = F.lit(FLAT_M) * F.cos(F.radians("lat"))
+    tile = lambda metres: F.greatest(F.lit(0), F.least(F.col("cuts") - 1, F.floor((metres + top) * F.col("cuts") / (2 * top)).cast("int")))
+    across = F.sequence(tile((F.col("_wst") - F.col("lng")) * k), tile((F.col("_e") - F.col("lng")) * k))
+    up = F.sequence(tile((F.col("_s") - F.col("lat")) * FLAT_M), tile((F.col("_n") - F.col("lat")) * FLAT_M))
+    tiled = tiled.select("place_id", "lat", "lng", "_rid", "cuts", F.explode(across).alias("tx"), up.alias("up"))
+    tiled = tiled.select("place_id", "lat", "lng", "_rid", "cuts", "tx", F.explode("up").alias("ty"))
 
-    found = _near_rings(sites, rings, float(max(radii))).repartition(_parts(sites), "place_id").groupBy("place_id").applyInPandas(sweep, "place_id string, col string, value double")
+    def sweep(g: pd.DataFrame) -> pd.DataFrame:
+        lat, lng, cuts, tx, ty = (g[c].iloc[0] for c in ("lat", "lng", "cuts", "tx", "ty"))
+        size = 2 * top / cuts
+        low, high = np.array([tx * size - top, ty * size - top]), np.array([(tx + 1) * size - top, (ty + 1) * size - top])
+        outlines = {tuple((p["lng"], p["lat"]) for p in r): r for r in g.ring}
+        shapes = [s for r in outlines.values() if len(s := _local(r, lat, lng))]
+        windows = [P.clip_box(P.circle(r), low, high) for r in radii]
+        areas = [P.union_area(shapes, w) if len(w) else 0.0 for w in windows]
+        return pd.DataFrame({"place_id": g.place_id.iloc[0], "col": [f"{name}_ha_{r}" for r in radii], "value": areas})
+
+    outlined = tiled.join(boxed.select("_rid", "ring"), "_rid").repartition(_parts(sites), "place_id", "tx", "ty")
+    found = outlined.groupBy("place_id", "tx", "ty").applyInPandas(sweep, "place_id string, col string, value double")
+    found = found.groupBy("place_id", "col").agg(half_even(F.sum("value") / 10_000, 2).alias("value"))
     grid = sites.select("place_id", F.explode(F.array(*(F.lit(f"{name}_ha_{r}") for r in radii))).alias("col"))
     return grid.join(found, ["place_id", "col"], "left").select("place_id", "col", F.coalesce("value", F.lit(0.0)).alias("value"))
 

@@ -533,11 +533,6 @@ def _rings(spark, sf_dir):
     return e.select(F.col("ord").alias("ring_id"), "name", F.array(corner(-1, -1), corner(-1, 1), corner(1, 1), corner(1, -1)).alias("ring"))
 
 
-@query()
-def landuse_hectares(spark, sf_dir):
-    return surround.land_area(sites(spark, sf_dir), _rings(spark, sf_dir), RADII, "industrial")
-
-
 @query()
 def landuse_items(spark, sf_dir):
     return surround.area_items(sites(spark, sf_dir), _rings(spark, sf_dir), RADII, "industrial")
@@ -554,6 +549,32 @@ def _flat(lat: str, lng: str, site: str = "a") -> str:
     return f"sqrt(pow({east}, 2) + pow({north}, 2))"
 
 
+# Half the height of the polygon of 256 sides at x, and where it is y high: both as SQL; lengths are parts of the radius.
+_SIDE = "(2 * pi() / 256)"
+_AT = f"(SELECT k, cos(k * {_SIDE}) AS c, cos((k + 1) * {_SIDE}) AS d, sin(k * {_SIDE}) AS s, sin((k + 1) * {_SIDE}) AS t FROM (SELECT unnest(range(128)) AS k))"
+
+
+@query(f"""WITH {_SITES_SQL}, {_ESTATES_SQL}, {_RECTS_SQL}, sides AS {_AT}, radii AS (SELECT unnest({list(RADII)}) AS m),
+local AS (SELECT a.place_id, m, greatest((r.x0 - a.lng) * k, -m) / m AS x0, least((r.x1 - a.lng) * k, m) / m AS x1, (r.y0 - a.lat) * {surround.FLAT_M}e0 / m AS y0, (r.y1 - a.lat) * {surround.FLAT_M}e0 / m AS y1
+  FROM (SELECT *, {surround.FLAT_M}e0 * cos(radians(lat)) AS k FROM sites) a JOIN rects r ON abs(r.y0 - a.lat) < 0.03 AND abs(r.x0 - a.lng) < 0.03 CROSS JOIN radii),
+near AS (SELECT * FROM local WHERE x0 < x1 AND y0 < 1 AND y1 > -1),
+bounds AS (SELECT place_id, m, min(x0) AS lo, max(x1) AS hi FROM near GROUP BY ALL),
+levels AS (SELECT DISTINCT place_id, m, abs(unnest([y0, y1])) AS y FROM near),
+cuts AS (
+  SELECT place_id, m, unnest([x0, x1]) AS x FROM near
+  UNION SELECT place_id, m, c FROM bounds CROSS JOIN sides WHERE c > lo AND c < hi
+  UNION SELECT place_id, m, unnest([c + (d - c) * (y - s) / (t - s), -(c + (d - c) * (y - s) / (t - s))]) FROM levels JOIN sides ON y >= s AND y < t AND k < 64),
+slabs AS (SELECT place_id, m, x, lead(x) OVER (PARTITION BY place_id, m ORDER BY x) AS e FROM cuts),
+mids AS (SELECT place_id, m, (x + e) / 2 AS x, e - x AS w FROM slabs WHERE e > x),
+high AS (SELECT place_id, m, x, w, s + (t - s) * (x - c) / (d - c) AS h FROM mids JOIN sides ON x <= c AND x > d),
+pieces AS (SELECT h.place_id, h.m, h.x, h.w, greatest(n.y0, -h) AS lo, least(n.y1, h) AS hi FROM high h JOIN near n ON n.place_id = h.place_id AND n.m = h.m AND h.x > n.x0 AND h.x < n.x1),
+joined AS (SELECT *, max(hi) OVER (PARTITION BY place_id, m, x ORDER BY lo, hi ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS last FROM pieces WHERE hi > lo),
+areas AS (SELECT place_id, m, sum(w * greatest(0, hi - greatest(lo, coalesce(last, lo)))) AS a FROM joined GROUP BY ALL)
+SELECT place_id, 'industrial_ha_' || m AS col, coalesce({_even("a * m * m / 10000", 2)}, 0) AS value FROM (SELECT place_id, m FROM sites CROSS JOIN radii) LEFT JOIN areas USING (place_id, m)""")
+def landuse_hectares(spark, sf_dir):
+    return surround.land_area(sites(spark, sf_dir), _rings(spark, sf_dir), RADII, "industrial")
+
+
 @query(f"""WITH {_SITES_SQL}, {_ESTATES_SQL}, {_RECTS_SQL}, d AS (SELECT a.place_id, r.ring_id, {_flat("a.lat", "a.lng")} AS d FROM sites a CROSS JOIN rects r)
 SELECT place_id, ring_id, CAST(round_even(d, 0) AS INTEGER) AS metres FROM d WHERE d <= 1500""")
 def ring_metres(spark, sf_dir):
