@@ -99,6 +99,91 @@ def clip_box(convex: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarra
     return ring(convex)
 
 
+def noded(p: np.ndarray, grid: float = 1e-6) -> np.ndarray:
+    """The edges (n, 2, 2) of a ring cut wherever they meet one another, corners rounded to the grid; an edge that is run
+    through an even number of times bounds nothing and is left out."""
+    p = np.round(p / grid) * grid
+    p = p[np.any(p != np.roll(p, 1, axis=0), axis=1)]
+    if len(p) < 3:
+        return np.zeros((0, 2, 2))
+    a, d = p, np.roll(p, -1, axis=0) - p
+    length = np.hypot(d[:, 0], d[:, 1])
+    pieces = []
+    for i in range(len(p)):
+        gap, det = a - a[i], d[i, 0] * d[:, 1] - d[i, 1] * d[:, 0]
+        off = gap[:, 0] * d[i, 1] - gap[:, 1] * d[i, 0]  # twice the area between edge i and a corner: 0 on its line
+        flat = np.abs(det) <= 1e-12 * length[i] * length
+        with np.errstate(divide="ignore", invalid="ignore"):
+            t = (gap[:, 0] * d[:, 1] - gap[:, 1] * d[:, 0]) / det
+            u = off / det
+        slack = grid / length
+        meets = ~flat & (t >= -slack[i]) & (t <= 1 + slack[i]) & (u >= -slack) & (u <= 1 + slack)
+        along = (gap @ d[i]) / length[i] ** 2
+        on_line = np.abs(off) <= grid * length[i]  # corners on the edge's line cut it too
+        cuts = np.concatenate([[0.0, 1.0], t[meets], along[on_line]])
+        cuts = np.unique(np.clip(cuts, 0, 1))
+        corners = np.round((a[i] + cuts[:, None] * d[i]) / grid).astype(np.int64)
+        pieces.append(np.stack([corners[:-1], corners[1:]], axis=1)[np.any(corners[:-1] != corners[1:], axis=1)])
+    edges = np.concatenate(pieces)
+    swap = (edges[:, 0, 0] > edges[:, 1, 0]) | ((edges[:, 0, 0] == edges[:, 1, 0]) & (edges[:, 0, 1] > edges[:, 1, 1]))
+    edges[swap] = edges[swap][:, ::-1]
+    each, times = np.unique(edges.reshape(-1, 4), axis=0, return_counts=True)
+    return each[times % 2 == 1].reshape(-1, 2, 2) * grid
+
+
+def _directed(edges: np.ndarray) -> np.ndarray:
+    """The edges with what they enclose (an odd number of them on the way out) at their left."""
+    (x0, y0), (x1, y1) = edges[:, 0].T, edges[:, 1].T
+    out = edges.copy()
+    for i, (a, b) in enumerate(edges):
+        mx, my = (a + b) / 2
+        if a[1] != b[1]:  # count what lies west of the middle
+            cross = (np.minimum(y0, y1) <= my) & (np.maximum(y0, y1) > my)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                at = x0 + (my - y0) * (x1 - x0) / (y1 - y0)
+            cross[i] = False
+            inside = np.count_nonzero(cross & (at < mx)) % 2 == 1
+            forward = (b[1] > a[1]) == inside
+        else:  # count what lies south of it
+            cross = (np.minimum(x0, x1) <= mx) & (np.maximum(x0, x1) > mx)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                at = y0 + (mx - x0) * (y1 - y0) / (x1 - x0)
+            cross[i] = False
+            inside = np.count_nonzero(cross & (at < my)) % 2 == 1
+            forward = (b[0] < a[0]) == inside
+        if not forward:
+            out[i] = out[i, ::-1]
+    return out
+
+
+def simple_rings(p, grid: float = 1e-6) -> list[np.ndarray]:
+    """A ring that may cross or touch itself, have spikes or repeat corners, as rings that do not: what it fills by the
+    even-odd rule. Outer rings run counter-clockwise, holes clockwise; parts that share a corner only are separate."""
+    edges = _directed(noded(np.asarray(p, float).reshape(-1, 2), grid))
+    leaving: dict[tuple[float, float], list[int]] = {}
+    for i, (a, _) in enumerate(edges):
+        leaving.setdefault(tuple(a), []).append(i)
+    angle = np.arctan2(edges[:, 1, 1] - edges[:, 0, 1], edges[:, 1, 0] - edges[:, 0, 0])
+    left, out = np.ones(len(edges), bool), []
+    for first in range(len(edges)):
+        path, at, now = [], {}, first
+        while left[now]:
+            left[now] = False
+            start, end = tuple(edges[now, 0]), tuple(edges[now, 1])
+            at[start] = len(path)
+            path.append(now)
+            if end in at:  # a loop closes: it is a ring, and what came before goes on
+                loop, path = path[at[end] :], path[: at[end]]
+                out.append(edges[loop, 0])
+                at = {tuple(edges[e, 0]): k for k, e in enumerate(path)}
+            ways = [e for e in leaving.get(end, []) if left[e]]
+            if not ways:
+                break
+            # the sharpest turn to the left keeps to the same part
+            now = min(ways, key=lambda e: (angle[now] + np.pi - angle[e]) % (2 * np.pi) or 2 * np.pi)
+    return [r for r in out if abs(signed_area(r)) > 1e-9]
+
+
 def contains(r: np.ndarray, point) -> bool:
     x, y = point
     a, b = r, np.roll(r, -1, axis=0)

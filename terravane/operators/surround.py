@@ -139,6 +139,33 @@ def hectares(rings, lat: float, lng: float, radii: Sequence[int]) -> dict[int, f
     return {r: round(P.union_area(some, P.circle(r)) / 10_000, 2) for r, some in near.items()}
 
 
+def repaired_rings(rings: DataFrame) -> DataFrame:
+    """(ring_id, name, part, hole, hectares, ring): each ring as simple rings, filled where it was by the even-odd rule;
+    a ring that crosses itself has several parts, one without area none. Parts are in order of their size, holes
+    (hole = true) have negative areas. hectares is flat, to 4 places. Rings that are null or empty have no parts."""
+
+    def repair(found: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for g in found:
+            rows = []
+            for m in g.itertuples(index=False):
+                if m.ring is None or not len(m.ring):
+                    continue
+                lat, lng = m.ring[0]["lat"], m.ring[0]["lng"]
+                k = FLAT_M * np.cos(np.radians(lat))
+                corners = [((p["lng"] - lng) * k, (p["lat"] - lat) * FLAT_M) for p in m.ring]
+                own = {(round(x * 1e6), round(y * 1e6)): p for (x, y), p in zip(corners, m.ring, strict=True)}  # as given
+                parts = P.simple_rings(corners)
+                for i, part in enumerate(sorted(parts, key=lambda r: (-abs(P.signed_area(r)), r.min(axis=0).tolist()))):
+                    back = [own.get((round(x * 1e6), round(y * 1e6)), {"lng": lng + x / k, "lat": lat + y / FLAT_M}) for x, y in part]
+                    ha = P.signed_area(part) / 10_000
+                    rows.append((m.ring_id, m.name, i, ha < 0, round(ha, 4), back))
+            yield pd.DataFrame(rows, columns=["ring_id", "name", "part", "hole", "hectares", "ring"])
+
+    kind = rings.schema["ring_id"].dataType.simpleString()
+    schema = f"ring_id {kind}, name string, part int, hole boolean, hectares double, ring array<struct<lng:double,lat:double>>"
+    return rings.select("ring_id", F.col("name").cast("string").alias("name"), "ring").mapInPandas(repair, schema)
+
+
 def ring_metres(sites: DataFrame, rings: DataFrame, radius: float) -> DataFrame:
     """(place_id, ring_id, metres): the rings that meet a site's circle, and how far they are (0: the site is inside)."""
 

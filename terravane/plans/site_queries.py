@@ -582,6 +582,43 @@ def ring_metres(spark, sf_dir):
     return surround.ring_metres(sites(spark, sf_dir), _rings(spark, sf_dir), 1500)
 
 
+# Rings that are not simple, in metres from a place: a spike, two rectangles that overlap, a bow, corners that repeat, a hole.
+_ODD_RINGS = [
+    "0,0 w,0 w+30,0 w,0 w,h 0,h",
+    "0,0 w,0 w,h 0,h 0,0 -20,0 -20,-10 40,-10 40,50 -20,50 -20,0",
+    "0,0 w,0 w,2*h 2*w,2*h 2*w,h 0,h",
+    "0,0 0,0 w,0 w,h w,h 0,h 0,0",
+    "0,0 w,0 w,h 0,h 0,0 0,20 20,20 20,50 60,50 60,20 20,20 0,20",
+]
+
+
+def _odd_ring(i: int, point: str, listed: str) -> str:
+    """Points of a pattern, as SQL."""
+    return listed.format(", ".join(point.format(x=x, y=y) for x, y in (p.split(",") for p in _ODD_RINGS[i].split())))
+
+
+def _by_pattern(point: str, listed: str) -> str:
+    cases = " ".join(f"WHEN {i} THEN {_odd_ring(i, point, listed)}" for i in range(len(_ODD_RINGS)))
+    return f"CASE ord % {len(_ODD_RINGS)} {cases} END"
+
+
+@query(f"""WITH {_ESTATES_SQL}, shapes AS (
+  SELECT ord AS ring_id, ord % {len(_ODD_RINGS)} AS kind, {_by_pattern("{{'x': {x}, 'y': {y}}}", "[{}]")} AS pts FROM (SELECT ord, 100 + ord % 7 * 10 AS w, 80 + ord % 4 * 15 AS h FROM estates)),
+sides AS (SELECT ring_id, kind, unnest(range(1, len(pts) + 1)) AS i, pts FROM shapes),
+uprights AS (SELECT ring_id, pts[i].x AS x, least(pts[i].y, pts[1 + i % len(pts)].y) AS lo, greatest(pts[i].y, pts[1 + i % len(pts)].y) AS hi FROM sides WHERE pts[i].x = pts[1 + i % len(pts)].x AND pts[i].y <> pts[1 + i % len(pts)].y),
+slabs AS (SELECT ring_id, y, lead(y) OVER (PARTITION BY ring_id ORDER BY y) AS e FROM (SELECT DISTINCT ring_id, unnest([lo, hi]) AS y FROM uprights)),
+crossed AS (SELECT s.ring_id, (e - s.y) * x * CASE WHEN row_number() OVER (PARTITION BY s.ring_id, s.y ORDER BY x) % 2 = 0 THEN 1 ELSE -1 END AS a FROM slabs s JOIN uprights u ON u.ring_id = s.ring_id AND u.lo <= s.y AND u.hi >= e)
+SELECT ring_id, {_even("sum(a) / 10000e0", 3)} AS hectares, CAST(CASE WHEN kind IN (1, 2) THEN 2 ELSE 1 END AS BIGINT) AS parts, CAST(CASE kind WHEN 4 THEN 1 ELSE 0 END AS BIGINT) AS holes
+FROM crossed JOIN shapes USING (ring_id) GROUP BY ring_id, kind""")
+def ring_repair(spark, sf_dir):
+    """Rings that cross or touch themselves as simple ones: their area by the even-odd rule, parts and holes."""
+    point = "named_struct('lng', lng + ({x}) / k, 'lat', lat + ({y}) / m)"
+    sized = estates(spark, sf_dir).selectExpr("*", "100 + ord % 7 * 10 AS w", "80 + ord % 4 * 15 AS h", f"{surround.FLAT_M}e0 AS m", f"{surround.FLAT_M}e0 * cos(radians(lat)) AS k")
+    rings = sized.selectExpr("ord AS ring_id", "name", f"{_by_pattern(point, 'array({})')} AS ring")
+    parts = surround.repaired_rings(rings).groupBy("ring_id")
+    return parts.agg(text.half_even(F.sum("hectares"), 3).alias("hectares"), F.count_if(~F.col("hole")).alias("parts"), F.count_if("hole").alias("holes"))
+
+
 @query(f"""WITH RECURSIVE {_SITES_SQL}, {_SHOPS_SQL}, {_ESTATES_SQL}, {_RECTS_SQL}, radii AS (SELECT unnest([1500, 3000]) AS m),
 touched AS (SELECT a.place_id, m, r.ring_id FROM sites a CROSS JOIN rects r CROSS JOIN radii WHERE {_flat("a.lat", "a.lng")} <= m),
 met AS (SELECT r.ring_id AS a, q.ring_id AS b FROM rects r JOIN rects q ON r.x0 < q.x1 AND q.x0 < r.x1 AND r.y0 < q.y1 AND q.y0 < r.y1 AND r.ring_id <> q.ring_id),

@@ -77,3 +77,75 @@ def test_area_does_not_depend_on_tiles(spark, per_tile):
         for r, ha in surround.hectares([r for _, _, r in rings], y, lng, (500, 1500)).items():
             want[p, f"ind_ha_{r}"] = ha
     assert got == pytest.approx(want, abs=0.011)
+
+
+def even_odd_area(p):
+    """By the middles of a fine grid over integer corners."""
+    p = np.asarray(p, float)
+    (x0, y0), (x1, y1) = p.min(axis=0), p.max(axis=0)
+    xs, ys = (np.arange(x0, x1) + 0.5), (np.arange(y0, y1) + 0.5)
+    return sum(P.contains(p, (x, y)) for x in xs for y in ys)
+
+
+def crosses_itself(r):
+    a, b = r, np.roll(r, -1, axis=0)
+    for i in range(len(r)):
+        for j in range(i + 1, len(r)):
+            d, e, g = b[i] - a[i], b[j] - a[j], a[j] - a[i]
+            det = d[0] * e[1] - d[1] * e[0]
+            if abs(det) > 1e-9:
+                t, u = (g[0] * e[1] - g[1] * e[0]) / det, (g[0] * d[1] - g[1] * d[0]) / det
+                if 1e-6 < t < 1 - 1e-6 and 1e-6 < u < 1 - 1e-6:
+                    return True
+    return len({tuple(np.round(p, 5)) for p in r}) < len(r)
+
+
+SHAPES = {
+    "square": ([(0, 0), (4, 0), (4, 4), (0, 4)], [16]),
+    "clockwise": ([(0, 4), (4, 4), (4, 0), (0, 0)], [16]),
+    "bow": ([(0, 0), (4, 4), (4, 0), (0, 4)], [4, 4]),
+    "spike": ([(0, 0), (4, 0), (9, 0), (4, 0), (4, 4), (0, 4)], [16]),
+    "inner spike": ([(0, 0), (4, 0), (4, 4), (2, 4), (2, 1), (2, 4), (0, 4)], [16]),
+    "repeats": ([(0, 0), (0, 0), (4, 0), (4, 4), (4, 4), (4, 4), (0, 4), (0, 0)], [16]),
+    "line": ([(0, 0), (4, 0), (2, 0)], []),
+    "twice": ([(0, 0), (4, 0), (4, 4), (0, 4)] * 2, []),
+    "touches itself": ([(0, 0), (8, 0), (8, 8), (4, 0), (0, 8)], [16, 16]),
+    "hole at a corner": ([(0, 0), (8, 0), (8, 8), (0, 8), (0, 0), (2, 4), (4, 2)], [64, -6]),
+    "star": ([(0, -10), (6, 9), (-10, -3), (10, -3), (-6, 9)], None),
+}
+
+
+@pytest.mark.parametrize("name", list(SHAPES))
+def test_simple_rings(name):
+    p, want = SHAPES[name]
+    got = P.simple_rings(p)
+    assert not any(crosses_itself(r) for r in got)
+    if want is not None:
+        assert sorted(round(P.signed_area(r), 6) for r in got) == sorted(want)
+    else:
+        assert len(got) == 5 and sum(map(P.signed_area, got)) == pytest.approx(P.union_area([np.array(p, float)]))
+
+
+def test_random_rings_keep_their_even_odd_area():
+    rng = random.Random(5)
+    for n in range(3, 14):
+        for axis_parallel in (False, True):
+            p = [(rng.randrange(12), rng.randrange(12)) for _ in range(n)]
+            if axis_parallel:
+                p = [c for a, b in zip(p, p[1:] + p[:1]) for c in (a, (b[0], a[1]))]
+            got = P.simple_rings(p)
+            assert not any(crosses_itself(r) for r in got)
+            total = sum(map(P.signed_area, got))
+            if axis_parallel:
+                assert total == pytest.approx(even_odd_area(p))
+            elif len({*p}) > 2 and abs(P.signed_area(np.array(p, float))) > 1e-9:
+                assert total == pytest.approx(P.union_area([np.array(p, float)]), abs=1e-4)
+
+
+def test_repaired_rings(spark):
+    bow = [{"lng": 101.0 + x / 1000, "lat": 13.0 + y / 1000} for x, y in ((0, 0), (1, 1), (1, 0), (0, 1), (0, 0))]
+    rows = [(1, "bow", bow), (2, None, box(13.0, 101.0, 0, 0, 100, 100)), (3, "none", None), (4, "empty", []), (5, "line", bow[:2])]
+    got = surround.repaired_rings(spark.createDataFrame(rows, RINGS)).collect()
+    assert sorted((r.ring_id, r.part, r.hole) for r in got) == [(1, 0, False), (1, 1, False), (2, 0, False)]
+    square = next(r for r in got if r.ring_id == 2)
+    assert square.hectares == 1.0 and {(p.lng, p.lat) for p in square.ring} == {(p["lng"], p["lat"]) for p in rows[1][2]}
