@@ -90,9 +90,13 @@ def rectangle_json(south, west, north, east) -> Column:
     return F.to_json(F.struct(F.struct(corner(south, west).alias("low"), corner(north, east).alias("high")).alias("rectangle")))
 
 
+def narrowest(widest: float) -> float:
+    """Width of a degree of longitude by that of one of latitude, where meridians come nearest."""
+    return max(math.cos(math.radians(min(abs(widest), 89.0))), 1e-3)
+
+
 def _cells(lat: Column, lng: Column, radius_m: float, widest: float) -> tuple[Column, Column]:
-    narrow = max(math.cos(math.radians(min(abs(widest), 89.0))), 1e-3)
-    return F.floor(lat * CELL_M / radius_m), F.floor(lng * (CELL_M * narrow) / radius_m)
+    return F.floor(lat * CELL_M / radius_m), F.floor(lng * (CELL_M * narrowest(widest)) / radius_m)
 
 
 def widest_latitude(*sides: DataFrame) -> float:

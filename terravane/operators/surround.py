@@ -1,7 +1,7 @@
 """What lies around each site: counts, sums, lists, land area and campuses within radii.
 
-All measures of a layer come from one radius join at the largest radius, as long facts (place_id, col, value); columns are
-made by one pivot at the end.
+Counts and sums come from sums of cells of a size for each radius (see cells), as long facts (place_id, col, value); columns
+are made by one pivot at the end.
 """
 
 from __future__ import annotations
@@ -15,9 +15,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import polygons as P
-from ..functions.geo import FLAT_M, radius_pairs
+from ..functions.geo import FLAT_M, radius_pairs, widest_latitude
 from ..functions.storage import written
 from ..functions.text import blank, half_even, slug
+from .cells import density, nearest_points, parts_of_radius, radius_sums
 
 MOST_ITEMS = 50
 ITEM = "name STRING, metres INT, extra DOUBLE, lat DOUBLE, lng DOUBLE"
@@ -28,44 +29,63 @@ def _pois(pois: DataFrame, weight: str | None, feature: str | None = None) -> Da
     return pois.select("lat", "lng", pick("name", "string").alias("_name"), pick("ord", "long").alias("_ord"), (F.col(weight).cast("double") if weight else F.lit(1.0)).alias("_w"), (slug(F.col("category")) if "category" in pois.columns else F.lit(None).cast("string")).alias("_cat"), (F.col(feature) if feature else F.lit(None).cast("string")).alias("_feature"))
 
 
+def _keyed(p: DataFrame, keys) -> DataFrame:
+    return p.select("lat", "lng", keys.alias("_key"), F.coalesce("_w", F.lit(0.0)).alias("_w"))
+
+
+def _sums(sites: DataFrame, points: DataFrame, radii: Sequence[int], widest: float | None) -> DataFrame:
+    """(place_id, _key, _r, value) of the points within each radius; each radius has cells of its own size."""
+    widest = widest_latitude(sites, points) if widest is None else widest
+    top = max(radii)
+    n, dense = density(points, float(top), widest)
+    parts = {r: parts_of_radius(dense * (r / top) ** 2) for r in radii}
+    each = [radius_sums(sites, points, float(r), widest, parts[r], n).withColumn("_r", F.lit(r)) for r in radii]
+    out = each[0]
+    for more in each[1:]:
+        out = out.unionByName(more)
+    return out
+
+
 def radius_measures(sites: DataFrame, pois: DataFrame, radii: Sequence[int], name: str, weight: str | None = None, widest: float | None = None) -> DataFrame:
     """(place_id, col, value) for every site: <name>_<r>, and <name>_<category>_<r> for each category of pois. Value is the
     number of points within r (inclusive), or the sum of their weights; 0 where there are none."""
     p = _pois(pois, weight)
-    near = radius_pairs(sites.select("place_id", "lat", "lng"), p, float(max(radii)), widest)
     has_categories = "category" in pois.columns
-    sums = [F.sum(F.when(F.col("d") <= r, F.coalesce("_w", F.lit(0.0)))).alias(f"_{r}") for r in radii]
-    keys = near.select("place_id", "d", "_w", F.explode(F.array(F.lit(None).cast("string"), F.col("_cat")) if has_categories else F.array(F.lit(None).cast("string"))).alias("_cat"))
-    found = keys.groupBy("place_id", "_cat").agg(*sums)
-    column = lambda r: F.concat_ws("_", F.lit(name), F.col("_cat"), F.lit(str(r)))
-    cells = F.explode(F.array(*(F.struct(column(r).alias("col"), F.coalesce(F.col(f"_{r}"), F.lit(0.0)).alias("value")) for r in radii)))
-    cats = p.select("_cat").filter("_cat is not null").distinct().unionByName(p.sparkSession.createDataFrame([(None,)], "_cat string")) if has_categories else p.sparkSession.createDataFrame([(None,)], "_cat string")
-    # every site with every category of the file: categories are the columns of the result
-    grid = sites.select("place_id").withColumn("_cats", F.array(F.lit(None).cast("string"))) if not has_categories else sites.select("place_id").join(F.broadcast(cats.agg(F.sort_array(F.collect_set(F.coalesce("_cat", F.lit("\0")))).alias("_cats"))), F.lit(True))
-    cell = F.nullif(F.col("_cat0"), F.lit("\0"))
-    wide = grid.select("place_id", F.explode("_cats").alias("_cat0")).select("place_id", F.coalesce(cell, F.lit("\0")).alias("_k")).join(found.withColumn("_k", F.coalesce("_cat", F.lit("\0"))).drop("_cat"), ["place_id", "_k"], "left").withColumn("_cat", F.nullif(F.col("_k"), F.lit("\0")))
-    return wide.select("place_id", cells.alias("c")).select("place_id", "c.col", "c.value")
+    cats = F.array(F.lit("\0"), F.col("_key")) if has_categories else F.array(F.lit("\0"))
+    found = _sums(sites, _keyed(p, F.col("_cat")), radii, widest).select("place_id", "_r", "value", F.explode(cats).alias("_cat"))
+    found = found.groupBy("place_id", "_cat", "_r").agg(F.sum("value").alias("value"))
+    if has_categories:
+        cats = p.select("_cat").distinct().agg(F.sort_array(F.collect_set("_cat")).alias("_cats"))
+        # every site with every category of the file: categories are the columns of the result
+        grid = sites.select("place_id").join(F.broadcast(cats), F.lit(True)).select("place_id", F.explode(F.array_append("_cats", "\0")).alias("_cat"))
+    else:
+        grid = sites.select("place_id", F.lit("\0").alias("_cat"))
+    grid = grid.select("*", F.explode(F.array(*map(F.lit, radii))).alias("_r")).join(found, ["place_id", "_cat", "_r"], "left")
+    col = F.concat_ws("_", F.lit(name), F.nullif(F.col("_cat"), F.lit("\0")), F.col("_r").cast("string"))
+    return grid.select("place_id", col.alias("col"), F.coalesce("value", F.lit(0.0)).alias("value"))
 
 
 def layer_measures(sites: DataFrame, points: DataFrame, features: Sequence[str], radii: Sequence[int], widest: float | None = None) -> DataFrame:
-    """(place_id, col, value): counts of the points of several features (long table: feature, lat, lng) by one join."""
+    """(place_id, col, value): counts of the points of several features (long table: feature, lat, lng)."""
     p = _pois(points.filter(F.col("feature").isin(*features)), None, "feature")
-    near = radius_pairs(sites.select("place_id", "lat", "lng"), p, float(max(radii)), widest)
-    found = near.groupBy("place_id", "_feature").agg(*(F.count_if(F.col("d") <= r).alias(f"_{r}") for r in radii))
-    grid = sites.select("place_id", F.explode(F.array(*map(F.lit, features))).alias("_feature")).join(found, ["place_id", "_feature"], "left")
-    cells = F.explode(F.array(*(F.struct(F.concat_ws("_", "_feature", F.lit(str(r))).alias("col"), F.coalesce(F.col(f"_{r}"), F.lit(0)).cast("double").alias("value")) for r in radii)))
-    return grid.select("place_id", cells.alias("c")).select("place_id", "c.col", "c.value")
+    found = _sums(sites, _keyed(p, F.col("_feature")), radii, widest)
+    cells = F.explode(F.array(*map(F.lit, features))).alias("_key")
+    grid = sites.select("place_id", cells).select("*", F.explode(F.array(*map(F.lit, radii))).alias("_r")).join(found, ["place_id", "_key", "_r"], "left")
+    return grid.select("place_id", F.concat_ws("_", "_key", F.col("_r").cast("string")).alias("col"), F.coalesce("value", F.lit(0.0)).alias("value"))
 
 
 def nearest_items(sites: DataFrame, pois: DataFrame, radii: Sequence[int], name: str, weight: str | None = None, most: int = MOST_ITEMS, widest: float | None = None) -> DataFrame:
     """(place_id, col, pos, name, metres, extra, lat, lng): for each site and column of radius_measures the nearest points,
-    at most `most`, in order of distance, then of ord (or name and place)."""
-    near = radius_pairs(sites.select("place_id", "lat", "lng"), _pois(pois, weight), float(max(radii)), widest)
-    cats = F.array(F.lit(None).cast("string"), F.col("_cat")) if "category" in pois.columns else F.array(F.lit(None).cast("string"))
-    rows = near.withColumn("_c", F.explode(cats)).withColumn("_r", F.explode(F.array(*map(F.lit, radii)))).filter(F.col("d") <= F.col("_r"))
-    rows = rows.withColumn("col", F.concat_ws("_", F.lit(name), F.col("_c"), F.col("_r").cast("string")))
-    order = W.partitionBy("place_id", "col").orderBy("d", "_ord", "_name", "lat2", "lng2")
-    return rows.withColumn("pos", F.row_number().over(order)).filter(F.col("pos") <= most).select("place_id", "col", "pos", blank(F.col("_name")).alias("name"), F.rint("d").cast("int").alias("metres"), (F.col("_w") if weight else F.lit(None).cast("double")).alias("extra"), F.round("lat2", 6).alias("lat"), F.round("lng2", 6).alias("lng"))
+    at most `most`, in order of distance, then of ord (or name and place). A smaller radius has the first of the largest's."""
+    p = _pois(pois, weight)
+    cats = F.array(F.lit("\0"), F.col("_cat")) if "category" in pois.columns else F.array(F.lit("\0"))
+    points = p.select("lat", "lng", "_ord", "_name", "_w", F.explode(cats).alias("_key"))
+    top, widest = float(max(radii)), widest_latitude(sites, points) if widest is None else widest
+    n, dense = density(points, top, widest)
+    near = nearest_points(sites, points, top, most, ["_ord", "_name", "lat2", "lng2"], widest, parts_of_radius(dense), n)
+    rows = near.withColumn("_r", F.explode(F.array(*map(F.lit, radii)))).filter(F.col("d") <= F.col("_r"))
+    col = F.concat_ws("_", F.lit(name), F.nullif(F.col("_key"), F.lit("\0")), F.col("_r").cast("string"))
+    return rows.select("place_id", col.alias("col"), "pos", blank(F.col("_name")).alias("name"), F.rint("d").cast("int").alias("metres"), (F.col("_w") if weight else F.lit(None).cast("double")).alias("extra"), F.round("lat2", 6).alias("lat"), F.round("lng2", 6).alias("lng"))
 
 
 def pivot_wide(sites: DataFrame, facts: DataFrame, columns: Sequence[str]) -> DataFrame:

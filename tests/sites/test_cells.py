@@ -1,0 +1,89 @@
+import math
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from terravane.functions.geo import haversine, widest_latitude
+from terravane.operators import cells, surround
+
+R = 6_371_000.0
+POINTS = "lat double, lng double, _key string, _w double"
+
+
+def metres(a, b, c, d):
+    h = math.sin(math.radians(c - a) / 2) ** 2 + math.cos(math.radians(a)) * math.cos(math.radians(c)) * math.sin(math.radians(d - b) / 2) ** 2
+    return 2 * R * math.asin(math.sqrt(min(1.0, h)))
+
+
+def scene(seed, lat, n_sites, n_points, spread):
+    rng = random.Random(seed)
+    near = lambda: (lat + rng.gauss(0, spread), 20 + rng.gauss(0, spread) / math.cos(math.radians(lat)))
+    sites = [(f"s{i}", *near()) for i in range(n_sites)] + [("none", None, 20.0)]
+    points = [(*near(), rng.choice(["a", "b", None]), rng.choice([1.0, 2.5, -1.0])) for _ in range(n_points)]
+    points += [(*points[0][:2], "a", 1.0)] * 50 + [(*sites[0][1:], "b", 3.0), (None, 20.0, "a", 9.0)]  # many at one place, one at a site
+    return sites, points
+
+
+@pytest.mark.parametrize("lat, k", [(13.0, 1), (13.0, 5), (-47.0, 8), (68.0, 3), (0.0, 4)])
+def test_sums_equal_all_pairs(spark, lat, k):
+    sites, points = scene(k, lat, 60, 900, 0.03)
+    s, p = spark.createDataFrame(sites, "place_id string, lat double, lng double"), spark.createDataFrame(points, POINTS)
+    widest = widest_latitude(s, p)
+    for radius in (700.0, 4000.0):
+        got = {(r.place_id, r._key): r.value for r in cells.radius_sums(s, p, radius, widest, k, len(points)).collect()}
+        want = {}
+        for i, a, b in sites[:-1]:
+            for c, d, key, w in points[:-1]:
+                if metres(a, b, c, d) <= radius:
+                    want[i, key] = want.get((i, key), 0.0) + w
+        assert got.keys() == want.keys() and all(got[x] == pytest.approx(want[x], abs=1e-9) for x in want)
+        # not broadcast: the same
+        again = {(r.place_id, r._key): r.value for r in cells.radius_sums(s, p, radius, widest, k, 10**9).collect()}
+        assert again == pytest.approx(got)
+
+
+@pytest.mark.parametrize("lat, k, most", [(13.0, 1, 5), (13.0, 6, 50), (-60.0, 4, 1), (13.0, 8, 10_000)])
+def test_nearest_equal_all_pairs(spark, lat, k, most):
+    sites, points = scene(k + 1, lat, 40, 700, 0.02)
+    named = [(a, b, key, w, i) for i, (a, b, key, w) in enumerate(points)]
+    s, p = spark.createDataFrame(sites, "place_id string, lat double, lng double"), spark.createDataFrame(named, POINTS + ", ord int")
+    found = cells.nearest_points(s, p, 3000.0, most, ["ord"], widest_latitude(s, p), k, len(points))
+    got = sorted((r.place_id, str(r._key), r.pos, r.ord) for r in found.collect())
+    want = []
+    for i, a, b in sites[:-1]:
+        for key in ("a", "b", None):
+            near = sorted((metres(a, b, c, d), o) for c, d, x, _, o in named[:-1] if x == key and metres(a, b, c, d) <= 3000)
+            want += [(i, str(key), pos, o) for pos, (_, o) in enumerate(near[:most], 1)]
+    assert got == sorted(want)
+
+
+def test_few_pairs_are_measured(spark):
+    """Among dense points, less than 30 % of the pairs that 3 x 3 cells of the radius hold are measured."""
+    sites, points = scene(9, 13.0, 50, 6000, 0.01)
+    s, p = spark.createDataFrame(sites, "place_id string, lat double, lng double"), spark.createDataFrame(points, POINTS)
+    widest, radius = widest_latitude(s, p), 1500.0
+    n, dense = cells.density(p, radius, widest)
+    k = cells.parts_of_radius(dense)
+    assert n == len(points) - 1 or n == len(points)
+    rim = cells.cells_around(s, radius, k, widest).filter(F.col("far2") > radius**2).join(cells.gridded(p, radius / k, widest).drop("lat", "lng"), ["_y", "_x"])
+    old = cells.cells_around(s, radius, 1, widest).join(cells.gridded(p, radius, widest).drop("lat", "lng"), ["_y", "_x"])
+    assert k > 3 and rim.count() < 0.3 * old.count()
+
+
+def test_bounds_hold(spark):
+    """near2 and far2 bound the distance of every point of a cell."""
+    for lat, radius in ((13.0, 800.0), (-71.0, 3000.0), (80.0, 20000.0)):
+        sites, points = scene(2, lat, 20, 400, radius / 111_000)
+        s, p = spark.createDataFrame(sites, "place_id string, lat double, lng double"), spark.createDataFrame(points, POINTS)
+        widest = widest_latitude(s, p)
+        met = cells.cells_around(s, radius, 4, widest).join(cells.gridded(p, radius / 4, widest).withColumnsRenamed({"lat": "lat2", "lng": "lng2"}), ["_y", "_x"])
+        d = haversine(F.col("lat"), F.col("lng"), F.col("lat2"), F.col("lng2"))
+        assert met.count() > 200 and met.filter((d * d < F.col("near2") - 1e-3) | (d * d > F.col("far2") + 1e-3)).isEmpty()
+
+
+def test_measures_of_no_points(spark):
+    sites = spark.createDataFrame([("a", 13.0, 101.0)], "place_id string, lat double, lng double")
+    none = spark.createDataFrame([], "lat double, lng double, name string, category string")
+    assert [tuple(r) for r in surround.radius_measures(sites, none, (500, 900), "shop").orderBy("col").collect()] == [("a", "shop_500", 0.0), ("a", "shop_900", 0.0)]
+    assert surround.nearest_items(sites, none, (500,), "shop").count() == 0
