@@ -76,15 +76,30 @@ def _ratio_reached(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([SequenceMatcher(None, x, y).ratio() >= 0.6 for x, y in zip(a, b, strict=True)], dtype=bool)
 
 
+def shared_letters(a: Column, b: Column) -> Column:
+    """Letters that two texts have in common, each as often as both have it: what a matching of runs can reach at most."""
+    times = lambda text, c: F.length(text) - F.length(F.replace(text, c, F.lit("")))
+    return F.aggregate(F.array_distinct(F.split(a, "")), F.lit(0), lambda n, c: n + F.least(times(a, c), times(b, c)))
+
+
+def one_holds_the_other(a: Column, b: Column) -> Column:
+    return (F.length(a) >= 3) & (F.length(b) >= 3) & (a.contains(b) | b.contains(a))
+
+
+def may_be_similar(a: Column, b: Column) -> Column:
+    """Whether the matching ratio of two normal names can reach 0.6, by the letters that they share."""
+    return (a != "") & (b != "") & (2.0 * shared_letters(a, b) / (F.length(a) + F.length(b)) >= 0.6)
+
+
+def ratio_reached(a: Column, b: Column) -> Column:
+    """Is the matching ratio 0.6 or more; it depends on the order of its arguments. In Python, by Arrow batches: ask only
+    where may_be_similar holds."""
+    return F.pandas_udf(_ratio_reached, "boolean")(a, b)
+
+
 def similar_names(a: Column, b: Column) -> Column:
-    """Do normal names mean the same: one holds the other (3 characters or more), or their matching ratio is 0.6. The
-    ratio depends on the order of its arguments: the row that comes first goes first. Only pairs that the cheap tests
-    leave open reach Python, in Arrow batches."""
-    some = (a != "") & (b != "")
-    inside = (F.length(a) >= 3) & (F.length(b) >= 3) & (a.contains(b) | b.contains(a))
-    # most that the ratio can be: twice the shorter length by the sum of lengths
-    possible = 2 * F.least(F.length(a), F.length(b)) >= 0.6 * (F.length(a) + F.length(b))
-    return some & (inside | (possible & F.pandas_udf(_ratio_reached, "boolean")(a, b)))
+    """Do normal names mean the same: one holds the other (3 characters or more), or their matching ratio is 0.6."""
+    return (a != "") & (b != "") & (one_holds_the_other(a, b) | (may_be_similar(a, b) & ratio_reached(a, b)))
 
 
 def market_kind(name: Column) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.geo import radius_pairs
 from ..functions.storage import written
-from ..functions.text import blank, half_even, normal_name, similar_names
+from ..functions.text import blank, half_even, may_be_similar, normal_name, one_holds_the_other, ratio_reached
 from .components import components
 
 
@@ -18,13 +18,21 @@ def near_pairs(sites: DataFrame, within_m: float, keys: tuple[str, ...] = ("plac
 
 
 def same_place_edges(sites: DataFrame, same_site_m: float = 40, similar_name_m: float = 150, by_name: bool = True) -> DataFrame:
-    """(a, b): ords of sites within same_site_m, or within similar_name_m with names that mean the same."""
+    """(a, b): ords of sites within same_site_m, or within similar_name_m with names that mean the same: one normal name
+    holds the other, or their matching ratio is 0.6 (the row that comes first goes first). Only pairs that neither
+    distance nor letters decide reach Python."""
     named = sites.withColumn("norm", normal_name(F.col("name")))
     pairs = near_pairs(named, float(max(same_site_m, similar_name_m)), ("norm",))
-    linked = F.col("d") <= same_site_m
+    a, b = F.col("norm_a"), F.col("norm_b")
+    sure = F.col("d") <= same_site_m
     if by_name:
-        linked = linked | ((F.col("d") <= similar_name_m) & similar_names(F.col("norm_a"), F.col("norm_b")))
-    return pairs.filter(linked).select(F.col("ord_a").alias("a"), F.col("ord_b").alias("b"))
+        pairs = written(pairs, "near-pairs")
+        sure = sure | ((F.col("d") <= similar_name_m) & one_holds_the_other(a, b))
+        undecided = pairs.filter(~sure & (F.col("d") <= similar_name_m) & may_be_similar(a, b))
+        linked = pairs.filter(sure).unionByName(undecided.filter(ratio_reached(a, b)))
+    else:
+        linked = pairs.filter(sure)
+    return linked.select(F.col("ord_a").alias("a"), F.col("ord_b").alias("b"))
 
 
 def merge_groups(sites: DataFrame, edges: DataFrame) -> DataFrame:

@@ -342,7 +342,43 @@ def dedupe_same_site(spark, sf_dir):
     return dedupe.dedupe(reviewed(spark, sf_dir), 150, 150, by_name=False).select(*_MERGED_COLUMNS)
 
 
-@query()
+def _norm_sql(name: str) -> str:
+    return f"regexp_replace(regexp_replace(lower(coalesce({name}, '')), '{'|'.join(text.GENERIC_WORDS)}', ' ', 'g'), '[^0-9a-zก-๙]+', '', 'g')"
+
+
+def _similar_sql(places: str) -> str:
+    """Tables up to edges (x, y): places (ord, name, lat, lng) within 150 m of like names, by the rule of the longest match:
+    of two names the longest common run, the first of several, and then the same to its left and its right."""
+    return f"""near_by AS (SELECT a.ord AS x, b.ord AS y, {_norm_sql("a.name")} AS p, {_norm_sql("b.name")} AS q, {_D} AS d FROM {places} a JOIN {places} b ON a.ord < b.ord WHERE {_D} <= 150),
+names AS (SELECT DISTINCT p, q FROM near_by WHERE p <> '' AND q <> ''),
+spots AS (SELECT p, q, i, unnest(range(1, len(q) + 1)) AS j FROM (SELECT p, q, unnest(range(1, len(p) + 1)) AS i FROM names)),
+runs AS (SELECT p, q, i, j, list_max(list_filter(range(1, least(len(p) - i, len(q) - j) + 2), lambda k: p[i:i + k - 1] = q[j:j + k - 1])) AS k FROM spots WHERE p[i] = q[j]),
+parts AS (
+  SELECT p, q, 1 AS a, len(p) + 1 AS b, 1 AS c, len(q) + 1 AS d FROM names
+  UNION ALL
+  SELECT p, q, CASE side WHEN 0 THEN a ELSE m.i + m.k END, CASE side WHEN 0 THEN m.i ELSE b END, CASE side WHEN 0 THEN c ELSE m.j + m.k END, CASE side WHEN 0 THEN m.j ELSE d END
+  FROM (SELECT s.p, s.q, a, b, c, d, arg_max({{'i': i, 'j': j, 'k': least(k, b - i, d - j)}}, least(k, b - i, d - j) * 1000000 - i * 1000 - j) AS m
+    FROM parts s JOIN runs r ON r.p = s.p AND r.q = s.q AND i >= a AND i < b AND j >= c AND j < d GROUP BY s.p, s.q, a, b, c, d) CROSS JOIN (SELECT unnest([0, 1]) AS side)),
+matched AS (SELECT p, q, sum(k) AS k FROM (SELECT s.p, s.q, a, b, c, d, max(least(k, b - i, d - j)) AS k FROM parts s JOIN runs r ON r.p = s.p AND r.q = s.q AND i >= a AND i < b AND j >= c AND j < d GROUP BY ALL) GROUP BY p, q),
+alike AS (SELECT n.p, n.q, len(n.p) >= 3 AND len(n.q) >= 3 AND (contains(n.p, n.q) OR contains(n.q, n.p)) OR 2e0 * coalesce(k, 0) / (len(n.p) + len(n.q)) >= 0.6e0 AS alike FROM names n LEFT JOIN matched m ON m.p = n.p AND m.q = n.q)"""
+
+
+_NEAR_SHOPS_SQL = "near_shops AS (SELECT ord, name, lat, lng FROM shops)"
+
+
+@query(f"""WITH RECURSIVE {_SHOPS_SQL}, {_NEAR_SHOPS_SQL}, {_similar_sql("near_shops")}
+SELECT x AS a, y AS b FROM near_by LEFT JOIN alike USING (p, q) WHERE d <= 20 OR alike""")
+def similar_name_edges(spark, sf_dir):
+    """Shops within 20 m of each other, or within 150 m with names that mean the same."""
+    return dedupe.same_place_edges(shops(spark, sf_dir).select("ord", "name", "lat", "lng"), 20, 150)
+
+
+_REST_SQL = _GROUPS_SQL.split("\n", 1)[1]  # all but the edges
+
+
+@query(f"""WITH RECURSIVE {_SITES_SQL}, {_REVIEWED_SQL}, {_similar_sql("reviewed")},
+edges AS (SELECT x, y FROM near_by LEFT JOIN alike USING (p, q) WHERE d <= 40 OR alike),
+{_REST_SQL}, {_MERGED_SQL} SELECT * FROM merged""")
 def dedupe_similar_name(spark, sf_dir):
     return dedupe.dedupe(reviewed(spark, sf_dir), 40, 150).select(*_MERGED_COLUMNS)
 

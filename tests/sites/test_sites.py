@@ -190,6 +190,19 @@ def test_dedupe(spark):
     assert got["c"].reviews is None and got["c"].dup_ids == "d" and got["e"].rating == 2.0
 
 
+def test_letters_bound_the_matching_ratio(spark):
+    from difflib import SequenceMatcher
+
+    rng = random.Random(8)
+    words = ["", *("".join(rng.choice("abcกข1") for _ in range(rng.randint(1, 9))) for _ in range(45))]
+    df = spark.createDataFrame([(a, b) for a in words for b in words], "a string, b string")
+    rows = df.select("a", "b", text.shared_letters(F.col("a"), F.col("b")).alias("n"), text.may_be_similar(F.col("a"), F.col("b")).alias("may")).collect()
+    for r in rows:
+        assert r.n == sum(min(r.a.count(c), r.b.count(c)) for c in set(r.a))
+        assert r.may or not r.a or not r.b or SequenceMatcher(None, r.a, r.b).ratio() < 0.6
+    assert 0.1 < sum(r.may for r in rows) / len(rows) < 0.9
+
+
 def test_similar_names(spark):
     from difflib import SequenceMatcher
 
