@@ -111,7 +111,8 @@ def carry_over(new: DataFrame, old: DataFrame | None) -> DataFrame:
 
 
 def apply_review(df: DataFrame, review: DataFrame | None) -> DataFrame:
-    """df with the keep and note that a review file gives; the last row of an id counts (by ord where there is one)."""
+    """df with the keep and note that a review file gives; the last row of an id counts, by ord (any type that
+    sorts, such as files.file_order; rows without one have the order of their tasks, which is no file's)."""
     if review is None:
         return df
     df = df if "keep" in df.columns else df.withColumn("keep", F.lit(1))

@@ -26,7 +26,7 @@ ITEM = "name STRING, metres INT, extra DOUBLE, lat DOUBLE, lng DOUBLE"
 
 def _pois(pois: DataFrame, weight: str | None, feature: str | None = None) -> DataFrame:
     pick = lambda c, kind: F.col(c).cast(kind) if c in pois.columns else F.lit(None).cast(kind)
-    return pois.select("lat", "lng", pick("name", "string").alias("_name"), pick("ord", "long").alias("_ord"), (F.col(weight).cast("double") if weight else F.lit(1.0)).alias("_w"), (slug(F.col("category")) if "category" in pois.columns else F.lit(None).cast("string")).alias("_cat"), (F.col(feature) if feature else F.lit(None).cast("string")).alias("_feature"))
+    return pois.select("lat", "lng", pick("name", "string").alias("_name"), (F.col("ord") if "ord" in pois.columns else F.lit(None).cast("long")).alias("_ord"), (F.col(weight).cast("double") if weight else F.lit(1.0)).alias("_w"), (slug(F.col("category")) if "category" in pois.columns else F.lit(None).cast("string")).alias("_cat"), (F.col(feature) if feature else F.lit(None).cast("string")).alias("_feature"))
 
 
 def _keyed(p: DataFrame, keys) -> DataFrame:
