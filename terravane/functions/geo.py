@@ -90,37 +90,59 @@ def rectangle_json(south, west, north, east) -> Column:
     return F.to_json(F.struct(F.struct(corner(south, west).alias("low"), corner(north, east).alias("high")).alias("rectangle")))
 
 
-def narrowest(widest: float) -> float:
-    """Width of a degree of longitude by that of one of latitude, where meridians come nearest."""
-    return max(math.cos(math.radians(min(abs(widest), 89.0))), 1e-3)
+def grid_row(lat: Column, size_m: float) -> Column:
+    """The row of cells that a latitude lies in, counted from the south pole; rows are size_m high and a little more."""
+    return F.floor((lat + 90) * (CELL_M / size_m))
 
 
-def _cells(lat: Column, lng: Column, radius_m: float, widest: float) -> tuple[Column, Column]:
-    return F.floor(lat * CELL_M / radius_m), F.floor(lng * (CELL_M * narrowest(widest)) / radius_m)
+def row_cells(row: Column, size_m: float) -> Column:
+    """How many cells go round the globe in a row: each is size_m wide at least, and a row at a pole has one."""
+    high = size_m / CELL_M
+    edge = F.greatest(F.abs(row * high - 90), F.abs((row + 1) * high - 90))  # the side nearer to a pole
+    return F.greatest(F.floor(360 * F.cos(F.radians(F.least(edge, F.lit(90.0)))) * (CELL_M / size_m)), F.lit(1))
 
 
-def widest_latitude(*sides: DataFrame) -> float:
-    """The largest |lat| of the sides, with a margin: cells are as narrow as the meridians there."""
-    found = [s.agg(F.max(F.abs("lat"))).first()[0] for s in sides]
-    return max([x for x in found if x is not None], default=0.0) + 0.1
+def reach_of(lat: Column, radius_m: float) -> Column:
+    """Degrees of longitude to either side that a circle covers; 180 where a pole is in it."""
+    sine = math.sin(min(radius_m / EARTH_M, math.pi / 2))
+    cosine = F.cos(F.radians(lat))
+    return F.when(cosine > sine * (1 + 1e-9), F.degrees(F.asin(sine / cosine)) * (1 + 1e-9) + 1e-9).otherwise(180.0)
 
 
-def radius_pairs(left: DataFrame, right: DataFrame, radius_m: float, widest: float | None = None) -> DataFrame:
-    """All pairs of rows within radius_m (inclusive) with their distance d; both sides have lat and lng, other column
-    names must differ. The right side is copied to the 3 x 3 cells around its own, then joined on the cell: an
-    equi-join that is shuffled, broadcast or split for skew as Catalyst and adaptive execution decide. Rows without
-    coordinates have no pairs. Longitudes are not joined over the antimeridian.
+def cells_in_reach(lng: Column, reach: Column, cells: Column) -> Column:
+    """The cells of a row that longitudes within reach lie in, each once, as numbers that go on over the antimeridian:
+    modulo `cells` they are the row's, and times the width of a cell they are degrees east of -180."""
+    at = lambda x: F.floor((x + 180) * cells / 360)
+    low, high, here = at(lng - reach), at(lng + reach), at(lng)
+    all_round = high - low + 1 >= cells
+    low = F.when(all_round, here - F.floor((cells - 1) / 2)).otherwise(low)
+    return F.sequence(low, F.when(all_round, low + cells - 1).otherwise(high))
+
+
+def grid_cell(lat: Column, lng: Column, size_m: float) -> tuple[Column, Column]:
+    """(row, cell) of a point."""
+    row = grid_row(lat, size_m)
+    cells = row_cells(row, size_m)
+    return row, F.pmod(F.floor((lng + 180) * cells / 360), cells)
+
+
+def radius_pairs(left: DataFrame, right: DataFrame, radius_m: float) -> DataFrame:
+    """All pairs of rows within radius_m (inclusive) with their distance d, anywhere on the globe; both sides have lat and
+    lng, other column names must differ. The globe is cut into rows of cells as high and at least as wide as the radius.
+    The right side is copied to the cells that its circles can reach, in its row and the two beside it (about nine; at a
+    pole the few of those rows), then joined on the cell: an equi-join that is shuffled, broadcast or split for skew as
+    Catalyst and adaptive execution decide. Rows without coordinates have no pairs.
 
     The work grows with the pairs, not with the bytes of the points, so the left side is dealt evenly over
     spark.sql.shuffle.partitions tasks first; latitudes that are too far apart are left out before the sines."""
     parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    widest = widest_latitude(left, right) if widest is None else widest
-    y, x = _cells(F.col("lat"), F.col("lng"), radius_m, widest)
+    y, x = grid_cell(F.col("lat"), F.col("lng"), radius_m)
     l = left.filter("lat is not null and lng is not null").repartition(parts).withColumns({"_y": y, "_x": x})
-    near = F.explode(F.array(*(F.struct(F.lit(a).alias("dy"), F.lit(b).alias("dx")) for a in (-1, 0, 1) for b in (-1, 0, 1))))
     r = right.filter("lat is not null and lng is not null").withColumnsRenamed({"lat": "lat2", "lng": "lng2"})
-    y, x = _cells(F.col("lat2"), F.col("lng2"), radius_m, widest)
-    r = r.withColumns({"_y": y, "_x": x}).withColumn("_n", near).withColumns({"_y": F.col("_y") + F.col("_n.dy"), "_x": F.col("_x") + F.col("_n.dx")}).drop("_n")
+    r = r.withColumn("_y", F.explode(F.transform(F.array(*map(F.lit, (-1, 0, 1))), lambda d: grid_row(F.col("lat2"), radius_m) + d)))
+    r = r.withColumn("_m", row_cells(F.col("_y"), radius_m))
+    r = r.withColumn("_x", F.explode(cells_in_reach(F.col("lng2"), reach_of(F.col("lat2"), radius_m), F.col("_m"))))
+    r = r.withColumn("_x", F.pmod("_x", "_m")).drop("_m")
     close = F.abs(F.col("lat") - F.col("lat2")) <= radius_m / CELL_M
     pairs = l.join(r, ["_y", "_x"]).filter(close).withColumn("d", haversine(F.col("lat"), F.col("lng"), F.col("lat2"), F.col("lng2")))
     return pairs.filter(F.col("d") <= radius_m).drop("_y", "_x")

@@ -11,10 +11,10 @@ from ..functions.text import blank, half_even, may_be_similar, normal_name, one_
 from .components import components
 
 
-def near_pairs(sites: DataFrame, within_m: float, keys: tuple[str, ...] = ("place_id", "name"), widest: float | None = None) -> DataFrame:
+def near_pairs(sites: DataFrame, within_m: float, keys: tuple[str, ...] = ("place_id", "name")) -> DataFrame:
     """Pairs (a before b by ord) of sites within within_m: ord, d, and the keys of either with suffixes _a and _b."""
     side = lambda s: sites.select(F.col("ord").alias(f"ord_{s}"), *(F.col(k).alias(f"{k}_{s}") for k in keys), "lat", "lng")
-    return radius_pairs(side("a"), side("b"), within_m, widest).filter("ord_a < ord_b").drop("lat", "lng", "lat2", "lng2")
+    return radius_pairs(side("a"), side("b"), within_m).filter("ord_a < ord_b").drop("lat", "lng", "lat2", "lng2")
 
 
 def same_place_edges(sites: DataFrame, same_site_m: float = 40, similar_name_m: float = 150, by_name: bool = True) -> DataFrame:

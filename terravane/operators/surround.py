@@ -15,7 +15,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import polygons as P
-from ..functions.geo import FLAT_M, radius_pairs, widest_latitude
+from ..functions.geo import FLAT_M, radius_pairs
 from ..functions.storage import written
 from ..functions.text import blank, half_even, slug
 from .cells import density, nearest_points, parts_of_radius, radius_sums
@@ -33,26 +33,25 @@ def _keyed(p: DataFrame, keys) -> DataFrame:
     return p.select("lat", "lng", keys.alias("_key"), F.coalesce("_w", F.lit(0.0)).alias("_w"))
 
 
-def _sums(sites: DataFrame, points: DataFrame, radii: Sequence[int], widest: float | None) -> DataFrame:
+def _sums(sites: DataFrame, points: DataFrame, radii: Sequence[int]) -> DataFrame:
     """(place_id, _key, _r, value) of the points within each radius; each radius has cells of its own size."""
-    widest = widest_latitude(sites, points) if widest is None else widest
     top = max(radii)
-    n, dense = density(points, float(top), widest)
+    n, dense = density(points, float(top))
     parts = {r: parts_of_radius(dense * (r / top) ** 2) for r in radii}
-    each = [radius_sums(sites, points, float(r), widest, parts[r], n).withColumn("_r", F.lit(r)) for r in radii]
+    each = [radius_sums(sites, points, float(r), parts[r], n).withColumn("_r", F.lit(r)) for r in radii]
     out = each[0]
     for more in each[1:]:
         out = out.unionByName(more)
     return out
 
 
-def radius_measures(sites: DataFrame, pois: DataFrame, radii: Sequence[int], name: str, weight: str | None = None, widest: float | None = None) -> DataFrame:
+def radius_measures(sites: DataFrame, pois: DataFrame, radii: Sequence[int], name: str, weight: str | None = None) -> DataFrame:
     """(place_id, col, value) for every site: <name>_<r>, and <name>_<category>_<r> for each category of pois. Value is the
     number of points within r (inclusive), or the sum of their weights; 0 where there are none."""
     p = _pois(pois, weight)
     has_categories = "category" in pois.columns
     cats = F.array(F.lit("\0"), F.col("_key")) if has_categories else F.array(F.lit("\0"))
-    found = _sums(sites, _keyed(p, F.col("_cat")), radii, widest).select("place_id", "_r", "value", F.explode(cats).alias("_cat"))
+    found = _sums(sites, _keyed(p, F.col("_cat")), radii).select("place_id", "_r", "value", F.explode(cats).alias("_cat"))
     found = found.groupBy("place_id", "_cat", "_r").agg(F.sum("value").alias("value"))
     if has_categories:
         cats = p.select("_cat").distinct().agg(F.sort_array(F.collect_set("_cat")).alias("_cats"))
@@ -65,24 +64,24 @@ def radius_measures(sites: DataFrame, pois: DataFrame, radii: Sequence[int], nam
     return grid.select("place_id", col.alias("col"), F.coalesce("value", F.lit(0.0)).alias("value"))
 
 
-def layer_measures(sites: DataFrame, points: DataFrame, features: Sequence[str], radii: Sequence[int], widest: float | None = None) -> DataFrame:
+def layer_measures(sites: DataFrame, points: DataFrame, features: Sequence[str], radii: Sequence[int]) -> DataFrame:
     """(place_id, col, value): counts of the points of several features (long table: feature, lat, lng)."""
     p = _pois(points.filter(F.col("feature").isin(*features)), None, "feature")
-    found = _sums(sites, _keyed(p, F.col("_feature")), radii, widest)
+    found = _sums(sites, _keyed(p, F.col("_feature")), radii)
     cells = F.explode(F.array(*map(F.lit, features))).alias("_key")
     grid = sites.select("place_id", cells).select("*", F.explode(F.array(*map(F.lit, radii))).alias("_r")).join(found, ["place_id", "_key", "_r"], "left")
     return grid.select("place_id", F.concat_ws("_", "_key", F.col("_r").cast("string")).alias("col"), F.coalesce("value", F.lit(0.0)).alias("value"))
 
 
-def nearest_items(sites: DataFrame, pois: DataFrame, radii: Sequence[int], name: str, weight: str | None = None, most: int = MOST_ITEMS, widest: float | None = None) -> DataFrame:
+def nearest_items(sites: DataFrame, pois: DataFrame, radii: Sequence[int], name: str, weight: str | None = None, most: int = MOST_ITEMS) -> DataFrame:
     """(place_id, col, pos, name, metres, extra, lat, lng): for each site and column of radius_measures the nearest points,
     at most `most`, in order of distance, then of ord (or name and place). A smaller radius has the first of the largest's."""
     p = _pois(pois, weight)
     cats = F.array(F.lit("\0"), F.col("_cat")) if "category" in pois.columns else F.array(F.lit("\0"))
     points = p.select("lat", "lng", "_ord", "_name", "_w", F.explode(cats).alias("_key"))
-    top, widest = float(max(radii)), widest_latitude(sites, points) if widest is None else widest
-    n, dense = density(points, top, widest)
-    near = nearest_points(sites, points, top, most, ["_ord", "_name", "lat2", "lng2"], widest, parts_of_radius(dense), n)
+    top = float(max(radii))
+    n, dense = density(points, top)
+    near = nearest_points(sites, points, top, most, ["_ord", "_name", "lat2", "lng2"], parts_of_radius(dense), n)
     rows = near.withColumn("_r", F.explode(F.array(*map(F.lit, radii)))).filter(F.col("d") <= F.col("_r"))
     col = F.concat_ws("_", F.lit(name), F.nullif(F.col("_key"), F.lit("\0")), F.col("_r").cast("string"))
     return rows.select("place_id", col.alias("col"), "pos", blank(F.col("_name")).alias("name"), F.rint("d").cast("int").alias("metres"), (F.col("_w") if weight else F.lit(None).cast("double")).alias("extra"), F.round("lat2", 6).alias("lat"), F.round("lng2", 6).alias("lng"))

@@ -18,7 +18,6 @@ from ..operators import dedupe, discover, hours, metering, ranks, report, score,
 # lat and lng of a key, in a box of a tenth of a degree
 LAT = "13e0 + (({k} * 7919) % 10007) / 10007e0 * 0.1e0"
 LNG = "100.9e0 + (({k} * 104729) % 10009) / 10009e0 * 0.1e0"
-LAT_LIMIT = 13.2  # all latitudes are below
 RADII = (500, 1500)
 
 SITES_EXPR = [
@@ -291,38 +290,38 @@ def _around_sql(pois: str, value: str, radii=RADII) -> str:
 @query(f"""WITH {_SITES_SQL}, {_SHOPS_SQL}, near AS (SELECT a.place_id, {_D} AS d FROM sites a CROSS JOIN shops b), c AS (SELECT place_id, {', '.join(f'CAST(count_if(d <= {r}) AS DOUBLE) AS v{r}' for r in RADII)} FROM near GROUP BY place_id)
 {' UNION ALL '.join(f"SELECT place_id, 'shop_{r}' AS col, v{r} AS value FROM c" for r in RADII)}""")
 def radius_count(spark, sf_dir):
-    return surround.radius_measures(sites(spark, sf_dir), shops(spark, sf_dir).drop("category"), RADII, "shop", widest=LAT_LIMIT)
+    return surround.radius_measures(sites(spark, sf_dir), shops(spark, sf_dir).drop("category"), RADII, "shop")
 
 
 @query(f"""WITH {_SITES_SQL}, {_ESTATES_SQL}, near AS (SELECT a.place_id, b.workers, {_D} AS d FROM sites a CROSS JOIN estates b)
 SELECT place_id, 'workers_3000' AS col, {_even('coalesce(sum(workers) FILTER (WHERE d <= 3000), 0)', 2)} AS value FROM near GROUP BY place_id""")
 def radius_sum(spark, sf_dir):
-    found = surround.radius_measures(sites(spark, sf_dir), estates(spark, sf_dir), (3000,), "workers", "workers", widest=LAT_LIMIT)
+    found = surround.radius_measures(sites(spark, sf_dir), estates(spark, sf_dir), (3000,), "workers", "workers")
     return found.withColumn("value", text.half_even(F.col("value"), 2))
 
 
 @query(f"""WITH {_SITES_SQL}, {_SHOPS_SQL}, near AS (SELECT a.place_id, lower(b.category) AS cat, {_D} AS d FROM sites a CROSS JOIN shops b), c AS (SELECT place_id, cat, {', '.join(f'CAST(count_if(d <= {r}) AS DOUBLE) AS v{r}' for r in RADII)} FROM near GROUP BY place_id, cat)
 {' UNION ALL '.join(f"SELECT place_id, 'shop_' || cat || '_{r}' AS col, v{r} AS value FROM c UNION ALL SELECT place_id, 'shop_{r}', sum(v{r}) FROM c GROUP BY place_id" for r in RADII)}""")
 def radius_category(spark, sf_dir):
-    return surround.radius_measures(sites(spark, sf_dir), shops(spark, sf_dir), RADII, "shop", widest=LAT_LIMIT)
+    return surround.radius_measures(sites(spark, sf_dir), shops(spark, sf_dir), RADII, "shop")
 
 
 @query(f"""WITH {_SITES_SQL}, {_SHOPS_SQL}, near AS (SELECT a.place_id, lower(b.category) AS feature, {_D} AS d FROM sites a CROSS JOIN shops b WHERE b.category IN ('SMALL', 'PROMO')), c AS (SELECT place_id, feature, {', '.join(f'CAST(count_if(d <= {r}) AS DOUBLE) AS v{r}' for r in RADII)} FROM near GROUP BY place_id, feature)
 {' UNION ALL '.join(f"SELECT place_id, feature || '_{r}' AS col, v{r} AS value FROM c" for r in RADII)}""")
 def layer_counts(spark, sf_dir):
     points = shops(spark, sf_dir).select("lat", "lng", F.lower("category").alias("feature"))
-    return surround.layer_measures(sites(spark, sf_dir), points, ["small", "promo"], RADII, widest=LAT_LIMIT)
+    return surround.layer_measures(sites(spark, sf_dir), points, ["small", "promo"], RADII)
 
 
 @query(f"""WITH {_SITES_SQL}, {_SHOPS_SQL}, near AS (SELECT a.place_id, b.*, {_D} AS d FROM sites a CROSS JOIN shops b), r AS (SELECT *, row_number() OVER (PARTITION BY place_id ORDER BY d, ord) AS pos FROM near WHERE d <= 1500)
 SELECT place_id, 'shop_1500' AS col, CAST(pos AS INTEGER) AS pos, name, CAST(round_even(d, 0) AS INTEGER) AS metres, CAST(NULL AS DOUBLE) AS extra, round(lat, 6) AS lat, round(lng, 6) AS lng FROM r WHERE pos <= 50""")
 def nearest_items_topk(spark, sf_dir):
-    return surround.nearest_items(sites(spark, sf_dir), shops(spark, sf_dir).drop("category"), (1500,), "shop", widest=LAT_LIMIT)
+    return surround.nearest_items(sites(spark, sf_dir), shops(spark, sf_dir).drop("category"), (1500,), "shop")
 
 
 @query(f"WITH {_SITES_SQL} SELECT a.place_id AS place_id_a, b.place_id AS place_id_b, CAST(round_even({_D}, 0) AS INTEGER) AS metres FROM sites a JOIN sites b ON a.ord < b.ord WHERE {_D} <= 150")
 def near_duplicate_pairs(spark, sf_dir):
-    pairs = dedupe.near_pairs(sites(spark, sf_dir), 150.0, ("place_id",), widest=LAT_LIMIT)
+    pairs = dedupe.near_pairs(sites(spark, sf_dir), 150.0, ("place_id",))
     return pairs.select("place_id_a", "place_id_b", F.rint("d").cast("int").alias("metres"))
 
 
@@ -366,6 +365,20 @@ alike AS (SELECT n.p, n.q, len(n.p) >= 3 AND len(n.q) >= 3 AND (contains(n.p, n.
 _NEAR_SHOPS_SQL = "near_shops AS (SELECT ord, name, lat, lng FROM shops)"
 
 
+_GLOBE = {"lat": "(({k} * 7919) % 18001) / 100e0 - 90e0", "lng": "(({k} * 104729) % 36001) / 100e0 - 180e0"}
+_GLOBE_RADIUS = 90_000
+
+
+@query(f"""WITH a AS (SELECT c_custkey AS a, {_GLOBE["lat"].format(k="c_custkey")} AS lat, {_GLOBE["lng"].format(k="c_custkey")} AS lng FROM customer),
+b AS (SELECT p_partkey AS b, {_GLOBE["lat"].format(k="(p_partkey + 17)")} AS lat, {_GLOBE["lng"].format(k="(p_partkey + 17)")} AS lng FROM part)
+SELECT a, b, CAST(round_even({_D}, 0) AS INTEGER) AS metres FROM a JOIN b ON {_D} <= {_GLOBE_RADIUS}""")
+def radius_pairs_global(spark, sf_dir):
+    """Customers and parts within 90 km, spread over the globe, its poles and the antimeridian."""
+    spread = lambda t, key, name, k: _read(spark, sf_dir, t).selectExpr(f"{key} AS {name}", *(f"{e.format(k=k)} AS {c}" for c, e in _GLOBE.items()))
+    pairs = geo.radius_pairs(spread("customer", "c_custkey", "a", "c_custkey"), spread("part", "p_partkey", "b", "(p_partkey + 17)"), float(_GLOBE_RADIUS))
+    return pairs.select("a", "b", F.rint("d").cast("int").alias("metres"))
+
+
 @query(f"""WITH RECURSIVE {_SHOPS_SQL}, {_NEAR_SHOPS_SQL}, {_similar_sql("near_shops")}
 SELECT x AS a, y AS b FROM near_by LEFT JOIN alike USING (p, q) WHERE d <= 20 OR alike""")
 def similar_name_edges(spark, sf_dir):
@@ -558,7 +571,7 @@ def kind_district(spark, sf_dir):
 SELECT name, round(lat, 6) AS lat, round(lng, 6) AS lng, count(*) AS n FROM r WHERE pos <= 50 GROUP BY ALL""")
 def payload_places(spark, sf_dir):
     """The shared table of places that lists point into, with how many do."""
-    items = surround.nearest_items(sites(spark, sf_dir), shops(spark, sf_dir).drop("category"), (500,), "shop", widest=LAT_LIMIT)
+    items = surround.nearest_items(sites(spark, sf_dir), shops(spark, sf_dir).drop("category"), (500,), "shop")
     return items.groupBy("name", "lat", "lng").agg(F.count("*").alias("n"))
 
 

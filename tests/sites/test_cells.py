@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from terravane.functions.geo import haversine, widest_latitude
+from terravane.functions.geo import haversine, radius_pairs
 from terravane.operators import cells, surround
 
 R = 6_371_000.0
@@ -16,22 +16,26 @@ def metres(a, b, c, d):
     return 2 * R * math.asin(math.sqrt(min(1.0, h)))
 
 
-def scene(seed, lat, n_sites, n_points, spread):
+def scene(seed, lat, n_sites, n_points, spread, middle=180.0):
+    """Sites and points around a place at the antimeridian."""
     rng = random.Random(seed)
-    near = lambda: (lat + rng.gauss(0, spread), 20 + rng.gauss(0, spread) / math.cos(math.radians(lat)))
-    sites = [(f"s{i}", *near()) for i in range(n_sites)] + [("none", None, 20.0)]
+
+    def near():
+        a, b = lat + rng.gauss(0, spread), middle + rng.gauss(0, spread) / math.cos(math.radians(lat))
+        return max(-90.0, min(90.0, a)), (b + 180) % 360 - 180
+
+    sites = [(f"s{i}", *near()) for i in range(n_sites)] + [("none", None, middle)]
     points = [(*near(), rng.choice(["a", "b", None]), rng.choice([1.0, 2.5, -1.0])) for _ in range(n_points)]
-    points += [(*points[0][:2], "a", 1.0)] * 50 + [(*sites[0][1:], "b", 3.0), (None, 20.0, "a", 9.0)]  # many at one place, one at a site
+    points += [(*points[0][:2], "a", 1.0)] * 50 + [(*sites[0][1:], "b", 3.0), (None, middle, "a", 9.0)]  # many at one place, one at a site
     return sites, points
 
 
-@pytest.mark.parametrize("lat, k", [(13.0, 1), (13.0, 5), (-47.0, 8), (68.0, 3), (0.0, 4)])
+@pytest.mark.parametrize("lat, k", [(13.0, 1), (13.0, 5), (-47.0, 8), (68.0, 3), (0.0, 4), (89.97, 4), (-89.99, 2)])
 def test_sums_equal_all_pairs(spark, lat, k):
     sites, points = scene(k, lat, 60, 900, 0.03)
     s, p = spark.createDataFrame(sites, "place_id string, lat double, lng double"), spark.createDataFrame(points, POINTS)
-    widest = widest_latitude(s, p)
     for radius in (700.0, 4000.0):
-        got = {(r.place_id, r._key): r.value for r in cells.radius_sums(s, p, radius, widest, k, len(points)).collect()}
+        got = {(r.place_id, r._key): r.value for r in cells.radius_sums(s, p, radius, k, len(points)).collect()}
         want = {}
         for i, a, b in sites[:-1]:
             for c, d, key, w in points[:-1]:
@@ -39,7 +43,7 @@ def test_sums_equal_all_pairs(spark, lat, k):
                     want[i, key] = want.get((i, key), 0.0) + w
         assert got.keys() == want.keys() and all(got[x] == pytest.approx(want[x], abs=1e-9) for x in want)
         # not broadcast: the same
-        again = {(r.place_id, r._key): r.value for r in cells.radius_sums(s, p, radius, widest, k, 10**9).collect()}
+        again = {(r.place_id, r._key): r.value for r in cells.radius_sums(s, p, radius, k, 10**9).collect()}
         assert again == pytest.approx(got)
 
 
@@ -48,7 +52,7 @@ def test_nearest_equal_all_pairs(spark, lat, k, most):
     sites, points = scene(k + 1, lat, 40, 700, 0.02)
     named = [(a, b, key, w, i) for i, (a, b, key, w) in enumerate(points)]
     s, p = spark.createDataFrame(sites, "place_id string, lat double, lng double"), spark.createDataFrame(named, POINTS + ", ord int")
-    found = cells.nearest_points(s, p, 3000.0, most, ["ord"], widest_latitude(s, p), k, len(points))
+    found = cells.nearest_points(s, p, 3000.0, most, ["ord"], k, len(points))
     got = sorted((r.place_id, str(r._key), r.pos, r.ord) for r in found.collect())
     want = []
     for i, a, b in sites[:-1]:
@@ -62,12 +66,12 @@ def test_few_pairs_are_measured(spark):
     """Among dense points, less than 30 % of the pairs that 3 x 3 cells of the radius hold are measured."""
     sites, points = scene(9, 13.0, 50, 6000, 0.01)
     s, p = spark.createDataFrame(sites, "place_id string, lat double, lng double"), spark.createDataFrame(points, POINTS)
-    widest, radius = widest_latitude(s, p), 1500.0
-    n, dense = cells.density(p, radius, widest)
+    radius = 1500.0
+    n, dense = cells.density(p, radius)
     k = cells.parts_of_radius(dense)
     assert n == len(points) - 1 or n == len(points)
-    rim = cells.cells_around(s, radius, k, widest).filter(F.col("far2") > radius**2).join(cells.gridded(p, radius / k, widest).drop("lat", "lng"), ["_y", "_x"])
-    old = cells.cells_around(s, radius, 1, widest).join(cells.gridded(p, radius, widest).drop("lat", "lng"), ["_y", "_x"])
+    rim = cells.cells_around(s, radius, k).filter(F.col("far2") > radius**2).join(cells.gridded(p, radius / k).drop("lat", "lng"), ["_y", "_x"])
+    old = cells.cells_around(s, radius, 1).join(cells.gridded(p, radius).drop("lat", "lng"), ["_y", "_x"])
     assert k > 3 and rim.count() < 0.3 * old.count()
 
 
@@ -76,8 +80,7 @@ def test_bounds_hold(spark):
     for lat, radius in ((13.0, 800.0), (-71.0, 3000.0), (80.0, 20000.0)):
         sites, points = scene(2, lat, 20, 400, radius / 111_000)
         s, p = spark.createDataFrame(sites, "place_id string, lat double, lng double"), spark.createDataFrame(points, POINTS)
-        widest = widest_latitude(s, p)
-        met = cells.cells_around(s, radius, 4, widest).join(cells.gridded(p, radius / 4, widest).withColumnsRenamed({"lat": "lat2", "lng": "lng2"}), ["_y", "_x"])
+        met = cells.cells_around(s, radius, 4).join(cells.gridded(p, radius / 4).withColumnsRenamed({"lat": "lat2", "lng": "lng2"}), ["_y", "_x"])
         d = haversine(F.col("lat"), F.col("lng"), F.col("lat2"), F.col("lng2"))
         assert met.count() > 200 and met.filter((d * d < F.col("near2") - 1e-3) | (d * d > F.col("far2") + 1e-3)).isEmpty()
 
@@ -87,3 +90,16 @@ def test_measures_of_no_points(spark):
     none = spark.createDataFrame([], "lat double, lng double, name string, category string")
     assert [tuple(r) for r in surround.radius_measures(sites, none, (500, 900), "shop").orderBy("col").collect()] == [("a", "shop_500", 0.0), ("a", "shop_900", 0.0)]
     assert surround.nearest_items(sites, none, (500,), "shop").count() == 0
+
+
+@pytest.mark.parametrize("radius", [3000.0, 250_000.0, 4_000_000.0])
+def test_pairs_on_the_whole_globe(spark, radius):
+    rng = random.Random(int(radius))
+    spot = lambda: (math.degrees(math.asin(rng.uniform(-1, 1))), rng.uniform(-180, 180))
+    near = lambda p: (max(-90.0, min(90.0, p[0] + rng.gauss(0, radius / 150_000))), (p[1] + rng.gauss(0, radius / 60_000) + 180) % 360 - 180)
+    left = [spot() for _ in range(60)] + [(90.0, 0.0), (-90.0, 77.0), (89.9, -180.0), (0.0, 180.0), (0.0, -180.0), (45.0, 179.999), (-89.0, 10.0)]
+    right = [near(p) for p in left for _ in range(6)] + [spot() for _ in range(60)] + left
+    frame = lambda rows, name: spark.createDataFrame([(i, *p) for i, p in enumerate(rows)] + [(-1, None, 0.0)], f"{name} int, lat double, lng double")
+    got = sorted((r.a, r.b) for r in radius_pairs(frame(left, "a"), frame(right, "b"), radius).collect())
+    want = sorted((i, j) for i, p in enumerate(left) for j, q in enumerate(right) if metres(*p, *q) <= radius)
+    assert got == want and len(want) > 100
