@@ -33,6 +33,17 @@ def running_counts(values: DataFrame) -> DataFrame:
     return ranged.withColumn("inside", inside).join(offsets, ["measure", "part"]).select("measure", "value", "n", (F.col("inside") + F.col("offset")).alias("before"), "total")
 
 
+def numbered(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
+    """df with a column of numbers from 0 in the order of some columns that tell its rows apart: rows are sorted by ranges,
+    counted by range, and numbered inside; no task holds them all."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = written(df.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id()), "numbered")
+    sizes = ranged.groupBy("_part").agg(F.count("*").alias("_n"))  # a row for each range
+    offsets = sizes.select("_part", (F.sum("_n").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, 0)) - F.col("_n")).alias("_offset"))
+    inside = F.row_number().over(W.partitionBy("_part").orderBy(*order)) - 1
+    return ranged.withColumn("_inside", inside).join(F.broadcast(offsets), "_part").withColumn(name, F.col("_inside") + F.col("_offset")).drop("_part", "_inside", "_offset")
+
+
 def percentile_of(counts: DataFrame) -> DataFrame:
     """(measure, value, pct): mean rank of a value's rows by the number of rows."""
     return counts.select("measure", "value", ((F.col("before") + (F.col("n") + 1) / F.lit(2.0)) / F.col("total")).alias("pct"))

@@ -19,6 +19,7 @@ from ..functions.geo import FLAT_M, radius_pairs
 from ..functions.storage import written
 from ..functions.text import blank, half_even, slug
 from .cells import density, nearest_points, parts_of_radius, radius_sums
+from .ranks import numbered
 
 MOST_ITEMS = 50
 ITEM = "name STRING, metres INT, extra DOUBLE, lat DOUBLE, lng DOUBLE"
@@ -302,6 +303,14 @@ def campus_measures(sites: DataFrame, rings: DataFrame, nodes: DataFrame, radii:
     return found.unionByName(apart.select("place_id", "col", F.col("value").cast("double"))).groupBy("place_id", "col").agg(F.sum("value").alias("value"))
 
 
+def place_dictionary(items: DataFrame) -> DataFrame:
+    """(name, lat, lng, n, place): each place that item lists point into, how often, and its number from 0 by its first
+    appearance in the order of sites, columns and positions. Names and coordinates that are null are values like others."""
+    first = F.min(F.struct("place_id", "col", "pos")).alias("_first")
+    seen = items.groupBy("name", "lat", "lng").agg(F.count("*").alias("n"), first)
+    return numbered(seen.select("name", "lat", "lng", "n", "_first.*"), ["place_id", "col", "pos"], "place").select("name", "lat", "lng", "n", "place")
+
+
 def items_json(items: DataFrame, most: int = MOST_ITEMS) -> DataFrame:
     """(place_id, items): a map from column to its list of items, as JSON."""
     lists = items.filter(F.col("pos") <= most).groupBy("place_id", "col").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "name", "metres", "extra", "lat", "lng"))), lambda x: F.struct(x["name"], x["metres"], x["extra"], x["lat"], x["lng"])).alias("list"))

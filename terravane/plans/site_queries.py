@@ -568,11 +568,12 @@ def kind_district(spark, sf_dir):
 
 
 @query(f"""WITH {_SITES_SQL}, {_SHOPS_SQL}, near AS (SELECT a.place_id, a.ord AS o, b.*, {_D} AS d FROM sites a CROSS JOIN shops b), r AS (SELECT *, row_number() OVER (PARTITION BY place_id ORDER BY d, ord) AS pos FROM near WHERE d <= 500)
-SELECT name, round(lat, 6) AS lat, round(lng, 6) AS lng, count(*) AS n FROM r WHERE pos <= 50 GROUP BY ALL""")
+SELECT name, lat, lng, n, row_number() OVER (ORDER BY first) - 1 AS place
+FROM (SELECT name, round(lat, 6) AS lat, round(lng, 6) AS lng, count(*) AS n, min({{'p': place_id, 'pos': pos}}) AS first FROM r WHERE pos <= 50 GROUP BY ALL)""")
 def payload_places(spark, sf_dir):
-    """The shared table of places that lists point into, with how many do."""
+    """The shared table of places that lists point into, with how many do, numbered by first appearance."""
     items = surround.nearest_items(sites(spark, sf_dir), shops(spark, sf_dir).drop("category"), (500,), "shop")
-    return items.groupBy("name", "lat", "lng").agg(F.count("*").alias("n"))
+    return surround.place_dictionary(items)
 
 
 def _rings(spark, sf_dir):

@@ -190,6 +190,19 @@ def test_dedupe(spark):
     assert got["c"].reviews is None and got["c"].dup_ids == "d" and got["e"].rating == 2.0
 
 
+def test_place_dictionary_by_first_appearance(spark):
+    rng = random.Random(6)
+    rows = [(f"s{rng.randrange(30)}", rng.choice("xyz"), i, rng.choice(["a", "b", None, "c d"]), rng.choice([1.0, 2.0, None]), float(rng.randrange(9)), 5, None) for i in range(500)]
+    df = spark.createDataFrame(rng.sample(rows, 500), "place_id string, col string, pos int, name string, lat double, lng double, metres int, extra double").repartition(7)
+    want: dict = {}
+    count: dict = {}
+    for p, c, pos, *place, _, _ in sorted(rows, key=lambda r: r[:3]):
+        want.setdefault(tuple(place), len(want))
+        count[tuple(place)] = count.get(tuple(place), 0) + 1
+    got = {(r.name, r.lat, r.lng): (r.place, r.n) for r in surround.place_dictionary(df).collect()}
+    assert got == {k: (v, count[k]) for k, v in want.items()} and len(want) > 90
+
+
 def test_letters_bound_the_matching_ratio(spark):
     from difflib import SequenceMatcher
 
