@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geo, text
 from ..functions.storage import written
-from ..operators import dedupe, discover, hours, metering, ranks, report, score, surround
+from ..operators import answers, dedupe, discover, hours, metering, ranks, report, score, surround
 
 # lat and lng of a key, in a box of a tenth of a degree
 LAT = "13e0 + (({k} * 7919) % 10007) / 10007e0 * 0.1e0"
@@ -688,5 +688,31 @@ def campus_count(spark, sf_dir):
 
 @query("SELECT strftime(min(o_orderdate), '%Y-%m-%d') AS first, strftime(max(o_orderdate), '%Y-%m-%d') AS last FROM orders")
 def fetched_range(spark, sf_dir):
-    day = F.date_format("o_orderdate", "yyyy-MM-dd")
-    return _read(spark, sf_dir, "orders").select(F.nullif(day, F.lit("")).alias("d")).agg(F.min("d").alias("first"), F.max("d").alias("last"))
+    return answers.fetched_range(_read(spark, sf_dir, "orders"), "o_orderdate")
+
+
+def _answers(spark, sf_dir):
+    """Changes of clients as a log of answers to requests for a client and source; a deletion forgets the answer."""
+    c = _read(spark, sf_dir, "client_changes").withColumnRenamed("client_id", "client")
+    value = F.when(F.col("op") != "D", F.to_json(F.struct("segment", "city"), {"ignoreNullFields": "false"}))
+    request = answers.request_json(["client", "source"])
+    return c.select(F.lit("client").alias("sku"), F.sha1(request.cast("binary")).alias("key"), request.alias("request"), value.alias("value"), F.col("valid_at").alias("at"), "seq")
+
+
+_LOG_SQL = """asked AS (SELECT CAST(to_json({'client': client_id, 'source': source}) AS VARCHAR) AS request, CASE WHEN op <> 'D' THEN CAST(to_json({'segment': segment, 'city': city}) AS VARCHAR) END AS value, valid_at, seq FROM client_changes),
+log AS (SELECT request, sha1(request) AS key, value, valid_at AS moment, count(*) OVER (PARTITION BY request) AS writes,
+  row_number() OVER (PARTITION BY request ORDER BY valid_at DESC NULLS LAST, seq DESC NULLS LAST, value DESC NULLS LAST) AS nth FROM asked)"""
+
+
+@query(f"""WITH {_LOG_SQL} SELECT 'client' AS sku, key, request, value, strftime(moment, '%Y-%m-%d %H:%M:%S') AS "at", writes FROM log WHERE nth = 1""")
+def answer_log(spark, sf_dir):
+    """The last answer to each request."""
+    return answers.answer_log(_answers(spark, sf_dir)).withColumn("at", F.date_format("at", "yyyy-MM-dd HH:mm:ss"))
+
+
+@query(f"""WITH {_LOG_SQL}, wanted AS (SELECT DISTINCT CAST(to_json({{'client': client_id, 'source': source}}) AS VARCHAR) AS request FROM clients)
+SELECT 'client' AS sku, sha1(request) AS key, request FROM wanted WHERE request NOT IN (SELECT request FROM log WHERE nth = 1 AND value IS NOT NULL)""")
+def pending_requests(spark, sf_dir):
+    """What a run over all clients still has to ask."""
+    wanted = answers.requests_of(_read(spark, sf_dir, "clients").withColumnRenamed("client_id", "client"), "client", ["client", "source"])
+    return answers.pending_requests(wanted, _answers(spark, sf_dir))

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 
 SF = "/root/testdata/sf0.001"
-TABLES = "region nation customer supplier part orders lineitem events".split()
+TABLES = "region nation customer supplier part orders lineitem events clients client_changes".split()
 SITE_QUERIES = __import__("terravane.plans.site_queries", fromlist=["QUERIES"]).QUERIES
 
 
