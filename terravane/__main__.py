@@ -1,7 +1,9 @@
-"""python -m terravane STAGE --config FILE --data DIR: estimate, review, extract, surround, score, map, dashboard, qa, all.
+"""python -m terravane STAGE --config FILE --data DIR: a stage's name, or all.
 
 Stages read and write Parquet tables in DIR. Hits, details and counts are asked of the metered services where
-GOOGLE_MAPS_API_KEY is set (terravane.sources.ingest); without it the tables in DIR are taken.
+GOOGLE_MAPS_API_KEY is set (terravane.sources.ingest); without it the tables in DIR are taken. keep --hide ID,ID
+--restore ID writes a person's decisions to keep.csv, with a backup; score --hide ranks without some sites once; list
+writes the ranked sites that its filters leave.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ from pathlib import Path
 from pyspark.sql import functions as F
 
 from .functions.geo import tiles
+from .functions.storage import written
 from .operators import metering, surround
 from .operators.discover import HIT
 from .operators.report import quality_report
@@ -32,12 +35,21 @@ FACT_NAMES, FACTS = ("place_id", "col", "value"), "place_id STRING, col STRING,
 
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(prog="terravane")
-    p.add_argument("stage", choices=["estimate", "review", "extract", "osm-extract", "discover", "enrich", "surround", "score", "map", "dashboard", "qa", "all"])
+    p.add_argument("stage", choices=["estimate", "review", "extract", "osm-extract", "discover", "enrich", "surround", "score", "map", "dashboard", "qa", "keep", "list", "all"])
     p.add_argument("--config", default="config.yaml")
     p.add_argument("--data", default="data")
     p.add_argument("--xml", "--pbf", dest="extract", help="map extract (XML, or binary if its name ends in .pbf) for the extract stage")
     p.add_argument("--sites", "--markets", dest="sites", type=int, default=400, help="number of sites that estimate assumes")
     p.add_argument("--max-calls", type=int, default=4900, help="calls of metered services in this run")
+    p.add_argument("--hide", type=listed, default=[], help="place ids that are no markets: keep writes them to keep.csv, score leaves them out for once")
+    p.add_argument("--restore", type=listed, default=[], help="place ids that keep takes back")
+    p.add_argument("--profile")
+    p.add_argument("--kind")
+    p.add_argument("--district")
+    p.add_argument("--least-reviews", type=int, default=0)
+    p.add_argument("--window", choices=["open_morning", "open_evening", "open_night"])
+    p.add_argument("--day", type=int, choices=range(7), help="0: Sunday")
+    p.add_argument("--starred", type=listed, help="place ids")
     args = p.parse_args(argv)
     load_env()
     cfg, data = load_config(args.config), args.data.rstrip("/")
@@ -45,6 +57,10 @@ def main(argv: list[str] | None = None) -> None:
         run(stage, cfg, data, args)
 
 
+def listed(ids: str) -> list[str]:
+    return [i for i in ids.split(",") if i]
+
+
 def service(cfg: dict, data: str, most_calls: int) -> ingest.Places | None:
     """The metered services, where GOOGLE_MAPS_API_KEY is set; without it stages take the tables that are there."""
     key = os.environ.get("GOOGLE_MAPS_API_KEY")
@@ -114,7 +130,18 @@ def run(stage: str, cfg: dict, data: str, args) -> None:
     client = service(cfg, data, args.max_calls) if stage in ("discover", "enrich", "surround") else None
     if client is not None:
         fetch(stage, cfg, data, client, spark, kept)
-    if stage == "estimate":
+    places = lambda ids: spark.createDataFrame([(i,) for i in ids or []], "place_id string")
+    if stage == "keep":
+        # the file as it was stays beside the new one; all later stages read the new one
+        new = written(stages.review_file(review, places(args.hide), places(args.restore)), "review")
+        if Path(f"{data}/keep.csv").exists():
+            Path(f"{data}/keep.csv").replace(f"{data}/keep.backup.csv")
+        export(new.orderBy("place_id"), "keep")
+    elif stage == "list":
+        starred = None if args.starred is None else places(args.starred)
+        found = stages.filtered(read("ranked", "score"), args.profile, args.kind, args.district, args.least_reviews, args.window, args.day, starred=starred)
+        export(found.orderBy("rank"), "listed")
+    elif stage == "estimate":
         b = cfg["area"]["bbox"]
         n = tiles(spark, b["south"], b["north"], b["west"], b["east"], cfg["area"]["tile_deg"]).count()
         radii = {k: r for k, (_, r) in ingest.specs(sc.get("google_types") or {}, sc["radii_m"]).items()}
@@ -158,6 +185,8 @@ def run(stage: str, cfg: dict, data: str, args) -> None:
             files.write_items(surround.items_json(spark.read.parquet(f"{data}/items")), f"{data}/items.json")
     elif stage in ("score", "qa"):
         feats = stages.features(cfg, kept(), read("details", "enrich"), read("surroundings", "surround"))
+        if getattr(args, "hide", None):
+            feats = stages.without(feats, places(args.hide))
         if stage == "qa":
             append_summary(quality_report(feats, stages.ranked(cfg, feats), kept().count()))
         else:
@@ -168,8 +197,7 @@ def run(stage: str, cfg: dict, data: str, args) -> None:
     else:
         ranked = stages.page_columns(read("ranked", "score"))
         items = spark.read.parquet(f"{data}/items") if files.exists(spark, f"{data}/items") else None
-        skip = {"rank", "score", "dup_count", "hours_known", "keep", "keep_auto", "is_new"}
-        numbers = [f.name for f in ranked.schema.fields if f.dataType.typeName() in ("double", "long", "integer") and f.name not in skip | {"lat", "lng", "ord", "rating", "reviews"}]
+        numbers = files.payload_columns(ranked, list(pillars_of(cfg)))
         excluded = stages.discover.excluded_sites(sites()) if files.exists(spark, f"{data}/sites") else None
         scales = cfg["scoring"].get("scales") or {}
         info = lambda c: files.feature_info(c) | stages.source_of(cfg, c)
@@ -179,8 +207,6 @@ def run(stage: str, cfg: dict, data: str, args) -> None:
 
 def files_safe(df, data: str):
     """A table that does not read the path it is about to be written to."""
-    from .functions.storage import written
-
     return written(df.withColumn("ord", F.xxhash64("place_id")), "sites")
 
 
