@@ -18,7 +18,8 @@ from ..functions import polygons as P
 from ..functions.geo import FLAT_M, radius_pairs
 from ..functions.storage import written
 from ..functions.text import blank, half_even, slug
-from .cells import density, nearest_points, parts_of_radius, radius_sums
+from . import blocks
+from .cells import FEW_POINTS, MOST_PARTS, density, nearest_points, parts_of_radius, radius_sums
 from .ranks import numbered
 
 MOST_ITEMS = 50
@@ -34,12 +35,18 @@ def _keyed(p: DataFrame, keys) -> DataFrame:
     return p.select("lat", "lng", keys.alias("_key"), F.coalesce("_w", F.lit(0.0)).alias("_w"))
 
 
+def _by_cells(n: int, dense: float) -> bool:
+    """Are points so few and sparse that cells, broadcast, leave few pairs for each site; else blocks of points do."""
+    return n <= FEW_POINTS and dense <= 3 * MOST_PARTS**3
+
+
 def _sums(sites: DataFrame, points: DataFrame, radii: Sequence[int]) -> DataFrame:
-    """(place_id, _key, _r, value) of the points within each radius; each radius has cells of its own size."""
+    """(place_id, _key, _r, value) of the points within each radius; each radius has cells or tiles of its own size."""
     top = max(radii)
     n, dense = density(points, float(top))
     parts = {r: parts_of_radius(dense * (r / top) ** 2) for r in radii}
-    each = [radius_sums(sites, points, float(r), parts[r], n).withColumn("_r", F.lit(r)) for r in radii]
+    by_cells = _by_cells(n, dense)
+    each = [(radius_sums(sites, points, float(r), parts[r], n) if by_cells else blocks.radius_sums(sites, points, float(r))).withColumn("_r", F.lit(r)) for r in radii]
     out = each[0]
     for more in each[1:]:
         out = out.unionByName(more)
@@ -82,7 +89,8 @@ def nearest_items(sites: DataFrame, pois: DataFrame, radii: Sequence[int], name:
     points = p.select("lat", "lng", "_ord", "_name", "_w", F.explode(cats).alias("_key"))
     top = float(max(radii))
     n, dense = density(points, top)
-    near = nearest_points(sites, points, top, most, ["_ord", "_name", "lat2", "lng2"], parts_of_radius(dense), n)
+    order = ["_ord", "_name", "lat2", "lng2"]
+    near = nearest_points(sites, points, top, most, order, parts_of_radius(dense), n) if _by_cells(n, dense) else blocks.nearest_points(sites, points, top, most, order)
     rows = near.withColumn("_r", F.explode(F.array(*map(F.lit, radii)))).filter(F.col("d") <= F.col("_r"))
     col = F.concat_ws("_", F.lit(name), F.nullif(F.col("_key"), F.lit("\0")), F.col("_r").cast("string"))
     return rows.select("place_id", col.alias("col"), "pos", blank(F.col("_name")).alias("name"), F.rint("d").cast("int").alias("metres"), (F.col("_w") if weight else F.lit(None).cast("double")).alias("extra"), F.round("lat2", 6).alias("lat"), F.round("lng2", 6).alias("lng"))
