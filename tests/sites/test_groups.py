@@ -1,0 +1,77 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from terravane.functions import geo
+from terravane.operators import dedupe
+from terravane.operators.components import components
+from tests.sites.test_cells import metres
+
+SITES = "ord long, place_id string, name string, lat double, lng double"
+
+
+def places(seed, n, spread, middle=180.0, lat=13.0):
+    rng = random.Random(seed)
+    near = lambda: (max(-90.0, min(90.0, lat + rng.gauss(0, spread))), (middle + rng.gauss(0, spread) + 180) % 360 - 180)
+    names = ["Night Market", "night bazaar", "Plaza", "plaza one", "", "ab", "ab", None, "corner shop", "corner stop"]
+    rows = [(i, f"p{i}", names[i % len(names)], *near()) for i in range(n)]
+    rows += [(n + i, f"q{i}", "copy", *rows[0][3:]) for i in range(20)] + [(n + 50, "none", "Plaza", None, 1.0)]
+    return rows
+
+
+def groups(nodes, edges):
+    root = {x: x for x in nodes}
+    changed = True
+    while changed:
+        changed = False
+        for a, b in edges:
+            least = min(root[a], root[b])
+            changed |= root[a] != least or root[b] != least
+            root[a] = root[b] = least
+    return root
+
+
+@pytest.mark.parametrize("seed, lat, spread, within", [(1, 13.0, 0.004, 90.0), (2, 13.0, 0.02, 300.0), (3, 89.99, 0.01, 400.0), (4, -60.0, 0.0005, 20.0), (5, 0.0, 0.01, 0.0)])
+def test_groups_equal_all_pairs(spark, seed, lat, spread, within):
+    rows = places(seed, 150, spread, lat=lat)
+    got = {r.node: r.root for r in dedupe.near_groups(spark.createDataFrame(rows, SITES), within).collect()}
+    placed = [r for r in rows if r[3] is not None]
+    edges = [(p[0], q[0]) for p in placed for q in placed if p[0] < q[0] and metres(*p[3:], *q[3:]) <= within]
+    want = groups([p[0] for p in placed], edges)
+    assert got == want and len(set(want.values())) < len(want)
+
+
+@pytest.mark.parametrize("seed", [7, 8])
+def test_groups_by_name_equal_edges(spark, seed, monkeypatch):
+    """The groups of same_place_edges, whether its names are few or not."""
+    sites = spark.createDataFrame(places(seed, 120, 0.002), SITES)
+    got = {r.node: r.root for r in dedupe.same_place_groups(sites, 20, 150).collect()}
+    found = dedupe.same_place_edges(sites, 20, 150)
+    edges = sorted((r.a, r.b) for r in found.collect())
+    monkeypatch.setattr(dedupe, "FEW_NAMES", 1)
+    assert sorted((r.a, r.b) for r in dedupe.same_place_edges(sites, 20, 150).collect()) == edges
+    assert got == groups(list(got), edges)
+    assert {r.node: r.root for r in components(found).collect()} == {n: r for n, r in got.items() if any(n in e for e in edges)}
+
+
+def test_dense_sites_are_not_paired(spark, monkeypatch):
+    """1,500 sites of one small square were over a million pairs; of one group, none are left to pair."""
+    rng = random.Random(1)
+    rows = [(i, str(i), "x", 13 + rng.random() * 0.002, 101 + rng.random() * 0.002) for i in range(1500)]
+    seen, pairs = [], dedupe.near_pairs
+
+    def counted(*args):
+        found = pairs(*args)
+        seen.append(found.count())
+        return found
+
+    monkeypatch.setattr(dedupe, "near_pairs", counted)
+    got = dedupe.same_place_groups(spark.createDataFrame(rows, SITES), 150, 150)
+    assert {r.root for r in got.collect()} == {0} and sum(seen) < 1000
+
+
+def test_copies_of_a_radius_join_are_not_broadcast(spark):
+    a = spark.range(100).select(F.col("id").alias("a"), (F.col("id") / 100).alias("lat"), F.lit(1.0).alias("lng"))
+    plan = geo.radius_pairs(a, a.withColumnRenamed("a", "b"), 500.0)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastExchange" not in plan and "SortMergeJoin" in plan
