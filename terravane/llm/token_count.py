@@ -123,6 +123,11 @@ class WordCounts:
         return out
 
 
+def text_bytes(text: str):
+    """Bytes of a text in UTF-8, of a null none: a column that needs no tokenizer."""
+    return F.coalesce(F.octet_length(F.col(text).cast("string")), F.lit(0)).cast("long")
+
+
 def count_tokens(docs: DataFrame, tokenizer: str, text: str = "text", limit: int = 2048, chunk: int = 1 << 15, overlap: int = 1 << 10) -> DataFrame:
     """docs with n_bytes, n_tokens and over_limit (n_tokens > limit).
 
@@ -133,8 +138,8 @@ def count_tokens(docs: DataFrame, tokenizer: str, text: str = "text", limit: int
     """
     small_batches(docs.sparkSession)
     kept = [c for c in docs.columns if c not in (text, "n_bytes", "n_tokens", "over_limit")]
-    source = docs.select(*kept, F.coalesce(F.col(text), F.lit("")).alias("__text"))
-    out = source.drop("__text").withColumns({"n_bytes": F.lit(0).cast("long"), "n_tokens": F.lit(0).cast("long")})
+    source = docs.select(*kept, text_bytes(text).alias("n_bytes"), F.coalesce(F.col(text), F.lit("")).alias("__text"))
+    out = source.drop("__text").withColumn("n_tokens", F.lit(0).cast("long"))
 
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spans, counts, spliced = load(tokenizer)
@@ -145,7 +150,6 @@ def count_tokens(docs: DataFrame, tokenizer: str, text: str = "text", limit: int
             short = [t for t in texts if not spliced or len(t) <= chunk]
             quick = iter([n for i in range(0, len(short), 64) for n in counts(short[i : i + 64])])
             n = [splice(t, spans, chunk, overlap) if spliced and len(t) > chunk else next(quick) for t in texts]
-            size = [len(t.encode()) for t in texts]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(size, pa.int64()), pa.array(n, pa.int64())], names=[*kept, "n_bytes", "n_tokens"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(n, pa.int64())], names=[*kept, "n_bytes", "n_tokens"])
 
     return source.mapInArrow(run, out.schema).withColumn("over_limit", F.col("n_tokens") > limit)

@@ -55,3 +55,11 @@ def test_counts_equal_the_library(spark, name):
     want = plain(path, [r[1] or "" for r in rows])
     assert sorted((r.doc_id is None, r.doc_id or 0, r.n_bytes, r.n_tokens, r.over_limit) for r in got) == sorted((i is None, i or 0, len((t or "").encode()), n, n > 2048) for (i, t, _), n in zip(rows, want))
     assert T.count_tokens(spark.createDataFrame([], "doc_id long, text string"), path).count() == 0
+
+
+def test_bytes_need_no_tokenizer(spark):
+    """token_bytes encoded every text to tell its length."""
+    from terravane.llm import queries
+
+    df = queries.token_bytes(spark, "/root/testdata/sf0.001")
+    assert "MapInArrow" not in df._jdf.queryExecution().executedPlan().toString() and df.schema["n_bytes"].dataType.simpleString() == "bigint"
