@@ -82,6 +82,106 @@ def union_area(rings: list[np.ndarray], inside: np.ndarray | None = None) -> flo
     return total
 
 
+class Ragged:
+    """Many rings at once: corners x, y in metres, ring after ring, and how many each has. Those that ring() makes empty are
+    left out; `which` tells the others' numbers."""
+
+    def __init__(self, x: np.ndarray, y: np.ndarray, n: np.ndarray):
+        n, rows = n.astype(np.int64), np.arange(len(n))
+        first = np.cumsum(n) - n
+        some = n > 1
+        last = first[some] + n[some] - 1
+        same = np.isclose(x[first[some]], x[last]) & np.isclose(y[first[some]], y[last])
+        kept = np.ones(len(x), bool)
+        kept[last[same]] = False
+        n[rows[some][same]] -= 1
+        self._take(x[kept], y[kept], n, rows)
+        fit = np.zeros(len(n), bool)
+        if len(self.which):
+            fit[self.which] = np.abs(self._sum(self.cross) / 2) > 1e-9
+        self._take(x[kept], y[kept], n, rows[fit])
+
+    def _take(self, x, y, n, which):
+        which = which[n[which] >= 3]
+        at = np.zeros(len(n), bool)
+        at[which] = True
+        corners = np.repeat(at, n)
+        self.which, self.n, self.x, self.y = which, n[which], x[corners], y[corners]
+        self.first = np.cumsum(self.n) - self.n
+        after = np.arange(1, len(self.x) + 1)
+        after[self.first + self.n - 1] = self.first
+        self.x2, self.y2 = self.x[after], self.y[after]
+        self.cross = self.x * self.y2 - self.x2 * self.y
+
+    def _sum(self, values: np.ndarray) -> np.ndarray:
+        return np.add.reduceat(values, self.first) if len(self.first) else np.zeros(0)
+
+    def distances(self) -> np.ndarray:
+        """As distance() from the origin."""
+        if not len(self.first):
+            return np.zeros(0)
+        x, y, dx, dy = self.x, self.y, self.x2 - self.x, self.y2 - self.y
+        with np.errstate(divide="ignore", invalid="ignore"):
+            east = ((y > 0) != (self.y2 > 0)) & (x - y * dx / dy > 0)
+        t = np.clip(-(x * dx + y * dy) / np.maximum(dx * dx + dy * dy, 1e-18), 0, 1)
+        d = np.sqrt(np.minimum.reduceat((x + t * dx) ** 2 + (y + t * dy) ** 2, self.first))
+        return np.where(self._sum(east.astype(np.int64)) % 2 == 1, 0.0, d)
+
+    def areas_in_circle(self, radius: float, sides: int = SIDES) -> np.ndarray:
+        """As union_area([ring], circle(radius)) for rings that do not cross themselves: each edge adds what lies between it
+        and the origin inside the circle's polygon."""
+        out = self.cross / 2
+        beyond = np.maximum(self.x**2 + self.y**2, self.x2**2 + self.y2**2) > (radius * np.cos(np.pi / sides)) ** 2
+        at = np.flatnonzero(beyond)
+        for some in np.array_split(at, 1 + len(at) // 8192):
+            out[some] = _inside_circle(self.x[some], self.y[some], self.x2[some], self.y2[some], radius, sides)
+        return np.abs(self._sum(out))
+
+
+def _inside_circle(x, y, x2, y2, radius: float, sides: int) -> np.ndarray:
+    """Signed area between edges and the origin inside the polygon circle(radius, sides)."""
+    step = 2 * np.pi / sides
+    middle = (np.arange(sides) + 0.5) * step
+    c, s, limit = np.cos(middle), np.sin(middle), radius * np.cos(step / 2)
+    dx, dy = x2 - x, y2 - y
+    nearest = np.clip(-(x * dx + y * dy) / np.maximum(dx * dx + dy * dy, 1e-18), 0, 1)
+    meets = np.flatnonzero(np.hypot(x + nearest * dx, y + nearest * dy) < radius)
+    t0, t1 = np.ones(len(x)), np.ones(len(x))
+    if len(meets):
+        room = limit - (x[meets, None] * c + y[meets, None] * s)  # to each side: negative beyond it
+        speed = dx[meets, None] * c + dy[meets, None] * s
+        with np.errstate(divide="ignore", invalid="ignore"):
+            t = room / speed
+        enter = np.where(speed < 0, t, np.where((speed == 0) & (room < 0), np.inf, -np.inf)).max(axis=1)
+        leave = np.where(speed > 0, t, np.inf).min(axis=1)
+        t0[meets] = np.clip(enter, 0, 1)
+        t1[meets] = np.maximum(np.clip(leave, 0, 1), t0[meets])
+    whole = sides * radius**2 * np.sin(step) / 2
+
+    def swept(t):
+        """Area of the polygon up to the direction of a place on the edge."""
+        a = np.arctan2(y + t * dy, x + t * dx) % (2 * np.pi)
+        k = np.minimum(np.floor(a / step), sides - 1)
+        part = a - k * step
+        return k * whole / sides + radius * limit / np.cos(part - step / 2) * np.sin(part) / 2
+
+    def between(p, q):
+        d = swept(q) - swept(p)
+        return np.where(p == q, 0.0, d - whole * np.round(d / whole))
+
+    zero, one = np.zeros(len(x)), np.ones(len(x))
+    inside = ((x + t0 * dx) * (y + t1 * dy) - (x + t1 * dx) * (y + t0 * dy)) / 2
+    return between(zero, t0) + inside + between(t1, one)
+
+
+def simple(r: np.ndarray) -> bool:
+    """Does a ring enclose once what it encloses: no edges cross, and the even-odd rule leaves nothing out."""
+    if len(r) < 3:
+        return True
+    r = r - r.mean(axis=0)
+    return not len(_crossings(_edges([r])[0])) and abs(union_area([r]) - abs(signed_area(r))) <= 1e-9 * abs(signed_area(r)) + 1e-9
+
+
 def clip_box(convex: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
     """The part of a convex ring inside a box; empty if they share no area."""
     for axis in (0, 1):

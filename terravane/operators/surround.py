@@ -10,6 +10,8 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -133,7 +135,8 @@ def _ring_pairs(sites: DataFrame, rings: DataFrame, radius: float) -> tuple[Data
     boxed, where, levels = ring_cells(rings, radius)
     step = max(radius / FLAT_M, 1e-6)
     level = F.explode(F.array(*map(F.lit, levels)) if levels else F.array().cast("array<int>")).alias("_level")
-    at = sites.select("place_id", "lat", "lng", level)
+    # the work grows with the pairs, not with the bytes of the sites
+    at = sites.select("place_id", "lat", "lng").repartition(_parts(sites)).select("*", level)
     at = at.withColumns({"_y": _cell(F.col("lat"), F.col("_level"), step), "_x": _cell(F.col("lng"), F.col("_level"), step)})
     inside = (F.col("lat") >= F.col("_s") - step) & (F.col("lat") <= F.col("_n") + step) & (F.col("lng") >= F.col("_wst") - F.col("_wide")) & (F.col("lng") <= F.col("_e") + F.col("_wide"))
     return at.join(where, ["_level", "_y", "_x"]).filter(inside).drop("_level", "_y", "_x"), boxed
@@ -197,15 +200,26 @@ def repaired_rings(rings: DataFrame) -> DataFrame:
 def ring_metres(sites: DataFrame, rings: DataFrame, radius: float) -> DataFrame:
     """(place_id, ring_id, metres): the rings that meet a site's circle, and how far they are (0: the site is inside)."""
 
-    def far(found: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def far(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for g in found:
-            shapes = [_local(r, y, x) for r, y, x in zip(g.ring, g.lat, g.lng, strict=True)]
-            d = pd.Series([P.distance(s) if len(s) else np.inf for s in shapes], index=g.index, dtype=float)
+            shapes = _shapes(g)
+            d = shapes.distances()
             near = d <= radius
-            yield g.loc[near, ["place_id", "ring_id"]].assign(metres=d[near].round().astype(int))
+            at = pa.array(shapes.which[near])
+            yield pa.RecordBatch.from_arrays([g.column("place_id").take(at), g.column("ring_id").take(at), pa.array(np.rint(d[near]).astype(np.int32))], names=["place_id", "ring_id", "metres"])
 
     schema = sites.select("place_id").schema.add("ring_id", rings.schema["ring_id"].dataType).add("metres", "integer")
-    return _near_rings(sites, rings, float(radius)).mapInPandas(far, schema)
+    return _near_rings(sites, rings, float(radius)).mapInArrow(far, schema)
+
+
+def _shapes(g: pa.RecordBatch) -> P.Ragged:
+    """The rings of a batch (lat, lng, ring), each flat around its site."""
+    ring, lat, lng = g.column("ring"), *(g.column(c).to_numpy() for c in ("lat", "lng"))
+    n = pc.fill_null(pc.list_value_length(ring), 0).to_numpy()
+    corners = ring.flatten()
+    k = FLAT_M * np.cos(np.radians(lat))
+    at = lambda c, middle, unit: (pc.struct_field(corners, c).to_numpy(zero_copy_only=False) - np.repeat(middle, n)) * unit
+    return P.Ragged(at("lng", lng, np.repeat(k, n)), at("lat", lat, FLAT_M), n)
 
 
 def land_area(sites: DataFrame, rings: DataFrame, radii: Sequence[int], name: str, per_tile: int = 128) -> DataFrame:
@@ -247,20 +261,35 @@ def area_items(sites: DataFrame, rings: DataFrame, radii: Sequence[int], name: s
     """Each ring's own hectares inside the circle (0.01 or more), the largest first; extra is the hectares."""
     radii = list(radii)
 
-    def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def known(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """What does not depend on the site: whether a ring crosses itself, and a place inside it."""
         for g in batches:
             rows = []
             for m in g.itertuples(index=False):
-                s = _local(m.ring, m.lat, m.lng)
-                if len(s):
-                    metres, at = int(round(P.distance(s))), _degrees(*P.point_inside(s), m.lat, m.lng)
-                    for r in radii:
-                        ha = P.union_area([s], P.circle(r)) / 10_000 if P.distance(s) <= r else 0.0
-                        if ha >= 0.01:
-                            rows.append((m.place_id, f"{name}_ha_{r}", m.name, metres, round(ha, 2), *at, m.ring_id))
-            yield pd.DataFrame(rows, columns=["place_id", "col", "name", "metres", "extra", "lat", "lng", "ring_id"])
-
-    shares = _near_rings(sites, rings, float(max(radii))).mapInPandas(each, f"place_id STRING, col STRING, {ITEM}, ring_id LONG")
+                lat, lng = m.ring[0]["lat"], m.ring[0]["lng"]
+                s = _local(m.ring, lat, lng)
+                rows.append((m.rid, P.simple(s), *(_degrees(*P.point_inside(s), lat, lng) if len(s) else (None, None))))
+            yield pd.DataFrame(rows, columns=["_rid", "_simple", "_lat", "_lng"]).astype({"_lat": float, "_lng": float})
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for g in batches:
+            shapes = _shapes(g)
+            which, d, plain = shapes.which, shapes.distances(), g.column("_simple").to_numpy(zero_copy_only=False)[shapes.which]
+            for r in radii:
+                ha = shapes.areas_in_circle(r) / 10_000
+                for i in np.flatnonzero(~plain.astype(bool) & (d <= r)):
+                    p = slice(shapes.first[i], shapes.first[i] + shapes.n[i])
+                    ha[i] = P.union_area([np.column_stack([shapes.x[p], shapes.y[p]])], P.circle(r)) / 10_000
+                some = np.flatnonzero((d <= r) & (ha >= 0.01))
+                at = pa.array(which[some])
+                found = [g.column("place_id").take(at), pa.array([f"{name}_ha_{r}"] * len(some), pa.string()), g.column("name").take(at), pa.array(np.rint(d[some]).astype(np.int32)), pa.array([round(x, 2) for x in ha[some].tolist()], pa.float64())]
+                yield pa.RecordBatch.from_arrays([*found, *(g.column(c).take(at) for c in ("_lat", "_lng", "ring_id"))], names=["place_id", "col", "name", "metres", "extra", "lat", "lng", "ring_id"])
+
+    pairs, boxed = _ring_pairs(sites, rings, float(max(radii)))
+    inside = boxed.select(F.col("_rid").alias("rid"), "ring").mapInPandas(known, "_rid long, _simple boolean, _lat double, _lng double")
+    shapes = boxed.select("_rid", F.col("ring_id").cast("long").alias("ring_id"), blank(F.col("name")).alias("name"), "ring").join(inside, "_rid")
+    near = pairs.select(F.col("place_id").cast("string").alias("place_id"), "lat", "lng", "_rid").join(written(shapes, "shapes"), "_rid").drop("_rid")
+    shares = near.mapInArrow(each, f"place_id STRING, col STRING, {ITEM}, ring_id LONG")
     return shares.withColumn("pos", F.row_number().over(W.partitionBy("place_id", "col").orderBy(F.desc("extra"), "ring_id"))).filter(F.col("pos") <= most).select("place_id", "col", "pos", "name", "metres", "extra", "lat", "lng")
 
 
