@@ -82,6 +82,86 @@ def union_area(rings: list[np.ndarray], inside: np.ndarray | None = None) -> flo
     return total
 
 
+def trapezoids(rings: list[np.ndarray], low, high) -> np.ndarray:
+    """What any of the rings covers of a box, as trapezoids that do not overlap: rows x0, x1, lower y at both, upper y at both.
+    Slabs as in union_area; in each, what is covered without a gap is one trapezoid."""
+    box = np.array([(low[0], low[1]), (high[0], low[1]), (high[0], high[1]), (low[0], high[1])])
+    e, owner = _edges([*rings, box])
+    near = (e[:, 2] >= low[0]) & (e[:, 0] <= high[0])
+    e, owner = e[near], owner[near]
+    xs = np.unique(np.concatenate([e[:, 0], e[:, 2], _crossings(e)]))
+    xs = xs[(xs >= low[0]) & (xs <= high[0])]
+    x0, x1 = xs[:-1], xs[1:]
+    out = []
+    with np.errstate(divide="ignore", invalid="ignore"):
+        slope = (e[:, 3] - e[:, 1]) / (e[:, 2] - e[:, 0])
+    for a in range(0, len(x0), 256):
+        first, last = x0[a : a + 256, None], x1[a : a + 256, None]
+        m = (first + last) / 2
+        live = (e[:, 0] <= m) & (e[:, 2] > m)
+        with np.errstate(invalid="ignore"):
+            y = np.where(live, e[:, 1] + slope * (m - e[:, 0]), np.inf)
+        order = np.argsort(y, axis=1, kind="stable")
+        y = np.take_along_axis(y, order, axis=1)
+        who = np.where(np.isfinite(y), owner[order], -1)
+        covered = np.zeros(who.shape, bool)
+        for k in range(len(rings)):
+            covered |= np.cumsum(who == k, axis=1) % 2 == 1
+        covered &= np.cumsum(who == len(rings), axis=1) % 2 == 1
+        before = np.hstack([np.zeros((len(covered), 1), bool), covered[:, :-1]])
+        row, start = np.nonzero(covered & ~before)
+        _, end = np.nonzero(~covered & before)  # the box's own top ends what is covered at the latest
+        at = lambda edge, x: e[edge, 1] + slope[edge] * (x - e[edge, 0])
+        under, over, left, right = order[row, start], order[row, end], first[row, 0], last[row, 0]
+        out.append(np.column_stack([left, right, at(under, left), at(under, right), at(over, left), at(over, right)]))
+    return np.concatenate(out) if out else np.zeros((0, 6))
+
+
+def covered(rings: list[np.ndarray], low, high, most: int, depth: int = 8) -> np.ndarray:
+    """As trapezoids, where a box with more than `most` rings is cut into four unless one of them fills it."""
+    corners = [(low[0], low[1]), (low[0], high[1]), (high[0], low[1]), (high[0], high[1])]
+    met = []
+    for r in rings:
+        if (r.max(axis=0) <= low).any() or (r.min(axis=0) >= high).any():
+            continue
+        if len(r) == 4 and (r.min(axis=0) <= low).all() and (r.max(axis=0) >= high).all() and fills(r, corners):
+            return np.array([[low[0], high[0], low[1], low[1], high[1], high[1]]])
+        met.append(r)
+    if not met:
+        return np.zeros((0, 6))
+    if len(met) <= most or not depth:
+        return trapezoids(met, low, high)
+    mid = (np.asarray(low) + high) / 2
+    boxes = [((x0, y0), (x1, y1)) for x0, x1 in ((low[0], mid[0]), (mid[0], high[0])) for y0, y1 in ((low[1], mid[1]), (mid[1], high[1]))]
+    return np.concatenate([covered(met, np.array(a), np.array(b), most, depth - 1) for a, b in boxes])
+
+
+def convex(r: np.ndarray) -> bool:
+    """Does a ring turn one way only, and once round."""
+    d = np.roll(r, -1, axis=0) - r
+    after = np.roll(d, -1, axis=0)
+    turn = np.arctan2(d[:, 0] * after[:, 1] - d[:, 1] * after[:, 0], (d * after).sum(axis=1))
+    return bool(((turn >= 0).all() or (turn <= 0).all()) and abs(abs(turn.sum()) - 2 * np.pi) < 1e-6)
+
+
+def fills(r: np.ndarray, points) -> bool:
+    """Is a ring convex, and are all points in it or on its border."""
+    p, d = np.asarray(points, float), np.roll(r, -1, axis=0) - r
+    side = d[:, 0] * (p[:, None, 1] - r[:, 1]) - d[:, 1] * (p[:, None, 0] - r[:, 0])
+    return bool(((side >= 0).all() or (side <= 0).all()) and convex(r))
+
+
+def quads_in_circle(x: np.ndarray, y: np.ndarray, radius: float, sides: int = SIDES) -> np.ndarray:
+    """Areas of many shapes of four corners (n, 4), counter-clockwise, inside circle(radius)."""
+    x2, y2 = np.roll(x, -1, axis=1), np.roll(y, -1, axis=1)
+    out = (x * y2 - x2 * y) / 2
+    at = np.nonzero(np.maximum(x * x + y * y, x2 * x2 + y2 * y2) > (radius * np.cos(np.pi / sides)) ** 2)
+    edges = [c[at] for c in (x, y, x2, y2)]
+    if len(at[0]):
+        out[at] = np.concatenate([_inside_circle(*(c[k : k + 8192] for c in edges), radius, sides) for k in range(0, len(at[0]), 8192)])
+    return out.sum(axis=1)
+
+
 class Ragged:
     """Many rings at once: corners x, y in metres, ring after ring, and how many each has. Those that ring() makes empty are
     left out; `which` tells the others' numbers."""
@@ -138,6 +218,19 @@ class Ragged:
         return np.abs(self._sum(out))
 
 
+def _sides_met(x, y, dx, dy, radius: float, sides: int) -> np.ndarray:
+    """The sides of circle(radius, sides) that edges can cross: a line enters and leaves the polygon half a side at most from
+    where it does the circle."""
+    length = np.sqrt(np.maximum(dx * dx + dy * dy, 1e-300))
+    ux, uy = dx / length, dy / length
+    along, off = -(x * ux + y * uy), x * uy - y * ux  # up to the place nearest to the middle, and how far that is
+    half = np.sqrt(np.maximum(radius * radius - off * off, 0))
+    at = along[:, None] + np.stack([-half, half], axis=1)
+    angle = np.arctan2(y[:, None] + at * uy[:, None], x[:, None] + at * ux[:, None])
+    k = np.floor(angle * (sides / (2 * np.pi))).astype(np.int64)
+    return ((k[:, :, None] + np.arange(-2, 3)) % sides).reshape(len(x), -1)
+
+
 def _inside_circle(x, y, x2, y2, radius: float, sides: int) -> np.ndarray:
     """Signed area between edges and the origin inside the polygon circle(radius, sides)."""
     step = 2 * np.pi / sides
@@ -148,6 +241,8 @@ def _inside_circle(x, y, x2, y2, radius: float, sides: int) -> np.ndarray:
     meets = np.flatnonzero(np.hypot(x + nearest * dx, y + nearest * dy) < radius)
     t0, t1 = np.ones(len(x)), np.ones(len(x))
     if len(meets):
+        side = _sides_met(x[meets], y[meets], dx[meets], dy[meets], radius, sides)
+        c, s = c[side], s[side]
         room = limit - (x[meets, None] * c + y[meets, None] * s)  # to each side: negative beyond it
         speed = dx[meets, None] * c + dy[meets, None] * s
         with np.errstate(divide="ignore", invalid="ignore"):

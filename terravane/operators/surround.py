@@ -20,7 +20,7 @@ from ..functions import polygons as P
 from ..functions.geo import FLAT_M, radius_pairs
 from ..functions.storage import written
 from ..functions.text import blank, half_even, slug
-from . import blocks
+from . import blocks, unions
 from .cells import FEW_POINTS, MOST_PARTS, density, nearest_points, parts_of_radius, radius_sums
 from .ranks import numbered
 
@@ -129,14 +129,14 @@ def _cell(c, level, step: float):
     return F.floor(c / (F.lit(2 * step) * F.pow(F.lit(2.0), level))).cast("long")
 
 
-def _ring_pairs(sites: DataFrame, rings: DataFrame, radius: float) -> tuple[DataFrame, DataFrame]:
-    """(place_id, lat, lng, _rid, box) of sites and rings whose boxes come within radius, and the table of the rings: sites
+def _ring_pairs(sites: DataFrame, rings: DataFrame, radius: float, key: Sequence[str] = ("place_id",)) -> tuple[DataFrame, DataFrame]:
+    """(place_id or another key, lat, lng, _rid, box) of sites and rings whose boxes come within radius, and the table of the rings: sites
     stand in one cell of each level in use, and an equi-join on cells brings keys together, not outlines."""
     boxed, where, levels = ring_cells(rings, radius)
     step = max(radius / FLAT_M, 1e-6)
     level = F.explode(F.array(*map(F.lit, levels)) if levels else F.array().cast("array<int>")).alias("_level")
     # the work grows with the pairs, not with the bytes of the sites
-    at = sites.select("place_id", "lat", "lng").repartition(_parts(sites)).select("*", level)
+    at = sites.select(*key, "lat", "lng").repartition(_parts(sites)).select("*", level)
     at = at.withColumns({"_y": _cell(F.col("lat"), F.col("_level"), step), "_x": _cell(F.col("lng"), F.col("_level"), step)})
     inside = (F.col("lat") >= F.col("_s") - step) & (F.col("lat") <= F.col("_n") + step) & (F.col("lng") >= F.col("_wst") - F.col("_wide")) & (F.col("lng") <= F.col("_e") + F.col("_wide"))
     return at.join(where, ["_level", "_y", "_x"]).filter(inside).drop("_level", "_y", "_x"), boxed
@@ -222,39 +222,22 @@ def _shapes(g: pa.RecordBatch) -> P.Ragged:
     return P.Ragged(at("lng", lng, np.repeat(k, n)), at("lat", lat, FLAT_M), n)
 
 
-def land_area(sites: DataFrame, rings: DataFrame, radii: Sequence[int], name: str, per_tile: int = 128) -> DataFrame:
+def land_area(sites: DataFrame, rings: DataFrame, radii: Sequence[int], name: str, per_tile: int = 24) -> DataFrame:
     """(place_id, col, value): <name>_ha_<r>, hectares of the union of the rings inside the circle, to 2 places.
 
-    The area of a union is the sum over tiles that do not overlap: a site with more than per_tile rings is cut into as
-    many tiles as it takes, each with the rings whose boxes meet it, so that no site is one group; rings that repeat
-    stand once in a tile. Results do not depend on the tiles but for the last bits."""
+    The union is made once for all sites, tile by tile (see unions): a box with more than per_tile rings that none of them
+    fills is cut into four. A site adds up tiles inside its circle and measures what the rim cuts."""
     radii, top = list(radii), float(max(radii))
-    pairs, boxed = _ring_pairs(sites, rings, top)
-    pairs = written(pairs, "ring-pairs")
-    cuts = F.ceil(F.sqrt(F.count("*") / F.lit(per_tile))).cast("int").alias("cuts")
-    tiled = pairs.join(pairs.groupBy("place_id").agg(cuts), "place_id")
-    k = F.lit(FLAT_M) * F.cos(F.radians("lat"))
-    tile = lambda metres: F.greatest(F.lit(0), F.least(F.col("cuts") - 1, F.floor((metres + top) * F.col("cuts") / (2 * top)).cast("int")))
-    across = F.sequence(tile((F.col("_wst") - F.col("lng")) * k), tile((F.col("_e") - F.col("lng")) * k))
-    up = F.sequence(tile((F.col("_s") - F.col("lat")) * FLAT_M), tile((F.col("_n") - F.col("lat")) * FLAT_M))
-    tiled = tiled.select("place_id", "lat", "lng", "_rid", "cuts", F.explode(across).alias("tx"), up.alias("up"))
-    tiled = tiled.select("place_id", "lat", "lng", "_rid", "cuts", "tx", F.explode("up").alias("ty"))
-
-    def sweep(g: pd.DataFrame) -> pd.DataFrame:
-        lat, lng, cuts, tx, ty = (g[c].iloc[0] for c in ("lat", "lng", "cuts", "tx", "ty"))
-        size = 2 * top / cuts
-        low, high = np.array([tx * size - top, ty * size - top]), np.array([(tx + 1) * size - top, (ty + 1) * size - top])
-        outlines = {tuple((p["lng"], p["lat"]) for p in r): r for r in g.ring}
-        shapes = [s for r in outlines.values() if len(s := _local(r, lat, lng))]
-        windows = [P.clip_box(P.circle(r), low, high) for r in radii]
-        areas = [P.union_area(shapes, w) if len(w) else 0.0 for w in windows]
-        return pd.DataFrame({"place_id": g.place_id.iloc[0], "col": [f"{name}_ha_{r}" for r in radii], "value": areas})
-
-    outlined = tiled.join(boxed.select("_rid", "ring"), "_rid").repartition(_parts(sites), "place_id", "tx", "ty")
-    found = outlined.groupBy("place_id", "tx", "ty").applyInPandas(sweep, "place_id string, col string, value double")
-    found = found.groupBy("place_id", "col").agg(half_even(F.sum("value") / 10_000, 2).alias("value"))
+    size = top / FLAT_M / unions.TILES
+    windows = unions.windows_of(sites, top)
+    tiles = unions.tiles_of(windows).withColumns({"lat": (F.col("ty") + 0.5) * size, "lng": (F.col("tx") + 0.5) * size})
+    outlines = rings.select(F.lit(None).cast("long").alias("ring_id"), F.lit(None).cast("string").alias("name"), "ring").distinct()
+    pairs, boxed = _ring_pairs(tiles, outlines, size * FLAT_M, ("ty", "tx"))
+    pieces = unions.pieces(pairs.select("ty", "tx", "_rid").join(boxed.select("_rid", "ring"), "_rid"), size, per_tile)
+    found = unions.areas(sites, windows, written(pieces, "pieces"), size, radii)
+    found = found.groupBy("place_id", "r").agg(half_even(F.max("value") / 10_000, 2).alias("value")).withColumn("col", F.concat(F.lit(f"{name}_ha_"), F.col("r").cast("string")))
     grid = sites.select("place_id", F.explode(F.array(*(F.lit(f"{name}_ha_{r}") for r in radii))).alias("col"))
-    return grid.join(found, ["place_id", "col"], "left").select("place_id", "col", F.coalesce("value", F.lit(0.0)).alias("value"))
+    return grid.join(found.drop("r"), ["place_id", "col"], "left").select("place_id", "col", F.coalesce("value", F.lit(0.0)).alias("value"))
 
 
 def area_items(sites: DataFrame, rings: DataFrame, radii: Sequence[int], name: str, most: int = MOST_ITEMS) -> DataFrame:

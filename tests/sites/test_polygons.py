@@ -79,6 +79,41 @@ def test_area_does_not_depend_on_tiles(spark, per_tile):
     assert got == pytest.approx(want, abs=0.011)
 
 
+def test_trapezoids_are_the_union_of_rings_in_a_box():
+    """Of rings that cross themselves and others, whole and cut into smaller boxes; their parts in circles add up too."""
+    rng = random.Random(1)
+    low, high = np.zeros(2), np.full(2, 100.0)
+    box = np.array([(0, 0), (100, 0), (100, 100), (0, 100)], float)
+    for _ in range(60):
+        rings = [P.ring([(rng.uniform(-50, 150), rng.uniform(-50, 150)) for _ in range(rng.choice([3, 4, 5, 7]))]) for _ in range(rng.randrange(1, 8))]
+        want = P.union_area(rings, box)
+        for t in (P.trapezoids([r for r in rings if len(r)], low, high), P.covered([r for r in rings if len(r)], low, high, 2, 4)):
+            assert ((t[:, 1] - t[:, 0]) * (t[:, 4] - t[:, 2] + t[:, 5] - t[:, 3]) / 2).sum() == pytest.approx(want, abs=1e-6)
+            x, y = t[:, [0, 1, 1, 0]] - 37, t[:, [2, 3, 5, 4]] - 55
+            for r in (20.0, 60.0, 300.0):
+                inside = sum(P.union_area([np.column_stack(c)], P.circle(r)) for c in zip(x, y, strict=True)) if len(x) < 40 else None
+                assert inside is None or P.quads_in_circle(x, y, r).sum() == pytest.approx(inside, abs=1e-6)
+
+
+def test_no_ring_is_shuffled_once_for_each_site(spark):
+    """The union is made on tiles: twenty times the sites bring no more rows of rings and tiles together, and no more pieces."""
+    from terravane.operators import unions
+
+    rng = random.Random(2)
+    rings = spark.createDataFrame([(i, None, box(13.0, 101.0, y - 90, x - 90, y + 90, x + 90)) for i in range(200) for x, y in [(rng.uniform(-900, 900), rng.uniform(-900, 900))]], RINGS)
+    pieces = []
+    for n in (50, 1000):
+        places = [("edge", 12.99, 100.99), ("other", 13.01, 101.01)] + [(f"s{i}", 13 + rng.uniform(-0.01, 0.01), 101 + rng.uniform(-0.01, 0.01)) for i in range(n)]
+        windows = unions.windows_of(spark.createDataFrame(places, "place_id string, lat double, lng double"), 1500.0)
+        tiles = unions.tiles_of(windows)
+        size = 1500 / surround.FLAT_M / unions.TILES
+        spots = tiles.withColumns({"lat": (F.col("ty") + 0.5) * size, "lng": (F.col("tx") + 0.5) * size})
+        pairs, boxed = surround._ring_pairs(spots, rings, size * surround.FLAT_M, ("ty", "tx"))
+        found = unions.pieces(pairs.select("ty", "tx", "_rid").join(boxed.select("_rid", "ring"), "_rid"), size, 24).collect()
+        pieces.append((pairs.count(), sorted((r.ty, r.tx, round(r.area, 15)) for r in found)))
+    assert pieces[0] == pieces[1] and 0 < pieces[0][0] < 200 * 50
+
+
 def even_odd_area(p):
     """By the middles of a fine grid over integer corners."""
     p = np.asarray(p, float)
