@@ -20,7 +20,7 @@ from ..functions import polygons as P
 from ..functions.geo import FLAT_M, radius_pairs
 from ..functions.storage import written
 from ..functions.text import blank, half_even, slug
-from . import blocks, unions
+from . import blocks, campuses, unions
 from .cells import FEW_POINTS, MOST_PARTS, density, nearest_points, parts_of_radius, radius_sums
 from .ranks import numbered
 
@@ -312,15 +312,17 @@ def campus_items(sites: DataFrame, rings: DataFrame, nodes: DataFrame, radii: Se
 
 
 def campus_measures(sites: DataFrame, rings: DataFrame, nodes: DataFrame, radii: Sequence[int], name: str) -> DataFrame:
-    """(place_id, col, value): the number of institutions that campus_items lists. Only nodes beside some ring's box can be
-    part of a campus; all others are counted by distance alone, without a row for each site and node."""
-    places = nodes.select(F.lit("").alias("place_id"), "lat", "lng")
-    beside = written(_near_rings(places, rings, 2.0).select("lat", "lng").distinct(), "nodes-beside")
-    named = nodes.select("lat", "lng", "name").withColumn("ord", F.xxhash64("lat", "lng", "name"))
-    apart = radius_measures(sites, named.join(beside, ["lat", "lng"], "left_anti"), radii, name)
-    listed = campus_items(sites, rings, named.join(beside, ["lat", "lng"], "left_semi"), radii, name)
-    found = listed.groupBy("place_id", "col").agg(F.count("*").cast("double").alias("value"))
-    return found.unionByName(apart.select("place_id", "col", F.col("value").cast("double"))).groupBy("place_id", "col").agg(F.sum("value").alias("value"))
+    """(place_id, col, value): the number of institutions that campus_items lists, without a row for each site and ring or
+    node (see campuses)."""
+    top = float(max(radii))
+    outer = campuses.outer_rings(rings, _ring_pairs)
+    apart, near, beside = campuses.sorted_nodes(nodes.select("lat", "lng", "name"), outer, top, _ring_pairs)
+    col = F.concat(F.lit(f"{name}_"), F.col("r").cast("string")).alias("col")
+    found = radius_measures(sites, apart, radii, name).select("place_id", "col", F.col("value").cast("double"))
+    found = found.unionByName(campuses.border_counts(sites, near, beside, radii).select("place_id", col, "value"))
+    for r in radii:
+        found = found.unionByName(campuses.ring_groups(sites, outer, float(r), _ring_pairs).select("place_id", F.lit(f"{name}_{r}").alias("col"), "value"))
+    return found.groupBy("place_id", "col").agg(F.sum("value").alias("value"))
 
 
 def place_dictionary(items: DataFrame) -> DataFrame:
