@@ -1,8 +1,9 @@
 """Sums and nearest points within radii where many points are dense, from blocks of sites and the points around them.
 
-Sites stand in one tile as wide as the radius, points are copied to the tiles that they can reach, and Spark brings both
-together: a site is shuffled once, however many points surround it. Inside a block points are sorted by thin rows and by
-longitude. What a circle surely holds of a row is one range, summed from running totals; only points at the ends of the
+Sites stand in one tile, points are copied to the tiles that they can reach, and Spark brings both together: a site is
+shuffled once, however many points surround it. How wide tiles are follows from the share of the sites in one, not from
+their number, so that a point has as many copies in a large table as in a small one alike. Inside a block points are sorted
+by thin rows and by longitude. What a circle surely holds of a row is one range, summed from running totals; only points at the ends of the
 ranges are measured. A circle among n points costs about the square root of n.
 """
 
@@ -10,6 +11,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -22,8 +24,10 @@ from pyspark.sql import types as T
 from ..functions.geo import EARTH_M, cells_in_reach, grid_cell, grid_row, reach_of, row_cells
 from ..functions.storage import written
 
-#: Of one block: points, sites, and pairs of sites and rows (or points) at once.
-MOST_POINTS, MOST_SITES, AT_ONCE = 1 << 20, 50_000, 1 << 21
+#: Of one block: points, sites, listed points of sites, and pairs of sites and rows (or points) at once.
+MOST_POINTS, MOST_SITES, MOST_LISTED, AT_ONCE = 1 << 20, 1 << 17, 2_500_000, 1 << 21
+FEW_SITES, BLOCKS = 1000, 64  # a block may have so many sites, or this part of them all
+WIDEST, THINNEST = 4.0, 1 / 8  # tiles, in radii
 MOST_ROWS = 1024
 MOST_KEYS = 16
 CHUNKS = 1 << 12
@@ -38,16 +42,48 @@ def crowd(df: DataFrame, size_m: float) -> tuple[int, int]:
     return total or 0, most or 0
 
 
-def dealt(sites: DataFrame, points: DataFrame, radius_m: float, by: tuple[str, str] | None = None):
+class Tiling(NamedTuple):
+    """Tiles of `wide` radii, and into how many parts the sites and the points of a tile are dealt."""
+
+    wide: float
+    s_parts: int
+    p_parts: int
+    slots: int
+
+
+def copies(wide: float) -> float:
+    """How many tiles of `wide` radii a point reaches, on the whole."""
+    return (1 + 2 / wide) ** 2
+
+
+def tiling(sites: DataFrame, points: DataFrame, radius_m: float, most_sites: int | None = None) -> Tiling:
+    """Where a tile as wide as the radius has more than a block's sites, tiles are thinner, since the sites of one place meet
+    fewer points than parts of a whole tile do; where it has few, tiles are wider. Sites that stand too close for that
+    are dealt into parts."""
+    size, most_sites = max(radius_m, 1.0), most_sites or MOST_SITES
+    (n_sites, sites_most), (n_points, points_most) = crowd(sites, size), crowd(points, size)
+    sites_most, points_most = max(sites_most, 1), max(points_most, 1)
+    aim = max(1.0, min(most_sites / 1.5, max(FEW_SITES, n_sites / BLOCKS)))
+    parts = lambda most: math.ceil(most / (1.5 * aim))
+    wide, s_parts = 1.0, parts(sites_most)
+    if sites_most > aim:
+        thin = max(THINNEST, math.sqrt(aim / sites_most))
+        less = parts(max(crowd(sites, size * thin)[1], 1))
+        if copies(thin) * less < copies(1) * s_parts:
+            wide, s_parts = thin, less
+    else:  # four times as many blocks, and not so many points in one
+        wide = max(1.0, min(WIDEST, math.sqrt(aim / 4 / sites_most), math.sqrt(MOST_POINTS / 4 / points_most) - 2))
+    p_parts = math.ceil((max(wide, 1) + 2) ** 2 * points_most / MOST_POINTS)
+    s_parts = min(s_parts, max(1, CHUNKS // p_parts))
+    return Tiling(wide, s_parts, p_parts, math.ceil(n_sites * p_parts / 5000 + copies(wide) * n_points * s_parts / 200_000) + 1)
+
+
+def dealt(sites: DataFrame, points: DataFrame, radius_m: float, by: tuple[str, str] | None = None, plan: Tiling | None = None):
     """Both sides with a tile and the number of the block that holds it: a site's tile has all points within radius_m, each
     once. Sites and points of a crowded tile are dealt into several, each part of the one meeting each of the other.
     `by` names a column of either side; rows of unlike values never meet, so that they may stand in different blocks."""
-    size, by = max(radius_m, 1.0), by or ()
-    (n_sites, sites_most), (n_points, points_most) = crowd(sites, size), crowd(points, size)
-    s_parts = math.ceil(max(sites_most, 1) / min(MOST_SITES, max(4000, n_sites / 64)))
-    p_parts = math.ceil(max(9 * points_most, 1) / MOST_POINTS)
-    s_parts = min(s_parts, max(1, CHUNKS // p_parts))
-    slots = math.ceil(n_sites * p_parts / 5000 + 9 * n_points * s_parts / 200_000) + 1
+    by, (wide, s_parts, p_parts, slots) = by or (), plan or tiling(sites, points, radius_m)
+    size, arc = max(radius_m, 1.0) * wide, math.degrees(radius_m / EARTH_M) * (1 + 1e-9) + 1e-9
 
     def blocked(df: DataFrame, *extra: str) -> DataFrame:
         tile = (F.col("_y").cast("long") * (1 << 26) + F.col("_x").cast("long")) * CHUNKS + F.col("_sc") * p_parts + F.col("_pc")
@@ -59,7 +95,7 @@ def dealt(sites: DataFrame, points: DataFrame, radius_m: float, by: tuple[str, s
     y, x = grid_cell(F.col("lat"), F.col("lng"), size)
     s = sites.filter("lat is not null and lng is not null").withColumns({"_y": y, "_x": x, "_sc": part_of(s_parts, "place_id"), "_pc": every(p_parts)})
     p = points.filter("lat is not null and lng is not null").withColumn("_pc", part_of(p_parts, "lat", "lng"))
-    p = p.withColumn("_y", F.explode(F.transform(F.array(*map(F.lit, (-1, 0, 1))), lambda d: grid_row(F.col("lat"), size) + d)))
+    p = p.withColumn("_y", F.explode(F.sequence(grid_row(F.col("lat") - arc, size), grid_row(F.col("lat") + arc, size))))
     p = p.withColumn("_m", row_cells(F.col("_y"), size))
     p = p.withColumn("_x", F.explode(cells_in_reach(F.col("lng"), reach_of(F.col("lat"), radius_m), F.col("_m"))))
     p = p.withColumn("_x", F.pmod("_x", "_m")).drop("_m").withColumn("_sc", every(s_parts))
@@ -168,14 +204,14 @@ def _tiles(sites: pa.Table, points: pa.Table) -> tuple[np.ndarray, np.ndarray, n
     return s_tile, at[held], held
 
 
-def _sums(s_tile, s_lat, s_lng, tile, lat, lng, key, weight, n_keys: int, radius_m: float):
-    """(sums, counts) by site and key."""
+def _sums(s_tile, s_lat, s_lng, tile, lat, lng, key, weight, n_keys: int, radius_m: float, wide: float):
+    """(sums, counts) by site and key; tiles are `wide` radii wide."""
     finite = np.isfinite(weight)
     sums, counts = np.zeros((len(s_lat), n_keys)), np.zeros((len(s_lat), n_keys))
     for part, inner in ((finite, True), (~finite, False)):  # what is not a number cannot go into running totals
         if not part.any():
             continue
-        dense = part.sum() / (9 * len(np.unique(tile[part])))
+        dense = part.sum() / ((wide + 2) ** 2 * len(np.unique(tile[part])))
         rows = int(min(MOST_ROWS, max(1, round(math.sqrt(1.3 * dense)))))
         block = Rows(tile[part], lat[part], lng[part], s_tile, s_lat, s_lng, radius_m, rows)
         k, w = key[part][block.index], weight[part][block.index]
@@ -198,7 +234,8 @@ def radius_sums(sites: DataFrame, points: DataFrame, radius_m: float) -> DataFra
     """(place_id, _key, value): the sum of the weights _w of the points (lat, lng, _key, _w) within radius_m (inclusive) of
     each site, for each _key (null is one); no row where there are none. Points at one place and of one key are one."""
     places = points.groupBy("lat", "lng", "_key").agg(F.sum("_w").alias("_w"))
-    s, p = dealt(sites.select("place_id", "lat", "lng"), places, radius_m)
+    plan = tiling(sites, places, radius_m)
+    s, p = dealt(sites.select("place_id", "lat", "lng"), places, radius_m, plan=plan)
     kind = T.StructType([sites.select("place_id").schema[0], points.select("_key").schema[0], T.StructField("value", T.DoubleType())])
 
     def add(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -214,7 +251,7 @@ def radius_sums(sites: DataFrame, points: DataFrame, radius_m: float) -> DataFra
                 of = np.flatnonzero((key >= first) & (key < first + MOST_KEYS))
                 if len(of):
                     many = min(MOST_KEYS, len(names) - first)
-                    sums, counts = _sums(s_tile, s_lat, s_lng, tile[of], lat[of], lng[of], key[of] - first, w[of], many, radius_m)
+                    sums, counts = _sums(s_tile, s_lat, s_lng, tile[of], lat[of], lng[of], key[of] - first, w[of], many, radius_m, plan.wide)
                     site, k = np.nonzero(counts)
                     parts.append(pa.table({"place_id": left.column("place_id").take(site), "_key": names.take(k + first), "value": sums[site, k]}))
         return pa.concat_tables(parts)
@@ -265,7 +302,7 @@ def nearest_points(sites: DataFrame, points: DataFrame, radius_m: float, most: i
 
 def _nearest_of(sites: DataFrame, points: DataFrame, radius_m: float, most: int, order: list[str], kind: T.StructType) -> DataFrame:
     names = [f.name for f in points.schema]
-    s, p = dealt(sites, points, radius_m, ("_wanted", "_key"))
+    s, p = dealt(sites, points, radius_m, ("_wanted", "_key"), tiling(sites, points, radius_m, min(MOST_SITES, max(1, MOST_LISTED // most))))
 
     def pick(left: pa.Table, right: pa.Table) -> pa.Table:
         parts = [_listed(left.slice(0, 0), right.slice(0, 0), np.zeros(0), np.zeros(0, np.int32))]

@@ -1,3 +1,6 @@
+import math
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -73,3 +76,33 @@ def test_few_points_are_measured(spark):
     a, b, c, d = block.ranges(np.arange(len(sites)), True)
     held = [sum(metres(*s, *p) <= 1500 for p in points[:500]) for s in sites[:5]]
     assert ((b - a) + (d - c)).sum() < 0.1 * (d - a).sum() and sum(held) > 0
+
+
+def test_a_point_has_no_more_copies_where_all_is_denser(spark):
+    """In a table ten times as dense points are copied as often: parts of a tile would each have had all of its points."""
+
+    def copies(n):
+        at = lambda k, x: F.lit(x) + F.pmod(F.xxhash64("id", F.lit(k)), F.lit(100_000)) / 1e6
+        places = lambda k: spark.range(n).select(F.concat(F.lit(k), "id").alias("place_id"), at(f"{k}a", 13.0).alias("lat"), at(f"{k}b", 100.9).alias("lng"))
+        left, right = blocks.dealt(places("s"), places("p").drop("place_id"), 2500.0)
+        return left.count() / n, right.count() / n
+
+    few, many = copies(80_000), copies(800_000)
+    assert few[0] == many[0] == 1 and many[1] < 1.05 * few[1] < 40
+
+
+@pytest.mark.parametrize("lat, wide, parts", [(13.0, 0.3, 1), (89.9, 0.3, 2), (-60.0, 3.0, 2)])
+def test_thin_and_wide_tiles_equal_all_pairs(spark, lat, wide, parts, monkeypatch):
+    """Tiles thinner and wider than the radius, whole and in parts, across the antimeridian and beside a pole."""
+    monkeypatch.setattr(blocks, "tiling", lambda *_: blocks.Tiling(wide, parts, parts, 3))
+    width, draw = 0.06 / math.cos(math.radians(lat)), random.Random(7).random
+    place = lambda: (lat + 0.06 * draw(), (179.99 + width * draw() + 180) % 360 - 180)
+    sites, points = [(f"s{i}", *place()) for i in range(200)], [(*place(), "ab"[i % 2], draw()) for i in range(600)]
+    s, p = spark.createDataFrame(sites, SITES), spark.createDataFrame(points, POINTS)
+    got = {(r.place_id, r._key): r.value for r in blocks.radius_sums(s, p, 2000.0).collect()}
+    want = {}
+    for i, a, b in sites:
+        for c, d, key, w in points:
+            if metres(a, b, c, d) <= 2000:
+                want[i, key] = want.get((i, key), 0.0) + w
+    assert got.keys() == want.keys() and all(got[x] == pytest.approx(want[x], abs=1e-9) for x in want)
