@@ -12,7 +12,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -25,6 +25,7 @@ from .cells import FEW_POINTS, MOST_PARTS, density, nearest_points, parts_of_rad
 from .ranks import numbered
 
 MOST_ITEMS = 50
+MOST_SITES, SQUARE_PARTS = 4096, 4096  # of a part of a square of sites, and parts of a square
 ITEM = "name STRING, metres INT, extra DOUBLE, lat DOUBLE, lng DOUBLE"
 
 
@@ -197,8 +198,42 @@ def repaired_rings(rings: DataFrame) -> DataFrame:
     return rings.select("ring_id", F.col("name").cast("string").alias("name"), "ring").mapInPandas(repair, schema)
 
 
+def _upright() -> Column:
+    """Is a ring an upright rectangle of four corners, closed or not."""
+    p = [F.get("ring", F.lit(i)) for i in range(5)]
+    same = lambda c, i, j: p[i][c] == p[j][c]
+    turns = lambda a, b: same(a, 0, 1) & same(b, 1, 2) & same(a, 2, 3) & same(b, 3, 0)
+    closed = (F.size("ring") == 4) | ((F.size("ring") == 5) & same("lat", 0, 4) & same("lng", 0, 4))
+    return F.coalesce(closed & (turns("lat", "lng") | turns("lng", "lat")) & (F.col("_n") > F.col("_s")) & (F.col("_e") > F.col("_wst")), F.lit(False))
+
+
+def _squares(sites: DataFrame, rings: DataFrame, radius: float, fine: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Sites by squares of a part of the radius, and the rings that a circle round any place of a square can reach: sites with
+    _block, (_block, _rid, box), and the table of the rings. Crowded squares are dealt into several blocks, each of which
+    has all of the square's rings."""
+    size = max(radius / FLAT_M, 1e-6) / fine
+    square = {c: F.floor(F.col(x) / size).cast("long") for c, x in (("_by", "lat"), ("_bx", "lng"))}
+    at = sites.filter("lat is not null and lng is not null").withColumns(square)
+    dealt = F.least(F.ceil(F.count("*") / F.lit(MOST_SITES)), F.lit(SQUARE_PARTS)).alias("_dealt")
+    known = written(at.groupBy("_by", "_bx").agg(dealt).withColumn("_first", F.monotonically_increasing_id() * SQUARE_PARTS), "squares")
+    spots = known.withColumns({"lat": (F.col("_by") + 0.5) * size, "lng": (F.col("_bx") + 0.5) * size})
+    pairs, boxed = _ring_pairs(spots, rings, radius + size / 2 * FLAT_M + 0.01, ("_first", "_dealt"))
+    off = lambda low, high, c: F.greatest(F.col(low) - F.col(c) - size / 2, F.col(c) - size / 2 - F.col(high), F.lit(0.0)) * FLAT_M
+    narrow = F.cos(F.radians(F.least(F.abs("lat") + size, F.lit(90.0))))
+    east, north = off("_wst", "_e", "lng") * narrow, off("_s", "_n", "lat")
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("_dealt").cast("long") - 1)).alias("_part")
+    near = pairs.filter(east * east + north * north <= (radius + 0.01) ** 2).select("_first", "_rid", "_s", "_n", "_wst", "_e", every)
+    near = near.withColumn("_block", F.col("_first") + F.col("_part")).drop("_first", "_part")
+    at = at.join(known, ["_by", "_bx"]).withColumn("_block", F.col("_first") + F.pmod(F.xxhash64("place_id"), F.col("_dealt")))
+    return at.drop("_by", "_bx", "_first", "_dealt"), near, boxed
+
+
 def ring_metres(sites: DataFrame, rings: DataFrame, radius: float) -> DataFrame:
-    """(place_id, ring_id, metres): the rings that meet a site's circle, and how far they are (0: the site is inside)."""
+    """(place_id, ring_id, metres): the rings that meet a site's circle, and how far they are (0: the site is inside).
+
+    Upright rectangles meet the sites of a square by a join, which only brings the rows of the result out of a task; the outlines
+    of other rings are joined to their sites."""
+    radius = float(radius)
 
     def far(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for g in found:
@@ -208,8 +243,16 @@ def ring_metres(sites: DataFrame, rings: DataFrame, radius: float) -> DataFrame:
             at = pa.array(shapes.which[near])
             yield pa.RecordBatch.from_arrays([g.column("place_id").take(at), g.column("ring_id").take(at), pa.array(np.rint(d[near]).astype(np.int32))], names=["place_id", "ring_id", "metres"])
 
+    at, near, boxed = _squares(sites.select("place_id", "lat", "lng"), rings, radius, 4)
+    kinds = boxed.withColumn("_upright", _upright())
+    boxes = near.join(kinds.filter("_upright").select("_rid", "ring_id"), "_rid").drop("_rid").repartition(4 * _parts(sites), "_block")
+    at = at.withColumn("_k", F.cos(F.radians("lat"))).repartition(4 * _parts(sites), "_block")  # once for all pairs of a site
+    off = lambda low, high, c: F.when(F.col(c) < F.col(low), F.col(low) - F.col(c)).when(F.col(c) > F.col(high), F.col(c) - F.col(high)).otherwise(0.0) * FLAT_M
+    d = F.sqrt(F.pow(off("_wst", "_e", "lng") * F.col("_k"), 2) + F.pow(off("_s", "_n", "lat"), 2))
+    found = at.join(boxes.hint("merge"), "_block").filter(d <= radius).select("place_id", "ring_id", F.rint(d).cast("int").alias("metres"))
     schema = sites.select("place_id").schema.add("ring_id", rings.schema["ring_id"].dataType).add("metres", "integer")
-    return _near_rings(sites, rings, float(radius)).mapInArrow(far, schema)
+    others = kinds.filter(~F.col("_upright")).select("ring_id", "name", "ring")
+    return found.unionByName(_near_rings(sites, others, radius).mapInArrow(far, schema))
 
 
 def _shapes(g: pa.RecordBatch) -> P.Ragged:
