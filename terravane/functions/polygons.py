@@ -269,6 +269,35 @@ def _inside_circle(x, y, x2, y2, radius: float, sides: int) -> np.ndarray:
     return between(zero, t0) + inside + between(t1, one)
 
 
+def boxes_in_circle(x0: np.ndarray, x1: np.ndarray, y0: np.ndarray, y1: np.ndarray, radius: float, sides: int = SIDES) -> np.ndarray:
+    """Areas of upright boxes inside circle(radius), whose sides must be a multiple of eight: the polygon then looks the same
+    from the north and from the east, and its height at x is its width at y."""
+    quarter, step = sides // 4, 2 * np.pi / sides
+    t = np.arange(quarter + 1) * step
+    c, s = radius * np.cos(t), radius * np.sin(t)  # corners from the east to the north
+    c[-1] = 0.0
+    slope = np.diff(s) / -np.diff(c)
+    under = np.append(np.cumsum((-np.diff(c) * (s[1:] + s[:-1]) / 2)[::-1])[::-1], 0.0)  # up to each corner, from the middle
+
+    def edge(v):
+        """How far from the middle, at most the radius; the polygon's height there; the area below it up to there; and the
+        same area up to the height."""
+        v = np.minimum(np.abs(v), radius)
+        k = np.minimum((np.arccos(v / radius) / step).astype(np.int64), quarter - 1)
+        high = np.maximum(s[k] + slope[k] * (c[k] - v), 0.0)
+        other = quarter - 1 - k
+        return v, high, under[k] - (c[k] - v) * (s[k] + high) / 2, under[other] - (c[other] - high) * (s[other] + v) / 2
+
+    def corner(x, y, east, north):
+        """From the middle to a corner, counted negative where one side is."""
+        (u, _, area, _), (v, wide, _, known) = east, north
+        part = np.where(u <= wide, u * v, wide * v + area - known)
+        return np.where((x < 0) != (y < 0), -part, part)
+
+    west, east, south, north = edge(x0), edge(x1), edge(y0), edge(y1)
+    return np.maximum(corner(x1, y1, east, north) - corner(x0, y1, west, north) - corner(x1, y0, east, south) + corner(x0, y0, west, south), 0.0)
+
+
 def simple(r: np.ndarray) -> bool:
     """Does a ring enclose once what it encloses: no edges cross, and the even-odd rule leaves nothing out."""
     if len(r) < 3:

@@ -13,14 +13,13 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import polygons as P
 from ..functions.geo import FLAT_M, radius_pairs
 from ..functions.storage import written
 from ..functions.text import blank, half_even, slug
-from . import blocks, campuses, unions
+from . import blocks, campuses, shares, unions
 from .cells import FEW_POINTS, MOST_PARTS, density, nearest_points, parts_of_radius, radius_sums
 from .ranks import numbered
 
@@ -284,7 +283,9 @@ def land_area(sites: DataFrame, rings: DataFrame, radii: Sequence[int], name: st
 
 
 def area_items(sites: DataFrame, rings: DataFrame, radii: Sequence[int], name: str, most: int = MOST_ITEMS) -> DataFrame:
-    """Each ring's own hectares inside the circle (0.01 or more), the largest first; extra is the hectares."""
+    """Each ring's own hectares inside the circle (0.01 or more), the largest first; extra is the hectares.
+
+    A block of sites meets all rings around it in one task (see shares), which only lists what is asked for."""
     radii = list(radii)
 
     def known(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -294,29 +295,45 @@ def area_items(sites: DataFrame, rings: DataFrame, radii: Sequence[int], name: s
             for m in g.itertuples(index=False):
                 lat, lng = m.ring[0]["lat"], m.ring[0]["lng"]
                 s = _local(m.ring, lat, lng)
-                rows.append((m.rid, P.simple(s), *(_degrees(*P.point_inside(s), lat, lng) if len(s) else (None, None))))
+                rows.append((m.rid, m.upright or P.simple(s), *(_degrees(*P.point_inside(s), lat, lng) if len(s) else (None, None))))
             yield pd.DataFrame(rows, columns=["_rid", "_simple", "_lat", "_lng"]).astype({"_lat": float, "_lng": float})
 
-    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for g in batches:
-            shapes = _shapes(g)
-            which, d, plain = shapes.which, shapes.distances(), g.column("_simple").to_numpy(zero_copy_only=False)[shapes.which]
+    kind = f"place_id STRING, col STRING, pos INT, {ITEM}"
+    names = [c.split()[0] for c in kind.split(", ")]
+
+    def listed(left: pa.Table, right: pa.Table) -> pa.Table:
+        of = lambda t, c, at: t.column(c).take(pa.array(at))
+        ids = [("_block", "ascending"), ("ring_id", "ascending"), ("_rid", "ascending")]
+        left, right = left.sort_by("_block").combine_chunks(), right.take(pc.sort_indices(right, ids, null_placement="at_start")).combine_chunks()
+        block, first = np.unique(left.column("_block").to_numpy(), return_index=True)
+        ends, around = np.append(first[1:], len(left)), right.column("_block").to_numpy()
+        tables = [pa.table([pa.array([], t) for t in (pa.string(), pa.string(), pa.int32(), pa.string(), pa.int32(), pa.float64(), pa.float64(), pa.float64())], names=names)]
+        for a, b, low, high in zip(first, ends, np.searchsorted(around, block), np.searchsorted(around, block, "right"), strict=True):
+            mine, near = left.slice(a, b - a), right.slice(low, high - low)
+            (lat, lng), some = (mine.column(c).to_numpy() for c in ("lat", "lng")), _rings_of(near)
             for r in radii:
-                ha = shapes.areas_in_circle(r) / 10_000
-                for i in np.flatnonzero(~plain.astype(bool) & (d <= r)):
-                    p = slice(shapes.first[i], shapes.first[i] + shapes.n[i])
-                    ha[i] = P.union_area([np.column_stack([shapes.x[p], shapes.y[p]])], P.circle(r)) / 10_000
-                some = np.flatnonzero((d <= r) & (ha >= 0.01))
-                at = pa.array(which[some])
-                found = [g.column("place_id").take(at), pa.array([f"{name}_ha_{r}"] * len(some), pa.string()), g.column("name").take(at), pa.array(np.rint(d[some]).astype(np.int32)), pa.array([round(x, 2) for x in ha[some].tolist()], pa.float64())]
-                yield pa.RecordBatch.from_arrays([*found, *(g.column(c).take(at) for c in ("_lat", "_lng", "ring_id"))], names=["place_id", "col", "name", "metres", "extra", "lat", "lng", "ring_id"])
-
-    pairs, boxed = _ring_pairs(sites, rings, float(max(radii)))
-    inside = boxed.select(F.col("_rid").alias("rid"), "ring").mapInPandas(known, "_rid long, _simple boolean, _lat double, _lng double")
-    shapes = boxed.select("_rid", F.col("ring_id").cast("long").alias("ring_id"), blank(F.col("name")).alias("name"), "ring").join(inside, "_rid")
-    near = pairs.select(F.col("place_id").cast("string").alias("place_id"), "lat", "lng", "_rid").join(written(shapes, "shapes"), "_rid").drop("_rid")
-    shares = near.mapInArrow(each, f"place_id STRING, col STRING, {ITEM}, ring_id LONG")
-    return shares.withColumn("pos", F.row_number().over(W.partitionBy("place_id", "col").orderBy(F.desc("extra"), "ring_id"))).filter(F.col("pos") <= most).select("place_id", "col", "pos", "name", "metres", "extra", "lat", "lng")
+                for site, ring, pos, share in shares.largest(lat, lng, some, float(r), most):
+                    metres = np.rint(shares.metres(some, ring, lat[site], lng[site])).astype(np.int32)
+                    tables.append(pa.table([of(mine, "place_id", site), pa.repeat(f"{name}_ha_{r}", len(site)), pos, of(near, "name", ring), metres, share / 100, of(near, "_lat", ring), of(near, "_lng", ring)], names=names))
+        return pa.concat_tables(tables)
+
+    each = sites.select(F.col("place_id").cast("string").alias("place_id"), "lat", "lng").distinct()
+    at, near, boxed = _squares(each, rings, float(max(radii)), 2)
+    boxed = boxed.withColumn("_upright", _upright())
+    inside = boxed.select(F.col("_rid").alias("rid"), F.col("_upright").alias("upright"), "ring").repartition(_parts(sites)).mapInPandas(known, "_rid long, _simple boolean, _lat double, _lng double")
+    outline = F.when(~F.col("_upright"), F.col("ring")).alias("ring")
+    shapes = boxed.select("_rid", F.col("ring_id").cast("long").alias("ring_id"), blank(F.col("name")).alias("name"), "_upright", outline).join(inside, "_rid")
+    slots = max(4 * _parts(sites), at.count() // 2048)  # a few blocks go together where sites are few
+    slotted = lambda df: df.withColumn("_slot", F.pmod(F.xxhash64("_block"), F.lit(slots))).repartition(4 * _parts(sites), "_slot").groupBy("_slot")
+    return slotted(at).cogroup(slotted(near.join(written(shapes, "shapes"), "_rid"))).applyInArrow(listed, kind)
+
+
+def _rings_of(t: pa.Table) -> shares.Rings:
+    ring = t.column("ring").combine_chunks()
+    corners = ring.flatten()
+    numbers = lambda a: a.to_numpy(zero_copy_only=False)
+    n = numbers(pc.fill_null(pc.list_value_length(ring), 0)).astype(np.int64)
+    return shares.Rings(*(numbers(t.column(c).combine_chunks()) for c in ("_s", "_n", "_wst", "_e", "_upright", "_simple")), *(numbers(pc.struct_field(corners, c)) for c in ("lat", "lng")), n)
 
 
 def campus_items(sites: DataFrame, rings: DataFrame, nodes: DataFrame, radii: Sequence[int], name: str) -> DataFrame:
